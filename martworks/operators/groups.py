@@ -4,21 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martworks.operators.skew import attach_hot, hot_keys
+
 
 def collect_parts(df: DataFrame, keys: list[str], item: Column, name: str, spread_by: str,
-                  max_items: int = 100_000) -> DataFrame:
+                  max_items: int = 500_000) -> DataFrame:
     """Sorted list of items per key, with a ``part`` column.
 
     A key with at most ``max_items`` rows is one row (part 0). A longer one continues in parts 1, 2, ...
     of about ``max_items`` items each, split by hash of the unique column ``spread_by``, so no single
     value or task ever holds an unbounded list and nothing is left out.
     """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / max_items).alias("_parts"))
-    large = F.broadcast(sizes.where("_parts > 1")) if max_items >= 10_000 else sizes.where("_parts > 1")
-    same_key = [df[k].eqNullSafe(large[k]) for k in keys]
-    condition = same_key[0]
-    for c in same_key[1:]:
-        condition = condition & c
-    part = F.coalesce(F.pmod(F.xxhash64(df[spread_by]), F.col("_parts")), F.lit(0)).cast("int")
-    tagged = df.join(large, condition, "left").select(*[df[c] for c in df.columns], part.alias("part"))
-    return tagged.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(item)).alias(name))
+    tagged = attach_hot(df, hot_keys(df, keys, max_items), keys)
+    parts = F.ceil(F.col("_rows") / max_items)
+    part = F.coalesce(F.pmod(F.xxhash64(spread_by), parts), F.lit(0)).cast("int")
+    return tagged.groupBy(*keys, part.alias("part")).agg(F.array_sort(F.collect_list(item)).alias(name))
+
+
+def key_counts(df: DataFrame, keys: list[str], name: str = "cnt") -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def most_frequent(df: DataFrame, keys: list[str], k: int, name: str = "cnt") -> DataFrame:
+    """The k keys with most rows; equal counts are ordered by the key."""
+    return key_counts(df, keys, name).orderBy(F.desc(name), *keys).limit(k)
