@@ -68,9 +68,13 @@ def shifted(df: DataFrame, keys: list[str], order: list[str], columns: dict[str,
     Rows next to a part border of a hot key are copied into the neighbouring part for the window and
     removed afterwards.
     """
+    return _shift_parts(split_hot(df, keys, order[0], hot_rows), keys, order, columns).drop("_part")
+
+
+def _shift_parts(parts: DataFrame, keys: list[str], order: list[str],
+                 columns: dict[str, tuple[str, int]]) -> DataFrame:
     back = max([0, *[-n for _, n in columns.values()]])
     ahead = max([0, *[n for _, n in columns.values()]])
-    parts = split_hot(df, keys, order[0], hot_rows)
     hot = parts.where("_part > 0")
     needed = list(dict.fromkeys([*keys, *order, *[c for c, _ in columns.values()]]))
     item = F.struct(*order, *[c for c in needed if c not in order])
@@ -104,13 +108,16 @@ def shifted(df: DataFrame, keys: list[str], order: list[str], columns: dict[str,
     for name, (column, offset) in columns.items():
         everything = everything.withColumn(name, F.lag(column, -offset).over(over) if offset < 0
                                            else F.lead(column, offset).over(over))
-    return everything.where("_own").drop("_own", "_part")
+    return everything.where("_own").drop("_own")
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,
                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sum of ``value`` from the key's first row up to the current one (range frame: ties count together)."""
-    parts = split_hot(df, keys, order[0], hot_rows)
+    return _sum_parts(split_hot(df, keys, order[0], hot_rows), keys, order, value, name).drop("_part")
+
+
+def _sum_parts(parts: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
     totals = parts.where("_part > 0").groupBy(*keys, "_part").agg(F.sum(value).alias("_total"))
     before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     carried = totals.select(*keys, "_part", F.sum("_total").over(before).alias("_before"))
@@ -118,7 +125,7 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, na
     local = parts.withColumn("_local", F.sum(value).over(over))
     joined = _join_parts(local, keys, carried)
     zero = F.lit(0).cast(joined.schema["_local"].dataType)
-    return joined.withColumn(name, F.col("_local") + F.coalesce("_before", zero)).drop("_local", "_before", "_part")
+    return joined.withColumn(name, F.col("_local") + F.coalesce("_before", zero)).drop("_local", "_before")
 
 
 def carry_forward(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, str],
@@ -172,10 +179,11 @@ def runs(df: DataFrame, key: str, value: str, ts: str, tiebreak: str, min_days:
     ``min_days`` keeps only stretches at least that long.
     """
     order = [ts, tiebreak]
-    marked = shifted(df.select(key, value, ts, tiebreak), [key], order, {"_prev": (value, -1)}, hot_rows)
-    flagged = marked.withColumn("_new", (~F.col("_prev").eqNullSafe(F.col(value))).cast("long"))
-    flagged = flagged.withColumn("_new", F.when(F.col("_prev").isNull(), F.lit(1)).otherwise(F.col("_new")))
-    numbered = running_sum(flagged.drop("_prev"), [key], order, "_new", "run_no", hot_rows)
+    parts = split_hot(df.select(key, value, ts, tiebreak), [key], ts, hot_rows)
+    marked = _shift_parts(parts, [key], order, {"_prev": (value, -1), "_prev_id": (tiebreak, -1)})
+    starts = F.col("_prev_id").isNull() | ~F.col("_prev").eqNullSafe(F.col(value))
+    flagged = marked.withColumn("_new", starts.cast("long")).drop("_prev", "_prev_id")
+    numbered = _sum_parts(flagged, [key], order, "_new", "run_no")
     out = (
         numbered.groupBy(key, "run_no")
         .agg(F.first(value).alias(value), F.min(ts).alias("run_start"), F.max(ts).alias("run_end"),
