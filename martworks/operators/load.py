@@ -47,10 +47,10 @@ def upsert(target: DataFrame, src: DataFrame, keys: list[str], update_cols: list
         src = keep_latest(src, keys, newest)
     if update_cols is None:
         return absent(target, src, keys).unionByName(src.select(*target.columns))
-    new = src.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+    new = src.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.lit(True).alias("_new"),
                      *[F.col(c).alias(f"_n_{c}") for c in target.columns if c not in keys])
     on = null_safe(target, keys, new, [f"_k_{k}" for k in keys])
-    known_new = F.coalesce(*[F.col(f"_k_{k}").isNotNull() for k in keys])
+    known_new = F.col("_new").isNotNull()
     known_old = F.col("_old").isNotNull()
     both = target.withColumn("_old", F.lit(True)).join(new, on, "full")
 
