@@ -18,6 +18,12 @@ def spine(keys_frame: DataFrame, on: list[str], *aggregates: DataFrame) -> DataF
     return reduce(lambda left, right: left.join(right, on, "left"), aggregates, keys_frame.select(*on).distinct())
 
 
+def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", max_rows: int = 1_000_000) -> DataFrame:
+    """Join to a dimension, with a broadcast hint only when a count shows that it is small."""
+    small = dim.limit(max_rows + 1).count() <= max_rows
+    return facts.join(F.broadcast(dim) if small else dim, on, how)
+
+
 def absent(df: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key does not occur in ``known`` (a null key never matches, so it stays)."""
     return df.join(known.select(*on), on, "left_anti")

@@ -4,6 +4,10 @@ A window over such a key would put all its rows into one task. ``split_hot`` cut
 every key with more than ``hot_rows`` rows into consecutive parts of about that size, at quantiles of
 the order value. The window operators then work within (key, part) and hand the little that crosses a
 part border (totals, last values, neighbour rows) over separately. Other keys stay whole, as part 0.
+
+Whether there is such a key is found by one map-side combined count when the operator is called. Without
+one the operator is the plain window, so a frame that is costly to compute should be written or
+checkpointed before it is passed in.
 """
 
 from __future__ import annotations
@@ -49,12 +53,14 @@ def order_number(df: DataFrame, order: str) -> Column:
     return col.cast("double")
 
 
-def split_hot(df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_part``: 0 for ordinary keys, 1, 2, ... along the order for hot ones.
+def split_hot(df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Add ``_part``: 0 for ordinary keys, 1, 2, ... along the order for hot ones. None when no key is hot.
 
     Rows with equal order value always share a part.
     """
     hot = hot_keys(df, keys, hot_rows)
+    if hot.isEmpty():
+        return None
     value = order_number(df, order)
     hot_values = attach_hot(df.select(*keys, value.alias("_v")), hot, keys, "inner")
     all_cuts = [i / MAX_PARTS for i in range(1, MAX_PARTS)]

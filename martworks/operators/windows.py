@@ -45,10 +45,6 @@ def first_flag(df: DataFrame, keys: list[str], ts: str, name: str) -> DataFrame:
     return firsts.withColumn(name, (F.col("_first") == F.col(ts)).cast("int")).drop("_first")
 
 
-def _part_key(df: DataFrame, keys: list[str]) -> list[Column]:
-    return [F.col(k) for k in keys] + [F.col("_part")]
-
-
 def _join_parts(rows: DataFrame, keys: list[str], carried: DataFrame) -> DataFrame:
     """Attach per-part values of hot keys; ``carried`` has at most (rows / hot_rows) entries per hot key."""
     names = [f"_c{i}" for i in range(len(keys))] + ["_cpart"]
@@ -68,7 +64,18 @@ def shifted(df: DataFrame, keys: list[str], order: list[str], columns: dict[str,
     Rows next to a part border of a hot key are copied into the neighbouring part for the window and
     removed afterwards.
     """
-    return _shift_parts(split_hot(df, keys, order[0], hot_rows), keys, order, columns).drop("_part")
+    parts = split_hot(df, keys, order[0], hot_rows)
+    if parts is None:
+        return _shift(df, keys, order, columns)
+    return _shift_parts(parts, keys, order, columns).drop("_part")
+
+
+def _shift(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, tuple[str, int]]) -> DataFrame:
+    over = W.partitionBy(*keys).orderBy(*order)
+    return df.withColumns({
+        name: F.lag(column, -offset).over(over) if offset < 0 else F.lead(column, offset).over(over)
+        for name, (column, offset) in columns.items()
+    })
 
 
 def _shift_parts(parts: DataFrame, keys: list[str], order: list[str],
@@ -104,25 +111,29 @@ def _shift_parts(parts: DataFrame, keys: list[str], order: list[str],
     everything = parts.withColumn("_own", F.lit(True)).unionByName(
         halo.withColumn("_own", F.lit(False)), allowMissingColumns=True
     )
-    over = W.partitionBy(*_part_key(everything, keys)).orderBy(*order)
-    for name, (column, offset) in columns.items():
-        everything = everything.withColumn(name, F.lag(column, -offset).over(over) if offset < 0
-                                           else F.lead(column, offset).over(over))
+    everything = _shift(everything, [*keys, "_part"], order, columns)
     return everything.where("_own").drop("_own")
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,
                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sum of ``value`` from the key's first row up to the current one (range frame: ties count together)."""
-    return _sum_parts(split_hot(df, keys, order[0], hot_rows), keys, order, value, name).drop("_part")
+    parts = split_hot(df, keys, order[0], hot_rows)
+    if parts is None:
+        return df.withColumn(name, _sum_so_far(keys, order, value))
+    return _sum_parts(parts, keys, order, value, name).drop("_part")
+
+
+def _sum_so_far(keys: list[str], order: list[str], value: str) -> Column:
+    over = W.partitionBy(*keys).orderBy(*order).rangeBetween(W.unboundedPreceding, W.currentRow)
+    return F.sum(value).over(over)
 
 
 def _sum_parts(parts: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
     totals = parts.where("_part > 0").groupBy(*keys, "_part").agg(F.sum(value).alias("_total"))
     before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     carried = totals.select(*keys, "_part", F.sum("_total").over(before).alias("_before"))
-    over = W.partitionBy(*_part_key(parts, keys)).orderBy(*order).rangeBetween(W.unboundedPreceding, W.currentRow)
-    local = parts.withColumn("_local", F.sum(value).over(over))
+    local = parts.withColumn("_local", _sum_so_far([*keys, "_part"], order, value))
     joined = _join_parts(local, keys, carried)
     zero = F.lit(0).cast(joined.schema["_local"].dataType)
     return joined.withColumn(name, F.col("_local") + F.coalesce("_before", zero)).drop("_local", "_before")
@@ -132,6 +143,8 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[str], columns: dic
                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Last non-null value so far: ``columns`` maps a new name to the column it follows."""
     parts = split_hot(df, keys, order[0], hot_rows)
+    if parts is None:
+        return df.withColumns(_last_so_far(keys, order, columns))
     hot = parts.where("_part > 0")
     before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     lasts = hot.groupBy(*keys, "_part").agg(*[
@@ -141,15 +154,17 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[str], columns: dic
     carried = lasts.select(
         *keys, "_part", *[F.last(f"_l_{n}", ignorenulls=True).over(before).alias(f"_b_{n}") for n in columns]
     )
-    over = W.partitionBy(*_part_key(parts, keys)).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    for n, c in columns.items():
-        parts = parts.withColumn(n, F.last(c, ignorenulls=True).over(over))
-    joined = _join_parts(parts, keys, carried)
+    joined = _join_parts(parts.withColumns(_last_so_far([*keys, "_part"], order, columns)), keys, carried)
     for n in columns:
         joined = joined.withColumn(n, F.coalesce(n, f"_b_{n}"))
     return joined.drop("_part", *[f"_b_{n}" for n in columns])
 
 
+def _last_so_far(keys: list[str], order: list[str], columns: dict[str, str]) -> dict[str, Column]:
+    over = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return {name: F.last(column, ignorenulls=True).over(over) for name, column in columns.items()}
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, descending: bool = False,
            unique: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rank of each row in its key; with ``unique`` a row number (then ``order`` must be unique).
@@ -159,14 +174,17 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, descendi
     whole = not keys
     if whole:
         df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
+    sort = [F.desc(order[0]) if descending else F.asc(order[0]), *[F.asc(c) for c in order[1:]]]
+    number = F.row_number() if unique else F.rank()
     parts = split_hot(df, keys, order[0], hot_rows)
+    if parts is None:
+        out = df.withColumn(name, number.over(W.partitionBy(*keys).orderBy(*sort)).cast("long"))
+        return out.drop("_all") if whole else out
     sizes = parts.where("_part > 0").groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"))
     part_order = F.desc("_part") if descending else F.asc("_part")
     before = W.partitionBy(*keys).orderBy(part_order).rowsBetween(W.unboundedPreceding, -1)
     carried = sizes.select(*keys, "_part", F.sum("_size").over(before).alias("_before"))
-    sort = [F.desc(order[0]) if descending else F.asc(order[0]), *[F.asc(c) for c in order[1:]]]
-    over = W.partitionBy(*_part_key(parts, keys)).orderBy(*sort)
-    local = parts.withColumn("_local", (F.row_number() if unique else F.rank()).over(over))
+    local = parts.withColumn("_local", number.over(W.partitionBy(*keys, "_part").orderBy(*sort)))
     joined = _join_parts(local, keys, carried)
     out = joined.withColumn(name, (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("long"))
     return out.drop("_local", "_before", "_part", *(["_all"] if whole else []))
@@ -179,11 +197,14 @@ def runs(df: DataFrame, key: str, value: str, ts: str, tiebreak: str, min_days:
     ``min_days`` keeps only stretches at least that long.
     """
     order = [ts, tiebreak]
-    parts = split_hot(df.select(key, value, ts, tiebreak), [key], ts, hot_rows)
-    marked = _shift_parts(parts, [key], order, {"_prev": (value, -1), "_prev_id": (tiebreak, -1)})
+    rows = df.select(key, value, ts, tiebreak)
+    before = {"_prev": (value, -1), "_prev_id": (tiebreak, -1)}
+    parts = split_hot(rows, [key], ts, hot_rows)
+    marked = _shift(rows, [key], order, before) if parts is None else _shift_parts(parts, [key], order, before)
     starts = F.col("_prev_id").isNull() | ~F.col("_prev").eqNullSafe(F.col(value))
     flagged = marked.withColumn("_new", starts.cast("long")).drop("_prev", "_prev_id")
-    numbered = _sum_parts(flagged, [key], order, "_new", "run_no")
+    numbered = (flagged.withColumn("run_no", _sum_so_far([key], order, "_new")) if parts is None
+                else _sum_parts(flagged, [key], order, "_new", "run_no"))
     out = (
         numbered.groupBy(key, "run_no")
         .agg(F.first(value).alias(value), F.min(ts).alias("run_start"), F.max(ts).alias("run_end"),

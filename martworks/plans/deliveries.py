@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martworks.operators.load import load_lookback
-from martworks.operators.quality import require
+from martworks.operators.quality import require, split_valid
 from martworks.sources.envelope import open_envelope
 
 DELIVERY = (
@@ -31,8 +31,12 @@ def rules(first_day: str = "2022-01-01", last_day: str = "2029-12-31") -> dict[s
 
 def load(target: DataFrame, envelope: DataFrame, checks: dict[str, Column], days: int = 7,
          stop_on_error: bool = True) -> DataFrame:
-    """Target after the load: gate first (it raises), then an upsert of the last days by order."""
+    """Target after an upsert of the last days by order.
+
+    The gate comes first: it raises, or with ``stop_on_error=False`` only the valid rows are loaded.
+    """
     rows = typed(envelope)
-    if stop_on_error:
-        rows = require(rows, checks)
-    return load_lookback(target, rows.select(*target.columns), ["order_id"], "order_ts", days, newest=["update_ts"])
+    rows = require(rows, checks) if stop_on_error else split_valid(rows, checks)[0]
+    # Newest by update time; the other columns decide between equal times, so every run agrees.
+    newest = ["update_ts", *[c for c in target.columns if c not in ("order_id", "update_ts")]]
+    return load_lookback(target, rows.select(*target.columns), ["order_id"], "order_ts", days, newest=newest)

@@ -64,7 +64,7 @@ def shipping_status(log: DataFrame, start_state: str = "booked", end_state: str
     """
     moment = F.col("state_datetime")
     return log.groupBy("shippingid").agg(
-        F.max_by(F.struct("status", "state"), F.struct("state_datetime", "state")).alias("_last"),
+        F.max_by(F.struct("status", "state"), F.struct("state_datetime", "state", "status")).alias("_last"),
         F.min(F.when(F.col("state") == start_state, moment)).alias("shipping_start_fact_datetime"),
         F.max(F.when(F.col("state") == end_state, moment)).alias("shipping_end_fact_datetime"),
     ).select("shippingid", "_last.*", "shipping_start_fact_datetime", "shipping_end_fact_datetime")
