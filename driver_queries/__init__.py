@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["warehouse"]
+AREAS = ["warehouse", "lake"]
 
 
 def all_queries() -> dict:

@@ -14,16 +14,26 @@ def _angle(value: Column | str, units: str) -> Column:
     return F.radians(col) if units == "degrees" else col
 
 
+def _known(value: Column, *inputs) -> Column:
+    """Null unless all inputs are there; least and greatest alone would skip a null."""
+    there = F.lit(True)
+    for i in inputs:
+        there = there & (F.col(i) if isinstance(i, str) else i).isNotNull()
+    return F.when(there, value)
+
+
 def haversine(lat1, lon1, lat2, lon2, radius=EARTH_KM, units: str = "degrees") -> Column:
     """Great-circle distance; ``units='radians'`` feeds the coordinates to sin/cos unconverted."""
     a1, o1, a2, o2 = (_angle(v, units) for v in (lat1, lon1, lat2, lon2))
     d_lat, d_lon = F.sin((a2 - a1) / 2), F.sin((o2 - o1) / 2)
     h = d_lat * d_lat + F.cos(a2) * F.cos(a1) * d_lon * d_lon
-    return F.lit(2 * radius) * F.asin(F.sqrt(F.least(F.lit(1.0), F.greatest(F.lit(0.0), h))))
+    arc = F.asin(F.sqrt(F.least(F.lit(1.0), F.greatest(F.lit(0.0), h))))
+    return _known(F.lit(2 * radius) * arc, lat1, lon1, lat2, lon2)
 
 
 def cosine_distance(lat1, lon1, lat2, lon2, radius=EARTH_KM, units: str = "degrees") -> Column:
     """The same distance by the spherical law of cosines."""
     a1, o1, a2, o2 = (_angle(v, units) for v in (lat1, lon1, lat2, lon2))
     c = F.sin(a1) * F.sin(a2) + F.cos(a1) * F.cos(a2) * F.cos(o1 - o2)
-    return F.lit(radius) * F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c)))
+    arc = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c)))
+    return _known(F.lit(radius) * arc, lat1, lon1, lat2, lon2)

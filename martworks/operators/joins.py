@@ -119,34 +119,30 @@ def _cells_in_band(band: Column, km: float) -> Column:
     band and its neighbours decides; close to the poles one cell holds the whole band.
     """
     step = _band_degrees(km)
-    reach = F.greatest(F.abs(band * step - 90 - step), F.abs((band + 1) * step - 90 + step))
-    ratio = F.lit(math.sin(min(math.pi / 2, km / EARTH_KM))) / F.cos(F.radians(F.least(reach, F.lit(89.999))))
-    width = F.degrees(F.asin(F.least(F.lit(1.0), ratio))) * 1.01
-    cells = F.when((reach >= 89.9) | (ratio >= 1), F.lit(1)).otherwise(F.floor(F.lit(360.0) / width))
-    return F.greatest(F.lit(1), cells).cast("long")
+    reach = F.abs((band + 0.5) * step - 90) + 1.5 * step
+    ratio = F.lit(math.sin(min(math.pi / 2, km / EARTH_KM))) / F.cos(F.radians(reach))
+    return F.when((reach >= 89.9) | (ratio >= 0.99), F.lit(1)).otherwise(
+        F.greatest(F.lit(1), F.floor(356.0 / F.degrees(F.asin(ratio))))
+    ).cast("long")
 
 
-def _lon_cell(lon: Column, cells: Column) -> Column:
-    return F.pmod(F.floor((lon + 180) / 360 * cells).cast("long"), cells)
+def in_cells(df: DataFrame, lat: str, lon: str, km: float) -> DataFrame:
+    """Add the grid cell of each row's point as ``_band`` and ``_cell``; rows without a point are left out."""
+    placed = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumn(
+        "_band", F.floor((F.col(lat) + 90) / _band_degrees(km)).cast("long")
+    ).withColumn("_cells", _cells_in_band(F.col("_band"), km))
+    return placed.withColumn("_cell", _lon_cell(F.col(lon), F.col("_cells"))).drop("_cells")
 
 
-def cell_of(lat: Column, lon: Column, km: float) -> Column:
-    """Grid cell of a point: points at most ``km`` apart are in the same or in neighbouring cells."""
-    band = F.floor((lat + 90) / _band_degrees(km)).cast("long")
-    return F.struct(band.alias("band"), _lon_cell(lon, _cells_in_band(band, km)).alias("cell"))
-
-
-def cells_near(lat: Column, lon: Column, km: float) -> Column:
-    """Array of the cells that can hold a point within ``km``: three bands, up to three cells in each."""
-    own = F.floor((lat + 90) / _band_degrees(km)).cast("long")
-    around = []
-    for d_band in (-1, 0, 1):
-        band = own + d_band
-        cells = _cells_in_band(band, km)
-        middle = _lon_cell(lon, cells)
-        for d_cell in (-1, 0, 1):
-            around.append(F.struct(band.alias("band"), F.pmod(middle + d_cell, cells).alias("cell")))
-    return F.array_distinct(F.array(*around))
+def near_cells(df: DataFrame, lat: str, lon: str, km: float) -> DataFrame:
+    """One row per cell that can hold a point within ``km``: three bands, up to three cells in each."""
+    own = F.floor((F.col(lat) + 90) / _band_degrees(km)).cast("long")
+    banded = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumn(
+        "_band", F.explode(F.sequence(own - 1, own + 1))
+    ).withColumn("_cells", _cells_in_band(F.col("_band"), km))
+    middle = banded.withColumn("_mid", _lon_cell(F.col(lon), F.col("_cells")))
+    around = F.array(*[F.pmod(F.col("_mid") + d, F.col("_cells")) for d in (-1, 0, 1)])
+    return middle.withColumn("_cell", F.explode(F.array_distinct(around))).drop("_cells", "_mid")
 
 
 def within_distance(left: DataFrame, right: DataFrame, km: float, left_at=("lat", "lon"),
@@ -156,10 +152,6 @@ def within_distance(left: DataFrame, right: DataFrame, km: float, left_at=("lat"
     An equi-join on grid cells: the right rows sit in their own cell, each left row visits the cells
     around it. Only rows that meet in a cell are ever compared.
     """
-    also = also or []
-    here = [F.col(c) for c in left_at]
-    there = [F.col(c) for c in right_at]
-    visits = left.where(here[0].isNotNull() & here[1].isNotNull()).withColumn("_cell", F.explode(cells_near(*here, km)))
-    placed = right.where(there[0].isNotNull() & there[1].isNotNull()).withColumn("_cell", cell_of(*there, km))
-    met = visits.join(placed, ["_cell", *also]).drop("_cell")
-    return met.withColumn("distance", haversine(*here, *there)).where(F.col("distance") <= km)
+    on = ["_band", "_cell", *(also or [])]
+    met = near_cells(left, *left_at, km).join(in_cells(right, *right_at, km), on).drop("_band", "_cell")
+    return met.withColumn("distance", haversine(*left_at, *right_at)).where(F.col("distance") <= km)

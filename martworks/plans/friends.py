@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martworks.functions import times
-from martworks.functions.geo import haversine
-from martworks.operators.joins import cell_of, cells_near, without_pairs
+from martworks.operators.joins import within_distance, without_pairs
 from martworks.operators.windows import top1
 
 BLOCK = 2000
@@ -53,17 +52,11 @@ def friend_recommendations(located: DataFrame, now=None, max_km: float | None =
     if max_km is None:
         pairs = co_members(members, ["channel", "zone_id"], "user_id", block)
     else:
-        here = (F.col("lat"), F.col("lon"))
         left = members.select("channel", "zone_id", F.col("user_id").alias("user_left"), F.col("lat").alias("_lat"),
-                              F.col("lon").alias("_lon"), F.explode(cells_near(*here, max_km)).alias("_cell"))
-        right = members.select("channel", "zone_id", F.col("user_id").alias("user_right"), "lat", "lon",
-                               cell_of(*here, max_km).alias("_cell"))
-        pairs = (
-            left.join(right, ["channel", "zone_id", "_cell"])
-            .where((F.col("user_left") < F.col("user_right"))
-                   & (haversine("_lat", "_lon", "lat", "lon") <= max_km))
-            .select("user_left", "user_right").distinct()
-        )
+                              F.col("lon").alias("_lon"))
+        right = members.select("channel", "zone_id", F.col("user_id").alias("user_right"), "lat", "lon")
+        met = within_distance(left, right, max_km, ("_lat", "_lon"), ("lat", "lon"), also=["channel", "zone_id"])
+        pairs = met.where(F.col("user_left") < F.col("user_right")).select("user_left", "user_right").distinct()
     messages = located.where(F.col("event_type") == "message").where(F.col("message_to").isNotNull())
     strangers = without_pairs(pairs, messages, "user_left", "user_right", "user_id", "message_to")
     place = spots.select(F.col("user_id").alias("user_left"), "zone_id", "tz")
