@@ -126,6 +126,10 @@ def _cells_in_band(band: Column, km: float) -> Column:
     ).cast("long")
 
 
+def _lon_cell(lon: Column, cells: Column) -> Column:
+    return F.pmod(F.floor((lon + 180) * cells / 360).cast("long"), cells)
+
+
 def in_cells(df: DataFrame, lat: str, lon: str, km: float) -> DataFrame:
     """Add the grid cell of each row's point as ``_band`` and ``_cell``; rows without a point are left out."""
     placed = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumn(
