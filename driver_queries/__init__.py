@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["warehouse", "lake"]
+AREAS = ["warehouse", "lake", "relational", "dataquality", "storage", "vaults", "streams"]
 
 
 def all_queries() -> dict:
