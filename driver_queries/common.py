@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from martworks.session import scratch
+
 
 class Tables:
     """The driver tables of one folder, as attributes."""
@@ -39,6 +41,13 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several later steps use, and read it back: it is computed once."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def query(build):
     """A registered query out of a function of the tables."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:

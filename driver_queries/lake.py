@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.common import Tables, day, day_sql, query, ts_sql
+from driver_queries.common import Tables, day, day_sql, query, stored, ts_sql
 from martworks.functions import times
 from martworks.functions.geo import cosine_distance
 from martworks.functions.text import words
@@ -64,6 +64,11 @@ def located(t: Tables):
     return geo.locate(flat_events(t), cities(t))
 
 
+def placed(t: Tables):
+    """The located events as a layer of their own, for marts that use them more than once."""
+    return stored(located(t), "located")
+
+
 def nearest_city(t: Tables):
     return located(t).select("event_id", "id", "city", F.round("distance", 3).alias("distance"))
 
@@ -97,7 +102,7 @@ NEAR_SQL = SQL_BASE + "SELECT event_id, id, round(distance, 3) AS distance FROM
 
 
 def user_geo(t: Tables):
-    return geo.user_geo(located(t), min_days=1)
+    return geo.user_geo(placed(t), min_days=1)
 
 
 USER_GEO_SQL = SQL_BASE + f""",
@@ -120,7 +125,7 @@ FROM z LEFT JOIN h USING (user_id) LEFT JOIN a USING (user_id)"""
 
 
 def user_geo_moves(t: Tables):
-    return geo.user_geo(located(t), min_days=1, travel="moves").select("user_id", "travel_count", "travel_array")
+    return geo.user_geo(placed(t), min_days=1, travel="moves").select("user_id", "travel_count", "travel_array")
 
 
 USER_MOVES_SQL = USER_GEO_SQL[:USER_GEO_SQL.index("h AS (")].rstrip().rstrip(",") + """
@@ -129,7 +134,7 @@ SELECT user_id, count(*) AS travel_count, string_agg(city, ',' ORDER BY run) AS
 
 def city_runs(t: Tables):
     """All stays of every user, with start, end, events and days."""
-    return runs(located(t), "user_id", "city", "ts", "event_id").withColumn("run_no", F.col("run_no").cast("bigint"))
+    return runs(placed(t), "user_id", "city", "ts", "event_id").withColumn("run_no", F.col("run_no").cast("bigint"))
 
 
 CITY_RUNS_SQL = USER_GEO_SQL[:USER_GEO_SQL.index("s AS (")].rstrip().rstrip(",") + f"""
@@ -140,7 +145,7 @@ FROM n GROUP BY user_id, run"""
 
 
 def zone_activity(t: Tables):
-    return geo.zone_activity(located(t))
+    return geo.zone_activity(placed(t))
 
 
 ZONE_SQL = SQL_BASE + f""",
@@ -166,7 +171,7 @@ FROM w LEFT JOIN m USING (month, zone_id)"""
 
 def friend_recs(t: Tables):
     """Recommended pairs at most 300 km apart (the places of the events lie far from each other)."""
-    return friends.friend_recommendations(located(t), now="2024-02-01 00:00:00", max_km=300)
+    return friends.friend_recommendations(placed(t), now="2024-02-01 00:00:00", max_km=300)
 
 
 FRIENDS_SQL = SQL_BASE + f""",
@@ -221,7 +226,7 @@ FROM r"""
 
 def nearby_contacts(t: Tables):
     """Last five messages of every user to people last seen within 1,000 km."""
-    rows = located(t).where("event_type = 'message'").select(
+    rows = placed(t).where("event_type = 'message'").select(
         "event_id", "user_id", "message_to", "ts", "lat", "lon", "city", "tz")
     return activity.nearby_contacts(rows, max_km=1000).withColumn("distance", F.round("distance", 3))
 
@@ -318,8 +323,8 @@ SELECT c_custkey AS conv_id, cnt FROM customer LEFT JOIN (
 
 def nearest_chunked(t: Tables):
     """The same nearest cities by the other way, for sets above the bound: chunks of at most 4 cities."""
-    placed = flat_events(t).select("event_id", "lat", "lon")
-    found = nearest(placed, cities(t), row_key=["event_id"], limit=4)
+    points = flat_events(t).select("event_id", "lat", "lon")
+    found = nearest(points, cities(t), row_key=["event_id"], limit=4)
     return found.select("event_id", "id", "city", F.round("distance", 3).alias("distance"))
 
 

@@ -353,7 +353,7 @@ def json_roundtrip(t: Tables):
     packed = t.events.select(nested.to_message("event_id", "event_type", F.struct("value", "props").alias("body"))
                              .alias("m"))
     schema = "event_id bigint, event_type string, body struct<value: double, props: string>"
-    opened = packed.select(nested.parse_json("m", schema).alias("m")).select("m.event_id", "m.event_type", "m.body.*")
+    opened = nested.open_json(packed, "m", schema).select("event_id", "event_type", "body.*")
     return opened.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 

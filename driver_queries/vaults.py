@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from driver_queries.common import Tables, dec, query, ts_sql, uuid5_sql
+from driver_queries.common import Tables, dec, query, stored, ts_sql, uuid5_sql
 from martworks.operators.groups import collect_parts
 from martworks.plans import counters, vault
 from martworks.sources import kafka
@@ -95,7 +95,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _vault(t: Tables):
-    return vault.vault_rows(enriched(t), LOADED)
+    return vault.vault_rows(stored(enriched(t), "enriched"), LOADED)
 
 
 def stacked_hubs(tables):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.common import Tables, day, day_sql, dec, query, ts_sql
+from driver_queries.common import Tables, day, day_sql, dec, query, stored, ts_sql
 from martworks.functions import nested, times
 from martworks.functions.keys import text_key
 from martworks.operators import load
@@ -221,7 +221,7 @@ def _shipping_log(t: Tables):
 
 def shipping_split(t: Tables):
     """The three reference tables and the split descriptions, met again through shipping_info."""
-    log = _shipping_log(t)
+    log = stored(_shipping_log(t), "shipping")
     rates_, transfer = shipping.country_rates(log), shipping.transfers(log)
     info = shipping.shipping_info(log, rates_, transfer)
     return (
@@ -254,7 +254,7 @@ FROM l"""
 
 
 def shipping_mart(t: Tables):
-    log = _shipping_log(t)
+    log = stored(_shipping_log(t), "shipping")
     rates_, transfer = shipping.country_rates(log), shipping.transfers(log)
     info = shipping.shipping_info(log, rates_, transfer)
     return shipping.shipping_mart(info, shipping.shipping_status(log), rates_, shipping.agreements(log), transfer)
@@ -580,13 +580,7 @@ def snowflake_fact(t: Tables):
         "users": "id bigint, user_id string", "restaurants": "id bigint, restaurant_id string",
         "products": "id bigint, product_id string", "stamps": "id bigint, ts timestamp",
         "orders": "id bigint, order_key string"}.items()}
-    path = scratch(spark, "snowflake")
-
-    def stored(rows, name):
-        """Each table is written and read back, as the load does."""
-        load.reload(rows, f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}")
-
+    # Each table is written and read back, as the load does.
     rest_doc = stored(rest_doc, "stg_restaurants")
     users = stored(snowflake.users(empty["users"], users_doc), "dm_users")
     restaurants = stored(snowflake.restaurants(empty["restaurants"], rest_doc), "dm_restaurants")
@@ -638,12 +632,12 @@ def _delivery_envelope(t: Tables):
 
 def delivery_load(t: Tables):
     """Rows breaking a rule (rating 6, delivered before ordered) are kept out; older orders are loaded already."""
-    envelope = _delivery_envelope(t)
+    envelope = stored(_delivery_envelope(t), "stg_deliveries")
     checks = deliveries.rules("1995-01-01", "2001-12-31")
     before = deliveries.typed(envelope).where(F.col("order_ts") < F.lit("1998-01-01").cast("timestamp"))
     valid, _ = split_valid(before, checks)
     others = [c for c in before.columns if c not in ("order_id", "update_ts")]
-    target = top1(valid, ["order_id"], ["update_ts", *others])
+    target = stored(top1(valid, ["order_id"], ["update_ts", *others]), "dds_deliveries")
     return deliveries.load(target, envelope, checks, stop_on_error=False).drop("update_ts")
 
 

@@ -22,6 +22,12 @@ def _known(value: Column, *inputs) -> Column:
     return F.when(there, value)
 
 
+def unit_vector(lat, lon, units: str = "degrees") -> tuple[Column, Column, Column]:
+    """The point on the unit sphere; products of two such vectors order points by distance."""
+    a, o = _angle(lat, units), _angle(lon, units)
+    return F.cos(a) * F.cos(o), F.cos(a) * F.sin(o), F.sin(a)
+
+
 def haversine(lat1, lon1, lat2, lon2, radius=EARTH_KM, units: str = "degrees") -> Column:
     """Great-circle distance; ``units='radians'`` feeds the coordinates to sin/cos unconverted."""
     a1, o1, a2, o2 = (_angle(v, units) for v in (lat1, lon1, lat2, lon2))

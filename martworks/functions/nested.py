@@ -11,6 +11,15 @@ def parse_json(c: Column | str, schema: T.StructType | str) -> Column:
     return F.from_json(col.cast("string"), schema, {"mode": "PERMISSIVE"})
 
 
+def open_json(df: DataFrame, value: str, schema: T.StructType | str, *keep: str | Column) -> DataFrame:
+    """The fields of JSON text or bytes as columns, next to the kept ones.
+
+    The document is parsed once per row: the fields come out of a generator, which later filters on them
+    do not pass. As a plain projection every such filter would be rewritten over its own copy of the parser.
+    """
+    return df.select(*keep, F.inline(F.array(parse_json(value, schema))))
+
+
 def to_message(*cols: str | Column) -> Column:
     """The columns as one JSON document."""
     return F.to_json(F.struct(*cols))

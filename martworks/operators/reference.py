@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from martworks.functions.geo import haversine
+from martworks.functions.geo import haversine, unit_vector
 
 MAX_REFERENCE = 10_000
 CHUNK_SALTS = 256
@@ -19,10 +19,11 @@ def _fits(ref: DataFrame, limit: int) -> bool:
     return ref.limit(limit + 1).count() <= limit
 
 
-def with_reference(df: DataFrame, ref: DataFrame, order_by: list[str], limit: int = MAX_REFERENCE) -> DataFrame:
+def with_reference(df: DataFrame, ref: DataFrame, order_by: list[str], limit: int = MAX_REFERENCE,
+                   fits: bool | None = None) -> DataFrame:
     """Rows with the reference set in ``_ref``, as a sorted array: one copy, or one per chunk of a large set."""
     item = F.struct(*order_by, *[c for c in ref.columns if c not in order_by])
-    if _fits(ref, limit):
+    if _fits(ref, limit) if fits is None else fits:
         whole = ref.agg(F.array_sort(F.collect_list(item)).alias("_ref"))
         return df.withColumn("_ref", whole.scalar())
     chunk_count = -(-ref.count() // limit)
@@ -52,23 +53,31 @@ def nearest(df: DataFrame, ref: DataFrame, lat: str = "lat", lon: str = "lon", r
             units: str = "degrees", limit: int = MAX_REFERENCE) -> DataFrame:
     """The closest reference row and its distance in km; the lower id wins a tie.
 
-    Rows without coordinates get no reference. ``row_key`` names the columns that identify a row; it is
-    only needed when the reference set is larger than the bound.
+    Rows without coordinates get no reference. ``row_key`` names the columns that identify a row; without
+    it the reference set must keep to the bound.
     """
     attrs = [c for c in ref.columns if c not in (ref_id, ref_lat, ref_lon)]
-    rows = with_reference(df, ref.where(F.col(ref_lat).isNotNull() & F.col(ref_lon).isNotNull()), [ref_id], limit)
+    placed = ref.where(F.col(ref_lat).isNotNull() & F.col(ref_lon).isNotNull())
+    placed = placed.withColumns(dict(zip(("_x", "_y", "_z"), unit_vector(ref_lat, ref_lon, units))))
+    fits = _fits(placed, limit)
+    if not fits and not row_key:
+        raise ValueError("row_key is needed for a reference set of this size")
+    rows = with_reference(df, placed, [ref_id], limit, fits)
+    rows = rows.withColumns(dict(zip(("_ex", "_ey", "_ez"), unit_vector(lat, lon, units))))
+    # The closest point is the one whose unit vector has the largest product with the row's own: three
+    # multiplications per candidate; the distance itself is worked out for the winner only.
     closest = F.array_min(F.transform("_ref", lambda c: F.struct(
-        haversine(F.col(lat), F.col(lon), c[ref_lat], c[ref_lon], units=units).alias("distance"),
-        c[ref_id].alias(ref_id),
-        *[c[a].alias(a) for a in attrs],
+        (-(F.col("_ex") * c["_x"] + F.col("_ey") * c["_y"] + F.col("_ez") * c["_z"])).alias("_far"),
+        c[ref_id].alias(ref_id), c.alias("_c"),
     )))
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     found = rows.select(*df.columns, F.when(known, closest).alias("_best"))
-    if not _fits(ref, limit):
-        if not row_key:
-            raise ValueError("row_key is needed for a reference set of this size")
+    if not fits:
         others = [c for c in df.columns if c not in row_key]
         found = found.groupBy(*row_key).agg(
             F.min("_best").alias("_best"), *[F.first(c).alias(c) for c in others]
         ).select(*df.columns, "_best")
-    return found.select(*df.columns, *[F.col(f"_best.{c}").alias(c) for c in (ref_id, *attrs, "distance")])
+    distance = haversine(F.col(lat), F.col(lon), F.col(f"_best._c.{ref_lat}"), F.col(f"_best._c.{ref_lon}"), units=units)
+    return found.select(
+        *df.columns, *[F.col(f"_best._c.{c}").alias(c) for c in (ref_id, *attrs)], distance.alias("distance")
+    )

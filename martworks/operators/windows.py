@@ -8,13 +8,12 @@ from martworks.operators.skew import HOT_ROWS, null_safe, split_hot
 
 
 def top1(df: DataFrame, keys: list[str], by: list[str], largest: bool = True) -> DataFrame:
-    """The row with the largest (or smallest) ``by`` values per key.
+    """The row with the largest (or smallest) ``by`` values per key; the other columns decide between equals.
 
     A grouped maximum instead of a window: combined on the map side, so hot keys shrink before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys and c not in by]
-    row = F.struct(*by, *rest)
-    best = (F.max_by if largest else F.min_by)(row, F.struct(*by))
+    best = (F.max if largest else F.min)(F.struct(*by, *rest))
     return df.groupBy(*keys).agg(best.alias("_row")).select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
     )

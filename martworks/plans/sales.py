@@ -26,13 +26,16 @@ def retention_weekly(order_log: DataFrame, refunded: str = "refunded", default:
     rows = add_column(order_log, "status", default)
     kept = F.col("status") != refunded
     day = F.col("order_date")
-    by_customer = rows.groupBy(
+    # Grouped by order first, so that orders are then counted without distinct counts.
+    by_order = rows.groupBy(
         (F.extract(F.lit("YEAROFWEEK"), day) * 100 + F.weekofyear(day)).cast("int").alias("period_id"),
-        "item_id", "customer_id",
+        "item_id", "customer_id", "order_id",
     ).agg(
-        F.countDistinct(F.when(kept, F.col("order_id"))).alias("_orders"),
-        F.sum(F.when(kept, F.col("payment_amount"))).alias("_revenue"),
-        F.countDistinct(F.when(~kept, F.col("order_id"))).alias("_refunds"),
+        F.max(kept.cast("int")).alias("_kept"), F.max((~kept).cast("int")).alias("_refunded"),
+        F.sum(F.when(kept, F.col("payment_amount"))).alias("_paid"),
+    )
+    by_customer = by_order.groupBy("period_id", "item_id", "customer_id").agg(
+        F.sum("_kept").alias("_orders"), F.sum("_paid").alias("_revenue"), F.sum("_refunded").alias("_refunds"),
     )
     new, returning = F.col("_orders") == 1, F.col("_orders") > 1
     zero = F.lit(0).cast("decimal(20,2)")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from martworks.functions.nested import explode_records, parse_json
+from martworks.functions.nested import explode_records, open_json
 from martworks.operators.dedup import keep_latest
 from martworks.operators.joins import absent
 from martworks.operators.load import new_calendar, number_new, versioned
@@ -94,9 +94,7 @@ def orders(target: DataFrame, documents: DataFrame, dm_users: DataFrame, dm_rest
 def product_sales(events: DataFrame, dm_orders: DataFrame, dm_products: DataFrame,
                   event_type: str = "bonus_transaction") -> DataFrame:
     """Fact rows of the bonus events; products by their current version, so versions never multiply rows."""
-    paid = events.where(F.col("event_type") == event_type).select(
-        parse_json("event_value", PAYMENTS).alias("_v")
-    ).select("_v.*")
+    paid = open_json(events.where(F.col("event_type") == event_type), "event_value", PAYMENTS)
     lines = explode_records(paid, "product_payments", [F.col("order_id").alias("order_key")], {
         "product_id": "product_key", "quantity": "count", "price": "price", "product_cost": "total_sum",
         "bonus_payment": "bonus_payment", "bonus_grant": "bonus_grant",

@@ -29,4 +29,4 @@ def documents_after(df: DataFrame, id_col: str, ts_col: str, mark=None) -> DataF
 
 def open_envelope(df: DataFrame, schema, keep: tuple[str, ...] = ("object_id", "update_ts")) -> DataFrame:
     """Typed columns of the enveloped documents, next to the envelope columns asked for."""
-    return df.select(*keep, nested.parse_json("object_value", schema).alias("_doc")).select(*keep, "_doc.*")
+    return nested.open_json(df, "object_value", schema, *keep)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martworks.functions.nested import open_json
 from martworks.functions.text import words
 
 
@@ -53,4 +54,4 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
 
 def parse_value(df: DataFrame, schema: str, *keep: str | Column) -> DataFrame:
     """JSON in ``value`` as typed columns."""
-    return df.select(*keep, F.from_json(F.col("value").cast("string"), schema).alias("_m")).select(*keep, "_m.*")
+    return open_json(df, "value", schema, *keep)
