@@ -26,7 +26,7 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", m
 
 def absent(df: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key does not occur in ``known`` (a null key never matches, so it stays)."""
-    return df.join(known.select(*on), on, "left_anti")
+    return df.join(known.select(*on), on, "left_anti").select(*df.columns)
 
 
 def not_in(df: DataFrame, col: str, known: DataFrame, known_col: str) -> DataFrame:

@@ -98,11 +98,11 @@ def _shift_parts(parts: DataFrame, keys: list[str], order: list[str],
         step = F.lag if descending else F.lead
         sources = [F.coalesce(step("_rows", i).over(over), F.array().cast(edges.schema["_rows"].dataType))
                    for i in range(1, count + 1)]
-        nearby = F.array_sort(F.concat(*sources))
-        cut = F.slice(nearby, F.greatest(F.lit(1), F.size(nearby) - count + 1), F.lit(count)) if descending \
-            else F.slice(nearby, 1, count)
+        near = F.col("_near")
+        cut = F.slice(near, F.greatest(F.lit(1), F.size(near) - count + 1), F.lit(count)) if descending \
+            else F.slice(near, 1, count)
         rows = (
-            edges.withColumn("_near", nearby)
+            edges.withColumn("_near", F.array_sort(F.concat(*sources)))
             .select(*keys, "_part", F.explode(cut).alias("_r"))
             .select(*[F.col(k) for k in keys], "_part", *[F.col(f"_r.{c}").alias(c) for c in needed if c not in keys])
         )

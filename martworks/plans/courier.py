@@ -37,12 +37,12 @@ def courier_ledger(deliveries: DataFrame, couriers: DataFrame, now, floor: str =
     """
     active = valid_now(couriers, now).select("id", "courier_id", "courier_name")
     year, month = F.year("order_ts"), F.month("order_ts")
-    facts = deliveries.join(active, "courier_id").select(
-        "id", "courier_name", year.alias("settlement_year"), month.alias("settlement_month"),
+    facts = deliveries.join(active.drop("courier_name"), "courier_id").select(
+        "id", year.alias("settlement_year"), month.alias("settlement_month"),
         "order_id", "rate", F.col("order_sum").cast(MONEY).alias("order_sum"),
         F.col("tip_sum").cast("decimal(16,4)").alias("tip_sum"),
     )
-    keys = ["id", "courier_name", "settlement_year", "settlement_month"]
+    keys = ["id", "settlement_year", "settlement_month"]
     rate_avg = F.avg("rate").cast("decimal(14,2)")
     by_order = []
     if floor == "order":
@@ -59,8 +59,10 @@ def courier_ledger(deliveries: DataFrame, couriers: DataFrame, now, floor: str =
     if floor != "order":
         totals = totals.withColumn("courier_order_sum", tier_pay(F.col("rate_avg"), F.col("orders_total_sum")))
     tips = F.col("courier_tips_sum") * F.lit(TIP_SHARE).cast("decimal(3,2)")
-    return totals.select(
-        *keys, "orders_count", "orders_total_sum", "rate_avg",
+    # The name is looked up after grouping: one row per courier and month instead of one per delivery.
+    named = totals.join(active.select("id", "courier_name"), "id")
+    return named.select(
+        "id", "courier_name", "settlement_year", "settlement_month", "orders_count", "orders_total_sum", "rate_avg",
         (F.col("orders_total_sum") * F.lit(PROCESSING_SHARE).cast("decimal(3,2)")).alias("order_processing_fee"),
         "courier_order_sum", "courier_tips_sum", (tips + F.col("courier_order_sum")).alias("courier_reward_sum"),
     )

@@ -22,15 +22,21 @@ def global_metrics(transactions: DataFrame, currencies: DataFrame, day: str | No
         done, rates = (d.where(F.col("date_update") == F.lit(day).cast("date")) for d in (done, rates))
     if currency_with is not None:
         rates = rates.where(F.col("currency_code_with") == currency_with)
-    rates = rates.select("date_update", "currency_code", "currency_with_div")
     own = F.when(F.col("currency_code") == account_currency, F.col("account_number_from"))
-    converted = F.col("amount") * F.col("currency_with_div")
-    grouped = done.join(rates, ["date_update", "currency_code"], "left").groupBy("date_update", "currency_code").agg(
-        F.sum(converted).alias("_total"),
-        F.sum("amount").alias("cnt_transactions"),
+    # A day and currency has one sum of rates, so both sides are grouped first and only their few groups
+    # are joined; several rates of a day still multiply the amounts, as a join of the rows would.
+    sums = done.groupBy("date_update", "currency_code").agg(
+        F.sum("amount").alias("_amount"),
         F.countDistinct("operation_id").alias("transactions_count"),
         F.countDistinct(own).alias("cnt_accounts_make_transactions"),
     )
+    day_rates = rates.groupBy("date_update", "currency_code").agg(
+        F.sum("currency_with_div").alias("_rate"), F.count(F.lit(1)).alias("_rates")
+    )
+    grouped = sums.join(day_rates, ["date_update", "currency_code"], "left").withColumns({
+        "_total": F.col("_amount") * F.col("_rate"),
+        "cnt_transactions": F.col("_amount") * F.coalesce("_rates", F.lit(1)),
+    })
     return grouped.select(
         "date_update", F.col("currency_code").alias("currency_from"),
         F.col("_total").cast("decimal(20,2)").alias("amount_total"),
