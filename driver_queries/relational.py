@@ -224,8 +224,8 @@ JOIN supplier ON l_suppkey = s_suppkey"""
 # --- joins --------------------------------------------------------------------------------------------
 
 def semi_in(t: Tables):
-    return t.customer.join(t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey")),
-                           "c_custkey", "left_semi").select("c_custkey", "c_name")
+    finished = t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return joins.present(t.customer, finished, ["c_custkey"]).select("c_custkey", "c_name")
 
 
 def anti_not_in(t: Tables):

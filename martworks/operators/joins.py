@@ -25,8 +25,17 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", m
 
 
 def absent(df: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
-    """Rows whose key does not occur in ``known`` (a null key never matches, so it stays)."""
-    return df.join(known.select(*on), on, "left_anti").select(*df.columns)
+    """Rows whose key does not occur in ``known`` (a null key never matches, so it stays).
+
+    The known keys are made distinct first: copies of a frequent key end on the map side, and the join
+    uses the partitioning of the distinct keys, so this adds no shuffle.
+    """
+    return df.join(known.select(*on).distinct(), on, "left_anti").select(*df.columns)
+
+
+def present(df: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key occurs in ``known``, each once."""
+    return df.join(known.select(*on).distinct(), on, "left_semi").select(*df.columns)
 
 
 def not_in(df: DataFrame, col: str, known: DataFrame, known_col: str) -> DataFrame:
@@ -35,7 +44,7 @@ def not_in(df: DataFrame, col: str, known: DataFrame, known_col: str) -> DataFra
     The null-aware test is done on an aggregate, so the rows themselves go through an ordinary anti join.
     """
     facts = known.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(known_col).isNull()).alias("nulls"))
-    kept = df.join(known.select(F.col(known_col).alias(col)), col, "left_anti").select(*df.columns)
+    kept = absent(df, known.select(F.col(known_col).alias(col)), [col])
     empty, no_nulls = facts.select(F.col("n") == 0).scalar(), facts.select(F.col("nulls") == 0).scalar()
     return kept.where(empty | (no_nulls & F.col(col).isNotNull()))
 

@@ -145,7 +145,8 @@ def hash_diff(target: DataFrame, src: DataFrame) -> DataFrame:
     """
     cols = src.columns
     new = src.distinct().withColumn("_h", F.xxhash64(*cols))
-    old = target.select(F.xxhash64(*cols).alias("_oh"), *[F.col(c).alias(f"_o_{c}") for c in cols])
+    old = target.select(*[F.col(c).alias(f"_o_{c}") for c in cols]).distinct()
+    old = old.withColumn("_oh", F.xxhash64(*[f"_o_{c}" for c in cols]))
     same = (F.col("_h") == F.col("_oh")) & null_safe(new, cols, old, [f"_o_{c}" for c in cols])
     return new.join(old, same, "left_anti").drop("_h")
 

@@ -72,7 +72,7 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose key has no parent (a null key refers to nothing and is no orphan)."""
     return child.where(F.col(key).isNotNull()).join(
-        parent.select(F.col(parent_key).alias(key)), key, "left_anti"
+        parent.select(F.col(parent_key).alias(key)).distinct(), key, "left_anti"
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from martworks.functions import times
 from martworks.operators.reference import nearest
@@ -65,8 +65,9 @@ def user_geo(located: DataFrame, min_days: int = 27, travel: str = "days") -> Da
 def zone_activity(located: DataFrame, first_over: str = "message") -> DataFrame:
     """Messages, reactions, subscriptions and new users per city, by week and by month.
 
-    One conditional aggregate per grain. A user is new at the first message (``first_over='all'``: at the
-    first event of any type). Figures without any event are null, as after left joins to a key spine.
+    One conditional aggregate per week; the months are sums over its few rows. A user is new at the first
+    message (``first_over='all'``: at the first event of any type). Figures without any event are null, as
+    after left joins to a key spine.
     """
     kind = F.col("event_type")
     counted = kind == "message" if first_over == "message" else F.lit(True)
@@ -75,14 +76,9 @@ def zone_activity(located: DataFrame, first_over: str = "message") -> DataFrame:
         F.col("id").alias("zone_id"), "event_type",
         F.when(counted, (F.col("_first") == F.col("ts")).cast("int")).alias("_new"),
     )
-
-    def figures(prefix: str) -> list:
-        return [
-            *[F.sum(F.when(kind == name, 1)).alias(f"{prefix}_{name}")
-              for name in ("message", "reaction", "subscription")],
-            F.sum("_new").alias(f"{prefix}_user"),
-        ]
-
-    weekly = rows.groupBy("month", "week", "zone_id").agg(*figures("week"))
-    monthly = rows.groupBy("month", "zone_id").agg(*figures("month"))
-    return weekly.join(monthly, ["month", "zone_id"], "left")
+    figures = {name: F.sum(F.when(kind == name, 1)) for name in ("message", "reaction", "subscription")}
+    figures["user"] = F.sum("_new")
+    weekly = rows.groupBy("month", "week", "zone_id").agg(*[c.alias(f"week_{n}") for n, c in figures.items()])
+    # At most six weeks fall into a month, so this window is over six rows.
+    of_month = W.partitionBy("month", "zone_id")
+    return weekly.withColumns({f"month_{n}": F.sum(f"week_{n}").over(of_month) for n in figures})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martworks.functions import times
-from martworks.operators.joins import absent
+from martworks.operators.joins import absent, present
 
 
 def hub(rows: DataFrame, natural: str, key: str, make_key, **attributes: Column) -> DataFrame:
@@ -54,9 +54,9 @@ def conversion(h_groups: DataFrame, link: DataFrame, satellite: DataFrame, group
     """Users added to each of the oldest groups, those of them who wrote, and the ratio."""
     # At most ``oldest`` rows: safe to broadcast to all the following joins.
     groups = F.broadcast(h_groups.orderBy("registration_dt", "hk_group_id").limit(oldest).select("hk_group_id"))
-    joined = satellite.where(F.col("event") == "add").select("hk_l_user_group_activity")
+    joined = satellite.where(F.col("event") == "add")
     added = (
-        link.join(groups, "hk_group_id", "left_semi").join(joined, "hk_l_user_group_activity", "left_semi")
+        present(link.join(groups, "hk_group_id", "left_semi"), joined, ["hk_l_user_group_activity"])
         .groupBy("hk_group_id").agg(F.countDistinct("hk_user_id").alias("cnt_added_users"))
     )
     wrote = (
