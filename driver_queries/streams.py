@@ -207,7 +207,7 @@ def _vault_run(t: Tables):
 def stream_vault(t: Tables):
     """All 14 tables of the vault stream: hubs, links and satellites stacked to (table, key)."""
     tables = _vault_run(t)
-    frames = [rows.select(F.lit(n).alias("vault_table"), F.col(vault.TABLES[n][0]).alias("pk"))
+    frames = [rows.select(F.lit(n).alias("vault_table"), F.col(vault.TABLES[n]).alias("pk"))
               for n, rows in tables.items()]
     return vaults._union(frames)
 

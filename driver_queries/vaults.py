@@ -102,7 +102,7 @@ def stacked_hubs(tables):
     natural = {"h_user": "user_id", "h_product": "product_id", "h_category": "category_name",
                "h_restaurant": "restaurant_id", "h_order": "order_id"}
     return _union([
-        tables[h].select(F.lit(h).alias("hub"), F.col(vault.TABLES[h][0]).alias("pk"),
+        tables[h].select(F.lit(h).alias("hub"), F.col(vault.TABLES[h]).alias("pk"),
                          F.col(key).cast("string").alias("business_key"), "load_dt", "load_src")
         for h, key in natural.items()])
 
@@ -112,7 +112,7 @@ def stacked_links(tables):
                "l_product_restaurant": ("h_product_pk", "h_restaurant_pk"),
                "l_product_category": ("h_product_pk", "h_category_pk")}
     return _union([
-        tables[n].select(F.lit(n).alias("link"), F.col(vault.TABLES[n][0]).alias("pk"),
+        tables[n].select(F.lit(n).alias("link"), F.col(vault.TABLES[n]).alias("pk"),
                          F.col(a).alias("left_pk"), F.col(b).alias("right_pk"))
         for n, (a, b) in members.items()])
 
@@ -122,7 +122,7 @@ def stacked_sats(tables):
                   "s_restaurant_names": ("h_restaurant_pk", ["name"]), "s_order_status": ("h_order_pk", ["status"]),
                   "s_order_cost": ("h_order_pk", ["cost", "payment"])}
     return _union([
-        tables[n].select(F.lit(n).alias("sat"), F.col(vault.TABLES[n][0]).alias("pk"), F.col(parent).alias("hub_pk"),
+        tables[n].select(F.lit(n).alias("sat"), F.col(vault.TABLES[n]).alias("pk"), F.col(parent).alias("hub_pk"),
                          F.concat_ws("|", *[F.col(c).cast("decimal(19,2)").cast("string") if n == "s_order_cost"
                                             else F.col(c) for c in columns]).alias("attributes"))
         for n, (parent, columns) in attributes.items()])

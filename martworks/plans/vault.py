@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from martworks.functions.keys import link_uuid5, uuid5
+from martworks.functions.keys import link_uuid5, uuid5, uuid5_digest, uuid5_of_digest
 from martworks.operators.joins import absent
-from martworks.operators.load import insert_ignore
+from martworks.operators.windows import top1
 
 ORDER_MESSAGE = (
     "object_id bigint, object_type string, payload struct<id: bigint, date: timestamp, cost: decimal(19,5), "
@@ -15,96 +15,95 @@ ORDER_MESSAGE = (
     "price: decimal(14,2), quantity: int, name: string, category: string>>>"
 )
 
-# Table, its key, and whether it is made per product line (else per order).
-TABLES = {
-    "h_user": ("h_user_pk", False), "h_product": ("h_product_pk", True), "h_category": ("h_category_pk", True),
-    "h_restaurant": ("h_restaurant_pk", False), "h_order": ("h_order_pk", False),
-    "l_order_product": ("hk_order_product_pk", True), "l_product_restaurant": ("hk_product_restaurant_pk", True),
-    "l_product_category": ("hk_product_category_pk", True), "l_order_user": ("hk_order_user_pk", False),
-    "s_user_names": ("hk_user_names_pk", False), "s_product_names": ("hk_product_names_pk", True),
-    "s_restaurant_names": ("hk_restaurant_names_pk", False), "s_order_cost": ("hk_order_cost_pk", False),
-    "s_order_status": ("hk_order_status_pk", False),
-}
-
-
-def keyed_orders(messages: DataFrame) -> DataFrame:
-    """Order level of the messages, with all hub keys. Keys are functions of ids, so nothing is looked up."""
-    order = messages.select("payload.*")
-    return order.select(
-        "id", F.col("date").alias("order_dt"), "cost", "payment", "status", "products",
+# Natural key of every hub; a hub's key column is its name with ``_pk``.
+HUBS = {"h_user": "user_id", "h_product": "product_id", "h_category": "category_name",
+        "h_restaurant": "restaurant_id", "h_order": "order_id"}
+LINKS = {"l_order_product": ("h_order", "h_product"), "l_product_restaurant": ("h_product", "h_restaurant"),
+         "l_product_category": ("h_product", "h_category"), "l_order_user": ("h_order", "h_user")}
+SATELLITES = {"s_user_names": ("h_user", {"username": "username", "userlogin": "userlogin"}),
+              "s_product_names": ("h_product", {"product_name": "name"}),
+              "s_restaurant_names": ("h_restaurant", {"restaurant_name": "name"}),
+              "s_order_cost": ("h_order", {"cost": "cost", "payment": "payment"}),
+              "s_order_status": ("h_order", {"status": "status"})}
+# Every table with its key column.
+TABLES = {**{h: f"{h}_pk" for h in HUBS}, **{t: f"hk_{t[2:]}_pk" for t in (*LINKS, *SATELLITES)}}
+
+
+def order_level(messages: DataFrame) -> DataFrame:
+    """Orders of the messages with natural keys only."""
+    return messages.select("payload.*").select(
+        F.col("id").alias("order_id"), F.col("date").alias("order_dt"), "cost", "payment", "status", "products",
         F.col("restaurant.id").alias("restaurant_id"), F.col("restaurant.name").alias("restaurant_name"),
         F.col("user.id").alias("user_id"), F.col("user.name").alias("username"),
         F.col("user.login").alias("userlogin"),
-        uuid5(F.col("id").cast("string")).alias("h_order_pk"),
-        uuid5("user.id").alias("h_user_pk"), uuid5("restaurant.id").alias("h_restaurant_pk"),
     )
 
 
-def keyed_products(orders: DataFrame) -> DataFrame:
-    """Product-line level: one explode serves all product tables."""
-    return orders.select("h_order_pk", "h_restaurant_pk", F.explode("products").alias("_p")).select(
-        "h_order_pk", "h_restaurant_pk", F.col("_p.id").alias("product_id"), F.col("_p.name").alias("name"),
+def product_level(orders: DataFrame) -> DataFrame:
+    """Product lines of the orders with natural keys only."""
+    return orders.select("order_id", "restaurant_id", F.explode("products").alias("_p")).select(
+        "order_id", "restaurant_id", F.col("_p.id").alias("product_id"), F.col("_p.name").alias("product_name"),
         F.col("_p.category").alias("category_name"),
-        uuid5("_p.id").alias("h_product_pk"), uuid5("_p.category").alias("h_category_pk"),
     )
 
 
-def vault_columns() -> dict[str, list]:
-    """Columns of each table over the order or product-line level (without load time and source)."""
-    own = {
-        "h_user": ["h_user_pk", "user_id"],
-        "h_product": ["h_product_pk", "product_id"],
-        "h_category": ["h_category_pk", "category_name"],
-        "h_restaurant": ["h_restaurant_pk", "restaurant_id"],
-        "h_order": ["h_order_pk", F.col("id").alias("order_id"), "order_dt"],
-    }
-    links = {"l_order_product": ("h_order_pk", "h_product_pk"), "l_order_user": ("h_order_pk", "h_user_pk"),
-             "l_product_restaurant": ("h_product_pk", "h_restaurant_pk"),
-             "l_product_category": ("h_product_pk", "h_category_pk")}
-    satellites = {"s_user_names": ("h_user_pk", ["username", "userlogin"]),
-                  "s_product_names": ("h_product_pk", ["name"]),
-                  "s_restaurant_names": ("h_restaurant_pk", [F.col("restaurant_name").alias("name")]),
-                  "s_order_cost": ("h_order_pk", ["cost", "payment"]),
-                  "s_order_status": ("h_order_pk", ["status"])}
-    for table, members in links.items():
-        own[table] = [link_uuid5(*members).alias(TABLES[table][0]), *members]
-    for table, (parent, attributes) in satellites.items():
-        own[table] = [uuid5(parent).alias(TABLES[table][0]), parent, *attributes]
-    return own
+def _one_per_key(rows: DataFrame, keys: list[str], attributes: list[str]) -> DataFrame:
+    """One row per natural key; the smallest attributes where messages differ."""
+    if not attributes:
+        return rows.select(*keys).distinct()
+    return top1(rows.select(*keys, *attributes), keys, attributes, largest=False)
 
 
 def vault_rows(messages: DataFrame, load_dt, source: str = "stg-service-orders",
                existing: dict[str, DataFrame] | None = None, history: bool = False) -> dict[str, DataFrame]:
     """New rows of all 14 tables; keys already present in ``existing`` are left alone.
 
-    With ``history`` the satellites also get a row when attributes of a known key have changed. Callers
-    that write several tables should persist ``messages`` first.
+    Rows are first reduced by their short natural keys, and UUIDs made for what is left; the keys are
+    functions of the natural ones, so nothing is looked up. With ``history`` the satellites also get a row
+    when attributes of a known key have changed. Callers that write several tables should persist or
+    store ``messages`` first.
     """
-    orders = keyed_orders(messages)
-    products = keyed_products(orders)
-    columns = vault_columns()
-    result = {}
-    for table, (key, by_product) in TABLES.items():
-        rows = (products if by_product else orders).select(*columns[table])
+    orders = order_level(messages)
+    lines = product_level(orders)
+    stamp = {"load_dt": F.lit(load_dt).cast("timestamp"), "load_src": F.lit(source)}
+
+    def level(*hubs: str) -> DataFrame:
+        return lines if {"h_product", "h_category"} & set(hubs) else orders
+
+    def fresh(table: str, rows: DataFrame, on: list[str]) -> DataFrame:
         before = (existing or {}).get(table)
-        if history and table.startswith("s_"):
-            fresh = rows.distinct()
-            if before is not None:
-                fresh = absent(fresh, before, rows.columns)
-        else:
-            fresh = insert_ignore(before, rows, key)
-        result[table] = fresh.withColumns({
-            "load_dt": F.lit(load_dt).cast("timestamp"), "load_src": F.lit(source),
-        })
+        return (rows if before is None else absent(rows, before, on)).withColumns(stamp)
+
+    result = {}
+    for hub, natural in HUBS.items():
+        attributes = ["order_dt"] if hub == "h_order" else []
+        rows = _one_per_key(level(hub), [natural], attributes)
+        result[hub] = fresh(hub, rows.select(uuid5(natural).alias(f"{hub}_pk"), natural, *attributes), [f"{hub}_pk"])
+    for link, (a, b) in LINKS.items():
+        pairs = _one_per_key(level(a, b), [HUBS[a], HUBS[b]], [])
+        keyed = pairs.select(uuid5(HUBS[a]).alias(f"{a}_pk"), uuid5(HUBS[b]).alias(f"{b}_pk"))
+        rows = keyed.select(link_uuid5(f"{a}_pk", f"{b}_pk").alias(TABLES[link]), f"{a}_pk", f"{b}_pk")
+        result[link] = fresh(link, rows, [TABLES[link]])
+    for satellite, (hub, attributes) in SATELLITES.items():
+        natural, columns = HUBS[hub], list(attributes)
+        source_rows = level(hub)
+        one = source_rows.select(natural, *columns).distinct() if history else _one_per_key(source_rows, [natural], columns)
+        keyed = one.select(uuid5(natural).alias(f"{hub}_pk"), *[F.col(c).alias(n) for c, n in attributes.items()])
+        rows = keyed.select(uuid5(f"{hub}_pk").alias(TABLES[satellite]), "*")
+        result[satellite] = fresh(satellite, rows, rows.columns if history else [TABLES[satellite]])
     return result
 
 
 def compact_messages(messages: DataFrame) -> DataFrame:
     """Outgoing message per order: id, user key and the keyed product list."""
+    digests = F.transform("payload.products", lambda p: F.struct(
+        uuid5_digest(p["id"]).alias("id"), p["name"].alias("name"),
+        uuid5_digest(p["category"]).alias("kind"), p["category"].alias("category"),
+    ))
     return messages.select(
         F.col("object_id").alias("id"), uuid5("payload.user.id").alias("user"),
-        F.transform("payload.products", lambda p: F.struct(
-            uuid5(p["id"]).alias("product_uuid"), p["name"].alias("product_name"),
-            uuid5(p["category"]).alias("category_uuid"), p["category"].alias("category_name"),
+        F.transform(digests, lambda d: F.struct(
+            uuid5_of_digest(d["id"]).alias("product_uuid"), d["name"].alias("product_name"),
+            uuid5_of_digest(d["kind"]).alias("category_uuid"), d["category"].alias("category_name"),
         )).alias("products"),
     )
