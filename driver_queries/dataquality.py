@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.common import Tables, day, dec, query
+from driver_queries.common import Tables, day, query
 from martworks.operators import quality
 from martworks.operators.groups import most_frequent
 from martworks.session import scratch

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driver_queries.common import Tables, day, day_sql, dec, query, stored, ts_sql
-from martworks.functions import nested, times
+from martworks.functions import nested
 from martworks.functions.keys import text_key
 from martworks.operators import load
 from martworks.operators.groups import collect_parts
@@ -296,6 +296,17 @@ WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate < DATE '1
 GROUP BY ALL"""
 
 
+def insert_ignore(t: Tables):
+    """Users with a type of theirs, once per user; users seen before 2 January are loaded already."""
+    rows = t.events.select("user_id", "event_type", "ts")
+    known = rows.where(F.col("ts") < day("2024-01-02")).select("user_id")
+    return load.insert_ignore(known, rows.drop("ts"), "user_id")
+
+
+INSERT_IGNORE_SQL = """
+SELECT user_id, min(event_type) AS event_type FROM events GROUP BY 1 HAVING min(ts) >= TIMESTAMP '2024-01-02'"""
+
+
 def _order_state(t: Tables):
     return t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", dec("o_totalprice").alias("total"), "o_orderdate")
 
@@ -784,6 +795,7 @@ QUERIES = {
     "shipping_split": (shipping_split, SHIPPING_SPLIT_SQL),
     "shipping_mart": (shipping_mart, SHIPPING_MART_SQL),
     "dim_insert_new": (dim_insert_new, DIM_INSERT_SQL),
+    "insert_ignore": (insert_ignore, INSERT_IGNORE_SQL),
     "upsert_orders": (upsert_orders, UPSERT_SQL),
     "upsert_columns": (upsert_columns, UPSERT_COLUMNS_SQL),
     "update_matched": (update_matched, UPDATE_MATCHED_SQL),

@@ -33,10 +33,17 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
                   delay: str = "1 hour", how: str = "inner") -> DataFrame:
     """Left rows with the right rows of the same key in the following ``within``, on two streams.
 
-    Besides the key the rows meet on a time slot of that length (each left row visits its own slot and the
-    next), so a busy key is spread over its slots, in state and in tasks. Watermarks on both sides and the
-    time condition let Spark drop state that can match no more.
+    Watermarks on both sides and the time condition let Spark drop state that can match no more. In an
+    inner join the rows meet, besides the key, on a time slot of that length (each left row visits its own
+    slot and the next), so a busy key is spread over its slots, in state and in tasks. Outer and semi joins
+    need every row once and meet on the key alone.
     """
+    if how != "inner":
+        plain_left, plain_right = left.withWatermark(left_ts, delay), right.withWatermark(right_ts, delay)
+        other = plain_right.withColumnRenamed(key, "_rkey")
+        within_time = (F.col(right_ts) >= F.col(left_ts)) & (
+            F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {within}"))
+        return plain_left.join(other, (F.col(key) == F.col("_rkey")) & within_time, how).drop("_rkey")
     slot = F.window(F.col(right_ts), within).getField("start")
     near = left.withWatermark(left_ts, delay).withColumn("_slot", F.explode(F.array(
         F.window(F.col(left_ts), within).getField("start"),

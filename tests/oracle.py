@@ -30,7 +30,7 @@ def connect(folder: str):
 
 def _cell(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9) + 0.0)
+        return "nan" if math.isnan(v) else repr(v + 0.0)
     return str(v) if not isinstance(v, (int, type(None))) or isinstance(v, bool) else v
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martworks.plans import counters, vault
 from martworks.session import scratch
+from martworks.sources import files
 from martworks.streaming import core, ingest, orders, promo, windows
 
 
@@ -126,6 +127,26 @@ def test_interval_join_on_slot_borders(spark, rows):
     assert rows(windows.interval_join(left, right, "k", "lt", "rt", "1 hour"), "l", "r") == [("a", "in")]
 
 
+def test_interval_join_keeps_unmatched_rows(spark, rows):
+    left = spark.createDataFrame([(1, "2024-01-01 00:00:00", "a"), (2, "2024-01-01 00:00:00", "b")], "k int, t string, l string").withColumn(
+        "lt", F.to_timestamp("t")).drop("t")
+    right = spark.createDataFrame([(1, "2024-01-01 00:30:00", "x")], "k int, t string, r string").withColumn("rt", F.to_timestamp("t")).drop("t")
+    got = windows.interval_join(left, right, "k", "lt", "rt", "1 hour", how="left_outer")
+    assert rows(got, "l", "r") == [("a", "x"), ("b", None)]
+
+
+def test_text_stream_words(spark, rows):
+    """Text files one per batch, counted in complete mode; the run is bounded and reports its progress."""
+    path, out = scratch(spark, "text"), scratch(spark, "counts")
+    for line in ("one two", "two three"):
+        spark.createDataFrame([(line,)], "text string").coalesce(1).write.mode("append").text(path)
+    stream = files.stream_files(spark, path, "text string", "text", max_files=1)
+    progress = core.run_for(core.start(windows.word_counts(stream, "text"), core.snapshot(out), f"{out}_cp", "complete"), 120)
+    assert rows(spark.read.parquet(out)) == [("one", 1), ("three", 1), ("two", 2)]
+    assert sum(p["numInputRows"] for p in progress) == 2
+    core.run_for(core.start_console(stream, f"{out}_console"))
+
+
 def test_progress_and_trigger():
     assert core.trigger_options("15 seconds") == {"processingTime": "15 seconds"}
     assert core.trigger_options() == {"availableNow": True}
