@@ -56,7 +56,7 @@ def shop_lookup(t: Tables):
         "shop", F.col("l_partkey").alias("p_partkey")).distinct().join(t.part, "p_partkey")
     item = F.struct(F.col("p_partkey").cast("string").alias("_id"), F.col("p_name").alias("name"),
                     F.col("p_type").alias("category"))
-    menus = collect_parts(sold, ["shop"], item, "menu", "p_partkey").where("part = 0")
+    menus = collect_parts(sold, ["shop"], item, "menu", "p_partkey")
     return menus.join(t.supplier, F.col("shop") == F.col("s_suppkey")).select(
         F.col("shop").cast("string").alias("id"), F.col("s_name").alias("name"), "menu")
 

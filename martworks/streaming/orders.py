@@ -33,8 +33,8 @@ def raw_events(topic: DataFrame) -> DataFrame:
 def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Order messages completed with user and restaurant names and menu data.
 
-    ``users``: id, name, login; ``restaurants``: id, name, menu. Orders of unknown users or restaurants
-    keep null names.
+    ``users``: id, name, login; ``restaurants``: id, name, menu, a long menu possibly in several rows.
+    Orders of unknown users or restaurants keep null names.
     """
     flat = orders.select("object_id", "payload.*").drop("update_ts", "statuses")
     entries = [f.name for f in flat.schema["order_items"].dataType.elementType.fields]
@@ -46,7 +46,7 @@ def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> Dat
         looked.withColumns({"_uid": F.col("user.id"), "_rid": F.col("restaurant.id")})
         .join(users.select(F.col("id").alias("_uid"), F.col("name").alias("_uname"), F.col("login").alias("_login")),
               "_uid", "left")
-        .join(restaurants.select(F.col("id").alias("_rid"), F.col("name").alias("_rname")), "_rid", "left")
+        .join(restaurants.select(F.col("id").alias("_rid"), F.col("name").alias("_rname")).distinct(), "_rid", "left")
     )
     return named.select("object_id", F.lit("order").alias("object_type"), F.struct(
         F.col("object_id").alias("id"), "date",
