@@ -297,14 +297,14 @@ GROUP BY ALL"""
 
 
 def insert_ignore(t: Tables):
-    """Users with a type of theirs, once per user; users seen before 2 January are loaded already."""
-    rows = t.events.select("user_id", "event_type", "ts")
-    known = rows.where(F.col("ts") < day("2024-01-02")).select("user_id")
-    return load.insert_ignore(known, rows.drop("ts"), "user_id")
+    """Property values with a type of theirs, once per value; those seen before 2 January are loaded already."""
+    rows = t.events.select("props", "event_type", "ts")
+    known = rows.where(F.col("ts") < day("2024-01-02")).select("props")
+    return load.insert_ignore(known, rows.drop("ts"), "props")
 
 
 INSERT_IGNORE_SQL = """
-SELECT user_id, min(event_type) AS event_type FROM events GROUP BY 1 HAVING min(ts) >= TIMESTAMP '2024-01-02'"""
+SELECT props, min(event_type) AS event_type FROM events GROUP BY 1 HAVING min(ts) >= TIMESTAMP '2024-01-02'"""
 
 
 def _order_state(t: Tables):
