@@ -297,14 +297,16 @@ GROUP BY ALL"""
 
 
 def insert_ignore(t: Tables):
-    """Property values with a type of theirs, once per value; those seen before 2 January are loaded already."""
-    rows = t.events.select("props", "event_type", "ts")
-    known = rows.where(F.col("ts") < day("2024-01-02")).select("props")
-    return load.insert_ignore(known, rows.drop("ts"), "props")
+    """Pairs of user and property with a type of theirs, once per pair; those of 1 January are loaded already."""
+    pair = F.concat_ws("/", F.col("user_id").cast("string"), "props").alias("pair")
+    rows = t.events.select(pair, "event_type", "ts")
+    known = rows.where(F.col("ts") < day("2024-01-02")).select("pair")
+    return load.insert_ignore(known, rows.drop("ts"), "pair")
 
 
 INSERT_IGNORE_SQL = """
-SELECT props, min(event_type) AS event_type FROM events GROUP BY 1 HAVING min(ts) >= TIMESTAMP '2024-01-02'"""
+SELECT user_id || '/' || props AS pair, min(event_type) AS event_type FROM events
+GROUP BY 1 HAVING min(ts) >= TIMESTAMP '2024-01-02'"""
 
 
 def _order_state(t: Tables):
