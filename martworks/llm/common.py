@@ -21,6 +21,12 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANK), "")
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row. A plain projection may be merged into the filters and lambdas that
+    use it, which would then split a text again for every window; a generator of one row is not."""
+    return df.select("*", F.inline(F.array(F.struct(*[made.alias(name) for name, made in columns.items()]))))
+
+
 def shingle_hashes(words: Column, size: int = SHINGLE) -> Column:
     """One hash per window of ``size`` words, in order; a shorter text has one, of all its words, or none.
 
@@ -59,6 +65,17 @@ def prefix_sums(parts: DataFrame, keys: list[str], order: str, **sums: str) -> D
 def bounded(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
     """Hint a broadcast of a stored frame if its values together are measured to stay below ``max_bytes``; above,
     the join is left to the planner."""
-    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() == "string"]
-    width = sum(texts, F.lit(16 * len(df.columns))).cast("long")
-    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes else df
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """About the bytes of all values of a stored frame (strings and arrays of longs by their lengths)."""
+    sizes = {"string": lambda c: F.octet_length(c), "array": lambda c: F.size(c) * 8}
+    parts = [F.coalesce(sizes[f.dataType.typeName()](f.name), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() in sizes]
+    return df.agg(F.sum(sum(parts, F.lit(16 * len(df.columns))).cast("long"))).first()[0] or 0
+
+
+def text_key(text: Column) -> Column:
+    """Sixty bits of the text's digest: equal texts have equal keys. Among 10^10 different texts some tens of pairs
+    are expected to share one."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")

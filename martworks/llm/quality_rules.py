@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import BLANK, BLANKS, SHINGLE, shingle_hashes, stored, text_of, words_of
+from .common import BLANK, BLANKS, SHINGLE, computed, shingle_hashes, stored, text_of, words_of
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
@@ -43,24 +43,24 @@ def with_statistics(docs: DataFrame, text: str = "text", prefix: str = "") -> Da
     """
     t, w, lines, hashes, ordered = (f"_q_{n}" for n in ("text", "words", "lines", "hashes", "ordered"))
     col, repeated, places = F.col, "_q_repeated", "_q_places"
-    out = docs.withColumn(t, text_of(text))
-    out = out.withColumns({
+    out = computed(docs.withColumn(t, text_of(text)), **{
         w: words_of(col(t)),
         lines: F.filter(F.split(col(t), "\n"), lambda x: x.rlike(f"[^{BLANK[1:-2]}]")),
     })
-    out = out.withColumn(hashes, F.when(F.size(w) >= SHINGLE, shingle_hashes(col(w))).otherwise(F.array().cast("array<bigint>")))
-    out = out.withColumn(ordered, F.sort_array(hashes))
+    windows = F.when(F.size(w) >= SHINGLE, shingle_hashes(col(w))).otherwise(F.array().cast("array<bigint>"))
+    out = computed(out, **{hashes: windows})
+    out = computed(out, **{ordered: F.sort_array(hashes)})
     n = F.size(ordered)
     equal = F.zip_with(F.slice(ordered, 2, n), F.slice(ordered, 1, n - 1), lambda a, b: (a == b) & a.isNotNull())
     out = out.withColumn(repeated, (n > 1) & F.exists(equal, lambda x: x))
     # Only texts with a repeated window pay for the sort with places.
     placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    out = out.withColumn("_q_placed", F.when(col(repeated), placed))
+    out = computed(out, _q_placed=F.when(col(repeated), placed))
     m = F.size("_q_placed")
     twins = F.flatten(F.zip_with(
         F.slice("_q_placed", 2, m), F.slice("_q_placed", 1, m - 1),
         lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>"))))
-    out = out.withColumn(places, F.when(col(repeated), F.sort_array(F.array_distinct(twins))))
+    out = computed(out, **{places: F.when(col(repeated), F.sort_array(F.array_distinct(twins)))})
     k = F.size(places)
     steps = F.zip_with(F.slice(places, 2, k), F.slice(places, 1, k - 1), lambda a, b: F.least(a - b, F.lit(SHINGLE)))
     covered = F.aggregate(steps, F.lit(SHINGLE), lambda total, x: total + F.coalesce(x, F.lit(0)))
@@ -77,7 +77,7 @@ def with_statistics(docs: DataFrame, text: str = "text", prefix: str = "") -> Da
         "n_digits": count_of("0123456789"),
         "n_bangs": count_of("!?"),
     }
-    out = out.withColumns({prefix + name: made for name, made in counts.items()})
+    out = computed(out, **{prefix + name: made for name, made in counts.items()})
     return out.drop(t, w, lines, hashes, ordered, repeated, "_q_placed", places)
 
 

@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, quality_rules
+from . import dart_minhash, decontaminate, mixing, packing, quality_rules
 from .common import table
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the share of it they hold."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the least id of its class of near copies."""
+    found = dart_minhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size")
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the targets of their sources."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -28,7 +39,26 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _shingles_sql(table_name: str, key: str) -> str:
+    """Different five-word windows of each text of a table, lower case."""
+    words = f"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+    return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5
+        THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+      FROM (SELECT {key}, {words} AS w FROM {table_name})"""
+
+
+OP2_SQL = f"""
+WITH d AS ({_shingles_sql("documents", "doc_id")}), i AS ({_shingles_sql("benchmark", "item_id")}),
+  n AS (SELECT item_id, count(*) AS total FROM i GROUP BY item_id)
+SELECT doc_id, item_id, count(*) / any_value(total)::DOUBLE AS containment
+FROM i JOIN d USING (shingle) JOIN n USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(total)
+"""
+
 QUERIES = {
+    "op2_decontamination": (op2_decontamination, OP2_SQL),
+    "op5_near_duplicates": (op5_near_duplicates, None),
     "op6_mix": (op6_mix, None),
     "op7_quality_rules": (op7_quality_rules, None),
     "op10_shards": (op10_shards, None),
