@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import dart_minhash, decontaminate, mixing, packing, quality_rules
+from . import dart_minhash, decontaminate, html_density, mixing, packing, quality_rules, zip_warc
 from .common import table
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article text of every page."""
+    return html_density.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives and read back by range."""
+    return zip_warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and the share of it they hold."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -58,6 +68,8 @@ GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(total)
 
 QUERIES = {
     "op2_decontamination": (op2_decontamination, OP2_SQL),
+    "op1_main_text": (op1_main_text, None),
+    "op3_zip_warc": (op3_zip_warc, None),
     "op5_near_duplicates": (op5_near_duplicates, None),
     "op6_mix": (op6_mix, None),
     "op7_quality_rules": (op7_quality_rules, None),
