@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import dart_minhash, decontaminate, html_density, mixing, packing, quality_rules, zip_warc
+from . import dart_minhash, decontaminate, html_density, language_id, licences, mixing, packing, quality_rules, zip_warc
 from .common import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +25,18 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences that every document names."""
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentences", ",").alias("sentences"),
+                        F.array_join("licences", ",").alias("licences"), F.col("unmatched").cast("long").alias("unmatched"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page."""
+    return language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the least id of its class of near copies."""
     found = dart_minhash.classes(table(spark, sf_dir, "documents"))
@@ -70,6 +82,8 @@ QUERIES = {
     "op2_decontamination": (op2_decontamination, OP2_SQL),
     "op1_main_text": (op1_main_text, None),
     "op3_zip_warc": (op3_zip_warc, None),
+    "op4_licences": (op4_licences, licences.scan_sql()),
+    "op8_language": (op8_language, None),
     "op5_near_duplicates": (op5_near_duplicates, None),
     "op6_mix": (op6_mix, None),
     "op7_quality_rules": (op7_quality_rules, None),
