@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import dart_minhash, decontaminate, html_density, language_id, licences, mixing, packing, quality_rules, zip_warc
+from . import dart_minhash, decontaminate, html_density, language_id, licences, mixing, packing, quality_rules, token_coder, zip_warc
 from .common import table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,6 +54,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids, written to compressed files and read back."""
+    return token_coder.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of nearly equal bytes, equal texts together."""
     rows = packing.slots(table(spark, sf_dir, "documents"))
@@ -87,5 +92,6 @@ QUERIES = {
     "op5_near_duplicates": (op5_near_duplicates, None),
     "op6_mix": (op6_mix, None),
     "op7_quality_rules": (op7_quality_rules, None),
+    "op9_token_files": (op9_token_files, None),
     "op10_shards": (op10_shards, None),
 }

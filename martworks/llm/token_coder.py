@@ -48,50 +48,47 @@ class _Model:
 
     def __init__(self, lanes: int):
         self.lanes = lanes
-        self.base = np.arange(lanes, dtype=np.int64) * CELLS
-        self.level = np.arange(lanes, dtype=np.int64) * 16
-        self.byte = np.arange(lanes, dtype=np.int64) * 256
+        lane = np.arange(lanes, dtype=np.int32)
+        self.base, self.level, self.byte = lane * CELLS, lane * 16, lane * 256
         # Per context the id that followed and, in the lowest four bits, how well it is known.
-        self.memory = [np.zeros(lanes * CELLS, np.uint32) for _ in range(2)]
+        self.memory = [np.zeros(lanes * CELLS, np.int32) for _ in range(2)]
         # How often a prediction known so well was right, of 2^16.
-        self.trust = [np.tile((np.arange(16) * 2600 + 8000).astype(np.int64), lanes) for _ in range(2)]
-        self.counts = np.zeros(lanes * 256, np.int64)
-        self.last = [np.zeros(lanes, np.int64) for _ in range(2)]
+        self.trust = [np.tile((np.arange(16) * 2600 + 8000).astype(np.int32), lanes) for _ in range(2)]
+        self.counts = np.zeros(lanes * 256, np.int32)
+        self.last = [np.zeros(lanes, np.int32) for _ in range(2)]
         self.step = 0
         self._renew()
 
     def _renew(self) -> None:
         counts = self.counts.reshape(self.lanes, 256)
-        total = counts.sum(axis=1, keepdims=True)
         free = (1 << SHARES) - 256
-        parts = np.where(total > 0, counts * free // np.maximum(total, 1), free // 256) + 1
-        parts[:, 255] += (1 << SHARES) - parts.sum(axis=1)
-        self.ends = np.cumsum(parts, axis=1).ravel()
-        self.starts = self.ends - parts.ravel()
+        parts = counts * free // max(1, self.step) + (1 if self.step else 1 + free // 256)
+        parts[:, 255] += (1 << SHARES) - parts.sum(axis=1, dtype=np.int32)
+        ends = np.cumsum(parts, axis=1, dtype=np.int32)
+        self.ends, self.starts, self.parts = ends.ravel(), (ends - parts).ravel(), parts.ravel()
 
     def symbols(self) -> np.ndarray:
         """For each of the shares, lane by lane, the high byte that owns it."""
-        return np.repeat(np.tile(np.arange(256, dtype=np.uint8), self.lanes), self.ends - self.starts)
+        return np.repeat(np.tile(np.arange(256, dtype=np.uint8), self.lanes), self.parts)
 
-    def predict(self):
+    def predict(self) -> None:
         one, two = self.last
         self.at = [self.base + (((one * 40503 + 977) >> 5) & (CELLS - 1)),
-                   self.base + (((one * 2654435761 + two * 40503 + 131) >> 13) & (CELLS - 1))]
-        entries = [m[a].astype(np.int64) for m, a in zip(self.memory, self.at)]
-        (self.p1, self.n1), (self.p2, self.n2) = ((e >> 4, e & 15) for e in entries)
+                   self.base + (((one * 25173 + two * 13849 + 131) >> 7) & (CELLS - 1))]
+        (self.p1, self.n1), (self.p2, self.n2) = ((e >> 4, e & 15) for e in map(np.take, self.memory, self.at))
         self.a1, self.a2 = self.level + self.n1, self.level + self.n2
-        self.m2 = np.where(self.n2 > 0, self.trust[1][self.a2], 0)
-        m1 = ((65536 - self.m2) * self.trust[0][self.a1]) >> 16
-        self.m1 = np.where((self.n1 > 0) & ((self.p1 != self.p2) | (self.n2 == 0)), np.minimum(m1, 61440 - self.m2), 0)
+        self.t1, self.t2 = self.trust[0].take(self.a1), self.trust[1].take(self.a2)
+        self.m2 = np.minimum(self.t2, 53248) * (self.n2 > 0)
+        some = (self.n1 > 0) & ((self.p1 != self.p2) | (self.n2 == 0))
+        left = 61440 - self.m2
+        self.m1 = (left >> 4) * (self.t1 >> 4) // 4096 * 16 * some
         self.known = self.m2 + self.m1
         self.rest = 65536 - self.known
 
     def update(self, ids: np.ndarray) -> None:
-        for k, (p, n, a) in enumerate(((self.p1, self.n1, self.a1), (self.p2, self.n2, self.a2))):
+        for k, (p, n, a, t) in enumerate(((self.p1, self.n1, self.a1, self.t1), (self.p2, self.n2, self.a2, self.t2))):
             hit = (p == ids) & (n > 0)
-            trust = self.trust[k]
-            t = trust[a]
-            trust[a] = np.clip(t + ((hit * 65535 - t) >> 5), 64, 57344)
+            self.trust[k][a] = t + ((hit * np.int32(65535) - t) >> 5)
             n = np.where(hit, np.minimum(n + 1, 15), n >> 1)
             self.memory[k][self.at[k]] = np.where(n == 0, ids << 4 | 1, p << 4 | n)
         self.counts[self.byte + (ids >> 8)] += 1
@@ -127,19 +124,19 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
             low[here], span[here] = l, s
 
     every = slice(None)
-    for column in ids.T.astype(np.int64):
+    for column in np.ascontiguousarray(ids.T.astype(np.int32)):
         model.predict()
         second = (column == model.p2) & (model.m2 > 0)
         first = (column == model.p1) & (model.m1 > 0) & ~second
         high = model.byte + (column >> 8)
-        left = (model.rest * model.starts[high]) >> SHARES
-        right = (model.rest * model.ends[high]) >> SHARES
+        left = (model.rest * model.starts.take(high)) >> SHARES
+        right = (model.rest * model.ends.take(high)) >> SHARES
         start = np.where(second, 0, np.where(first, model.m2, model.known + left))
         size = np.where(second, model.m2, np.where(first, model.m1, right - left))
         put(every, start, size, 16)
         new = np.flatnonzero(~(second | first))
         if len(new):
-            put(new, column[new] & 255, np.ones(len(new), np.int64), 8)
+            put(new, column[new] & 255, np.ones(len(new), np.int32), 8)
         model.update(column)
     for _ in range(4):
         words[np.arange(lanes), at] = (low >> _U48).astype(np.uint16)
@@ -160,7 +157,7 @@ def decode_blocks(blocks: list[bytes]) -> np.ndarray:
     code, at = np.zeros(lanes, np.uint64), np.full(lanes, 4, np.int64)
     for k in range(4):
         code = code << _U16 | words[:, k]
-    out = np.zeros((BLOCK, lanes), np.int64)
+    out = np.zeros((BLOCK, lanes), np.int32)
 
     def take(which, start, size, r):
         l, s = low[which] + start.astype(np.uint64) * r, size.astype(np.uint64) * r
@@ -180,20 +177,20 @@ def decode_blocks(blocks: list[bytes]) -> np.ndarray:
             l, s = l << _U16, s << _U16
             low[here], span[here] = l, s
 
-    every, owner = slice(None), np.arange(lanes, dtype=np.int64) << SHARES
+    every, owner = slice(None), np.arange(lanes, dtype=np.int32) << SHARES
     symbols = model.symbols()
     for step in range(BLOCK):
         model.predict()
         r = np.maximum(span >> _U16, np.uint64(1))
-        value = np.minimum((code - low) // r, np.uint64(65535)).astype(np.int64)
+        value = np.minimum((code - low) // r, np.uint64(65535)).astype(np.int32)
         second = value < model.m2
         first = ~second & (value < model.known)
         over = np.maximum(value - model.known, 0)
         share = np.minimum(((over + 1 << SHARES) - 1) // model.rest, (1 << SHARES) - 1)
-        byte = symbols[owner + share].astype(np.int64)
+        byte = symbols.take(owner + share).astype(np.int32)
         high = model.byte + byte
-        left = (model.rest * model.starts[high]) >> SHARES
-        right = (model.rest * model.ends[high]) >> SHARES
+        left = (model.rest * model.starts.take(high)) >> SHARES
+        right = (model.rest * model.ends.take(high)) >> SHARES
         start = np.where(second, 0, np.where(first, model.m2, model.known + left))
         size = np.where(second, model.m2, np.where(first, model.m1, right - left))
         take(every, start, size, r)
@@ -201,8 +198,8 @@ def decode_blocks(blocks: list[bytes]) -> np.ndarray:
         new = np.flatnonzero(~(second | first))
         if len(new):
             r = np.maximum(span[new] >> np.uint64(8), np.uint64(1))
-            value = np.minimum((code[new] - low[new]) // r, np.uint64(255)).astype(np.int64)
-            take(new, value, np.ones(len(new), np.int64), r)
+            value = np.minimum((code[new] - low[new]) // r, np.uint64(255)).astype(np.int32)
+            take(new, value, np.ones(len(new), np.int32), r)
             ids[new] |= value
         out[step] = ids
         model.update(ids)
@@ -301,8 +298,8 @@ def read_documents(file, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, li
         held = np.concatenate([held, read_ids(file, blocks[k:k + LANES])])
         upto = int(np.searchsorted(ends, at + len(held), side="right"))
         cuts = ends[done:upto] - at
-        yield docs[0, done:upto], docs[1, done:upto], np.split(held[:cuts[-1]], cuts[:-1]) if upto > done else []
         if upto > done:
+            yield docs[0, done:upto], docs[1, done:upto], np.split(held[:cuts[-1]], cuts[:-1])
             held, at, done = held[cuts[-1]:], int(ends[upto - 1]), upto
 
 
