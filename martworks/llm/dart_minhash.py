@@ -8,9 +8,9 @@ two texts with their similarity as the chance. The plane is cut into cells of ar
 of darts drawn from a hash of element and cell, so only cells near rank zero are ever looked at.
 
 Signatures are cut into bands. Texts that share a band are candidates, and are compared by their exact shingles:
-first each text with the smallest of its band, then, where a band still holds texts of several components, every
-pair of different components. So no link that the bands show is lost, and a group of copies costs as many
-comparisons as it has members.
+first each text with the most central one it shares a band with, then, where a band still holds texts of several
+components, with the leader of the band, and at last every pair of different components that a band still holds. So
+no link that the bands show is lost, and a group of copies costs about as many comparisons as it has members.
 """
 
 from __future__ import annotations
@@ -137,6 +137,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: fl
                   .select("a", "b"), "near-edges")
 
 
+def _with_leaders(members: DataFrame) -> DataFrame:
+    """Add each band's leader, the member that shares the most bands with the most texts, and that weight: the text
+    that near copies were made from is nearer to each of them than they are to each other."""
+    members = stored(members, "near-banded")
+    sizes = members.groupBy("band").agg(F.count("*").alias("_size"))
+    weights = members.join(sizes, "band").groupBy("node").agg(F.sum("_size").alias("weight"))
+    leaders = members.join(weights, "node").groupBy("band").agg(F.max(F.struct("weight", "node")).alias("_top"))
+    return members.join(leaders, "band").select("band", "node", F.col("_top.node").alias("leader"), F.col("_top.weight").alias("weight"))
+
+
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of bands that hold texts of several components, with their component's root."""
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    bands = placed.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo < _hi").select("band")
+    return stored(placed.join(bands, "band"), "near-mixed")
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row ``doc_id``, ``node``, ``class_id`` (the least id of its class), ``class_node`` (the text that stands for
     the class, one that has this id) and ``class_size`` (rows).
@@ -150,21 +171,24 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS
                                            F.count("*").alias("_copies")), "near-nodes")
     long = sig.select("node", F.explode("bands").alias("band"))
     # Most bands belong to one text; the others are few.
-    shared = stored(long.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("_most"))
-                    .filter("least < _most").drop("_most"), "near-shared")
-    members = stored(long.join(shared, "band").groupBy("band", "least", "node").agg(F.lit(1).alias("_")).drop("_"), "near-members")
-    stars = members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    edges = _verified(stars, docs, nodes, threshold)
+    shared = stored(long.groupBy("band").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi"))
+                    .filter("_lo < _hi").select("band"), "near-shared")
+    members = stored(_with_leaders(long.join(shared, "band").distinct()), "near-members")
+    # Each text against the most central leader of its bands.
+    first = members.filter("node <> leader").groupBy("node").agg(F.max(F.struct("weight", "leader")).alias("_best"))
+    edges = _verified(_pairs(first.select("node", F.col("_best.leader").alias("other"))), docs, nodes, threshold)
+    # Then, where a band holds several components, against its leader, and at last every pair of components.
+    for round_ in ("leaders", "all"):
+        roots = connected(edges)
+        mixed = _mixed(members, roots)
+        if round_ == "leaders":
+            lead = mixed.filter("node = leader").select("band", F.col("node").alias("other"), F.col("root").alias("_root"))
+            pairs = mixed.join(lead, "band").filter("root <> _root")
+        else:
+            other = mixed.select("band", F.col("node").alias("other"), F.col("root").alias("_root"))
+            pairs = mixed.join(other, (mixed["band"] == other["band"]) & (mixed["root"] < other["_root"]))
+        edges = edges.unionByName(_verified(_pairs(pairs), docs, nodes, threshold))
     roots = connected(edges)
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = (placed.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo < _hi").select("band"))
-    placed = stored(placed.join(mixed, "band").select("band", "node", "root", "least"), "near-mixed")
-    one, other = (placed.select("band", F.col("node").alias(n), F.col("root").alias(f"_{n}"), "least") for n in "ab")
-    rest = (one.join(other.drop("least"), "band").filter((F.col("a") < F.col("b")) & (F.col("_a") != F.col("_b")) & (F.col("a") != F.col("least")))
-            .select("a", "b").distinct())
-    more = _verified(rest, docs, nodes, threshold)
-    if not more.isEmpty():
-        roots = connected(edges.unionByName(more))
     known = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     by_root = known.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("_copies").alias("class_size"))
     known = stored(known.join(by_root, "root"), "near-classes")
