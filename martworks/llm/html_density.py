@@ -138,20 +138,23 @@ def _role(token: str) -> str:
     return "doubtful" if NO_TEXT_NAMES.intersection(names) else ""
 
 
-def _prune(node: Node, whole: int, inside_main: bool) -> None:
+def _prune(root: Node, whole: int) -> None:
     """Take out what holds no article text. A doubtful name does not count on an element with over half of the text."""
-    keep = []
-    for part in node.parts:
-        if isinstance(part, Node):
-            main = inside_main or part.tag in MAIN
-            if part.tag in NO_TEXT or part.role == "never" or part.tag == "header" and not main:
-                continue
-            if part.role == "doubtful" and 2 * part.chars <= whole and part.tag not in ("body", "main"):
-                continue
-            _prune(part, whole, main)
-        keep.append(part)
-    node.parts = keep
-    node.children = [p for p in keep if isinstance(p, Node)]
+    todo = [(root, False)]
+    while todo:
+        node, inside_main = todo.pop()
+        keep = []
+        for part in node.parts:
+            if isinstance(part, Node):
+                main = inside_main or part.tag in MAIN
+                if part.tag in NO_TEXT or part.role == "never" or part.tag == "header" and not main:
+                    continue
+                if part.role == "doubtful" and 2 * part.chars <= whole and part.tag not in ("body", "main"):
+                    continue
+                todo.append((part, main))
+            keep.append(part)
+        node.parts = keep
+        node.children = [p for p in keep if isinstance(p, Node)]
 
 
 def _walk(root: Node) -> list[Node]:
@@ -214,6 +217,16 @@ def _end(out: list[str], line: list[str]) -> None:
         out.append(text)
 
 
+def _marked(best: Node, body: Node) -> Node | None:
+    """The article or main element around the best one, or else the outermost inside it that has most of its text."""
+    node = best
+    while node is not body and node.tag not in MAIN:
+        node = node.parent
+    if node.tag in MAIN:
+        return node
+    return next((n for n in _walk(best) if n.tag in MAIN and 2 * n.chars > best.chars), None)
+
+
 def main_text(source: str | None) -> str:
     """The article of a page: blocks in page order, one a line; empty if there is none.
 
@@ -227,7 +240,7 @@ def main_text(source: str | None) -> str:
     bodies = [n for n in _walk(root) if n.tag == "body"]
     body = bodies[0] if bodies else root
     _measure(_walk(body))
-    _prune(body, body.chars, False)
+    _prune(body, body.chars)
     nodes = _walk(body)
     _measure(nodes)
     if not body.chars:
@@ -235,20 +248,15 @@ def main_text(source: str | None) -> str:
     for node in reversed(nodes):
         node.density = _density(node, body)
         node.total = sum(child.density for child in node.children)
-    if body.chars and not any(n.children for n in nodes):
-        best = body
-    else:
-        best = max(nodes, key=lambda n: n.total)
+    best = max(nodes, key=lambda n: n.total)
     path, node = [best.density], best
     while node is not body:
         node = node.parent
         path.append(node.density)
     threshold = min(path)
-    node = best
-    while node is not body and node.tag not in MAIN:
-        node = node.parent
-    wanted = {node if node.tag in MAIN else best}
-    if node.tag not in MAIN:
+    main = _marked(best, body)
+    wanted = {main or best}
+    if main is None:
         # Without a marked article, other parts that are as dense count, too.
         top: dict[Node, Node] = {}
         for n in reversed(nodes):

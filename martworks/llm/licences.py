@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import computed, text_of
 
 #: Texts and sentences without any of these cannot hold a known sentence.
-HINT = "licen[cs]e|licensing|copyright|warrant|redistribut|permission|public domain|spdx|liab|creativecommons|all rights reserved|unlicense|any later version"
+HINT = "licen[cs]e|licensing|copyright|warrant|redistribut|permission|public domain|spdx|liab|creativecommons|all rights reserved|unlicense|any later version|endorse"
 
 # Known licence sentences, in plain form; the first pattern that fits names the sentence.
 SENTENCES: list[tuple[str, str]] = [
@@ -89,6 +89,9 @@ RULES: list[tuple[str, list[str]]] = [
     ("Apache-2.0", ["apache-2", "apache-2-compliance", "apache-2-copy", "apache-2-warranty", "apache-2-limits"]),
     ("Apache-2.0", ["apache-2", "apache-2-compliance", "apache-2-copy"]),
     ("Apache-2.0", ["apache-2", "apache-2-compliance"]),
+    ("Apache-2.0", ["apache-2-compliance", "apache-2-copy", "apache-2-warranty", "apache-2-limits"]),
+    ("Apache-2.0", ["apache-2-compliance", "apache-2-copy"]),
+    ("Apache-2.0", ["apache-2-compliance"]),
     ("GPL-3.0-or-later", ["gpl", "version-3-later"]),
     ("GPL-2.0-or-later", ["gpl", "version-2-later"]),
     ("MIT", ["spdx-mit"]), ("Apache-2.0", ["spdx-apache-2"]), ("GPL-3.0-or-later", ["spdx-gpl-3-later"]),

@@ -88,6 +88,17 @@ def least_capacity(sizes: list[int], shards: int) -> int:
     return high
 
 
+def balanced(sizes: list[int], shards: int) -> list[int]:
+    """Bins of units that come in order of decreasing size, at most ``shards``: a unit above the mean of what is left
+    has a bin alone, the others are packed at the least capacity that does."""
+    alone, left = 0, sum(sizes)
+    while alone < min(shards - 1, len(sizes)) and sizes[alone] * (shards - alone) > left:
+        left -= sizes[alone]
+        alone += 1
+    rest = sizes[alone:]
+    return [*range(alone), *(alone + b for b in best_fit(rest, least_capacity(rest, shards - alone)))]
+
+
 def _identity() -> dict:
     """Equal texts have equal digests; a null text is an empty one."""
     text = text_of()
@@ -113,7 +124,7 @@ def _with_unit(rows: DataFrame, large: DataFrame, cells: int) -> DataFrame:
 def _assign(spark: SparkSession, units: DataFrame, shards: int | None, capacity: int | None) -> DataFrame:
     found = sorted(units.collect(), key=lambda u: (-u["bytes"], u["_unit"]))  # at most twice ``cells`` rows
     sizes = [u["bytes"] for u in found]
-    bins = best_fit(sizes, capacity if capacity is not None else least_capacity(sizes, shards))
+    bins = best_fit(sizes, capacity) if capacity is not None else balanced(sizes, shards)
     pairs = [(u["_unit"], b) for u, b in zip(found, bins)]
     return F.broadcast(spark.createDataFrame(pairs, "_unit string, shard int"))
 

@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+import corpus
+from martworks.llm import language_id as N
+
+LETTERS = {"aa": "abcdefgh", "bb": "efghijkl", "cc": "mnopéüqr"}
+
+
+def world(spark):
+    rng = corpus.random.Random(8)
+    docs = [(i, corpus.sentence(rng, 60, LETTERS[x]), x, "s", 1) for i in range(300) for x in [rng.choice(list(LETTERS))]]
+    pages, truth = [], {}
+    for i in range(400):
+        x = rng.choice(list(LETTERS))
+        host = f"{x}{rng.randrange(3)}.site{x}.example.{'org' if rng.random() < 0.5 else x}"
+        text = corpus.sentence(rng, 50, LETTERS[x]) if i % 8 else ""
+        said = x if rng.random() < 0.9 else "aa"
+        pages.append((i, f"http://{host}/p{i}", f'<html lang="{said}-XX"><head><title>t</title></head><body><p>{text}</p></body></html>'))
+        truth[i] = x
+    return corpus.documents(spark, docs), pages, truth
+
+
+def test_fused_evidence_beats_text_alone(spark):
+    docs, pages, truth = world(spark)
+    got = {r.page_id: r for r in N.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()}
+    assert len(got) == 400
+    right = sum(got[i].lang == x for i, x in truth.items())
+    alone = sum(got[i].text_lang == x for i, x in truth.items())
+    assert right >= 396 and right > alone
+    assert all(0 < r.probability <= 1 for r in got.values())
+    assert got[1].declared in LETTERS
+
+
+def test_counts_cover_all_documents(spark):
+    docs = corpus.documents(spark, [(1, "abcd", "x", "s", 1), (2, "ABCD é", "x", "s", 1), (3, None, "x", "s", 1), (4, "abc", None, "s", 1), (5, "ab", "y", "s", 1)])
+    got = N.trigram_counts(docs.repartition(3)).groupBy("lang").agg(F.sum("n").alias("n")).collect()
+    assert {r.lang: r.n for r in got} == {"x": 2 + (7 - 2)}
+
+
+def test_awkward_pages(spark):
+    docs, pages, _ = world(spark)
+    odd = [(None, None, None), (1, "", ""), (2, "not an address", "<html lang=''>"), (3, "http://10.0.0.1/x", "<html lang=aa>" + corpus.sentence(corpus.random.Random(1), 30_000, LETTERS["cc"])),
+           (4, "http://h", "<p>ab"), (4, "http://h", "<p>ab")]
+    df = spark.createDataFrame(odd + pages[:50], "page_id long, url string, html string").withColumns({"lang": F.lit(1), "host": F.lit("x"), "share": F.lit(2)})
+    got = N.identify(df, docs).collect()
+    assert len(got) == 56 and all(r.lang in LETTERS for r in got)
+    assert [r.text_lang for r in got if r.page_id == 3 and r.url == "http://10.0.0.1/x"] == ["cc"]
+    assert N.identify(df.limit(0), docs).count() == 0
+    none = N.identify(df, docs.limit(0)).collect()
+    assert len(none) == 56 and {r.lang for r in none} == {None}
