@@ -7,10 +7,13 @@ below the element's weight, the one of the earliest rank per coordinate is the s
 two texts with their similarity as the chance. The plane is cut into cells of area one, which hold a Poisson number
 of darts drawn from a hash of element and cell, so only cells near rank zero are ever looked at.
 
-Signatures are cut into bands. Texts that share a band are candidates, and are compared by their exact shingles:
-first each text with the most central one it shares a band with, then, where a band still holds texts of several
-components, with the leader of the band, and at last every pair of different components that a band still holds. So
-no link that the bands show is lost, and a group of copies costs about as many comparisons as it has members.
+Signatures are cut into bands. Texts that share a band are candidates, and are compared by their exact shingles.
+Only pairs that may join two components are: first each text is held against the most central one it shares a band
+with and against the leaders of its narrow cells (several bands in common), and the components of these links are
+formed; then the pairs of different components in one cell follow, from narrow cells, whose members are most alike,
+to single bands. Of these only pairs are listed that share one of their rarest shingles, as every pair of the wanted
+similarity does. So no link between components that the bands show is lost, while in a large group of near copies few
+of the many pairs are ever listed.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored, text_key, text_of
 from .components import connected
@@ -29,6 +32,8 @@ from .shingle_arrays import mix64, occurrences, pieces, shingle_hashes, weighted
 THRESHOLD = 0.8
 #: 24 bands of 5: a pair of similarity 0.8 is missed with a chance below 1 in 10,000.
 BANDS, ROWS = 24, 5
+#: Neighbouring bands that texts have to share to be compared, from round to round; the last round takes any band.
+TOGETHER = (4, 2, 1)
 
 #: Chances that a cell of area one holds at most 0, 1, 2, ... darts, as 32-bit fractions.
 _POISSON = np.array([math.floor(sum(math.exp(-1) / math.factorial(j) for j in range(i + 1)) * (1 << 32))
@@ -120,38 +125,63 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node long, shingles array<long>")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose exact similarity reaches the threshold."""
-    pairs = stored(pairs, "near-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "first_id"), "node")
-    # One copy of each wanted text; the ids keep a text with very many copies from meeting in one task.
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Stored shingle sets of the wanted nodes (``node``, ``first_id``). One copy of each text is taken; the ids keep
+    a text with very many copies from meeting in one task."""
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("first_id"),
                         text_key(text_of()).alias("node"), text_of().alias("text"))
     texts = keyed.join(wanted, ["first_id", "node"]).groupBy("node").agg(F.first("text").alias("text"))
-    sets = stored(shingle_sets(texts), "near-shingles")
+    return stored(shingle_sets(texts), "near-shingles")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The stored pairs (a, b) of nodes whose exact similarity reaches the threshold."""
     both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a")), "a"))
     shared = F.size(F.array_intersect("_a", "_b"))
-    return stored(both.withColumn("_s", shared)
-                  .filter(F.col("_s") >= threshold * (F.size("_a") + F.size("_b") - F.col("_s")))
+    return stored(both.withColumn("_s", shared).filter(F.col("_s") >= _least_shared(F.size("_a"), F.size("_b"), threshold))
                   .select("a", "b"), "near-edges")
 
 
-def _with_leaders(members: DataFrame) -> DataFrame:
-    """Add each band's leader, the member that shares the most bands with the most texts, and that weight: the text
+def _least_shared(a: Column, b: Column, threshold: float) -> Column:
+    """Shared shingles that sets of these sizes need; a little less than exact, against rounding."""
+    return F.ceil((a + b) * (threshold / (1 + threshold)) - 1e-9)
+
+
+def _rarest(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Per node its number of shingles and the rarest of them, in one order for all: two sets that reach the threshold
+    share one of their first ``size - least shared + 1``. Frequencies are counted among these nodes."""
+    mine = sets.join(nodes, "node").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    mine = mine.join(mine.groupBy("s").agg(F.count("*").alias("_often")), "s")
+    first = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1
+    ordered = mine.groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("_often", "s"))).alias("_all"))
+    return ordered.select("node", "n", F.transform(F.slice("_all", 1, first), lambda x: x["s"]).alias("rare"))
+
+
+def _cells(signed: DataFrame, bands: int, together: int) -> DataFrame:
+    """``cell`` and ``node``: a cell for each ``together`` neighbouring bands; those of one text alone are left out."""
+    def cell(i: Column) -> Column:
+        return F.xxhash64(i, *[F.get("bands", F.pmod(i + k, F.lit(bands))) for k in range(together)])
+
+    long = signed.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), cell)).alias("cell"))
+    shared = long.groupBy("cell").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).filter("_lo < _hi").select("cell")
+    return stored(long.join(shared, "cell").distinct(), "near-cells")
+
+
+def _with_leaders(cells: DataFrame) -> DataFrame:
+    """Add each cell's leader, the member that shares the most cells with the most texts, and that weight: the text
     that near copies were made from is nearer to each of them than they are to each other."""
-    members = stored(members, "near-banded")
-    sizes = members.groupBy("band").agg(F.count("*").alias("_size"))
-    weights = members.join(sizes, "band").groupBy("node").agg(F.sum("_size").alias("weight"))
-    leaders = members.join(weights, "node").groupBy("band").agg(F.max(F.struct("weight", "node")).alias("_top"))
-    return members.join(leaders, "band").select("band", "node", F.col("_top.node").alias("leader"), F.col("_top.weight").alias("weight"))
+    sizes = cells.groupBy("cell").agg(F.count("*").alias("_size"))
+    weights = cells.join(sizes, "cell").groupBy("node").agg(F.sum("_size").alias("weight"))
+    leaders = cells.join(weights, "node").groupBy("cell").agg(F.max(F.struct("weight", "node")).alias("_top"))
+    return cells.join(leaders, "cell").select("cell", "node", F.col("_top.node").alias("leader"), F.col("_top.weight").alias("weight"))
 
 
-def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members of bands that hold texts of several components, with their component's root."""
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    bands = placed.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo < _hi").select("band")
-    return stored(placed.join(bands, "band"), "near-mixed")
+def _mixed(cells: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of cells that hold texts of several components, with their component's root."""
+    placed = cells.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = placed.groupBy("cell").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo < _hi").select("cell")
+    return stored(placed.join(several, "cell"), "near-mixed")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -169,25 +199,34 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS
     sig = stored(with_bands(docs, bands, rows), "near-bands")
     nodes = stored(sig.groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(_NO_ID))).alias("first_id"),
                                            F.count("*").alias("_copies")), "near-nodes")
-    long = sig.select("node", F.explode("bands").alias("band"))
-    # Most bands belong to one text; the others are few.
-    shared = stored(long.groupBy("band").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi"))
-                    .filter("_lo < _hi").select("band"), "near-shared")
-    members = stored(_with_leaders(long.join(shared, "band").distinct()), "near-members")
-    # Each text against the most central leader of its bands.
-    first = members.filter("node <> leader").groupBy("node").agg(F.max(F.struct("weight", "leader")).alias("_best"))
-    edges = _verified(_pairs(first.select("node", F.col("_best.leader").alias("other"))), docs, nodes, threshold)
-    # Then, where a band holds several components, against its leader, and at last every pair of components.
-    for round_ in ("leaders", "all"):
-        roots = connected(edges)
-        mixed = _mixed(members, roots)
-        if round_ == "leaders":
-            lead = mixed.filter("node = leader").select("band", F.col("node").alias("other"), F.col("root").alias("_root"))
-            pairs = mixed.join(lead, "band").filter("root <> _root")
-        else:
-            other = mixed.select("band", F.col("node").alias("other"), F.col("root").alias("_root"))
-            pairs = mixed.join(other, (mixed["band"] == other["band"]) & (mixed["root"] < other["_root"]))
-        edges = edges.unionByName(_verified(_pairs(pairs), docs, nodes, threshold))
+    long = sig.select("node", "bands", F.explode("bands").alias("band"))
+    # Most bands belong to one text; only the texts of the others go on.
+    shared = long.groupBy("band").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).filter("_lo < _hi").select("band")
+    linked = stored(long.select("node", "band").join(shared, "band").select("node").distinct(), "near-linked")
+    signed = stored(sig.join(linked, "node").groupBy("node").agg(F.first("bands").alias("bands")), "near-signed")
+    sets = _sets(docs, linked.join(nodes, "node").select("node", "first_id"))
+    cells = {m: _cells(signed, bands, m) for m in TOGETHER}
+    # Each text against the most central leader of its bands, and against the leaders of its narrow cells.
+    central = _with_leaders(cells[1]).filter("node <> leader").groupBy("node").agg(F.max(F.struct("weight", "leader")).alias("_best"))
+    pairs = _pairs(central.select("node", F.col("_best.leader").alias("other")))
+    narrow = _with_leaders(cells[TOGETHER[0]]).filter("node <> leader").select("node", F.col("leader").alias("other"))
+    tested = stored(pairs.unionByName(_pairs(narrow)).distinct(), "near-pairs")
+    edges = _verified(tested, sets, threshold)
+    # Then every pair of different components in one cell that shares a rare shingle, from narrow cells, whose texts
+    # are most alike, to bands.
+    left = _mixed(cells[1], connected(edges)).select("node").distinct()
+    rare = stored(_rarest(sets, left, threshold), "near-rarest")
+    for together in TOGETHER:
+        mixed = _mixed(cells[together], connected(edges)).join(rare, "node").select("cell", "node", "root", "n", "rare")
+        other = mixed.select(F.col("cell").alias("_cell"), F.col("node").alias("other"), F.col("root").alias("_root"),
+                             F.col("n").alias("_n"), F.col("rare").alias("_rare"))
+        need = _least_shared(F.col("n"), F.col("_n"), threshold).cast("int")
+        first = [F.slice(c, 1, F.greatest(m - need + 1, F.lit(0))) for c, m in (("rare", F.col("n")), ("_rare", F.col("_n")))]
+        pairs = mixed.join(other, (F.col("cell") == F.col("_cell")) & (F.col("root") < F.col("_root")) & F.arrays_overlap(*first))
+        pairs = stored(_pairs(pairs).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        if not pairs.isEmpty():
+            edges = edges.unionByName(_verified(pairs, sets, threshold))
+            tested = tested.unionByName(pairs)
     roots = connected(edges)
     known = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     by_root = known.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("_copies").alias("class_size"))
