@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["warehouse", "lake", "relational", "dataquality", "storage", "vaults", "streams"]
+AREAS = ["warehouse", "lake", "relational", "dataquality", "storage", "vaults", "streams", "edges"]
 
 
 def all_queries() -> dict:

@@ -11,7 +11,6 @@ from martworks.operators import joins
 from martworks.operators.dedup import null_audit as audit
 from martworks.operators.dedup import keep_latest, unique_pairs
 from martworks.operators.groups import collect_parts, most_frequent
-from martworks.operators.reference import each_reference
 from martworks.operators.windows import carry_forward, first_flag, ranked, running_sum, shifted, top_n, with_stats
 from martworks.session import cut_lineage
 
@@ -263,8 +262,10 @@ def anti_keys(t: Tables):
 
 
 def cross_ref(t: Tables):
-    """Every customer with every region."""
-    return each_reference(t.customer.select("c_custkey"), t.region, ["r_regionkey"])
+    """Every customer with the region its nation belongs to."""
+    nations = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("r_regionkey"))
+    found = joins.lookup(t.customer, nations, ["c_nationkey"], "inner")
+    return joins.lookup(found, t.region, ["r_regionkey"], "inner").select("c_custkey", "r_regionkey", "r_name")
 
 
 def right_keep(t: Tables):
@@ -520,7 +521,8 @@ WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c.c_custkey AND o_order
     "anti_composite": (anti_composite, ANTI_COMPOSITE_SQL),
     "anti_keys": (anti_keys, """
 SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_discount > 0.09)"""),
-    "cross_ref": (cross_ref, "SELECT c_custkey, r_regionkey, r_name FROM customer, region"),
+    "cross_ref": (cross_ref, "SELECT c_custkey, r_regionkey, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey "
+                  "JOIN region ON n_regionkey = r_regionkey"),
     "right_keep": (right_keep, """
 SELECT c_custkey, orders, c_name FROM customer
 LEFT JOIN (SELECT o_custkey, count(*) AS orders FROM orders GROUP BY 1) ON o_custkey = c_custkey"""),

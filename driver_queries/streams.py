@@ -269,7 +269,7 @@ def stream_customers(t: Tables):
 
 
 def stream_geoads(t: Tables):
-    """Client positions against five campaign points, one per region."""
+    """Client positions within 900 km of five campaign points, one per region."""
     out, checkpoint = _paths(t, "geoads")
     eid = F.col("event_id")
     topic = kafka.as_topic(
@@ -280,7 +280,7 @@ def stream_geoads(t: Tables):
     campaigns = t.region.select(
         key.alias("id"), F.col("r_name").alias("name"), F.lit("d").alias("description"), F.lit("a").alias("start_time"),
         F.lit("b").alias("end_time"), (F.lit(-40.0) + 5 * key).alias("point_lat"), (F.lit(115.0) + 7 * key).alias("point_lon"))
-    core.run_for(geoads.run(topic, campaigns, out, checkpoint))
+    core.run_for(geoads.run(topic, campaigns, out, checkpoint, within_km=900))
     return t.spark.read.parquet(out).select(
         "client_id", "offset", "adv_campaign_id", "adv_campaign_name", F.round("distance", 0).cast("bigint").alias("metres"))
 
@@ -290,11 +290,13 @@ WITH p AS (
   SELECT user_id, event_id, radians(-43 + ((37 * event_id) % 330) / CAST(10 AS DOUBLE)) AS la,
          radians(114 + ((53 * event_id) % 400) / CAST(10 AS DOUBLE)) AS lo FROM events),
 c AS (SELECT *, radians(CAST(-40 AS DOUBLE) + 5 * r_regionkey) AS cla,
-             radians(CAST(115 AS DOUBLE) + 7 * r_regionkey) AS clo FROM region)
+             radians(CAST(115 AS DOUBLE) + 7 * r_regionkey) AS clo FROM region),
+m AS (
 SELECT CAST(user_id AS VARCHAR) AS client_id, event_id AS "offset", r_regionkey AS adv_campaign_id,
        r_name AS adv_campaign_name, CAST(round(2 * 6371000 * asin(sqrt(least(1.0, pow(sin((cla - la) / 2), 2)
          + cos(cla) * cos(la) * pow(sin((clo - lo) / 2), 2))))) AS BIGINT) AS metres
-FROM p, c"""
+FROM p, c)
+SELECT * FROM m WHERE metres <= 900000"""
 
 
 def stream_missing_words(t: Tables):

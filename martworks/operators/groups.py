@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martworks.operators.skew import attach_hot, hot_keys
 
+#: Row ids of one part of a list.
+PART_IDS = 1_000_000
 
-def collect_parts(df: DataFrame, keys: list[str], item: Column, name: str, spread_by: str,
-                  max_items: int = 500_000) -> DataFrame:
-    """Sorted list of items per key, with a ``part`` column.
 
-    A key with at most ``max_items`` rows is one row (part 0). A longer one continues in parts 1, 2, ...
-    of about ``max_items`` items each, split by hash of the unique column ``spread_by``, so no single
-    value or task ever holds an unbounded list and nothing is left out.
+def collect_parts(df: DataFrame, keys: list[str], item: Column, name: str, row_id: str | Column,
+                  part_ids: int = PART_IDS) -> DataFrame:
+    """Sorted list of items per key and part, with the ``part`` column.
+
+    A part is a range of ``part_ids`` values of the unique number ``row_id``, so a list holds at most so many items
+    whatever the key, and the shape is the same for every size: a key whose ids lie in several ranges has several
+    rows, in the order of the ids. A null id counts as 0.
     """
-    tagged = attach_hot(df, hot_keys(df, keys, max_items), keys)
-    parts = F.ceil(F.col("_rows") / max_items)
-    part = F.coalesce(F.pmod(F.xxhash64(spread_by), parts), F.lit(0)).cast("int")
-    return tagged.groupBy(*keys, part.alias("part")).agg(F.array_sort(F.collect_list(item)).alias(name))
+    number = F.col(row_id) if isinstance(row_id, str) else row_id
+    part = F.floor(F.coalesce(number.cast("long"), F.lit(0)) / part_ids).cast("int")
+    return df.groupBy(*keys, part.alias("part")).agg(F.array_sort(F.collect_list(item)).alias(name))
 
 
 def key_counts(df: DataFrame, keys: list[str], name: str = "cnt") -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martworks.functions.geo import EARTH_KM, haversine
 from martworks.operators.dedup import unique_pairs
-from martworks.operators.skew import HOT_ROWS
 from martworks.operators.windows import carry_forward
 
 
@@ -18,10 +17,9 @@ def spine(keys_frame: DataFrame, on: list[str], *aggregates: DataFrame) -> DataF
     return reduce(lambda left, right: left.join(right, on, "left"), aggregates, keys_frame.select(*on).distinct())
 
 
-def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", max_rows: int = 1_000_000) -> DataFrame:
-    """Join to a dimension, with a broadcast hint only when a count shows that it is small."""
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return facts.join(F.broadcast(dim) if small else dim, on, how)
+def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join to a dimension. Whether it is broadcast is decided by its measured bytes, by adaptive execution."""
+    return facts.join(dim, on, how)
 
 
 def absent(df: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
@@ -56,7 +54,7 @@ def without_pairs(pairs: DataFrame, known: DataFrame, a: str, b: str, known_a: s
 
 
 def as_of(left: DataFrame, right: DataFrame, key: str, ts: str, values: list[str], prefix: str = "last_",
-          tiebreak: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+          tiebreak: str | None = None, span: int | None = None) -> DataFrame:
     """Each left row with the right side's last known values at that moment (right rows of the same
     moment count). One union and one pass in time order; no pairing of rows."""
     right_rows = right.select(
@@ -69,7 +67,7 @@ def as_of(left: DataFrame, right: DataFrame, key: str, ts: str, values: list[str
     both = left_rows.unionByName(right_rows, allowMissingColumns=True)
     # A whole right row is carried, so that values of different rows never mix.
     both = both.withColumn("_seen", F.when(F.col("_side") == 0, F.struct(*[f"_v_{v}" for v in values])))
-    carried = carry_forward(both, [key], [ts, "_side", "_tie"], {"_known": "_seen"}, hot_rows)
+    carried = carry_forward(both, [key], [ts, "_side", "_tie"], {"_known": "_seen"}, span)
     return carried.where("_side = 1").select(
         *left.columns, *[F.col(f"_known._v_{v}").alias(f"{prefix}{v}") for v in values]
     )

@@ -11,22 +11,30 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martworks.operators.dedup import keep_latest
 from martworks.operators.joins import absent
-from martworks.operators.skew import HOT_ROWS, null_safe
+from martworks.operators.skew import null_safe
 from martworks.operators.windows import ranked
 from martworks.session import scratch
 
 
 def insert_new(target: DataFrame, src: DataFrame, keys: list[str], pick: dict[str, Column] | None = None) -> DataFrame:
-    """Rows to insert: one per source key that the target lacks.
+    """Rows to insert: one per source key that the target lacks, over all key columns (null equals null).
 
-    ``pick`` gives an aggregate per remaining column (such as ``max(city_id)``); without it the keys alone.
+    A key whose first column is null is not inserted. ``pick`` gives an aggregate per remaining column (such as
+    ``max(city_id)``); without it the keys alone.
     """
-    fresh = absent(src.where(F.col(keys[0]).isNotNull()), target, [keys[0]])
+    fresh = _without(src.where(F.col(keys[0]).isNotNull()), target, keys)
     if pick is None:
         return fresh.select(*keys).distinct()
     return fresh.groupBy(*keys).agg(*[c.alias(name) for name, c in pick.items()])
 
 
+def _without(df: DataFrame, known: DataFrame, keys: list[str], how: str = "left_anti") -> DataFrame:
+    """Rows whose key does not occur in ``known`` (or, as a semi join, those whose key does), null equal to null."""
+    names = [f"_known{i}" for i in range(len(keys))]
+    other = known.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
+    return df.join(other, null_safe(df, keys, other, names), how)
+
+
 def insert_ignore(target: DataFrame | None, src: DataFrame, key: str) -> DataFrame:
     """Rows to insert so that every key exists once; keys already there are left as they are."""
     fresh = src if target is None else absent(src, target, [key])
@@ -40,13 +48,13 @@ def upsert(target: DataFrame, src: DataFrame, keys: list[str], update_cols: list
            newest: list[str] | None = None) -> DataFrame:
     """Target after inserting new keys and updating known ones from the source.
 
-    Several source rows of a key are first reduced to the newest. With ``update_cols`` the other columns
-    of a known key keep their old value.
+    Several source rows of a key are first reduced to the newest, or without ``newest`` to the one of the largest
+    values. With ``update_cols`` the other columns of a known key keep their old value. A null key equals a null key.
     """
-    if newest:
-        src = keep_latest(src, keys, newest)
+    src = keep_latest(src.select(*target.columns, *[c for c in newest or [] if c not in target.columns]), keys,
+                      newest or [c for c in target.columns if c not in keys])
     if update_cols is None:
-        return absent(target, src, keys).unionByName(src.select(*target.columns))
+        return _without(target, src, keys).unionByName(src.select(*target.columns))
     new = src.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.lit(True).alias("_new"),
                      *[F.col(c).alias(f"_n_{c}") for c in target.columns if c not in keys])
     on = null_safe(target, keys, new, [f"_k_{k}" for k in keys])
@@ -105,7 +113,14 @@ def merge_partitions(spark: SparkSession, path: str, src: DataFrame, keys: list[
     short, running the merge again completes it.
     """
     target = spark.read.parquet(path)
-    touched = target.join(src.select(*by).distinct(), by, "left_semi")
+    src = target.limit(0).unionByName(src.select(*target.columns))
+    # Only folders between the smallest and the largest value are listed; null has its own.
+    bounds = src.agg(*[f(c).alias(f"_{n}_{c}") for c in by for n, f in (("lo", F.min), ("hi", F.max))])
+    near = F.lit(True)
+    for c in by:
+        lo, hi = (bounds.select(f"_{n}_{c}").scalar() for n in ("lo", "hi"))
+        near = near & (F.col(c).between(lo, hi) | F.col(c).isNull())
+    touched = _without(target.where(near), src, by, "left_semi")
     staged = scratch(spark, "merge")
     upsert(touched, src, [*by, *keys], newest=newest).write.partitionBy(*by).parquet(staged)
     replace_partition(spark.read.parquet(staged).select(*target.columns), path, by)
@@ -119,9 +134,16 @@ def high_mark(marks: DataFrame, key: str, floor: str = "1900-01-01") -> Column:
 
 
 def load_increment(src: DataFrame, marks: DataFrame, key: str, ts_col: str) -> tuple[DataFrame, DataFrame]:
-    """Source rows after the stored mark (whole seconds compared), and the mark row to append."""
-    fresh = src.where(F.date_trunc("second", F.col(ts_col)).cast("timestamp") > high_mark(marks, key))
-    mark = src.agg(F.max(ts_col).alias("_m")).select(
+    """Source rows after the stored mark, and the mark row to append (none if there is no such row).
+
+    Moments are compared in full. The rows are written to the shared folder and the mark is taken from them, so rows
+    that arrive meanwhile are left to the next run.
+    """
+    late = src.where(F.col(ts_col).cast("timestamp") > high_mark(marks, key))
+    path = scratch(src.sparkSession, "increment")
+    late.write.parquet(path)
+    fresh = src.sparkSession.read.schema(late.schema).parquet(path)
+    mark = fresh.agg(F.max(ts_col).alias("_m")).where("_m is not null").select(
         F.lit(key).alias("workflow_key"), F.col("_m").cast("string").alias("workflow_settings")
     )
     return fresh, mark
@@ -139,16 +161,8 @@ def load_lookback(target: DataFrame, src: DataFrame, keys: list[str], ts_col: st
 
 
 def hash_diff(target: DataFrame, src: DataFrame) -> DataFrame:
-    """Distinct source rows that the target does not hold yet, over all columns.
-
-    Rows meet by 64-bit hash and are then compared value by value, so a collision cannot drop a row.
-    """
-    cols = src.columns
-    new = src.distinct().withColumn("_h", F.xxhash64(*cols))
-    old = target.select(*[F.col(c).alias(f"_o_{c}") for c in cols]).distinct()
-    old = old.withColumn("_oh", F.xxhash64(*[f"_o_{c}" for c in cols]))
-    same = (F.col("_h") == F.col("_oh")) & null_safe(new, cols, old, [f"_o_{c}" for c in cols])
-    return new.join(old, same, "left_anti").drop("_h")
+    """Distinct source rows that the target does not hold yet, over all columns (null equals null)."""
+    return src.subtract(target.select(*src.columns))
 
 
 def add_column(df: DataFrame, name: str, default) -> DataFrame:
@@ -157,15 +171,14 @@ def add_column(df: DataFrame, name: str, default) -> DataFrame:
     return df.withColumn(name, F.coalesce(old, F.lit(default)))
 
 
-def number_new(target: DataFrame, src: DataFrame, key: str, id_col: str = "id", order: str | None = None,
-               hot_rows: int = HOT_ROWS) -> DataFrame:
+def number_new(target: DataFrame, src: DataFrame, key: str, id_col: str = "id", order: str | None = None) -> DataFrame:
     """New keys with surrogate ids continuing after the target's largest one.
 
-    Numbers follow ``order`` (default: the key itself when it is numeric). For text keys give a numeric
-    order column. Ranking is done in quantile parts, not in one task.
+    Numbers follow ``order`` (default: the key itself), of any sortable type. The rows are numbered by range, in
+    parallel.
     """
     fresh = absent(src, target, [key])
-    rows = ranked(fresh, [], [order or key, key], "_n", unique=True, hot_rows=hot_rows)
+    rows = ranked(fresh, [], list(dict.fromkeys([order or key, key])), "_n", unique=True)
     last = target.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("m")).scalar()
     return rows.withColumn(id_col, last + F.col("_n")).drop("_n")
 

@@ -1,82 +1,96 @@
-"""Joining every row to a small reference set (cities, campaigns) without a cross join.
+"""The nearest row of a reference set (cities, shops) for every row, without pairing rows and references.
 
-The set is first counted. Up to ``MAX_REFERENCE`` rows it travels as one array value inside the plan and
-is searched row by row, with no shuffle. A larger set is cut into chunks of that size, and rows meet the
-chunks in a salted equi-join.
+Points lie on the unit sphere and are sorted into cubes. For every cube that holds rows, the references that can be
+nearest to any point of it are found once: those not farther from the cube's middle than the nearest one plus the
+cube's diagonal. Rows then meet the short list of their cube in one equi-join. Exact for reference sets of any size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
 
-from martworks.functions.geo import haversine, unit_vector
+from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_REFERENCE = 10_000
-CHUNK_SALTS = 256
+from martworks.functions.geo import EARTH_KM, haversine, unit_vector
 
+#: Edge of a cube in km: small against the distances between references, large against those between rows.
+CELL_KM = 50.0
+_AXES = ("x", "y", "z")
 
-def _fits(ref: DataFrame, limit: int) -> bool:
-    return ref.limit(limit + 1).count() <= limit
 
+def _cube(values: list[Column], side: Column | float) -> list[Column]:
+    return [F.floor(v / side).cast("long").alias(f"_c{a}") for a, v in zip(_AXES, values)]
 
-def with_reference(df: DataFrame, ref: DataFrame, order_by: list[str], limit: int = MAX_REFERENCE,
-                   fits: bool | None = None) -> DataFrame:
-    """Rows with the reference set in ``_ref``, as a sorted array: one copy, or one per chunk of a large set."""
-    item = F.struct(*order_by, *[c for c in ref.columns if c not in order_by])
-    if _fits(ref, limit) if fits is None else fits:
-        whole = ref.agg(F.array_sort(F.collect_list(item)).alias("_ref"))
-        return df.withColumn("_ref", whole.scalar())
-    chunk_count = -(-ref.count() // limit)
-    chunk = F.pmod(F.xxhash64(*order_by), F.lit(chunk_count)).cast("int")
-    chunks = (
-        ref.groupBy(chunk.alias("_chunk")).agg(F.array_sort(F.collect_list(item)).alias("_ref"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(CHUNK_SALTS - 1))))
-    )
-    spread = (
-        df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(CHUNK_SALTS)).cast("int"))
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunk_count - 1))))
-    )
-    return spread.join(chunks, ["_chunk", "_salt"]).drop("_chunk", "_salt")
+
+def _around(names: list[str]) -> Column:
+    """The 27 cubes around a cube and itself."""
+    steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    return F.flatten(F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.transform(steps, lambda k: F.struct(
+        *[(F.col(n) + d).alias(f"_c{a}") for n, d, a in zip(names, (i, j, k), _AXES)]))))))
 
 
-def each_reference(df: DataFrame, ref: DataFrame, order_by: list[str], limit: int = MAX_REFERENCE) -> DataFrame:
-    """Every row with every reference row, as the reference's columns beside the row's own.
+def _candidates(cells: DataFrame, ref: DataFrame, ref_id: str, side: float) -> DataFrame:
+    """For each cube ``_cx, _cy, _cz`` the references that can be nearest to a point in it, as the array ``_ref``.
 
-    For a set that does not fit the bound the rows go through the chunked join.
+    Cubes of twice the edge form the next level, up to one that holds everything. The lowest level at which a cube's
+    surroundings hold a reference bounds the distance to the nearest one; three levels higher the surroundings hold
+    every reference within that distance and the diagonal.
     """
-    rows = with_reference(df, ref, order_by, limit).withColumn("_item", F.explode("_ref"))
-    return rows.select(*df.columns, *[F.col(f"_item.{c}").alias(c) for c in ref.columns])
+    top = math.ceil(math.log2(2 / side)) + 1
+    keys = [f"_c{a}" for a in _AXES]
+    middle = {f"_m{a}": (F.col(f"_c{a}") + 0.5) * side for a in _AXES}
+    own = cells.select(*[F.col(k).alias(f"_own{k}") for k in keys], *[m.alias(n) for n, m in middle.items()])
+    mine = [f"_own{k}" for k in keys]
+
+    def levels(df: DataFrame, axes: list[str], low: Column, high: Column) -> DataFrame:
+        placed = df.withColumn("_level", F.explode(F.sequence(low, high)))
+        return placed.select("*", *_cube([F.col(a) for a in axes], side * F.pow(F.lit(2.0), F.col("_level"))))
+
+    def surroundings(df: DataFrame, low: Column, high: Column) -> DataFrame:
+        at = levels(df, [f"_m{a}" for a in _AXES], low, high)
+        return at.withColumn("_near", F.explode(_around(keys))).drop(*keys).select("*", "_near.*").drop("_near")
+
+    zero, last = F.lit(0), F.lit(top)
+    placed = levels(ref, [f"_r{a}" for a in _AXES], zero, last)
+    lowest = (surroundings(own, zero, last).join(placed.select("_level", *keys).distinct(), ["_level", *keys])
+              .groupBy(*mine).agg(F.min("_level").alias("_low")))
+    wide = F.least(F.col("_low") + 3, last)
+    gap = sum(((F.col(f"_m{a}") - F.col(f"_r{a}")) ** 2 for a in _AXES), F.lit(0.0))
+    met = (surroundings(own.join(lowest, mine), wide, wide).join(placed, ["_level", *keys])
+           .withColumn("_gap", F.sqrt(gap)).select(*mine, "_gap", *ref.columns))
+    best = met.groupBy(*mine).agg(F.min("_gap").alias("_best"))
+    diagonal = side * math.sqrt(3)
+    kept = met.join(best, mine).where(F.col("_gap") <= F.col("_best") + diagonal + 1e-9)
+    item = F.struct(ref_id, *[c for c in ref.columns if c != ref_id])
+    return kept.groupBy(*mine).agg(F.array_sort(F.collect_list(item)).alias("_ref")).select(
+        *[F.col(m).alias(k) for m, k in zip(mine, keys)], "_ref")
 
 
 def nearest(df: DataFrame, ref: DataFrame, lat: str = "lat", lon: str = "lon", ref_id: str = "id",
-            ref_lat: str = "lat_city", ref_lon: str = "lng_city", row_key: list[str] | None = None,
-            units: str = "degrees", limit: int = MAX_REFERENCE) -> DataFrame:
+            ref_lat: str = "lat_city", ref_lon: str = "lng_city", units: str = "degrees",
+            cell_km: float = CELL_KM) -> DataFrame:
     """The closest reference row and its distance in km; the lower id wins a tie.
 
-    Rows without coordinates get no reference. ``row_key`` names the columns that identify a row; without
-    it the reference set must keep to the bound.
+    Every input row comes out once, whatever its other columns hold; rows without coordinates get no reference. The
+    rows are read twice, first for the cubes they lie in. ``cell_km`` is a matter of speed alone: a cube's list is
+    short while it is small against the distances between references.
     """
+    side = 2 * math.sin(cell_km / (2 * EARTH_KM))
     attrs = [c for c in ref.columns if c not in (ref_id, ref_lat, ref_lon)]
     placed = ref.where(F.col(ref_lat).isNotNull() & F.col(ref_lon).isNotNull())
-    placed = placed.withColumns(dict(zip(("_x", "_y", "_z"), unit_vector(ref_lat, ref_lon, units))))
-    fits = _fits(placed, limit)
-    if not fits and not row_key:
-        raise ValueError("row_key is needed for a reference set of this size")
-    rows = with_reference(df, placed, [ref_id], limit, fits)
-    rows = rows.withColumns(dict(zip(("_ex", "_ey", "_ez"), unit_vector(lat, lon, units))))
+    placed = placed.withColumns(dict(zip(("_rx", "_ry", "_rz"), unit_vector(ref_lat, ref_lon, units))))
+    rows = df.withColumns(dict(zip(("_ex", "_ey", "_ez"), unit_vector(lat, lon, units))))
+    rows = rows.select("*", *_cube([F.col(f"_e{a}") for a in _AXES], side))
+    keys = [f"_c{a}" for a in _AXES]
+    cells = rows.select(*keys).where(" and ".join(f"{k} is not null" for k in keys)).distinct()
+    rows = rows.join(_candidates(cells, placed, ref_id, side), keys, "left")
     # The closest point is the one whose unit vector has the largest product with the row's own: three
     # multiplications per candidate; the distance itself is worked out for the winner only.
     closest = F.array_min(F.transform("_ref", lambda c: F.struct(
-        (-(F.col("_ex") * c["_x"] + F.col("_ey") * c["_y"] + F.col("_ez") * c["_z"])).alias("_far"),
+        (-(F.col("_ex") * c["_rx"] + F.col("_ey") * c["_ry"] + F.col("_ez") * c["_rz"])).alias("_far"),
         c[ref_id].alias(ref_id), c.alias("_c"),
     )))
-    known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    found = rows.select(*df.columns, F.when(known, closest).alias("_best"))
-    if not fits:
-        others = [c for c in df.columns if c not in row_key]
-        found = found.groupBy(*row_key).agg(
-            F.min("_best").alias("_best"), *[F.first(c).alias(c) for c in others]
-        ).select(*df.columns, "_best")
+    found = rows.select(*df.columns, closest.alias("_best"))
     distance = haversine(F.col(lat), F.col(lon), F.col(f"_best._c.{ref_lat}"), F.col(f"_best._c.{ref_lon}"), units=units)
     return found.select(
         *df.columns, *[F.col(f"_best._c.{c}").alias(c) for c in (ref_id, *attrs)], distance.alias("distance")

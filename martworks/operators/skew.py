@@ -1,23 +1,24 @@
-"""Splitting of keys that hold a large share of the rows.
+"""Cutting ordered keys into parts, so that no window ever needs a whole key in one task.
 
-A window over such a key would put all its rows into one task. ``split_hot`` cuts the ordered rows of
-every key with more than ``hot_rows`` rows into consecutive parts of about that size, at quantiles of
-the order value. The window operators then work within (key, part) and hand the little that crosses a
-part border (totals, last values, neighbour rows) over separately. Other keys stay whole, as part 0.
-
-Whether there is such a key is found by one map-side combined count when the operator is called. Without
-one the operator is the plain window, so a frame that is costly to compute should be written or
-checkpointed before it is passed in.
+A window over a key that holds a third of all rows would be one task. The window operators therefore always work
+within (key, part), where a part is a fixed range of the order column, and hand the little that crosses a part border
+(totals, last values, neighbour rows) over in an ordinary join on key and part. There is one way for every key and
+every size: the ranges depend on the values alone, not on counts. What a part holds is bounded by how dense the order
+column is; ``span`` sets the range where the default does not fit the data.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from martworks.session import scratch
 
-HOT_ROWS = 1_000_000
-MAX_PARTS = 2000  # quantile cuts computed for a hot key; it uses one cut per ``hot_rows`` rows
+#: Ranges of a part: seconds for times and dates, values for numbers, leading characters for texts.
+SPAN_SECONDS = 30 * 24 * 3600
+SPAN_VALUES = 1_000_000
+SPAN_CHARACTERS = 8
 
 
 def null_safe(left: DataFrame, left_cols: list[str], right: DataFrame, right_cols: list[str]) -> Column:
@@ -26,57 +27,40 @@ def null_safe(left: DataFrame, left_cols: list[str], right: DataFrame, right_col
     return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, as ``_k0.._kn`` and ``_rows``.
+def part_of(df: DataFrame, order: str, span: int | None = None) -> Column:
+    """The part of a row by its order value: it never falls as the value grows, and null has a part of its own.
 
-    There are at most (total rows / ``hot_rows``) of them, which is what makes broadcasting them safe.
-    The count is combined on the map side, so a hot key costs no more than any other.
+    Times, dates, numbers and texts can be cut; other types are one part.
     """
-    counted = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    return counted.where(F.col("_rows") > hot_rows)
-
-
-def attach_hot(df: DataFrame, hot: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join rows to the (few) hot keys without moving the rows."""
-    names = [f"_k{i}" for i in range(len(keys))]
-    return df.join(F.broadcast(hot), null_safe(df, keys, hot, names), how).drop(*names)
+    kind, col = df.schema[order].dataType.typeName(), F.col(order)
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        return F.floor(F.unix_micros(col.cast("timestamp")) / (1e6 * (span or SPAN_SECONDS))).cast("long")
+    if kind in ("byte", "short", "integer", "long") or kind.startswith("decimal") or kind in ("float", "double"):
+        return F.floor(col / F.lit(span or SPAN_VALUES)).cast("decimal(38,0)")
+    if kind == "string":
+        return F.substring(col, 1, span or SPAN_CHARACTERS)
+    return F.when(col.isNotNull(), F.lit(0))
 
 
-def order_number(df: DataFrame, order: str) -> Column:
-    """A double that grows with the order column (number, date or timestamp)."""
-    kind = df.schema[order].dataType.typeName()
-    col = F.col(order)
-    if kind in ("timestamp", "timestamp_ntz", "date"):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
-    return col.cast("double")
+def in_parts(df: DataFrame, keys: list[str], order: str, span: int | None = None) -> DataFrame:
+    """Add ``_part`` and ``_key``, which holds keys and part: one column to shuffle, window and join by, under which
+    null equals null."""
+    return df.withColumn("_part", part_of(df, order, span)).withColumn("_key", F.struct(*keys, "_part"))
 
 
-def split_hot(df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Add ``_part``: 0 for ordinary keys, 1, 2, ... along the order for hot ones. None when no key is hot.
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Whole-frame row numbers from 1 in the order of any sortable columns, without a task that sees all rows.
 
-    Rows with equal order value always share a part.
+    The rows are sorted by range and written once to the shared folder; each file's rows count from the sum of the
+    files before it.
     """
-    hot = hot_keys(df, keys, hot_rows)
-    if hot.isEmpty():
-        return None
-    value = order_number(df, order)
-    hot_values = attach_hot(df.select(*keys, value.alias("_v")), hot, keys, "inner")
-    all_cuts = [i / MAX_PARTS for i in range(1, MAX_PARTS)]
-    cuts = (
-        hot_values.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        .agg(F.percentile_approx("_v", all_cuts, 10 * MAX_PARTS).alias("_all"), F.max("_rows").alias("_rows"))
-        .withColumn("_n", F.least(F.lit(MAX_PARTS), F.ceil(F.col("_rows") / hot_rows)).cast("int"))
-        .select(
-            *[f"_k{i}" for i in range(len(keys))],
-            F.transform(
-                F.sequence(F.lit(1), F.col("_n") - 1),
-                lambda i: F.element_at("_all", F.greatest(F.lit(1), F.floor(i * MAX_PARTS / F.col("_n"))).cast("int")),
-            ).alias("_cuts"),
-        )
-    )
-    part = F.coalesce(F.lit(1) + F.size(F.filter("_cuts", lambda c: c < F.col("_v"))), F.lit(0))
-    valued = df.withColumn("_v", F.coalesce(value, F.lit(float("-inf"))))
-    marked = attach_hot(valued, cuts, keys)
-    return marked.withColumn("_part", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(part)).drop("_cuts", "_v")
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    path = scratch(df.sparkSession, "numbered")
+    placed.write.parquet(path)
+    rows = df.sparkSession.read.schema(placed.schema).parquet(path)
+    rows = rows.withColumns({"_file": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    before = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
+    # One row per written partition.
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(files, "_file").withColumn(name, F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before", "_at")

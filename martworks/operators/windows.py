@@ -1,10 +1,14 @@
-"""Window operators. Each gives the result of the plain window, but never needs a whole key in one task."""
+"""Window operators. Each gives the result of the plain window, but never needs a whole key in one task.
+
+The ordered ones work in parts (see :mod:`martworks.operators.skew`); ``span`` is the range of a part. They read
+their input more than once: pass a stored frame when it is costly.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from martworks.operators.skew import HOT_ROWS, null_safe, split_hot
+from martworks.operators.skew import in_parts, null_safe, numbered
 
 
 def top1(df: DataFrame, keys: list[str], by: list[str], largest: bool = True) -> DataFrame:
@@ -44,168 +48,117 @@ def first_flag(df: DataFrame, keys: list[str], ts: str, name: str) -> DataFrame:
     return firsts.withColumn(name, (F.col("_first") == F.col(ts)).cast("int")).drop("_first")
 
 
-def _join_parts(rows: DataFrame, keys: list[str], carried: DataFrame) -> DataFrame:
-    """Attach per-part values of hot keys; ``carried`` has at most (rows / hot_rows) entries per hot key."""
-    names = [f"_c{i}" for i in range(len(keys))] + ["_cpart"]
-    small = carried.select(
-        *[F.col(k).alias(n) for k, n in zip([*keys, "_part"], names)],
-        *[c for c in carried.columns if c not in keys and c != "_part"],
-    )
-    on = null_safe(rows, [*keys, "_part"], small, names)
-    return rows.join(F.broadcast(small), on, "left").drop(*names)
+def _attach(rows: DataFrame, carried: DataFrame) -> DataFrame:
+    """Attach what is carried over to each part; the rows are already where the window put them."""
+    return rows.join(carried, "_key", "left")
+
+
+def _before(keys: list[str], descending: bool = False):
+    """The parts of a key before the current one: one row per part."""
+    return W.partitionBy(*keys).orderBy(F.desc("_part") if descending else F.asc("_part")).rowsBetween(W.unboundedPreceding, -1)
 
 
 def shifted(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, tuple[str, int]],
-            hot_rows: int = HOT_ROWS) -> DataFrame:
+            span: int | None = None) -> DataFrame:
     """Lag and lead: ``columns`` maps a new name to (column, offset), negative offsets looking back.
 
-    ``order`` must be unique within a key; its first column has to be a number, date or timestamp.
-    Rows next to a part border of a hot key are copied into the neighbouring part for the window and
-    removed afterwards.
+    ``order`` must be unique within a key for a result that is the same on every run. Rows next to a part border are
+    copied into the neighbouring part for the window and removed afterwards.
     """
-    parts = split_hot(df, keys, order[0], hot_rows)
-    if parts is None:
-        return _shift(df, keys, order, columns)
-    return _shift_parts(parts, keys, order, columns).drop("_part")
-
-
-def _shift(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, tuple[str, int]]) -> DataFrame:
-    over = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumns({
-        name: F.lag(column, -offset).over(over) if offset < 0 else F.lead(column, offset).over(over)
-        for name, (column, offset) in columns.items()
-    })
-
-
-def _shift_parts(parts: DataFrame, keys: list[str], order: list[str],
-                 columns: dict[str, tuple[str, int]]) -> DataFrame:
     back = max([0, *[-n for _, n in columns.values()]])
     ahead = max([0, *[n for _, n in columns.values()]])
-    hot = parts.where("_part > 0")
+    rows = in_parts(df, keys, order[0], span)
     needed = list(dict.fromkeys([*keys, *order, *[c for c, _ in columns.values()]]))
-    item = F.struct(*order, *[c for c in needed if c not in order])
-    halo = None
-    for count, descending in ((back, True), (ahead, False)):
-        if not count:
-            continue
-        edge_order = [F.desc(c) if descending else F.asc(c) for c in order]
-        edges = (
-            top_n(hot.select(*needed, "_part"), [*keys, "_part"], edge_order, count)
-            .groupBy(*keys, "_part").agg(F.array_sort(F.collect_list(item)).alias("_rows"))
-        )
-        # Rows per key here: one per part, each holding at most ``count`` items.
-        over = W.partitionBy(*keys).orderBy("_part")
-        step = F.lag if descending else F.lead
-        sources = [F.coalesce(step("_rows", i).over(over), F.array().cast(edges.schema["_rows"].dataType))
-                   for i in range(1, count + 1)]
-        near = F.col("_near")
-        cut = F.slice(near, F.greatest(F.lit(1), F.size(near) - count + 1), F.lit(count)) if descending \
-            else F.slice(near, 1, count)
-        rows = (
-            edges.withColumn("_near", F.array_sort(F.concat(*sources)))
-            .select(*keys, "_part", F.explode(cut).alias("_r"))
-            .select(*[F.col(k) for k in keys], "_part", *[F.col(f"_r.{c}").alias(c) for c in needed if c not in keys])
-        )
-        halo = rows if halo is None else halo.unionByName(rows)
-    everything = parts.withColumn("_own", F.lit(True)).unionByName(
-        halo.withColumn("_own", F.lit(False)), allowMissingColumns=True
-    )
-    everything = _shift(everything, [*keys, "_part"], order, columns)
-    return everything.where("_own").drop("_own")
-
-
-def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Sum of ``value`` from the key's first row up to the current one (range frame: ties count together)."""
-    parts = split_hot(df, keys, order[0], hot_rows)
-    if parts is None:
-        return df.withColumn(name, _sum_so_far(keys, order, value))
-    return _sum_parts(parts, keys, order, value, name).drop("_part")
-
+    everything = rows.withColumn("_own", F.lit(True))
+    for count, backwards in ((back, True), (ahead, False)):
+        if count:
+            halo = _edges(rows, keys, order, needed, count, backwards).withColumn("_own", F.lit(False))
+            everything = everything.unionByName(halo.withColumn("_key", F.struct(*keys, "_part")), allowMissingColumns=True)
+    over = W.partitionBy("_key").orderBy(*order)
+    everything = everything.withColumns({
+        name: F.lag(column, -offset).over(over) if offset < 0 else F.lead(column, offset).over(over)
+        for name, (column, offset) in columns.items()
+    })
+    return everything.where("_own").drop("_own", "_part", "_key")
 
-def _sum_so_far(keys: list[str], order: list[str], value: str) -> Column:
-    over = W.partitionBy(*keys).orderBy(*order).rangeBetween(W.unboundedPreceding, W.currentRow)
-    return F.sum(value).over(over)
 
+def _edges(rows: DataFrame, keys: list[str], order: list[str], needed: list[str], count: int, backwards: bool) -> DataFrame:
+    """For each part the nearest ``count`` rows of the parts before it (or after it)."""
+    nearest = [F.desc(c) if backwards else F.asc(c) for c in order]
+    item = F.struct(F.col("_rn").alias("_far"), *needed)
+    edges = (top_n(rows.select(*needed, "_part"), [*keys, "_part"], nearest, count, "_rn")
+             .groupBy(*keys, "_part").agg(F.array_sort(F.collect_list(item)).alias("_rows")))
+    over = W.partitionBy(*keys).orderBy("_part")
+    step = F.lag if backwards else F.lead
+    none = F.array().cast(edges.schema["_rows"].dataType)
+    # Nearest parts first, and in each the nearest rows first; every part has one row at least.
+    near = F.slice(F.concat(*[F.coalesce(step("_rows", i).over(over), none) for i in range(1, count + 1)]), 1, count)
+    return (edges.withColumn("_near", near).select(*keys, "_part", F.explode("_near").alias("_r"))
+            .select(*keys, "_part", *[F.col(f"_r.{c}").alias(c) for c in needed if c not in keys]))
 
-def _sum_parts(parts: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
-    totals = parts.where("_part > 0").groupBy(*keys, "_part").agg(F.sum(value).alias("_total"))
-    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    carried = totals.select(*keys, "_part", F.sum("_total").over(before).alias("_before"))
-    local = parts.withColumn("_local", _sum_so_far([*keys, "_part"], order, value))
-    joined = _join_parts(local, keys, carried)
-    zero = F.lit(0).cast(joined.schema["_local"].dataType)
-    return joined.withColumn(name, F.col("_local") + F.coalesce("_before", zero)).drop("_local", "_before")
 
+def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, name: str, span: int | None = None) -> DataFrame:
+    """Sum of ``value`` from the key's first row up to the current one (range frame: ties count together).
 
-def carry_forward(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, str],
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+    Sums of floating-point values are formed as decimals of nine places, so they do not depend on the order.
+    """
+    kind = df.schema[value].dataType
+    floating = kind.typeName() in ("float", "double")
+    rows = in_parts(df.withColumn("_v", F.col(value).cast("decimal(38,9)") if floating else F.col(value)), keys, order[0], span)
+    totals = rows.groupBy(*keys, "_part").agg(F.sum("_v").alias("_total"))
+    carried = totals.select(F.struct(*keys, "_part").alias("_key"), F.sum("_total").over(_before(keys)).alias("_carried"))
+    over = W.partitionBy("_key").orderBy(*order).rangeBetween(W.unboundedPreceding, W.currentRow)
+    joined = _attach(rows.withColumn("_local", F.sum("_v").over(over)), carried)
+    # Null only while no value has come yet.
+    total = F.coalesce(F.col("_local") + F.col("_carried"), "_local", "_carried")
+    return joined.withColumn(name, total.cast("double") if floating else total).drop("_v", "_local", "_carried", "_part", "_key")
+
+
+def carry_forward(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, str], span: int | None = None) -> DataFrame:
     """Last non-null value so far: ``columns`` maps a new name to the column it follows."""
-    parts = split_hot(df, keys, order[0], hot_rows)
-    if parts is None:
-        return df.withColumns(_last_so_far(keys, order, columns))
-    hot = parts.where("_part > 0")
-    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    lasts = hot.groupBy(*keys, "_part").agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_l_{n}")
-        for n, c in columns.items()
-    ])
-    carried = lasts.select(
-        *keys, "_part", *[F.last(f"_l_{n}", ignorenulls=True).over(before).alias(f"_b_{n}") for n in columns]
-    )
-    joined = _join_parts(parts.withColumns(_last_so_far([*keys, "_part"], order, columns)), keys, carried)
-    for n in columns:
-        joined = joined.withColumn(n, F.coalesce(n, f"_b_{n}"))
-    return joined.drop("_part", *[f"_b_{n}" for n in columns])
-
-
-def _last_so_far(keys: list[str], order: list[str], columns: dict[str, str]) -> dict[str, Column]:
-    over = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return {name: F.last(column, ignorenulls=True).over(over) for name, column in columns.items()}
+    rows = in_parts(df, keys, order[0], span)
+    lasts = rows.groupBy(*keys, "_part").agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_l_{n}") for n, c in columns.items()])
+    carried = lasts.select(F.struct(*keys, "_part").alias("_key"), *[
+        F.last(f"_l_{n}", ignorenulls=True).over(_before(keys)).alias(f"_b_{n}") for n in columns])
+    over = W.partitionBy("_key").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    joined = _attach(rows.withColumns({n: F.last(c, ignorenulls=True).over(over) for n, c in columns.items()}), carried)
+    return joined.withColumns({n: F.coalesce(n, f"_b_{n}") for n in columns}).drop("_part", "_key", *[f"_b_{n}" for n in columns])
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, descending: bool = False,
-           unique: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+           unique: bool = False, span: int | None = None) -> DataFrame:
     """Rank of each row in its key; with ``unique`` a row number (then ``order`` must be unique).
 
-    An empty key list ranks the whole frame, as for surrogate numbers.
+    An empty key list numbers the whole frame, as for surrogate ids (ascending row numbers only).
     """
-    whole = not keys
-    if whole:
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
+    if not keys:
+        if descending or not unique:
+            raise ValueError("a whole frame has ascending row numbers only")
+        return numbered(df, order, name)
     sort = [F.desc(order[0]) if descending else F.asc(order[0]), *[F.asc(c) for c in order[1:]]]
-    number = F.row_number() if unique else F.rank()
-    parts = split_hot(df, keys, order[0], hot_rows)
-    if parts is None:
-        out = df.withColumn(name, number.over(W.partitionBy(*keys).orderBy(*sort)).cast("long"))
-        return out.drop("_all") if whole else out
-    sizes = parts.where("_part > 0").groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"))
-    part_order = F.desc("_part") if descending else F.asc("_part")
-    before = W.partitionBy(*keys).orderBy(part_order).rowsBetween(W.unboundedPreceding, -1)
-    carried = sizes.select(*keys, "_part", F.sum("_size").over(before).alias("_before"))
-    local = parts.withColumn("_local", number.over(W.partitionBy(*keys, "_part").orderBy(*sort)))
-    joined = _join_parts(local, keys, carried)
-    out = joined.withColumn(name, (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("long"))
-    return out.drop("_local", "_before", "_part", *(["_all"] if whole else []))
+    rows = in_parts(df, keys, order[0], span)
+    sizes = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"))
+    carried = sizes.select(F.struct(*keys, "_part").alias("_key"), F.sum("_size").over(_before(keys, descending)).alias("_carried"))
+    number = (F.row_number() if unique else F.rank()).over(W.partitionBy("_key").orderBy(*sort))
+    joined = _attach(rows.withColumn("_local", number), carried)
+    total = (F.col("_local") + F.coalesce("_carried", F.lit(0))).cast("long")
+    return joined.withColumn(name, total).drop("_local", "_carried", "_part", "_key")
 
 
 def runs(df: DataFrame, key: str, value: str, ts: str, tiebreak: str, min_days: int | None = None,
-         hot_rows: int = HOT_ROWS) -> DataFrame:
+         span: int | None = None) -> DataFrame:
     """Gaps and islands: unbroken stretches of one value per key, with start, end and length in days.
 
-    ``min_days`` keeps only stretches at least that long.
+    ``min_days`` keeps only stretches at least that long. A null tie-break is one like any other.
     """
-    order = [ts, tiebreak]
-    rows = df.select(key, value, ts, tiebreak)
-    before = {"_prev": (value, -1), "_prev_id": (tiebreak, -1)}
-    parts = split_hot(rows, [key], ts, hot_rows)
-    marked = _shift(rows, [key], order, before) if parts is None else _shift_parts(parts, [key], order, before)
-    starts = F.col("_prev_id").isNull() | ~F.col("_prev").eqNullSafe(F.col(value))
-    flagged = marked.withColumn("_new", starts.cast("long")).drop("_prev", "_prev_id")
-    numbered = (flagged.withColumn("run_no", _sum_so_far([key], order, "_new")) if parts is None
-                else _sum_parts(flagged, [key], order, "_new", "run_no"))
+    order = list(dict.fromkeys([ts, tiebreak]))
+    rows = df.select(key, value, *order).withColumn("_row", F.lit(1))
+    marked = shifted(rows, [key], order, {"_prev": (value, -1), "_prev_row": ("_row", -1)}, span)
+    starts = F.col("_prev_row").isNull() | ~F.col("_prev").eqNullSafe(F.col(value))
+    flagged = marked.withColumn("_new", starts.cast("long")).drop("_prev", "_prev_row", "_row")
     out = (
-        numbered.groupBy(key, "run_no")
+        running_sum(flagged, [key], order, "_new", "run_no", span).groupBy(key, "run_no")
         .agg(F.first(value).alias(value), F.min(ts).alias("run_start"), F.max(ts).alias("run_end"),
              F.count(F.lit(1)).alias("events"))
         .withColumn("days", F.datediff(F.to_date("run_end"), F.to_date("run_start")))
@@ -214,10 +167,10 @@ def runs(df: DataFrame, key: str, value: str, ts: str, tiebreak: str, min_days:
 
 
 def funnel(df: DataFrame, user: str, order: list[str], step: str, first: Column, then: list[str],
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+           span: int | None = None) -> DataFrame:
     """Rows meeting ``first`` whose user's very next steps are exactly ``then``."""
     nexts = {f"_next{i}": (step, i) for i in range(1, len(then) + 1)}
-    ahead = shifted(df, [user], order, nexts, hot_rows).where(first)
+    ahead = shifted(df, [user], order, nexts, span).where(first)
     for i, wanted in enumerate(then, 1):
         ahead = ahead.where(F.col(f"_next{i}") == wanted)
     return ahead.drop(*nexts)

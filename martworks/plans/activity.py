@@ -13,19 +13,20 @@ from martworks.operators.windows import top_n, with_stats
 def activity_windows(events: DataFrame, user: str = "user_id", ts: str = "ts", event_id: str = "event_id") -> DataFrame:
     """Every event with its week's and month's messages, reactions, subscriptions and new users.
 
-    The figures are grouped per week and per month and joined back: two tiny frames, where a window over
-    the week would put all events of a week into one task.
+    The figures are grouped per week and per month and joined back. A user counts as new where its first event lies,
+    so the events themselves are never moved: the figures have a row per week or month of the calendar, which is what
+    bounds their broadcast.
     """
     rows = events.withColumns({"month": times.month_start(ts), "week": times.week_start(ts)})
-    rows = with_stats(rows, [user], _first=F.min(F.struct(ts, event_id)))
-    rows = rows.withColumn("_new", (F.col("_first") == F.struct(ts, event_id)).cast("int"))
-    for grain in ("week", "month"):
-        rows = with_stats(rows, [grain], **{
-            **{f"{grain}_{kind}": F.sum(F.when(F.col("event_type") == kind, 1).otherwise(0))
-               for kind in ("message", "reaction", "subscription")},
-            f"{grain}_user": F.sum("_new"),
-        })
-    return rows.drop("_first", "_new")
+    first = events.groupBy(user).agg(F.min(F.struct(ts, event_id)).alias("_first")).select(F.col(f"_first.{ts}").alias(ts))
+    for grain, start in (("week", times.week_start(ts)), ("month", times.month_start(ts))):
+        kinds = rows.groupBy(F.col(grain).alias("_grain")).agg(*[
+            F.count_if(F.col("event_type") == kind).alias(f"{grain}_{kind}") for kind in ("message", "reaction", "subscription")])
+        new = first.groupBy(start.alias("_from")).agg(F.count(F.lit(1)).alias("_users"))
+        figures = kinds.join(new, kinds["_grain"].eqNullSafe(new["_from"]), "left").drop("_from").withColumn(
+            f"{grain}_user", F.coalesce("_users", F.lit(0))).drop("_users")
+        rows = rows.join(F.broadcast(figures), rows[grain].eqNullSafe(figures["_grain"]), "left").drop("_grain")
+    return rows
 
 
 def nearby_contacts(messages: DataFrame, max_km: float = 1.0, last: int = 5, positions: str = "sent",

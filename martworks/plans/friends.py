@@ -8,55 +8,23 @@ from martworks.functions import times
 from martworks.operators.joins import within_distance, without_pairs
 from martworks.operators.windows import top1
 
-BLOCK = 2000
-
-
-def co_members(members: DataFrame, group: list[str], member: str, block: int = BLOCK) -> DataFrame:
-    """Pairs of different members of one group, smaller member first, each pair once.
-
-    Members of a large group are hashed into blocks and only pairs of blocks meet, so the pairs of one
-    group are made by many tasks. ``members`` should already be narrowed to those who can match: the
-    group columns are the join key.
-    """
-    distinct = members.select(*group, member).distinct()
-    sizes = distinct.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
-    placed = distinct.join(sizes, group).withColumn("_block", F.pmod(F.xxhash64(member), "_blocks").cast("int"))
-    # Every member visits the meeting of its own block with each block of the group.
-    visits = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
-        *group, F.col(member).alias("_m"), "_block",
-        F.least("_block", "_other").alias("_lo"), F.greatest("_block", "_other").alias("_hi"),
-    )
-    on = [*group, "_lo", "_hi"]
-    left = visits.withColumnsRenamed({"_m": "user_left", "_block": "_bl"})
-    right = visits.withColumnsRenamed({"_m": "user_right", "_block": "_br"})
-    met = left.join(right, on).where(
-        (F.col("user_left") < F.col("user_right"))
-        & ((F.col("_lo") == F.col("_hi")) | (F.col("_bl") != F.col("_br")))
-    )
-    return met.select("user_left", "user_right").distinct()
-
-
-def friend_recommendations(located: DataFrame, now=None, max_km: float | None = 1.0,
-                           block: int = BLOCK) -> DataFrame:
+def friend_recommendations(located: DataFrame, now=None, max_km: float = 1.0) -> DataFrame:
     """Recommended pairs with the moment, their zone and its local time.
 
     Both users are subscribed to a common channel, are last seen in the same zone and at most ``max_km``
     apart, and never exchanged a message in either direction. ``located`` has event_type, user_id,
     message_to, channel, ts, event_id, lat, lon, id (zone) and tz. Zone and grid cell are part of the
-    join key, so only people near each other are paired. ``max_km=None`` keeps the zone condition alone.
+    join key, so only people near each other are paired.
     """
     spots = top1(located.select("user_id", "ts", "event_id", "id", "tz", "lat", "lon"), ["user_id"],
                  ["ts", "event_id"]).select("user_id", F.col("id").alias("zone_id"), "tz", "lat", "lon")
     subscribed = located.where(F.col("event_type") == "subscription").select("user_id", "channel").distinct()
     members = subscribed.join(spots, "user_id")
-    if max_km is None:
-        pairs = co_members(members, ["channel", "zone_id"], "user_id", block)
-    else:
-        left = members.select("channel", "zone_id", F.col("user_id").alias("user_left"), F.col("lat").alias("_lat"),
-                              F.col("lon").alias("_lon"))
-        right = members.select("channel", "zone_id", F.col("user_id").alias("user_right"), "lat", "lon")
-        met = within_distance(left, right, max_km, ("_lat", "_lon"), ("lat", "lon"), also=["channel", "zone_id"])
-        pairs = met.where(F.col("user_left") < F.col("user_right")).select("user_left", "user_right").distinct()
+    left = members.select("channel", "zone_id", F.col("user_id").alias("user_left"), F.col("lat").alias("_lat"),
+                          F.col("lon").alias("_lon"))
+    right = members.select("channel", "zone_id", F.col("user_id").alias("user_right"), "lat", "lon")
+    met = within_distance(left, right, max_km, ("_lat", "_lon"), ("lat", "lon"), also=["channel", "zone_id"])
+    pairs = met.where(F.col("user_left") < F.col("user_right")).select("user_left", "user_right").distinct()
     messages = located.where(F.col("event_type") == "message").where(F.col("message_to").isNotNull())
     strangers = without_pairs(pairs, messages, "user_left", "user_right", "user_id", "message_to")
     place = spots.select(F.col("user_id").alias("user_left"), "zone_id", "tz")

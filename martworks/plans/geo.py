@@ -27,7 +27,7 @@ def lake_events(lake: DataFrame) -> DataFrame:
 def locate(events: DataFrame, cities: DataFrame, units: str = "degrees") -> DataFrame:
     """Events with the nearest city (id, city, tz, distance); events without coordinates have no place."""
     placed = events.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    return nearest(placed, cities, row_key=["event_type", "event_id"], units=units)
+    return nearest(placed, cities, units=units)
 
 
 def user_geo(located: DataFrame, min_days: int = 27, travel: str = "days") -> DataFrame:

@@ -12,10 +12,13 @@ def purchase_paths(events: DataFrame, loaded: DataFrame | None = None, user: str
                    ts: str = "event_timestamp", page: str = "page_url_path", tiebreak: str | None = None,
                    first: Column | None = None,
                    then: tuple[str, ...] = ("/cart", "/payment", "/confirmation")) -> DataFrame:
-    """Product pages followed at once by cart, payment and confirmation; rows already loaded are left out."""
+    """Product pages followed at once by cart, payment and confirmation; rows already loaded are left out.
+
+    Events of one moment are taken in the order of ``tiebreak``, by default of their pages.
+    """
     start = F.col(page).startswith("/product") if first is None else first
-    order = [ts, tiebreak] if tiebreak else [ts]
-    found = funnel(events.select(user, *order, page), user, order, page, start, list(then)).select(user, ts, page)
+    order = [ts, tiebreak or page]
+    found = funnel(events.select(*dict.fromkeys([user, *order, page])), user, order, page, start, list(then)).select(user, ts, page)
     return found if loaded is None else absent(found, loaded, [user, ts, page])
 
 

@@ -29,7 +29,7 @@ def _newest(envelope: DataFrame) -> DataFrame:
 
 
 def users(target: DataFrame, envelope: DataFrame) -> DataFrame:
-    """New users with surrogate ids, in order of their numeric ids."""
+    """New users with surrogate ids; numeric ids in their order, then others in that of their text."""
     rows = open_envelope(_newest(envelope), USER).select(
         F.col("object_id").alias("user_id"), F.col("name").alias("user_name"), F.col("login").alias("user_login"),
         F.col("object_id").try_cast("long").alias("_order"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from martworks.operators.groups import collect_parts
+from martworks.operators.groups import PART_IDS, collect_parts
 from martworks.streaming import core
 from martworks.streaming.windows import parse_value
 
@@ -15,18 +15,18 @@ CUSTOMER = "CustomerID string, Address string, Birthdate string, Email string, N
 
 
 def purchases(topic: DataFrame) -> DataFrame:
-    return parse_value(topic, RETAIL).withColumn("Quantity", F.col("Quantity").try_cast("int"))
+    return parse_value(topic, RETAIL, "offset").withColumn("Quantity", F.col("Quantity").try_cast("int"))
 
 
-def histories(rows: DataFrame, max_items: int = 500_000) -> DataFrame:
-    """List of purchases per customer and country; a very long list continues in further rows."""
+def histories(rows: DataFrame, part_ids: int = PART_IDS) -> DataFrame:
+    """List of purchases per customer, country and part; a part is a range of message offsets."""
     item = F.struct("Description", "Quantity", "InvoiceDate")
-    return collect_parts(rows, ["CustomerID", "Country"], item, "PurchaseDescription", "InvoiceNo", max_items)
+    return collect_parts(rows, ["CustomerID", "Country"], item, "PurchaseDescription", "offset", part_ids)
 
 
 def run_purchases(topic: DataFrame, out: str, checkpoint: str, every: str | None = None):
     sink = core.batch_folder(out, lambda batch: histories(purchases(batch)))
-    return core.start(topic.select("value"), core.fan_out(sink), checkpoint, every=every)
+    return core.start(topic.select("value", "offset"), core.fan_out(sink), checkpoint, every=every)
 
 
 def run_customers(topic: DataFrame, out: str, checkpoint: str, every: str | None = None):

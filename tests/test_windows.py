@@ -1,4 +1,4 @@
-"""Window operators against plain windows, with hot keys forced by a small bound."""
+"""Window operators against plain windows, with keys in one part and in many."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import Window as W, functions as F
 
 from martworks.operators import windows
 from martworks.operators.joins import as_of
-from martworks.operators.skew import split_hot
+from martworks.operators.skew import in_parts, numbered
 
 
 @pytest.fixture(scope="module")
@@ -26,55 +26,57 @@ def log(spark):
     return spark.createDataFrame(data, "user int, ts timestamp, id int, city string, v int").cache()
 
 
-BOUNDS = [20, 1_000_000]
+SPANS = [3600, None]  # seconds: some fifty parts, and one
 
 
-def test_split_keeps_rows_and_order(log):
-    parts = split_hot(log, ["user"], "ts", 20)
-    assert parts.count() == log.count()
-    hot = parts.where("_part > 0")
-    assert [r.user for r in hot.select("user").distinct().collect()] == [1]
-    spans = hot.groupBy("_part").agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count("*").alias("n")).orderBy("_part").collect()
-    assert len(spans) > 5 and max(s.n for s in spans) < 60
-    assert all(x.b < y.a for x, y in zip(spans, spans[1:]))
-    assert split_hot(log, ["user"], "ts") is None
+@pytest.mark.parametrize("order, span", [("ts", 3600), ("id", 50), ("city", 1), ("half", 40), ("day", 86400)])
+def test_parts_follow_the_order(log, order, span):
+    rows = in_parts(log.withColumns({"half": F.col("id") / 2, "day": F.to_date("ts")}), ["user"], order, span)
+    spans = rows.groupBy("_part").agg(F.min(order).alias("a"), F.max(order).alias("b")).orderBy("_part").collect()
+    assert len(spans) > 2 and all(x.b < y.a for x, y in zip(spans, spans[1:]))
 
 
-@pytest.mark.parametrize("bound", BOUNDS)
-def test_shifted(log, rows, bound):
+def test_numbered(spark, rows):
+    df = spark.createDataFrame([(f"k{i * 7 % 100:03d}", i) for i in range(100)] + [(None, 100)], "k string, v int").repartition(5)
+    got = {r.k: r.n for r in numbered(df, ["k", "v"], "n").collect()}
+    assert got == {None: 1, **{f"k{i:03d}": i + 2 for i in range(100)}}
+
+
+@pytest.mark.parametrize("span", SPANS)
+def test_shifted(log, rows, span):
     w = W.partitionBy("user").orderBy("ts", "id")
     want = log.withColumns({"p": F.lag("city", 1).over(w), "p3": F.lag("v", 3).over(w), "n": F.lead("city", 1).over(w),
                             "n2": F.lead("v", 2).over(w)})
-    got = windows.shifted(log, ["user"], ["ts", "id"], {"p": ("city", -1), "p3": ("v", -3), "n": ("city", 1), "n2": ("v", 2)}, bound)
+    got = windows.shifted(log, ["user"], ["ts", "id"], {"p": ("city", -1), "p3": ("v", -3), "n": ("city", 1), "n2": ("v", 2)}, span)
     cols = ["id", "p", "p3", "n", "n2"]
     assert rows(got, *cols) == rows(want, *cols)
 
 
-@pytest.mark.parametrize("bound", BOUNDS)
-def test_running_sum(log, rows, bound):
+@pytest.mark.parametrize("span", SPANS)
+def test_running_sum(log, rows, span):
     w = W.partitionBy("user").orderBy("ts").rangeBetween(W.unboundedPreceding, 0)
     want = log.withColumn("s", F.sum("id").over(w))
-    assert rows(windows.running_sum(log, ["user"], ["ts"], "id", "s", bound), "id", "s") == rows(want, "id", "s")
+    assert rows(windows.running_sum(log, ["user"], ["ts"], "id", "s", span), "id", "s") == rows(want, "id", "s")
 
 
-@pytest.mark.parametrize("bound", BOUNDS)
-def test_carry_forward(log, rows, bound):
+@pytest.mark.parametrize("span", SPANS)
+def test_carry_forward(log, rows, span):
     w = W.partitionBy("user").orderBy("ts", "id").rowsBetween(W.unboundedPreceding, 0)
     want = log.withColumn("last", F.last("v", ignorenulls=True).over(w))
-    got = windows.carry_forward(log, ["user"], ["ts", "id"], {"last": "v"}, bound)
+    got = windows.carry_forward(log, ["user"], ["ts", "id"], {"last": "v"}, span)
     assert rows(got, "id", "last") == rows(want, "id", "last")
 
 
-@pytest.mark.parametrize("bound", BOUNDS)
+@pytest.mark.parametrize("span", SPANS)
 @pytest.mark.parametrize("down", [False, True])
-def test_ranked(log, rows, bound, down):
+def test_ranked(log, rows, span, down):
     w = W.partitionBy("user").orderBy(F.desc("ts") if down else F.asc("ts"))
     want = log.withColumn("r", F.rank().over(w))
-    assert rows(windows.ranked(log, ["user"], ["ts"], "r", down, hot_rows=bound), "id", "r") == rows(want, "id", "r")
+    assert rows(windows.ranked(log, ["user"], ["ts"], "r", down, span=span), "id", "r") == rows(want, "id", "r")
 
 
 def test_ranked_whole_frame(log, rows):
-    got = windows.ranked(log, [], ["id"], "n", unique=True, hot_rows=50)
+    got = windows.ranked(log, [], ["id"], "n", unique=True)
     assert rows(got, "id", "n") == sorted([(i, i + 1) for i in range(900)], key=repr)
 
 
@@ -82,34 +84,42 @@ def test_null_order_values(spark, rows):
     df = spark.createDataFrame([(1, None, i) for i in range(10)] + [(1, i, 100 + i) for i in range(30)], "k int, o int, id int")
     w = W.partitionBy("k").orderBy("o", "id")
     want = df.withColumn("p", F.lag("id").over(w))
-    assert rows(windows.shifted(df, ["k"], ["o", "id"], {"p": ("id", -1)}, 5), "id", "p") == rows(want, "id", "p")
+    assert rows(windows.shifted(df, ["k"], ["o", "id"], {"p": ("id", -1)}, 4), "id", "p") == rows(want, "id", "p")
 
 
-@pytest.mark.parametrize("bound", BOUNDS)
-def test_runs(spark, rows, bound):
+@pytest.mark.parametrize("span", [86400, None])
+@pytest.mark.parametrize("tie", ["id", "none"])
+def test_runs(spark, rows, span, tie):
     cities = ["A", "A", "B", "A"]
     df = spark.createDataFrame([(7, c, dt.datetime(2024, 1, 1 + i), i) for i, c in enumerate(cities)],
-                               "user int, city string, ts timestamp, id int")
-    got = windows.runs(df, "user", "city", "ts", "id", hot_rows=min(bound, 2))
+                               "user int, city string, ts timestamp, id int").withColumn("none", F.lit(None).cast("int"))
+    got = windows.runs(df, "user", "city", "ts", tie, span=span)
     assert rows(got, "run_no", "city", "events", "days") == [(1, "A", 2, 1), (2, "B", 1, 0), (3, "A", 1, 0)]
     assert windows.runs(df, "user", "city", "ts", "id", min_days=1).count() == 1
 
 
-def test_runs_agree_between_bounds(log, rows):
+def test_runs_agree_between_spans(log, rows):
     cols = ["user", "run_no", "city", "run_start", "run_end", "events", "days"]
-    assert rows(windows.runs(log, "user", "city", "ts", "id", hot_rows=25), *cols) == \
+    assert rows(windows.runs(log, "user", "city", "ts", "id", span=7200), *cols) == \
         rows(windows.runs(log, "user", "city", "ts", "id"), *cols)
 
 
-@pytest.mark.parametrize("bound", [3, 1_000_000])
-def test_funnel(spark, rows, bound):
+@pytest.mark.parametrize("span", [3, None])
+def test_funnel(spark, rows, span):
     pages = ["/product/1", "/cart", "/payment", "/confirmation", "/product/2", "/cart", "/home", "/product/3", "/cart", "/payment"]
     df = spark.createDataFrame([(1, i, p) for i, p in enumerate(pages)], "u int, ts int, page string")
     got = windows.funnel(df, "u", ["ts"], "page", F.col("page").startswith("/product"),
-                         ["/cart", "/payment", "/confirmation"], bound)
+                         ["/cart", "/payment", "/confirmation"], span)
     assert rows(got, "ts", "page") == [(0, "/product/1")]
 
 
+@pytest.mark.parametrize("span", [2, None])
+def test_running_sum_with_nulls_and_fractions(spark, rows, span):
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate([None, 5.1, None, None, 6.2, None, 0.1])], "k int, o int, v double")
+    got = windows.running_sum(df, ["k"], ["o"], "v", "s", span)
+    assert [r.s for r in got.orderBy("o").collect()] == [None, 5.1, 5.1, 5.1, 11.3, 11.3, 11.4]
+
+
 def test_top1_and_top_n(log, rows):
     w = W.partitionBy("user").orderBy(F.desc("ts"), F.desc("id"))
     want = log.withColumn("rn", F.row_number().over(w))
@@ -123,11 +133,11 @@ def test_with_stats_null_key(spark, rows):
     assert rows(windows.with_stats(df, ["k"], s=F.sum("v")), "k", "v", "s") == [(1, 5, 5), (None, 1, 3), (None, 2, 3)]
 
 
-@pytest.mark.parametrize("bound", [10, 1_000_000])
-def test_as_of(spark, log, bound):
+@pytest.mark.parametrize("span", SPANS)
+def test_as_of(spark, log, span):
     left = log.where("city = 'A'").select("user", "ts", "id")
     right = log.where("city = 'B'")
-    got = {r.id: r.last_v for r in as_of(left, right, "user", "ts", ["v"], tiebreak="id", hot_rows=bound).collect()}
+    got = {r.id: r.last_v for r in as_of(left, right, "user", "ts", ["v"], tiebreak="id", span=span).collect()}
     known = [(r.user, r.ts, r.id, r.v) for r in right.collect()]
     for r in left.collect():
         before = [k for k in known if k[0] == r.user and k[1] <= r.ts]
