@@ -9,15 +9,17 @@ high bytes of ids; after a high byte the low byte follows.
 
 Blocks are worked on side by side, one id of each at a time, in numpy.
 
-File: MAGIC; blocks; the index; its place and length, checksum and MAGIC again. A block is the coder's words. The
-index holds per block its place, length, number of ids and the checksum of the ids, and per document its id and
-number of ids.
+File: MAGIC; blocks; the index; its place and length, checksum and MAGIC again. A block is the coder's words of 32
+bits. The index holds per block its place, length, number of ids and the checksum of the ids, and per document its id
+and number of ids.
 """
 
 from __future__ import annotations
 
 import os
 import struct
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,8 +41,13 @@ LANES = 2048
 CELLS = 2048
 #: High bytes share 2^12 parts; their frequencies are counted anew after so many ids.
 SHARES, RENEW = 12, 256
-_LOW32, _TOP = np.uint64((1 << 32) - 1), np.uint64(1 << 48)
-_U16, _U48 = np.uint64(16), np.uint64(48)
+_U16, _U32 = np.uint64(16), np.uint64(32)
+_SMALL, _FULL = np.uint64(1 << 32), np.uint64((1 << 64) - 1)
+#: How far a prediction that was right so often is trusted, of 2^16, and what becomes of the count when it is right
+#: or wrong (at 0 another id takes its place).
+_TRUST = np.array([0, *[65536 * (k + 1) // (k + 3) for k in range(1, 16)]], np.int32)
+_NEXT = np.array([*[k >> 1 for k in range(16)], *[min(k + 1, 15) for k in range(16)]], np.int32)
+_NEXT[16] = 0
 
 
 class _Model:
@@ -49,11 +56,11 @@ class _Model:
     def __init__(self, lanes: int):
         self.lanes = lanes
         lane = np.arange(lanes, dtype=np.int32)
-        self.base, self.level, self.byte = lane * CELLS, lane * 16, lane * 256
-        # Per context the id that followed and, in the lowest four bits, how well it is known.
+        self.base, self.byte = lane * CELLS, lane * 256
+        # Per context the id that followed and, in the lowest four bits, how often it was right.
         self.memory = [np.zeros(lanes * CELLS, np.int32) for _ in range(2)]
-        # How often a prediction known so well was right, of 2^16.
-        self.trust = [np.tile((np.arange(16) * 2600 + 8000).astype(np.int32), lanes) for _ in range(2)]
+        # The share of right predictions of each order of late, of 2^15.
+        self.weight = [np.full(lanes, 1 << 14, np.int32) for _ in range(2)]
         self.counts = np.zeros(lanes * 256, np.int32)
         self.last = [np.zeros(lanes, np.int32) for _ in range(2)]
         self.step = 0
@@ -73,134 +80,147 @@ class _Model:
 
     def predict(self) -> None:
         one, two = self.last
-        self.at = [self.base + (((one * 40503 + 977) >> 5) & (CELLS - 1)),
-                   self.base + (((one * 25173 + two * 13849 + 131) >> 7) & (CELLS - 1))]
-        (self.p1, self.n1), (self.p2, self.n2) = ((e >> 4, e & 15) for e in map(np.take, self.memory, self.at))
-        self.a1, self.a2 = self.level + self.n1, self.level + self.n2
-        self.t1, self.t2 = self.trust[0].take(self.a1), self.trust[1].take(self.a2)
-        self.m2 = np.minimum(self.t2, 53248) * (self.n2 > 0)
-        some = (self.n1 > 0) & ((self.p1 != self.p2) | (self.n2 == 0))
-        left = 61440 - self.m2
-        self.m1 = (left >> 4) * (self.t1 >> 4) // 4096 * 16 * some
-        self.known = self.m2 + self.m1
-        self.rest = 65536 - self.known
+        self.at = [self.base + (((one * 40503) >> 5) & (CELLS - 1)),
+                   self.base + (((one * 25173 + two * 13849) >> 7) & (CELLS - 1))]
+        self.seen = [m.take(a) for m, a in zip(self.memory, self.at)]
+        self.known = [e & 15 for e in self.seen]
+        self.p1, self.p2 = (e >> 4 for e in self.seen)
+        # The interval's parts: trust in the context's own record, weighed by how right the order has been.
+        w1, w2 = self.weight
+        self.m2 = (_TRUST.take(self.known[1]) * (w2 >> 3)) >> 12
+        m1 = (_TRUST.take(self.known[0]) * (w1 >> 3)) >> 12
+        self.m1 = (((61440 - self.m2) >> 2) * (m1 >> 2) >> 12) * (self.p1 != self.p2)
+        self.both = self.m2 + self.m1
+        self.rest = 65536 - self.both
 
     def update(self, ids: np.ndarray) -> None:
-        for k, (p, n, a, t) in enumerate(((self.p1, self.n1, self.a1, self.t1), (self.p2, self.n2, self.a2, self.t2))):
-            hit = (p == ids) & (n > 0)
-            self.trust[k][a] = t + ((hit * np.int32(65535) - t) >> 5)
-            n = np.where(hit, np.minimum(n + 1, 15), n >> 1)
-            self.memory[k][self.at[k]] = np.where(n == 0, ids << 4 | 1, p << 4 | n)
+        fresh = ids << 4 | 1
+        for k, p in enumerate((self.p1, self.p2)):
+            hit = p == ids
+            self.weight[k] += ((hit * np.int32(32767)) - self.weight[k]) >> 5
+            known = self.known[k]
+            after = _NEXT.take(known + (hit << 4).astype(np.int32))
+            self.memory[k][self.at[k]] = np.where(after == 0, fresh, self.seen[k] - known + after)
         self.counts[self.byte + (ids >> 8)] += 1
         self.last = [ids, self.last[0]]
         self.step += 1
         if self.step % RENEW == 0:
             self._renew()
 
+    def high(self, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of a high byte in the part that neither prediction takes."""
+        at = self.byte + byte
+        left = (self.rest * self.starts.take(at)) >> SHARES
+        return self.both + left, ((self.rest * self.ends.take(at)) >> SHARES) - left
+
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
-    """The blocks of an array of shape (blocks, BLOCK) of ids below 2^16, each coded on its own."""
+    """The blocks of an array of shape (blocks, BLOCK) of ids below 2^16, each coded on its own.
+
+    The coder holds the low end of its interval in 64 bits and gives out 32 whenever the interval is shorter than
+    2^32; a carry is added to the word before, and carried on through the words at the end.
+    """
     lanes = len(ids)
     model = _Model(lanes)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    words, at = np.zeros((lanes, 3 * BLOCK + 16), np.uint16), np.zeros(lanes, np.int64)
-
-    def put(which, start, size, bits):
-        r = span[which] >> np.uint64(bits)
-        l, s = low[which] + start.astype(np.uint64) * r, size.astype(np.uint64) * r
-        here = np.arange(lanes) if isinstance(which, slice) else which
-        low[which], span[which] = l, s
-        while True:
-            fixed = (l ^ (l + s)) < _TOP
-            short = ~fixed & (s <= _LOW32)
-            out = np.flatnonzero(fixed | short)
-            if not len(out):
-                return
-            here, l = here[out], l[out]
-            s = np.where(short[out], (np.uint64(0) - l) & _LOW32, s[out])
-            words[here, at[here]] = (l >> _U48).astype(np.uint16)
-            at[here] += 1
-            l, s = l << _U16, s << _U16
-            low[here], span[here] = l, s
-
-    every = slice(None)
+    low, span = np.zeros(lanes, np.uint64), np.full(lanes, _FULL, np.uint64)
+    words, at = np.zeros((lanes, BLOCK + 8), np.uint64), np.ones(lanes, np.int64)  # the first word takes a carry
+
+    def out(low, span, lane):
+        """Give out a word where the interval is short; the changed ends."""
+        short = np.flatnonzero(span < _SMALL)
+        if len(short):
+            who = short if lane is None else lane[short]
+            words[who, at[who]] = low[short] >> _U32
+            at[who] += 1
+            low[short] <<= _U32
+            span[short] <<= _U32
+        return low, span
+
+    def carried(low, add, lane):
+        over = np.flatnonzero(low < add)
+        if len(over):
+            who = over if lane is None else lane[over]
+            words[who, at[who] - 1] += np.uint64(1)
+
     for column in np.ascontiguousarray(ids.T.astype(np.int32)):
         model.predict()
         second = (column == model.p2) & (model.m2 > 0)
         first = (column == model.p1) & (model.m1 > 0) & ~second
-        high = model.byte + (column >> 8)
-        left = (model.rest * model.starts.take(high)) >> SHARES
-        right = (model.rest * model.ends.take(high)) >> SHARES
-        start = np.where(second, 0, np.where(first, model.m2, model.known + left))
-        size = np.where(second, model.m2, np.where(first, model.m1, right - left))
-        put(every, start, size, 16)
-        new = np.flatnonzero(~(second | first))
+        start, size = model.high(column >> 8)
+        miss = ~(second | first)
+        start = np.where(miss, start, model.m2 * first)
+        size = np.where(miss, size, np.where(second, model.m2, model.m1))
+        span >>= _U16
+        add = start.astype(np.uint64) * span
+        low += add
+        span *= size.astype(np.uint64)
+        carried(low, add, None)
+        low, span = out(low, span, None)
+        new = np.flatnonzero(miss)
         if len(new):
-            put(new, column[new] & 255, np.ones(len(new), np.int32), 8)
+            part = span[new] >> np.uint64(8)
+            add = (column[new] & 255).astype(np.uint64) * part
+            end = low[new] + add
+            carried(end, add, new)
+            low[new], span[new] = out(end, part, new)
         model.update(column)
-    for _ in range(4):
-        words[np.arange(lanes), at] = (low >> _U48).astype(np.uint16)
-        low <<= _U16
+    for _ in range(2):
+        words[np.arange(lanes), at] = low >> _U32
+        low <<= _U32
         at += 1
-    return [words[i, :at[i]].astype("<u2").tobytes() for i in range(lanes)]
+    for k in range(words.shape[1] - 1, 0, -1):
+        words[:, k - 1] += words[:, k] >> _U32
+    words &= np.uint64(0xFFFFFFFF)
+    packed = words.astype("<u4")
+    return [packed[i, 1:at[i]].tobytes() for i in range(lanes)]
 
 
 def decode_blocks(blocks: list[bytes]) -> np.ndarray:
     """The ids of coded blocks, of shape (blocks, BLOCK)."""
     lanes = len(blocks)
-    longest = max(len(b) for b in blocks) // 2 + 8
+    longest = max(len(b) for b in blocks) // 4 + 8
     words = np.zeros((lanes, longest), np.uint64)
     for i, b in enumerate(blocks):
-        words[i, :len(b) // 2] = np.frombuffer(b, "<u2")
+        words[i, :len(b) // 4] = np.frombuffer(b, "<u4", len(b) // 4)
     model = _Model(lanes)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    code, at = np.zeros(lanes, np.uint64), np.full(lanes, 4, np.int64)
-    for k in range(4):
-        code = code << _U16 | words[:, k]
+    # The place of the coded number in the interval.
+    place, span, at = words[:, 0] << _U32 | words[:, 1], np.full(lanes, _FULL, np.uint64), np.full(lanes, 2, np.int64)
     out = np.zeros((BLOCK, lanes), np.int32)
 
-    def take(which, start, size, r):
-        l, s = low[which] + start.astype(np.uint64) * r, size.astype(np.uint64) * r
-        here = np.arange(lanes) if isinstance(which, slice) else which
-        low[which], span[which] = l, s
-        while True:
-            fixed = (l ^ (l + s)) < _TOP
-            short = ~fixed & (s <= _LOW32)
-            go = np.flatnonzero(fixed | short)
-            if not len(go):
-                return
-            here, l = here[go], l[go]
-            s = np.where(short[go], (np.uint64(0) - l) & _LOW32, s[go])
+    def more(place, span, lane):
+        short = np.flatnonzero(span < _SMALL)
+        if len(short):
+            who = short if lane is None else lane[short]
             # A damaged block may ask for words it does not have; its checksum will tell.
-            code[here] = code[here] << _U16 | words[here, np.minimum(at[here], longest - 1)]
-            at[here] += 1
-            l, s = l << _U16, s << _U16
-            low[here], span[here] = l, s
+            place[short] = place[short] << _U32 | words[who, np.minimum(at[who], longest - 1)]
+            at[who] += 1
+            span[short] <<= _U32
+        return place, span
 
-    every, owner = slice(None), np.arange(lanes, dtype=np.int32) << SHARES
+    owner = np.arange(lanes, dtype=np.int32) << SHARES
     symbols = model.symbols()
     for step in range(BLOCK):
         model.predict()
-        r = np.maximum(span >> _U16, np.uint64(1))
-        value = np.minimum((code - low) // r, np.uint64(65535)).astype(np.int32)
+        span >>= _U16
+        np.maximum(span, np.uint64(1), out=span)
+        value = np.minimum(place // span, np.uint64(65535)).astype(np.int32)
         second = value < model.m2
-        first = ~second & (value < model.known)
-        over = np.maximum(value - model.known, 0)
-        share = np.minimum(((over + 1 << SHARES) - 1) // model.rest, (1 << SHARES) - 1)
-        byte = symbols.take(owner + share).astype(np.int32)
-        high = model.byte + byte
-        left = (model.rest * model.starts.take(high)) >> SHARES
-        right = (model.rest * model.ends.take(high)) >> SHARES
-        start = np.where(second, 0, np.where(first, model.m2, model.known + left))
-        size = np.where(second, model.m2, np.where(first, model.m1, right - left))
-        take(every, start, size, r)
-        ids = np.where(second, model.p2, np.where(first, model.p1, byte << 8))
-        new = np.flatnonzero(~(second | first))
+        miss = value >= model.both
+        share = ((np.maximum(value - model.both, 0) + 1 << SHARES) - 1) // model.rest
+        byte = symbols.take(owner + np.minimum(share, (1 << SHARES) - 1)).astype(np.int32)
+        start, size = model.high(byte)
+        start = np.where(miss, start, np.where(second, 0, model.m2))
+        size = np.where(miss, size, np.where(second, model.m2, model.m1))
+        place -= start.astype(np.uint64) * span
+        span *= size.astype(np.uint64)
+        place, span = more(place, span, None)
+        ids = np.where(miss, byte << 8, np.where(second, model.p2, model.p1))
+        new = np.flatnonzero(miss)
         if len(new):
-            r = np.maximum(span[new] >> np.uint64(8), np.uint64(1))
-            value = np.minimum((code[new] - low[new]) // r, np.uint64(255)).astype(np.int32)
-            take(new, value, np.ones(len(new), np.int32), r)
-            ids[new] |= value
+            part = np.maximum(span[new] >> np.uint64(8), np.uint64(1))
+            value = np.minimum(place[new] // part, np.uint64(255))
+            place[new], span[new] = more(place[new] - value * part, part, new)
+            ids[new] |= value.astype(np.int32)
         out[step] = ids
         model.update(ids)
         if model.step % RENEW == 0:
@@ -310,7 +330,15 @@ class Units:
     pattern cuts, too, so the pieces' ids together are those of the text.
     """
 
-    LIMIT = 1 << 21
+    LIMIT = 600_000
+
+    @classmethod
+    def of(cls, path: str) -> Units:
+        """The one of this worker process: what earlier tasks have looked up need not be looked up again."""
+        kept = sys.modules.setdefault("_token_units", types.ModuleType("_token_units")).__dict__
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -418,7 +446,7 @@ def write_files(docs: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", folder
         for batch in batches:
             for piece in pieces(batch, "text"):
                 if writer is None:
-                    units, head = Units(tokenizer), (piece.column("doc_id")[0].as_py(), piece.column("tie")[0].as_py())
+                    units, head = Units.of(tokenizer), (piece.column("doc_id")[0].as_py(), piece.column("tie")[0].as_py())
                     system, path = pa.fs.FileSystem.from_uri(folder)
                     system.create_dir(path, recursive=True)
                     name = f"{uuid.uuid4().hex}.tokens"
