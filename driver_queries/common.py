@@ -48,6 +48,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def per_order(lines: DataFrame, item, name: str) -> DataFrame:
+    """The lines of each order as a sorted list; an order has at most seven."""
+    return lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias(name))
+
+
 def query(build):
     """A registered query out of a function of the tables."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:

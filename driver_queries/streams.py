@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driver_queries import vaults
-from driver_queries.common import Tables, query, ts_sql, uuid5_sql
+from driver_queries.common import Tables, day_sql, query, stored, ts_sql, uuid5_sql
 from martworks.functions.text import words
 from martworks.plans import counters, vault
 from martworks.session import scratch
@@ -28,7 +28,7 @@ def stream_words(t: Tables):
     """Word counts over all documents, complete mode."""
     out, checkpoint = _paths(t, "words")
     core.run_for(core.start(windows.word_counts(t.stream("documents"), "text"), core.snapshot(out), checkpoint, "complete"))
-    return t.spark.read.parquet(out)
+    return core.latest(t.spark, out)
 
 
 WORDS_SQL = r"""
@@ -41,7 +41,7 @@ def stream_slide(t: Tables):
     out, checkpoint = _paths(t, "slide")
     counted = windows.window_counts(events(t), "ts", ["event_type"], "1 hour", "30 minutes")
     core.run_for(core.start(counted, core.snapshot(out), checkpoint, "complete"))
-    return t.spark.read.parquet(out)
+    return core.latest(t.spark, out)
 
 
 SLIDE_SQL = f"""
@@ -165,31 +165,40 @@ SELECT CAST(event_id AS VARCHAR) AS object_id,
 FROM e WHERE event_type IN ('purchase', 'click', 'view')"""
 
 
-def _topic_stream(t: Tables, batch_topic, name: str):
-    """A topic frame landed as Parquet files and read as a stream."""
+def _topic_stream(t: Tables, name: str, *deliveries):
+    """Topic frames landed one after the other as a file each, and read as a stream of one file per batch."""
     path = scratch(t.spark, name)
-    batch_topic.write.parquet(path)
-    return t.spark.readStream.schema(batch_topic.schema).parquet(path)
+    for rows in deliveries:
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(deliveries[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def stream_enrich(t: Tables):
-    """Raw orders to enriched messages; raw rows stored beside them."""
+    """Raw orders to enriched messages; raw rows stored beside them. Every fourth order is sent again a batch later,
+    with another status."""
     out, checkpoint = _paths(t, "enrich")
-    raw = _topic_stream(t, vaults.raw_topic(t), "raw_orders")
+    first = stored(vaults.raw_topic(t), "raw_orders").select("value")
+    text = F.col("value").cast("string")
+    again = first.where(F.get_json_object(text, "$.object_id").cast("bigint") % 4 == 0).select(F.regexp_replace(
+        F.regexp_replace(text, '"final_status":"[A-Z]"', '"final_status":"Z"'), '"sent_dttm":"[^"]*"', '"sent_dttm":"2031-01-01T00:00:00"').cast("binary").alias("value"))
+    raw = _topic_stream(t, "raw_topic", first, again)
     core.run_for(orders.run_enrich(raw, vaults.user_lookup(t), vaults.shop_lookup(t), out, checkpoint))
     messages = windows.parse_value(core.batches(t.spark, f"{out}/messages"), vault.ORDER_MESSAGE)
-    stored = core.batches(t.spark, f"{out}/order_events").select("object_id", F.col("object_type").alias("raw_type"))
+    kept = core.upserted(t.spark, f"{out}/order_events").select(
+        "object_id", F.col("object_type").alias("raw_type"), F.get_json_object("payload", "$.final_status").alias("raw_status"))
     p = F.col("payload")
-    return messages.join(stored, "object_id").select(
-        "object_id", "raw_type", p["status"].alias("status"), p["restaurant"]["name"].alias("restaurant"),
+    return messages.join(kept, "object_id").select(
+        "object_id", "raw_type", "raw_status", p["status"].alias("status"), p["restaurant"]["name"].alias("restaurant"),
         p["user"]["login"].alias("login"), F.size(p["products"]).cast("bigint").alias("products"))
 
 
 STREAM_ENRICH_SQL = """
 WITH s AS (SELECT l_orderkey, min(l_suppkey) AS shop, count(*) AS products FROM lineitem GROUP BY 1)
-SELECT o_orderkey AS object_id, 'order' AS raw_type, o_orderstatus AS status, s_name AS restaurant,
+SELECT o_orderkey AS object_id, 'order' AS raw_type, CASE WHEN o_orderkey % 4 = 0 THEN 'Z' ELSE o_orderstatus END AS raw_status,
+       CASE WHEN sent = 1 THEN 'Z' ELSE o_orderstatus END AS status, s_name AS restaurant,
        lower(c_mktsegment) AS login, products
-FROM orders JOIN s ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = shop JOIN customer ON c_custkey = o_custkey"""
+FROM orders JOIN s ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = shop JOIN customer ON c_custkey = o_custkey
+JOIN (VALUES (0), (1)) v(sent) ON sent = 0 OR o_orderkey % 4 = 0"""
 
 
 def _enriched_topic(t: Tables):
@@ -199,7 +208,10 @@ def _enriched_topic(t: Tables):
 
 def _vault_run(t: Tables):
     out, checkpoint = _paths(t, "vault")
-    topic = _topic_stream(t, _enriched_topic(t), "enriched_orders")
+    # Three batches: odd orders, the others, and some of both once more.
+    rows = stored(_enriched_topic(t), "enriched_orders")
+    key = F.get_json_object(F.col("value").cast("string"), "$.object_id").cast("bigint")
+    topic = _topic_stream(t, "enriched_topic", rows.where(key % 2 == 1), rows.where(key % 2 == 0), rows.where(key % 5 == 0))
     core.run_for(orders.run_vault(t.spark, topic, out, checkpoint, vaults.LOADED))
     return {table: core.batches(t.spark, f"{out}/{table}") for table in vault.TABLES}
 
@@ -225,13 +237,12 @@ UNION ALL SELECT DISTINCT 'h_order', o FROM k"""
 
 
 def stream_counters(t: Tables):
-    """Running order counters per user and product of the compact messages, each message sent twice."""
+    """Running order counters per user and product of the compact messages, each message sent in both batches."""
     out, checkpoint = _paths(t, "counters")
-    compact = vault.compact_messages(vaults.enriched(t)).select(
-        F.to_json(F.struct("id", "user", "products")).cast("binary").alias("value"))
-    topic = _topic_stream(t, compact.unionByName(compact), "compact_orders")
-    core.run_for(orders.run_counters(topic, counters.PRODUCT, out, checkpoint))
-    return core.newest_per_key(t.spark, out, counters.PRODUCT)
+    compact = stored(vault.compact_messages(vaults.enriched(t)).select(
+        F.to_json(F.struct("id", "user", "products")).cast("binary").alias("value")), "compact_orders")
+    core.run_for(orders.run_counters(_topic_stream(t, "compact_topic", compact, compact), counters.PRODUCT, out, checkpoint))
+    return orders.current_counters(t.spark, out, counters.PRODUCT)
 
 
 def stream_history(t: Tables):
@@ -303,8 +314,10 @@ def stream_missing_words(t: Tables):
     """Words of the documents that no benchmark item has."""
     out, checkpoint = _paths(t, "missing")
     known = t.benchmark.select(F.explode(words("text")).alias("words"))
-    core.run_for(core.start_files(windows.missing_words(t.stream("documents"), "text", known, "words"), out, checkpoint))
-    return t.spark.read.parquet(out)
+    found = _topic_stream(t, "texts", *[t.documents.where(F.col("doc_id") % 2 == k).select("text") for k in (0, 1)])
+    sink = core.first_seen(out, ["word"], lambda batch: windows.missing_words(batch, "text", known, "words"))
+    core.run_for(core.start(found, sink, checkpoint))
+    return core.batches(t.spark, out)
 
 
 MISSING_SQL = r"""
@@ -313,6 +326,24 @@ SELECT DISTINCT word FROM (
 WHERE word <> '' AND word NOT IN (SELECT unnest(string_split_regex(lower(text), '[^\p{L}\p{N}]+')) FROM benchmark)"""
 
 
+def stream_late(t: Tables):
+    """Events per type and day. A tenth of the first days of January is delivered last: it comes too late to count."""
+    out, checkpoint = _paths(t, "late")
+    rows = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
+    late = (F.col("ts") < F.lit("2024-01-14").cast("timestamp")) & (F.col("event_id") % 10 == 0)
+    topic = _topic_stream(t, "late_events", rows.where(early & ~late), rows.where(~early), rows.where(late))
+    core.run_for(core.start_files(windows.window_counts(topic, "ts", ["event_type"], "1 day", delay="1 hour"), out, checkpoint))
+    return t.spark.read.parquet(out).select(F.to_date("window_start").alias("day"), "event_type", "cnt")
+
+
+LATE_SQL = f"""
+SELECT {day_sql("date_trunc('day', ts)")} AS day, event_type, count(*) AS cnt FROM events
+WHERE ts >= TIMESTAMP '2024-01-14' OR event_id % 10 <> 0
+GROUP BY date_trunc('day', ts), event_type
+HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""
+
+
 def stream_join(t: Tables):
     """Clicks with the user's purchases in the following hour, as a join of two streams."""
     out, checkpoint = _paths(t, "join")
@@ -349,6 +380,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS "CustomerID", c_mktsegment AS "Address", c_
        CAST(NULL AS VARCHAR) AS "Email" FROM customer"""),
     "stream_geoads": (stream_geoads, GEOADS_SQL),
     "stream_missing_words": (stream_missing_words, MISSING_SQL),
+    "stream_late": (stream_late, LATE_SQL),
     "stream_join": (stream_join, STREAM_JOIN_SQL),
 }
 QUERIES = {name: (query(fn), sql) for name, (fn, sql) in QUERIES.items()}

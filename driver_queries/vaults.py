@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from driver_queries.common import Tables, dec, query, stored, ts_sql, uuid5_sql
+from driver_queries.common import Tables, dec, per_order, query, stored, ts_sql, uuid5_sql
 from martworks.operators.groups import collect_parts
 from martworks.plans import counters, vault
 from martworks.sources import kafka
@@ -27,7 +27,7 @@ def raw_topic(t: Tables):
         F.col("l_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
         dec("l_extendedprice").alias("price"), F.col("l_quantity").cast("int").alias("quantity"))
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    items = collect_parts(lines, ["l_orderkey"], item, "order_items", "l_partkey")
+    items = per_order(lines, item, "order_items")
     rows = (
         t.orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")).join(shop_of_order(t), "o_orderkey")
         .select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.common import Tables, day, day_sql, dec, query, stored, ts_sql
+from driver_queries.common import Tables, day, day_sql, dec, per_order, query, stored, ts_sql
 from martworks.functions import nested
 from martworks.functions.keys import text_key
 from martworks.operators import load
@@ -585,7 +585,7 @@ def snowflake_fact(t: Tables):
         F.col("l_quantity").cast("int").alias("quantity"), (price * F.col("l_quantity").cast("int")).alias("product_cost"),
         (price * dec("l_discount", 4, 2)).cast("decimal(14,2)").alias("bonus_payment"),
         (price * dec("l_tax", 4, 2)).cast("decimal(14,2)").alias("bonus_grant"))
-    events = collect_parts(t.lineitem, ["l_orderkey"], payment, "product_payments", "l_partkey").select(
+    events = per_order(t.lineitem, payment, "product_payments").select(
         F.lit("bonus_transaction").alias("event_type"),
         nested.to_message(F.col("l_orderkey").cast("string").alias("order_id"), "product_payments").alias("event_value"))
 

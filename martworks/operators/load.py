@@ -22,13 +22,13 @@ def insert_new(target: DataFrame, src: DataFrame, keys: list[str], pick: dict[st
     A key whose first column is null is not inserted. ``pick`` gives an aggregate per remaining column (such as
     ``max(city_id)``); without it the keys alone.
     """
-    fresh = _without(src.where(F.col(keys[0]).isNotNull()), target, keys)
+    fresh = without_keys(src.where(F.col(keys[0]).isNotNull()), target, keys)
     if pick is None:
         return fresh.select(*keys).distinct()
     return fresh.groupBy(*keys).agg(*[c.alias(name) for name, c in pick.items()])
 
 
-def _without(df: DataFrame, known: DataFrame, keys: list[str], how: str = "left_anti") -> DataFrame:
+def without_keys(df: DataFrame, known: DataFrame, keys: list[str], how: str = "left_anti") -> DataFrame:
     """Rows whose key does not occur in ``known`` (or, as a semi join, those whose key does), null equal to null."""
     names = [f"_known{i}" for i in range(len(keys))]
     other = known.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
@@ -54,7 +54,7 @@ def upsert(target: DataFrame, src: DataFrame, keys: list[str], update_cols: list
     src = keep_latest(src.select(*target.columns, *[c for c in newest or [] if c not in target.columns]), keys,
                       newest or [c for c in target.columns if c not in keys])
     if update_cols is None:
-        return _without(target, src, keys).unionByName(src.select(*target.columns))
+        return without_keys(target, src, keys).unionByName(src.select(*target.columns))
     new = src.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.lit(True).alias("_new"),
                      *[F.col(c).alias(f"_n_{c}") for c in target.columns if c not in keys])
     on = null_safe(target, keys, new, [f"_k_{k}" for k in keys])
@@ -120,7 +120,7 @@ def merge_partitions(spark: SparkSession, path: str, src: DataFrame, keys: list[
     for c in by:
         lo, hi = (bounds.select(f"_{n}_{c}").scalar() for n in ("lo", "hi"))
         near = near & (F.col(c).between(lo, hi) | F.col(c).isNull())
-    touched = _without(target.where(near), src, by, "left_semi")
+    touched = without_keys(target.where(near), src, by, "left_semi")
     staged = scratch(spark, "merge")
     upsert(touched, src, [*by, *keys], newest=newest).write.partitionBy(*by).parquet(staged)
     replace_partition(spark.read.parquet(staged).select(*target.columns), path, by)
@@ -198,7 +198,7 @@ def new_calendar(target: DataFrame, moments: DataFrame, ts_col: str) -> DataFram
     )
 
 
-def append_without(df: DataFrame, path: str, drop: list[str], unique: list[str] | None = None) -> None:
+def appendwithout_keys(df: DataFrame, path: str, drop: list[str], unique: list[str] | None = None) -> None:
     """Append, leaving out source-side columns, after removing duplicates by the given key."""
     rows = df.dropDuplicates(unique) if unique else df
     rows.drop(*drop).write.mode("append").parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martworks.operators.dedup import keep_latest
-from martworks.operators.joins import array_lookup
+from martworks.operators.joins import absent, array_lookup
 from martworks.plans import counters, vault
 from martworks.streaming import core
 from martworks.streaming.windows import parse_value
@@ -60,9 +60,9 @@ def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> Dat
 
 def run_enrich(topic: DataFrame, users: DataFrame, restaurants: DataFrame, out: str, checkpoint: str,
                every: str | None = None):
-    """Raw rows and enriched messages of every batch."""
+    """Raw rows, the newest of each order over all batches (``core.upserted``), and enriched messages of every batch."""
     sink = core.fan_out(
-        core.batch_folder(f"{out}/order_events", raw_events),
+        core.upsert_folder(f"{out}/order_events", ["object_id"], ["sent_dttm", "payload"], raw_events),
         core.batch_folder(f"{out}/messages",
                           lambda b: core.as_messages(enriched(parse_value(b, RAW), users, restaurants))),
     )
@@ -70,18 +70,22 @@ def run_enrich(topic: DataFrame, users: DataFrame, restaurants: DataFrame, out:
 
 
 def vault_sink(spark: SparkSession, out: str, load_dt):
-    """Sink that adds a batch's new keys to the 14 tables and writes the compact messages."""
+    """Sink that adds a batch's new keys to the 14 tables and writes the compact messages. Of what is stored only the
+    buckets that the batch's keys lie in are read."""
     def write(batch: DataFrame, batch_id: int) -> None:
         # Parsed once for all fifteen outputs.
         messages = parse_value(batch, vault.ORDER_MESSAGE).persist()
+        rows = {t: r.persist() for t, r in vault.vault_rows(messages, load_dt).items()}
         try:
-            schemas = {t: rows.schema for t, rows in vault.vault_rows(messages, load_dt).items()}
-            before = {t: core.earlier_batches(spark, f"{out}/{t}", batch_id, schemas[t]) for t in vault.TABLES}
-            for table, rows in vault.vault_rows(messages, load_dt, existing=before).items():
-                core.batch_folder(f"{out}/{table}")(rows, batch_id)
+            touched = core.touched_buckets({t: (r, [vault.TABLES[t]]) for t, r in rows.items()})
+            for table, found in rows.items():
+                key = [vault.TABLES[table]]
+                before = core.earlier_batches(spark, f"{out}/{table}", batch_id, found.schema, touched[table])
+                core.batch_folder(f"{out}/{table}", keys=key)(absent(found, before, key), batch_id)
             core.batch_folder(f"{out}/messages", core.as_messages)(vault.compact_messages(messages), batch_id)
         finally:
-            messages.unpersist()
+            for held in (messages, *rows.values()):
+                held.unpersist()
     return write
 
 
@@ -89,12 +93,25 @@ def run_vault(spark: SparkSession, topic: DataFrame, out: str, checkpoint: str,
     return core.start(topic.select("value"), vault_sink(spark, out, load_dt), checkpoint, every=every)
 
 
-def counter_stream(topic: DataFrame, by: list[str]) -> DataFrame:
-    """Running number of distinct orders per key: orders are deduplicated, then counted."""
-    lines = counters.order_lines(parse_value(topic, counters.COMPACT))
-    return lines.dropDuplicates(["id", *by]).groupBy(*by).agg(F.count(F.lit(1)).alias("order_cnt"))
+def counter_sink(by: list[str], out: str) -> core.Sink:
+    """Sink for running numbers of distinct orders per key. An order counts in the batch that brings it first: the pairs
+    seen are kept in files by bucket, and each batch adds the counts of its new ones."""
+    def lines(batch: DataFrame) -> DataFrame:
+        return counters.order_lines(parse_value(batch, counters.COMPACT)).select("id", *by)
+
+    pairs = core.first_seen(f"{out}/pairs", ["id", *by], lines)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        pairs(batch, batch_id)
+        new = batch.sparkSession.read.schema(lines(batch).schema).parquet(f"{out}/pairs/batch_id={batch_id}")
+        core.batch_folder(f"{out}/counts", lambda rows: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("order_cnt")))(new, batch_id)
+    return write
 
 
 def run_counters(topic: DataFrame, by: list[str], out: str, checkpoint: str, every: str | None = None):
-    """Changed counters of every batch; ``core.newest_per_key`` gives the current ones."""
-    return core.start(counter_stream(topic, by), core.batch_folder(out), checkpoint, mode="update", every=every)
+    """What every batch adds to the counters; :func:`current_counters` gives their state."""
+    return core.start(topic.select("value"), counter_sink(by, out), checkpoint, every=every)
+
+
+def current_counters(spark: SparkSession, out: str, by: list[str]) -> DataFrame:
+    return core.batches(spark, f"{out}/counts").groupBy(*by).agg(F.sum("order_cnt").alias("order_cnt"))

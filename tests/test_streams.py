@@ -60,6 +60,31 @@ def test_repeated_batch_adds_nothing(spark):
     assert core.batches(spark, out).count() == 7
 
 
+def test_upsert_folder_keeps_the_newest(spark, rows):
+    out = scratch(spark, "out")
+    sink = core.upsert_folder(out, ["k"], ["v"])
+    for batch_id, data in enumerate([[(1, 5), (2, 5), (None, 1)], [(1, 4), (2, 9), (3, 1), (3, 2), (None, 3)], []]):
+        for _ in range(2):
+            sink(spark.createDataFrame(data, "k int, v int"), batch_id)
+    assert rows(core.upserted(spark, out)) == [(1, 5), (2, 9), (3, 2), (None, 3)]
+
+
+def test_first_seen_over_batches(spark, rows):
+    out = scratch(spark, "out")
+    sink = core.first_seen(out, ["w"], lambda b: b)
+    for batch_id, data in enumerate([["a", "b", "a", None], [], ["b", "c", None]]):
+        for _ in range(2):
+            sink(spark.createDataFrame([(w,) for w in data], "w string"), batch_id)
+    assert rows(core.batches(spark, out)) == [("a",), ("b",), ("c",), (None,)]
+
+
+def test_snapshot_versions(spark, rows):
+    out = scratch(spark, "out")
+    for batch_id in range(5):
+        core.snapshot(out)(spark.range(batch_id + 1), batch_id)
+    assert core.latest(spark, out).count() == 5 and core._versions(spark, out) == [3, 4]
+
+
 def test_ingest_splits_types(spark):
     path, out, checkpoint = (scratch(spark, n) for n in ("topic", "out", "checkpoint"))
     documents = [
@@ -97,7 +122,7 @@ def test_order_chain(spark):
     assert document["user"] == {"id": "u", "name": "Ann", "login": "ann"} and document["restaurant"]["name"] == "Rest"
     counts = {t: core.batches(spark, f"{vault_out}/{t}").count() for t in vault.TABLES}
     assert (counts["h_order"], counts["h_user"], counts["h_product"], counts["l_order_product"], counts["s_order_cost"]) == (2, 1, 2, 4, 2)
-    current = core.newest_per_key(spark, count_out, counters.PRODUCT).collect()
+    current = orders.current_counters(spark, count_out, counters.PRODUCT).collect()
     assert sorted(r.order_cnt for r in current) == [2, 2]
 
 
@@ -142,7 +167,7 @@ def test_text_stream_words(spark, rows):
         spark.createDataFrame([(line,)], "text string").coalesce(1).write.mode("append").text(path)
     stream = files.stream_files(spark, path, "text string", "text", max_files=1)
     progress = core.run_for(core.start(windows.word_counts(stream, "text"), core.snapshot(out), f"{out}_cp", "complete"), 120)
-    assert rows(spark.read.parquet(out)) == [("one", 1), ("three", 1), ("two", 2)]
+    assert rows(core.latest(spark, out)) == [("one", 1), ("three", 1), ("two", 2)]
     assert sum(p["numInputRows"] for p in progress) == 2
     core.run_for(core.start_console(stream, f"{out}_console"))
 
