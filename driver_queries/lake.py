@@ -125,11 +125,11 @@ FROM z LEFT JOIN h USING (user_id) LEFT JOIN a USING (user_id)"""
 
 
 def user_geo_moves(t: Tables):
-    return geo.user_geo(placed(t), min_days=1, travel="moves").select("user_id", "travel_count", "travel_array")
+    return geo.user_geo(placed(t), min_days=1, travel="moves").select("user_id", "part", "travel_count", "travel_array")
 
 
 USER_MOVES_SQL = USER_GEO_SQL[:USER_GEO_SQL.index("h AS (")].rstrip().rstrip(",") + """
-SELECT user_id, count(*) AS travel_count, string_agg(city, ',' ORDER BY run) AS travel_array FROM s GROUP BY 1"""
+SELECT user_id, 0 AS part, count(*) AS travel_count, string_agg(city, ',' ORDER BY run) AS travel_array FROM s GROUP BY 1"""
 
 
 def city_runs(t: Tables):

@@ -95,7 +95,9 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _vault(t: Tables):
-    return vault.vault_rows(stored(enriched(t), "enriched"), LOADED)
+    messages = stored(enriched(t), "enriched")
+    lines = stored(vault.product_level(vault.order_level(messages)), "enriched_lines")
+    return vault.vault_rows(messages, LOADED, lines=lines)
 
 
 def stacked_hubs(tables):
@@ -173,8 +175,8 @@ SELECT sat, {uuid5_sql('hub_pk')} AS pk, hub_pk, attributes FROM (
 
 
 def _lines(t: Tables):
-    compact = vault.compact_messages(enriched(t))
-    return counters.order_lines(compact)
+    raw = parse_value(raw_topic(t), order_streams.RAW)
+    return order_streams.enriched_lines(raw, shop_lookup(t))
 
 
 def order_counters(t: Tables):

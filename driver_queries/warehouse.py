@@ -645,13 +645,13 @@ def _delivery_envelope(t: Tables):
 
 def delivery_load(t: Tables):
     """Rows breaking a rule (rating 6, delivered before ordered) are kept out; older orders are loaded already."""
-    envelope = stored(_delivery_envelope(t), "stg_deliveries")
+    rows = stored(deliveries.typed(_delivery_envelope(t)), "stg_deliveries")
     checks = deliveries.rules("1995-01-01", "2001-12-31")
-    before = deliveries.typed(envelope).where(F.col("order_ts") < F.lit("1998-01-01").cast("timestamp"))
+    before = rows.where(F.col("order_ts") < F.lit("1998-01-01").cast("timestamp"))
     valid, _ = split_valid(before, checks)
     others = [c for c in before.columns if c not in ("order_id", "update_ts")]
     target = stored(top1(valid, ["order_id"], ["update_ts", *others]), "dds_deliveries")
-    return deliveries.load(target, envelope, checks, stop_on_error=False).drop("update_ts")
+    return deliveries.load_typed(target, rows, checks, stop_on_error=False).drop("update_ts")
 
 
 DELIVERY_SQL = f"""

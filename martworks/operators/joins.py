@@ -85,28 +85,34 @@ def valid_now(dim: DataFrame, now, end: str = "active_to") -> DataFrame:
     return dim.where(F.col(end) > F.lit(now).cast(dim.schema[end].dataType))
 
 
-def array_lookup(df: DataFrame, key: str, owner: Column, items: str, menus: DataFrame, menu_owner: str,
-                 menu: str, item_id: str = "id", menu_id: str = "_id", take: tuple[str, ...] = ("name", "category"),
-                 name: str = "products") -> DataFrame:
-    """Each element of ``items`` completed with fields of its owner's menu entry of the same id.
-
-    Both arrays are opened, joined on (owner, id) and closed again per ``key``; the list keeps its order.
-    Elements without a menu entry are dropped.
-    """
+def array_lookup_lines(df: DataFrame, key: str | list[str], owner: Column, items: str, menus: DataFrame, menu_owner: str,
+                       menu: str, item_id: str = "id", menu_id: str = "_id", take: tuple[str, ...] = ("name", "category")) -> DataFrame:
+    """One row per element of ``items`` with the key columns, its place ``_pos``, its own fields and those taken from its
+    owner's menu entry of the same id. Elements without a menu entry are dropped."""
+    keys = [key] if isinstance(key, str) else key
     element_fields = [f.name for f in df.schema[items].dataType.elementType.fields]
-    opened = df.select(key, owner.alias("_owner"), F.posexplode(items).alias("_pos", "_e"))
+    opened = df.select(*keys, owner.alias("_owner"), F.posexplode(items).alias("_pos", "_e"))
     # One entry per (owner, id): the first of the menu, so a repeated entry never doubles an order line.
     entries = (
         menus.select(F.col(menu_owner).alias("_owner"), F.posexplode(menu).alias("_at", "_m"))
         .groupBy("_owner", F.col(f"_m.{menu_id}").alias("_id")).agg(F.min_by("_m", "_at").alias("_m"))
     )
     met = opened.withColumn("_id", F.col(f"_e.{item_id}")).join(entries, ["_owner", "_id"])
-    closed = met.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(
-            "_pos", *[F.col(f"_e.{f}").alias(f) for f in element_fields], *[F.col(f"_m.{t}").alias(t) for t in take]
-        ))).alias("_list")
-    )
-    fields = [*element_fields, *take]
+    return met.select(*keys, "_pos", *[F.col(f"_e.{f}").alias(f) for f in element_fields],
+                      *[F.col(f"_m.{t}").alias(t) for t in take])
+
+
+def array_lookup(df: DataFrame, key: str, owner: Column, items: str, menus: DataFrame, menu_owner: str,
+                 menu: str, item_id: str = "id", menu_id: str = "_id", take: tuple[str, ...] = ("name", "category"),
+                 name: str = "products") -> DataFrame:
+    """Each element of ``items`` completed with fields of its owner's menu entry of the same id.
+
+    Both arrays are opened, joined on (owner, id) and closed again per ``key``; the list keeps its order.
+    Elements without a menu entry are dropped. For work on single elements take :func:`array_lookup_lines`.
+    """
+    lines = array_lookup_lines(df, key, owner, items, menus, menu_owner, menu, item_id, menu_id, take)
+    fields = [c for c in lines.columns if c not in (key, "_pos")]
+    closed = lines.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", *fields))).alias("_list"))
     return df.join(closed, key, "left").withColumn(
         name, F.transform("_list", lambda e: F.struct(*[e[f].alias(f) for f in fields]))
     ).drop("_list")

@@ -31,11 +31,16 @@ def rules(first_day: str = "2022-01-01", last_day: str = "2029-12-31") -> dict[s
 
 def load(target: DataFrame, envelope: DataFrame, checks: dict[str, Column], days: int = 7,
          stop_on_error: bool = True) -> DataFrame:
-    """Target after an upsert of the last days by order.
+    """Target after an upsert of the last days by order, from enveloped documents."""
+    return load_typed(target, typed(envelope), checks, days, stop_on_error)
+
+
+def load_typed(target: DataFrame, rows: DataFrame, checks: dict[str, Column], days: int = 7,
+               stop_on_error: bool = True) -> DataFrame:
+    """The same from typed rows, such as a staging table in which the documents were parsed once.
 
     The gate comes first: it raises, or with ``stop_on_error=False`` only the valid rows are loaded.
     """
-    rows = typed(envelope)
     rows = require(rows, checks) if stop_on_error else split_valid(rows, checks)[0]
     # Newest by update time; the other columns decide between equal times, so every run agrees.
     newest = ["update_ts", *[c for c in target.columns if c not in ("order_id", "update_ts")]]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from martworks.functions import times
+from martworks.operators.groups import collect_parts
 from martworks.operators.reference import nearest
 from martworks.operators.windows import runs, top1, with_stats
 
@@ -34,7 +35,8 @@ def user_geo(located: DataFrame, min_days: int = 27, travel: str = "days") -> Da
     """One row per user: current city, home city, travel count and list, local time of the last event.
 
     Home is the city of the latest unbroken stay of at least ``min_days`` days, null without one.
-    ``travel='days'`` counts distinct (day, city) visits, ``'moves'`` counts changes of city.
+    ``travel='days'`` counts distinct (day, city) visits. ``'moves'`` counts changes of city, of which a user may have
+    any number: their list comes in parts (a row for each ``part``, a range of their numbers).
     """
     last = F.struct("ts", "event_id")
     visit = F.struct(F.to_date("ts").alias("dt"), F.col("id"), F.col("city"))
@@ -53,12 +55,11 @@ def user_geo(located: DataFrame, min_days: int = 27, travel: str = "days") -> Da
         times.local_time(F.col("_last.ts"), F.col("_last.tz")).alias("local_time"),
     )
     if travel == "moves":
-        moves = stays.groupBy("user_id").agg(
-            F.count(F.lit(1)).alias("travel_count"),
-            F.transform(F.array_sort(F.collect_list(F.struct("run_no", "city"))), lambda r: r["city"])
-            .alias("travel_array"),
-        )
-        out = out.drop("travel_count", "travel_array").join(moves, "user_id", "left").select(*out.columns)
+        counts = stays.groupBy("user_id").agg(F.count(F.lit(1)).alias("travel_count"))
+        lists = collect_parts(stays, ["user_id"], F.struct("run_no", "city"), "_runs", "run_no").select(
+            "user_id", "part", F.transform("_runs", lambda r: r["city"]).alias("travel_array"))
+        moves = out.drop("travel_count", "travel_array").join(counts, "user_id", "left").join(lists, "user_id", "left")
+        out = moves.select(*out.columns, "part")
     return out
 
 

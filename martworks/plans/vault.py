@@ -55,16 +55,17 @@ def _one_per_key(rows: DataFrame, keys: list[str], attributes: list[str]) -> Dat
 
 
 def vault_rows(messages: DataFrame, load_dt, source: str = "stg-service-orders",
-               existing: dict[str, DataFrame] | None = None, history: bool = False) -> dict[str, DataFrame]:
+               existing: dict[str, DataFrame] | None = None, history: bool = False,
+               lines: DataFrame | None = None) -> dict[str, DataFrame]:
     """New rows of all 14 tables; keys already present in ``existing`` are left alone.
 
     Rows are first reduced by their short natural keys, and UUIDs made for what is left; the keys are
     functions of the natural ones, so nothing is looked up. With ``history`` the satellites also get a row
     when attributes of a known key have changed. Callers that write several tables should persist or
-    store ``messages`` first.
+    store ``messages`` first, and may give the stored ``product_level`` rows as ``lines``.
     """
     orders = order_level(messages)
-    lines = product_level(orders)
+    lines = product_level(orders) if lines is None else lines
     stamp = {"load_dt": F.lit(load_dt).cast("timestamp"), "load_src": F.lit(source)}
 
     def level(*hubs: str) -> DataFrame:
@@ -94,6 +95,13 @@ def vault_rows(messages: DataFrame, load_dt, source: str = "stg-service-orders",
     return result
 
 
+def keyed_lines(lines: DataFrame) -> DataFrame:
+    """Lines of the compact messages from plain ones (``_order``, ``_user``, product id, name and category)."""
+    return lines.select(
+        F.col("_order").alias("id"), uuid5("_user").alias("user"), uuid5("id").alias("product_uuid"),
+        F.col("name").alias("product_name"), uuid5("category").alias("category_uuid"), F.col("category").alias("category_name"))
+
+
 def compact_messages(messages: DataFrame) -> DataFrame:
     """Outgoing message per order: id, user key and the keyed product list."""
     digests = F.transform("payload.products", lambda p: F.struct(

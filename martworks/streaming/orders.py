@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martworks.operators.dedup import keep_latest
-from martworks.operators.joins import absent, array_lookup
+from martworks.operators.joins import absent, array_lookup, array_lookup_lines
 from martworks.plans import counters, vault
 from martworks.streaming import core
 from martworks.streaming.windows import parse_value
@@ -30,17 +30,28 @@ def raw_events(topic: DataFrame) -> DataFrame:
     return keep_latest(rows, ["object_id"], ["sent_dttm", "payload"])
 
 
+def _flat(orders: DataFrame) -> DataFrame:
+    flat = orders.select("object_id", "payload.*").drop("update_ts", "statuses")
+    # The line's own name gives way to the menu's.
+    kept = [f.name for f in flat.schema["order_items"].dataType.elementType.fields if f.name != "name"]
+    return flat.withColumn("order_items", F.transform("order_items", lambda i: F.struct(*[i[k].alias(k) for k in kept])))
+
+
+def enriched_lines(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Product lines of the orders as the counters take them (``id``, keyed ``user`` and product), straight from the
+    opened lists: no list is closed to be opened again."""
+    flat = _flat(orders).withColumn("_user", F.col("user.id")).withColumnRenamed("object_id", "_order")
+    lines = array_lookup_lines(flat, ["_order", "_user"], F.col("restaurant.id"), "order_items", restaurants, "id", "menu")
+    return vault.keyed_lines(lines)
+
+
 def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Order messages completed with user and restaurant names and menu data.
 
     ``users``: id, name, login; ``restaurants``: id, name, menu, a long menu possibly in several rows.
     Orders of unknown users or restaurants keep null names.
     """
-    flat = orders.select("object_id", "payload.*").drop("update_ts", "statuses")
-    entries = [f.name for f in flat.schema["order_items"].dataType.elementType.fields]
-    # The line's own name gives way to the menu's.
-    kept = [e for e in entries if e != "name"]
-    flat = flat.withColumn("order_items", F.transform("order_items", lambda i: F.struct(*[i[k].alias(k) for k in kept])))
+    flat = _flat(orders)
     looked = array_lookup(flat, "object_id", F.col("restaurant.id"), "order_items", restaurants, "id", "menu")
     named = (
         looked.withColumns({"_uid": F.col("user.id"), "_rid": F.col("restaurant.id")})

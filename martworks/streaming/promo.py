@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martworks.functions import times
+from martworks.session import scratch
 from martworks.streaming import core
 from martworks.streaming.windows import parse_value
 
@@ -35,10 +36,9 @@ def active(rows: DataFrame, now=None) -> DataFrame:
 
 
 def notifications(rows: DataFrame, subscribers: DataFrame, now=None) -> DataFrame:
-    """One row per campaign and subscribed client, stamped with the trigger time."""
-    clients = subscribers.select("restaurant_id", "client_id").distinct()
+    """One row per campaign and subscribed client (distinct pairs), stamped with the trigger time."""
     moment = F.unix_timestamp() if now is None else F.lit(now)
-    return rows.join(clients, "restaurant_id").select(
+    return rows.join(subscribers, "restaurant_id").select(
         *FIELDS, "client_id", moment.cast("long").alias("trigger_datetime_created")
     )
 
@@ -55,9 +55,15 @@ def feedback(batch: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, topic: DataFrame, subscribers: DataFrame, out: str, checkpoint: str, now=None,
         every: str | None = None):
-    """Write both targets of every batch below ``out``; on a cluster give JDBC and topic sinks instead."""
+    """Write both targets of every batch below ``out``; on a cluster give JDBC and topic sinks instead.
+
+    The subscribers are reduced to distinct pairs and stored once, when the stream starts.
+    """
+    path = scratch(spark, "subscribers")
+    subscribers.select("restaurant_id", "client_id").distinct().write.parquet(path)
+    clients = spark.read.parquet(path)
     sink = core.fan_out(
         core.batch_folder(f"{out}/feedback", feedback),
         core.batch_folder(f"{out}/push", core.as_messages),
     )
-    return core.start(promo_stream(topic, subscribers, now), sink, checkpoint, every=every)
+    return core.start(promo_stream(topic, clients, now), sink, checkpoint, every=every)
