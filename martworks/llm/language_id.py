@@ -1,7 +1,7 @@
 """Language of web pages by Bayesian fusion of evidence.
 
-Four kinds of evidence are combined as log probabilities: the text (byte trigrams, with a model counted over all
-labelled documents), the language declared in the markup, the suffix of the address, and the host. What a declared
+Four kinds of evidence are combined as log probabilities: the main text (byte trigrams, with a model counted over all
+labelled documents; menus and adverts are often in another language), the language declared in the markup, the suffix of the address, and the host. What a declared
 language or a suffix means, and which languages a host uses, is learned from the pages themselves: the text alone
 gives each page a first distribution, and grouped sums of these, smoothed from host to domain to all pages, give the
 rest. A page's own share is taken out of the sums it is judged by.
@@ -9,7 +9,6 @@ rest. A page's own share is taken out of the sums it is judged by.
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator
 
@@ -18,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import bounded, stored, text_of
+from .html_density import main_text
 from .shingle_arrays import pieces, text_bytes
 
 CELLS = 1 << 14
@@ -27,7 +27,6 @@ TEXT_WEIGHT = 60.0
 SMOOTHING = 4.0
 MAX_LANGUAGES = 1000
 
-_TAGS = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title)\b.*?(?:</\1\s*>|\Z)|<[^>]*(?:>|\Z)", re.S | re.I)
 _LANG = re.compile(r"<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
 
 
@@ -96,7 +95,7 @@ def page_evidence(pages: DataFrame, names: list[str], model: np.ndarray) -> Data
             for piece in pieces(batch, "html"):
                 sources = [x or "" for x in piece.column("html").to_pylist()]
                 declared = [m[1].lower() if (m := _LANG.search(x[:4096])) else None for x in sources]
-                plain = pa.array([html.unescape(_TAGS.sub(" ", x)) for x in sources], pa.large_string())
+                plain = pa.array([main_text(x) for x in sources], pa.large_string())
                 cell, owner = _cells(*text_bytes(plain))
                 n = np.bincount(owner, minlength=len(sources))
                 factor = np.minimum(1.0, weight / np.maximum(n, 1))
