@@ -50,9 +50,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base}"
 
 
+_copies: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/martworks/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, remembered for :func:`clear_scratch`."""
+    _copies.append(f"{shared_dir(spark)}/martworks/{name}-{uuid.uuid4().hex}")
+    return _copies[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the copies this process has made below the shared folder, once no frame reads them any more."""
+    while _copies:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_copies.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df):

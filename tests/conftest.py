@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
-    from martworks.session import tune
+    from martworks.session import clear_scratch, tune
 
     session = (
         SparkSession.builder.master("local[8]").appName("tests").config("spark.sql.shuffle.partitions", "4")
@@ -24,6 +24,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
+    clear_scratch(session)
     session.stop()
 
 
