@@ -9,11 +9,10 @@ of darts drawn from a hash of element and cell, so only cells near rank zero are
 
 Signatures are cut into bands. Texts that share a band are candidates, and are compared by their exact shingles.
 Only pairs that may join two components are: first each text is held against the most central one it shares a band
-with and against the leaders of its narrow cells (several bands in common), and the components of these links are
-formed; then the pairs of different components in one cell follow, from narrow cells, whose members are most alike,
-to single bands. Of these only pairs are listed that share one of their rarest shingles, as every pair of the wanted
-similarity does. So no link between components that the bands show is lost, while in a large group of near copies few
-of the many pairs are ever listed.
+with; then the pairs of texts that these links have not joined follow, from narrow cells (several bands in common),
+whose members are most alike, to single bands. Of these only pairs are listed that share one of their rarest
+shingles, as every pair of the wanted similarity does. So no link between components that the bands show is lost,
+while in a large group of near copies few of the many pairs are ever listed.
 """
 
 from __future__ import annotations
@@ -26,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored, text_key, text_of
-from .components import connected
+from .components import connected, contracted, labels
 from .shingle_arrays import mix64, occurrences, pieces, shingle_hashes, weighted
 
 THRESHOLD = 0.8
 #: 24 bands of 5: a pair of similarity 0.8 is missed with a chance below 1 in 10,000.
 BANDS, ROWS = 24, 5
-#: Neighbouring bands that texts have to share to be compared, from round to round; the last round takes any band.
-TOGETHER = (4, 2, 1)
+#: Neighbouring bands that texts of a narrow cell have in common.
+NARROW = 4
 
 #: Chances that a cell of area one holds at most 0, 1, 2, ... darts, as 32-bit fractions.
 _POISSON = np.array([math.floor(sum(math.exp(-1) / math.factorial(j) for j in range(i + 1)) * (1 << 32))
@@ -158,14 +157,18 @@ def _rarest(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return ordered.select("node", "n", F.transform(F.slice("_all", 1, first), lambda x: x["s"]).alias("rare"))
 
 
+def _shared(long: DataFrame) -> DataFrame:
+    """The stored distinct (cell, node) rows of cells with several nodes; most have one."""
+    shared = long.groupBy("cell").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).filter("_lo < _hi").select("cell")
+    return stored(long.join(shared, "cell").distinct(), "near-cells")
+
+
 def _cells(signed: DataFrame, bands: int, together: int) -> DataFrame:
     """``cell`` and ``node``: a cell for each ``together`` neighbouring bands; those of one text alone are left out."""
     def cell(i: Column) -> Column:
         return F.xxhash64(i, *[F.get("bands", F.pmod(i + k, F.lit(bands))) for k in range(together)])
 
-    long = signed.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), cell)).alias("cell"))
-    shared = long.groupBy("cell").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).filter("_lo < _hi").select("cell")
-    return stored(long.join(shared, "cell").distinct(), "near-cells")
+    return _shared(signed.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), cell)).alias("cell")))
 
 
 def _with_leaders(cells: DataFrame) -> DataFrame:
@@ -199,25 +202,21 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS
     sig = stored(with_bands(docs, bands, rows), "near-bands")
     nodes = stored(sig.groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(_NO_ID))).alias("first_id"),
                                            F.count("*").alias("_copies")), "near-nodes")
-    long = sig.select("node", "bands", F.explode("bands").alias("band"))
-    # Most bands belong to one text; only the texts of the others go on.
-    shared = long.groupBy("band").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).filter("_lo < _hi").select("band")
-    linked = stored(long.select("node", "band").join(shared, "band").select("node").distinct(), "near-linked")
-    signed = stored(sig.join(linked, "node").groupBy("node").agg(F.first("bands").alias("bands")), "near-signed")
+    # Only texts that share a band go on.
+    cells = {1: _shared(sig.select("node", F.explode("bands").alias("cell")))}
+    linked = stored(cells[1].select("node").distinct(), "near-linked")
     sets = _sets(docs, linked.join(nodes, "node").select("node", "first_id"))
-    cells = {m: _cells(signed, bands, m) for m in TOGETHER}
-    # Each text against the most central leader of its bands, and against the leaders of its narrow cells.
+    cells[NARROW] = _cells(sig.join(linked, "node"), bands, NARROW)
+    # Each text against the most central leader of its bands.
     central = _with_leaders(cells[1]).filter("node <> leader").groupBy("node").agg(F.max(F.struct("weight", "leader")).alias("_best"))
-    pairs = _pairs(central.select("node", F.col("_best.leader").alias("other")))
-    narrow = _with_leaders(cells[TOGETHER[0]]).filter("node <> leader").select("node", F.col("leader").alias("other"))
-    tested = stored(pairs.unionByName(_pairs(narrow)).distinct(), "near-pairs")
-    edges = _verified(tested, sets, threshold)
-    # Then every pair of different components in one cell that shares a rare shingle, from narrow cells, whose texts
-    # are most alike, to bands.
-    left = _mixed(cells[1], connected(edges)).select("node").distinct()
+    tested = stored(_pairs(central.select("node", F.col("_best.leader").alias("other"))), "near-pairs")
+    edges = contracted(_verified(tested, sets, threshold))
+    # Then every pair that may join two components, in one cell and with a rare shingle in common: first in narrow
+    # cells, whose texts are most alike, then in bands.
+    left = _mixed(cells[1], labels(edges)).select("node").distinct()
     rare = stored(_rarest(sets, left, threshold), "near-rarest")
-    for together in TOGETHER:
-        mixed = _mixed(cells[together], connected(edges)).join(rare, "node").select("cell", "node", "root", "n", "rare")
+    for together in (NARROW, 1):
+        mixed = _mixed(cells[together], labels(edges)).join(rare, "node").select("cell", "node", "root", "n", "rare")
         other = mixed.select(F.col("cell").alias("_cell"), F.col("node").alias("other"), F.col("root").alias("_root"),
                              F.col("n").alias("_n"), F.col("rare").alias("_rare"))
         need = _least_shared(F.col("n"), F.col("_n"), threshold).cast("int")
@@ -226,6 +225,7 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS
         pairs = stored(_pairs(pairs).join(tested, ["a", "b"], "left_anti"), "near-pairs")
         if not pairs.isEmpty():
             edges = edges.unionByName(_verified(pairs, sets, threshold))
+            edges = contracted(edges) if together > 1 else edges
             tested = tested.unionByName(pairs)
     roots = connected(edges)
     known = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
