@@ -356,6 +356,31 @@ def stream_join(t: Tables):
     return t.spark.read.parquet(out).select("user_id", "click", "purchase")
 
 
+def stream_outer_join(t: Tables):
+    """The same join with the clicks that no purchase followed, as far as the watermark has decided them."""
+    out, checkpoint = _paths(t, "outer_join")
+    clicks = events(t).where("event_type = 'click'").select("user_id", F.col("event_id").alias("click"), F.col("ts").alias("click_ts"))
+    bought = events(t).where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase"), F.col("ts").alias("purchase_ts"))
+    met = windows.interval_join(clicks, bought, "user_id", "click_ts", "purchase_ts", "1 hour", how="left_outer")
+    core.run_for(core.start_files(met, out, checkpoint))
+    return t.spark.read.parquet(out).select("user_id", "click", "purchase")
+
+
+OUTER_JOIN_SQL = """
+WITH c AS (SELECT * FROM events WHERE event_type = 'click'), p AS (SELECT * FROM events WHERE event_type = 'purchase'),
+w AS (SELECT least((SELECT max(ts) FROM c), (SELECT max(ts) FROM p)) - INTERVAL 1 HOUR AS mark),
+j AS (SELECT c.user_id, c.event_id AS click, p.event_id AS purchase, c.ts
+      FROM c LEFT JOIN p ON c.user_id = p.user_id AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 1 HOUR)
+SELECT user_id, click, purchase FROM j, w WHERE purchase IS NOT NULL OR ts + INTERVAL 1 HOUR < mark"""
+
+
+def stream_progress(t: Tables):
+    """Rows read according to the progress reports of a stream that is shown on the console."""
+    out, checkpoint = _paths(t, "console")
+    reports = core.run_for(core.start_console(events(t).select("event_type").where(F.length("event_type") < 0), checkpoint))
+    return t.spark.createDataFrame([(sum(r["numInputRows"] for r in reports),)], "rows_read long")
+
+
 STREAM_JOIN_SQL = """
 SELECT c.user_id, c.event_id AS click, p.event_id AS purchase
 FROM events c JOIN events p ON c.user_id = p.user_id AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 1 HOUR
@@ -381,6 +406,8 @@ SELECT CAST(c_custkey AS VARCHAR) AS "CustomerID", c_mktsegment AS "Address", c_
     "stream_geoads": (stream_geoads, GEOADS_SQL),
     "stream_missing_words": (stream_missing_words, MISSING_SQL),
     "stream_late": (stream_late, LATE_SQL),
+    "stream_outer_join": (stream_outer_join, OUTER_JOIN_SQL),
+    "stream_progress": (stream_progress, "SELECT count(*) AS rows_read FROM events"),
     "stream_join": (stream_join, STREAM_JOIN_SQL),
 }
 QUERIES = {name: (query(fn), sql) for name, (fn, sql) in QUERIES.items()}
