@@ -107,10 +107,9 @@ def test_zone_activity(spark):
     assert week.month_message == 4 and week.month_user == 2
 
 
-@pytest.mark.parametrize("km", [1.0, None])
-def test_friends(spark, rows, km):
+def test_friends(spark, rows):
     """3 wrote to 1, so only 1-2 and 2-3 remain; 4 is in another zone."""
-    got = friends.friend_recommendations(_located(spark), "2022-06-01 00:00:00", km, block=1)
+    got = friends.friend_recommendations(_located(spark), "2022-06-01 00:00:00", 1.0)
     assert rows(got, "user_left", "user_right", "zone_id") == [(1, 2, 65), (2, 3, 65)]
 
 
