@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import BLANK, bounded, prefix_sums, stored, text_of, words_of
 
 MAX_COPIES = 3
-BUCKETS = 1 << 16
+BUCKETS = 1 << 12
 
 
 def source_targets(sizes: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
