@@ -38,7 +38,7 @@ MAGIC = b"MWTOKEN1"
 END_ID = 2
 BLOCK = 2048
 LANES = 2048
-CELLS = 2048
+CELLS = 512
 #: High bytes share 2^12 parts; their frequencies are counted anew after so many ids.
 SHARES, RENEW = 12, 256
 _U16, _U32 = np.uint64(16), np.uint64(32)
