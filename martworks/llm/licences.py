@@ -1,18 +1,20 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences; each is brought into a plain form and mapped to the identifier of a known licence
-sentence, if it is one. The sequence of identifiers is then matched against licence rules in order: a rule that
-matches names its licence and takes its identifiers out, so a full licence comes before the short references that
-its sentences also contain. Everything is decided in the row: nothing is shuffled.
+A text is brought into a plain form and cut into sentences; every known licence sentence in it, also several within
+one, becomes an identifier, in order of position. The sequence of identifiers is then matched against licence rules in
+order: a rule that matches names its licence and takes its identifiers out, so a full licence comes before the short
+references that its sentences also contain. Everything is decided in the row: nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import computed, text_of
 
-#: Texts and sentences without any of these cannot hold a known sentence.
+#: Texts without any of these are not searched.
 HINT = "licen[cs]e|licensing|copyright|warrant|redistribut|permission|public domain|spdx|liab|creativecommons|all rights reserved|unlicense|any later version|endorse"
 
 # Known licence sentences, in plain form; the first pattern that fits names the sentence.
@@ -108,6 +110,11 @@ RULES: list[tuple[str, list[str]]] = [
 ]
 
 MARKS = r"(?m)^[ \t]*(//+|#+|/\*+|\*+/?|--+|;+|>+|<!--)[ \t]*"
+#: White space that ends a sentence without a stop: after a colon at the end of a line, blank lines, before list marks and SPDX tags.
+ENDS = (r"(?<![\x20\x09-\x0D])(?=[\x20\x09-\x0D])(?:(?<=(?<!spdx-license-identifier):)[ \t]*[\r\n][\x20\x09-\x0D]*"
+        r"|[ \t]*(?:\r\n?|\n)[ \t\x0B\f]*[\r\n][\x20\x09-\x0D]*"
+        r"|(?<!version)(?<!\bv)[ \t]*(?:\r\n?|\n)[ \t]*(?=(?:[-+\u2022\u2013]|\(?[0-9a-z]{1,2}[.)])[ \t])"
+        r"|[\x20\x09-\x0D]+(?=spdx-license-identifier))")
 QUOTES = "\"'`“”‘’"
 
 
@@ -115,18 +122,80 @@ def _sequence(ids: list[str]) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
-def sentences(text: Column) -> Column:
-    """The plain sentences of a text that may be known: comment marks and quotes off, lower case, white space single;
-    a sentence ends at a full stop, question or exclamation mark before white space."""
-    plain = F.lower(F.translate(F.regexp_replace(text, MARKS, ""), QUOTES, ""))
-    plain = F.regexp_replace(F.regexp_replace(plain, r"[\x20\x09-\x0D]+", " "), r"([.!?]) ", "$1\n")
-    return F.filter(F.split(plain, "\n"), lambda s: s.rlike(HINT))
+# Names of licences: the gap in a known sentence does not run over the name of another one.
+NAMES = {"gpl": r"gnu general public license|gnu gpl\b|\bgpl-?v?\d", "lgpl": r"gnu (?:lesser|library) general public license|\blgpl\b",
+         "agpl": r"gnu affero general public license|\bagpl\b",
+         "": r"apache license|apache-2|mozilla public|\bmpl-?2|eclipse public|\bcc0 |\bcc by|creative ?commons|\bbsd[ -]\d|"
+             r"\w-clause bsd|bsd license|\bisc license|\bmit[ -](?:style )?licen[cs]e|spdx-license-identifier|public domain|all rights reserved"}
+#: What belongs to a known sentence before its pattern.
+HEADS = {"apache-2-compliance": r"(?:licensed under the apache license,? version 2\.0 \(the license\)[;,]? ?)?"}
+
+
+def _spaces(pattern: str) -> str:
+    """A blank of a pattern is also the end of a line that ended a sentence: a known sentence set with blank lines in it."""
+    return re.sub(r"(\[[^\]]*\])|( )", lambda m: m[1].replace(" ", r" \n") if m[1] else r"[ \n]", pattern)
+
+
+def _positional(name: str, pattern: str) -> str:
+    """The pattern with the shortest gaps, which stay in a sentence and off other licences and their versions."""
+    family = name.split("-")[0]
+    if family in NAMES:
+        others = "|".join(p for f, p in NAMES.items() if f != family)
+        first, *rest = pattern.split(".*")
+        gaps = [rf"(?:(?!{others}|(?:version|v) ?\d)[^\n])*?", rf"(?:(?!{others}|{NAMES[family]})[^\n])*?"]
+        pattern = first + "".join(g + p for g, p in zip(gaps, rest))
+    return _spaces(HEADS.get(name, "") + pattern.replace(".*", r"[^\n]*?"))
+
+
+KNOWN = [(name, _positional(name, pattern)) for name, pattern in SENTENCES]
+
+
+def _by_letter(patterns: list[str]) -> str:
+    """One pattern for all, tried by first letter; the order of those with the same letter stays."""
+    groups: dict[str, list[str]] = {}
+    for pattern in patterns:
+        for alternative in _alternatives(pattern):
+            groups.setdefault(_first(alternative), []).append(alternative)
+    return "|".join(f"(?={first})(?:{'|'.join(found)})" for first, found in groups.items())
+
+
+def _alternatives(pattern: str) -> list[str]:
+    """The alternatives of a pattern outside all parentheses."""
+    out, depth = [""], 0
+    for i, c in enumerate(pattern):
+        depth += (c in "()" and pattern[i - 1] != "\\") * (1 if c == "(" else -1)
+        out = [*out, ""] if c == "|" and not depth else [*out[:-1], out[-1] + c]
+    return out
+
+
+def _first(alternative: str) -> str:
+    """The first letters that it can have, as a class."""
+    plain = re.sub(r"^\\b", "", alternative)
+    if plain[0] != "(":
+        return f"[{plain[0]}]"
+    group, rest = re.match(r"\((?:\?:)?([^()\\]*(?:\\.[^()\\]*)*)\)(.*)", plain, re.S).groups()
+    letters = "".join(x[0] for x in group.split("|"))
+    return f"[{letters}{rest[1:2] if rest[0] == '?' else ''}]"
+
+
+ANY_KNOWN = _by_letter([pattern for _, pattern in KNOWN])
+
+
+def plain(text: Column) -> Column:
+    """The text in plain form, a sentence a line: comment marks and quotes off, lower case, white space single. A
+    sentence ends at a full stop, question or exclamation mark before white space, at a blank line, at a colon that
+    ends its line, before a list mark and before an SPDX tag; other line breaks are blanks."""
+    out = F.lower(F.translate(F.regexp_replace(text, MARKS, ""), QUOTES, ""))
+    out = F.regexp_replace(out, ENDS, "\u0000")
+    out = F.regexp_replace(F.regexp_replace(out, r"[\x20\x09-\x0D]+", " "), r"([.!?]) ", "$1\n")
+    return F.translate(out, "\u0000", "\n")
 
 
-def identified(sentence: Column) -> Column:
-    out = F.when(sentence.rlike(SENTENCES[0][1]), F.lit(SENTENCES[0][0]))
-    for name, pattern in SENTENCES[1:]:
-        out = out.when(sentence.rlike(pattern), F.lit(name))
+def identified(match: Column) -> Column:
+    """The identifier of a whole match of ANY_KNOWN: the first pattern that fits."""
+    out = F.when(match.rlike(f"^(?:{KNOWN[0][1]})$"), F.lit(KNOWN[0][0]))
+    for name, pattern in KNOWN[1:]:
+        out = out.when(match.rlike(f"^(?:{pattern})$"), F.lit(name))
     return out
 
 
@@ -138,9 +207,10 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     text = text_of()
     empty = F.array().cast("array<string>")
-    rows = docs.select("doc_id", F.when(F.lower(text).rlike(HINT), text).alias("_text"))
-    rows = computed(rows, _known=F.when(F.col("_text").isNotNull(), sentences(F.col("_text"))).otherwise(empty))
-    rows = computed(rows, sentences=F.filter(F.transform("_known", identified), lambda x: x.isNotNull()))
+    rows = docs.select("doc_id", F.when(F.lower(text).rlike(HINT), text).alias("_given"))
+    rows = computed(rows, _text=plain(F.col("_given")))
+    rows = computed(rows, _known=F.when(F.col("_text").isNotNull(), F.regexp_extract_all("_text", F.lit(ANY_KNOWN), F.lit(0))).otherwise(empty))
+    rows = computed(rows, sentences=F.transform("_known", identified))
     rules = F.array(*[F.struct(F.lit(_sequence(ids)).alias("ids"), F.lit(name).alias("name")) for name, ids in RULES])
     start = F.struct(F.concat(F.lit(""), F.array_join(F.transform("sentences", lambda x: F.concat(F.lit("<"), x, F.lit(">"))), "")).alias("rest"),
                      empty.alias("found"))
@@ -155,7 +225,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def scan_sql(source: str = "documents") -> str:
-    """The same as SQL, with lists as text joined by commas."""
+    """The earlier scan as SQL, with lists as text joined by commas: one identifier a sentence, which ends only at stops,
+    and none without HINT. It agrees with ``scan`` where a text has its licences in separate sentences with a hint."""
     def quoted(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 

@@ -64,3 +64,74 @@ def test_rules_name_known_sentences():
     # A rule behind a shorter part of itself would never match.
     sequences = [L._sequence(ids) for _, ids in L.RULES]
     assert all(a not in b for i, a in enumerate(sequences) for b in sequences[i + 1:])
+
+
+MIT_VERBATIM = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+MIT_IDS = ["mit", "mit-permission", "mit-notice", "mit-warranty", "mit-liability"]
+BSD_BULLETS = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+{0} Redistributions of source code must retain the above copyright notice,
+  this list of conditions and the following disclaimer.
+{0} Redistributions in binary form must reproduce the above copyright notice,
+  this list of conditions and the following disclaimer in the documentation
+{0} Neither the name of the X nor the names of its contributors may be used to
+  endorse or promote products derived from this software
+THIS SOFTWARE IS PROVIDED BY THE HOLDERS ``AS IS'' AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+BSD_IDS = ["bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty"]
+APACHE_VERBATIM = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+APACHE_IDS = ["apache-2-compliance", "apache-2-copy", "apache-2-warranty", "apache-2-limits"]
+WHOLE = [
+    (MIT_VERBATIM, MIT_IDS, ["MIT"]), (MIT_VERBATIM.replace("\n", "\r\n"), MIT_IDS, ["MIT"]), (MIT_VERBATIM.replace("\n", "\n\n"), MIT_IDS, ["MIT"]),
+    (" ".join(MIT_VERBATIM.split()), MIT_IDS, ["MIT"]), ("/*\n" + MIT_VERBATIM.replace("\n", "\n * ") + "/", MIT_IDS, ["MIT"]),
+    *[(BSD_BULLETS.format(mark), BSD_IDS, ["BSD-3-Clause"]) for mark in ("*", "-", "\u2022", "1.", "(a)")],
+    (APACHE_VERBATIM, APACHE_IDS, ["Apache-2.0"]), ("Apache License\nVersion 2.0, January 2004\n" + APACHE_VERBATIM, ["apache-2", *APACHE_IDS], ["Apache-2.0"]),
+    ("// SPDX-License-Identifier: MIT\n// SPDX-License-Identifier: Apache-2.0\n# SPDX-License-Identifier: GPL-2.0-or-later",
+     ["spdx-mit", "spdx-apache-2", "spdx-gpl-2-later"], ["MIT", "Apache-2.0", "GPL-2.0-or-later"]),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", ["spdx-mit", "apache-2"], ["MIT", "Apache-2.0"]),
+    ("Under the MIT License, the Apache License, Version 2.0 or again the MIT License", ["mit", "apache-2", "mit"], ["Apache-2.0", "MIT"]),
+    ("the GNU General Public License, the MIT License, or the Mozilla Public License version 2 and any later version", ["gpl", "mit", "mpl-2"], ["GPL", "MPL-2.0", "MIT"]),
+    ("GNU General Public License (GNU GPL) as published, version 3\nor any later version", ["gpl-3-later"], ["GPL-3.0-or-later"]),
+    ("GNU General Public License, version\n3. It is so", ["gpl-3"], ["GPL-3.0-only"]),
+    ("GNU General Public License as published by the Foundation, either version 3 of the License, or (at your option) any later version",
+     ["gpl-3-later"], ["GPL-3.0-or-later"]),
+    ("- GNU General Public License\n- The other one, version 3 or any later version", ["gpl"], ["GPL"]),
+    ("GNU General Public License " + "word " * 60_000 + "the MIT License", ["gpl", "mit"], ["GPL", "MIT"])]
+
+
+def test_every_sentence_counts(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(WHOLE)], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.scan(df).collect()}
+    assert {i: r.sentences for i, r in got.items()} == {i: ids for i, (_, ids, _) in enumerate(WHOLE)}
+    assert {i: r.licences for i, r in got.items()} == {i: names for i, (_, _, names) in enumerate(WHOLE)}
