@@ -9,12 +9,13 @@ references that its sentences also contain. Everything is decided in the row: no
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import computed, text_of
 
-#: Texts without any of these are not searched.
+#: Only in the SQL, which looks at no other texts and sentences; some known sentences have none of these.
 HINT = "licen[cs]e|licensing|copyright|warrant|redistribut|permission|public domain|spdx|liab|creativecommons|all rights reserved|unlicense|any later version|endorse"
 
 # Known licence sentences, in plain form; the first pattern that fits names the sentence.
@@ -148,6 +149,9 @@ def _positional(name: str, pattern: str) -> str:
 
 
 KNOWN = [(name, _positional(name, pattern)) for name, pattern in SENTENCES]
+#: Every pattern has one of these words in each alternative, so a text without any, quotes off, holds no known sentence.
+WORDS = ("licen copyright permission warrant redistribut endorse advertising apache gpl mpl cc0 creative 4.0 public bsd "
+         "reserved later").split()
 
 
 def _by_letter(patterns: list[str]) -> str:
@@ -207,8 +211,9 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     text = text_of()
     empty = F.array().cast("array<string>")
-    rows = docs.select("doc_id", F.when(F.lower(text).rlike(HINT), text).alias("_given"))
-    rows = computed(rows, _text=plain(F.col("_given")))
+    rows = computed(docs.select("doc_id", text.alias("_given")), _low=F.lower(F.translate("_given", QUOTES, "")))
+    may = reduce(Column.__or__, [F.contains("_low", F.lit(w)) for w in WORDS])
+    rows = computed(rows.select("doc_id", F.when(may, F.col("_given")).alias("_given")), _text=plain(F.col("_given")))
     rows = computed(rows, _known=F.when(F.col("_text").isNotNull(), F.regexp_extract_all("_text", F.lit(ANY_KNOWN), F.lit(0))).otherwise(empty))
     rows = computed(rows, sentences=F.transform("_known", identified))
     rules = F.array(*[F.struct(F.lit(_sequence(ids)).alias("ids"), F.lit(name).alias("name")) for name, ids in RULES])

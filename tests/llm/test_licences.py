@@ -135,3 +135,68 @@ def test_every_sentence_counts(spark):
     got = {r.doc_id: r for r in L.scan(df).collect()}
     assert {i: r.sentences for i, r in got.items()} == {i: ids for i, (_, ids, _) in enumerate(WHOLE)}
     assert {i: r.licences for i, r in got.items()} == {i: names for i, (_, _, names) in enumerate(WHOLE)}
+
+
+# A sentence for each alternative of each pattern, as it is, in its order.
+SAMPLES = {
+    "spdx-mit": ["SPDX-License-Identifier: MIT"], "spdx-apache-2": ["SPDX-License-Identifier: Apache-2.0"],
+    "spdx-gpl-3-later": ["SPDX-License-Identifier: GPL-3.0+"], "spdx-gpl-3": ["SPDX-License-Identifier: GPL-3.0-only"],
+    "spdx-gpl-2-later": ["SPDX-License-Identifier: GPL-2.0-or-later"], "spdx-gpl-2": ["SPDX-License-Identifier: GPL-2.0"],
+    "spdx-bsd-3": ["SPDX-License-Identifier: BSD-3-Clause"], "spdx-bsd-2": ["SPDX-License-Identifier: BSD-2-Clause"],
+    "spdx-mpl-2": ["SPDX-License-Identifier: MPL-2.0"], "spdx-isc": ["SPDX-License-Identifier: ISC"],
+    "mit-permission": ["Permission is hereby granted, free of charge, to any person obtaining a copy"],
+    "mit-notice": ["The above copyright notice and this permission notice shall be included in all copies"],
+    "mit-warranty": ['The software is provided "as is", without warranty of any kind, express or implied'],
+    "mit-liability": ["In no event shall the authors or copyright holders be liable for any claim"],
+    "isc-permission": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee"],
+    "isc-warranty": ['The software is provided "as is" and the author disclaims all warranties'],
+    "bsd-redistribution": ["Redistribution and use in source and binary forms, with or without modification, are permitted"],
+    "bsd-source": ["Redistributions of source code must retain the above copyright notice"],
+    "bsd-binary": ["Redistributions in binary form must reproduce the above copyright notice"],
+    "bsd-endorse": ["Neither the name of the X nor others may be used to endorse or promote products"],
+    "bsd-advertise": ["All advertising materials mentioning features or use of this software must display"],
+    "bsd-warranty": ["This software is provided by the X as is and any express or implied warranties"],
+    "apache-2-compliance": ["you may not use this file except in compliance with the License"],
+    "apache-2-copy": ["You may obtain a copy of the License at"],
+    "apache-2-warranty": ['software distributed under the License is distributed on an "AS IS" BASIS'],
+    "apache-2-limits": ["See the License for the specific language governing permissions and limitations"],
+    "apache-2": ["Apache License, Version 2.0", "Apache-2.0", "Apache 2.0 license"],
+    "agpl-3-later": ["GNU Affero General Public License, version 3 or any later version"],
+    "agpl-3": ["GNU Affero General Public License", "AGPLv3"],
+    "lgpl-later": ["GNU Library General Public License, or any later version"],
+    "lgpl-3": ["GNU Lesser General Public License, version 3", "LGPL-3"],
+    "lgpl-2.1": ["GNU Lesser General Public License, version 2.1", "LGPLv2.1"], "lgpl": ["GNU Lesser General Public License"],
+    "gpl-3-later": ["GNU General Public License, version 3 or any later version"],
+    "gpl-2-later": ["GNU General Public License, version 2 or any later version"],
+    "gpl-3": ["GNU General Public License, version 3", "GPLv3", "GNU GPL version 3"],
+    "gpl-2": ["GNU General Public License (v2)", "GPL-2", "GNU GPL, version 2"], "gpl": ["GNU General Public License", "GNU GPL"],
+    "version-3-later": ["either version 3 of the License, or (at your option) any later version"],
+    "version-2-later": ["either version 2 of the License, or (at your option) any later version"],
+    "mpl-2": ["Mozilla Public License, v. 2.0", "MPL-2.0"], "epl-2": ["Eclipse Public License - v 2.0"],
+    "cc0": ["CC0 1.0", "Creative Commons Zero", "https://creativecommons.org/publicdomain/zero/1.0/"],
+    **{f"cc-{kind}-4": [f"CC {kind.upper()} 4.0", f"https://creativecommons.org/licenses/{kind}/4.0/", f"{name} 4.0"] for kind, name in [
+        ("by-nc-nd", "Attribution-NonCommercial-NoDerivatives"), ("by-nc-sa", "Attribution-NonCommercial-ShareAlike"),
+        ("by-nc", "Attribution-NonCommercial"), ("by-nd", "Attribution-NoDerivatives"), ("by-sa", "Attribution-ShareAlike"),
+        ("by", "Creative Commons Attribution")]},
+    "unlicense": ["This is free and unencumbered software released into the public domain"], "public-domain": ["It is in the public domain"],
+    "bsd-3": ["BSD-3-Clause", "3-clause BSD", "New BSD License"], "bsd-2": ["BSD 2-Clause", "two-clause BSD", "Simplified BSD License"],
+    "isc": ["ISC License"], "mit": ["MIT-style licence", "licensed under MIT"], "reserved": ["All rights reserved"]}
+
+
+def alternatives(pattern: str) -> list[str]:
+    out, depth = [""], 0
+    for i, c in enumerate(pattern):
+        depth += (c in "()" and pattern[i - 1] != "\\") * (1 if c == "(" else -1)
+        out = [*out, ""] if c == "|" and not depth else [*out[:-1], out[-1] + c]
+    return out
+
+
+def test_every_alternative_is_found(spark):
+    cases = [(name, sample) for name, samples in SAMPLES.items() for sample in samples]
+    assert [name for name, _ in cases] == [name for name, p in L.SENTENCES for _ in alternatives(p)]
+    for (name, sample), alternative in zip(cases, [a for _, p in L.SENTENCES for a in alternatives(p)]):
+        assert L.re.search(alternative, sample.lower().replace('"', "")), (name, alternative)
+    frames = ["{}", "x {} y", "Released here: {}.\n\nNothing else."]
+    df = spark.createDataFrame([(i, f.format(sample)) for i, (f, (_, sample)) in enumerate((f, c) for f in frames for c in cases)], "doc_id long, text string")
+    got = {r.doc_id: r.sentences for r in L.scan(df).collect()}
+    assert [got[i] for i in range(len(got))] == [[name] for name, _ in cases] * len(frames)
