@@ -27,7 +27,13 @@ TEXT_WEIGHT = 60.0
 SMOOTHING = 4.0
 MAX_LANGUAGES = 1000
 
-_LANG = re.compile(r"<html\b[^>]*?\s(?:xml:)?lang\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
+_HTML = re.compile(r"<html\b[^>]*", re.I)
+_LANG = re.compile(r"\s(?:xml:)?lang\s*+=\s*+[\"']?\s*+([A-Za-z]+)", re.I)
+
+
+def declared_language(source: str) -> str | None:
+    """The first language that an html tag anywhere in the page declares; linear in the page."""
+    return next((m[1].lower() for tag in _HTML.finditer(source) if (m := _LANG.search(tag[0]))), None)
 
 
 def _cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +100,7 @@ def page_evidence(pages: DataFrame, names: list[str], model: np.ndarray) -> Data
         for batch in batches:
             for piece in pieces(batch, "html"):
                 sources = [x or "" for x in piece.column("html").to_pylist()]
-                declared = [m[1].lower() if (m := _LANG.search(x[:4096])) else None for x in sources]
+                declared = [declared_language(x) for x in sources]
                 plain = pa.array([main_text(x) for x in sources], pa.large_string())
                 cell, owner = _cells(*text_bytes(plain))
                 n = np.bincount(owner, minlength=len(sources))

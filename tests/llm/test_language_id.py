@@ -50,3 +50,11 @@ def test_awkward_pages(spark):
     assert N.identify(df.limit(0), docs).count() == 0
     none = N.identify(df, docs.limit(0)).collect()
     assert len(none) == 56 and {r.lang for r in none} == {None}
+
+
+def test_declared_language_far_into_the_page(spark):
+    docs, _, _ = world(spark)
+    pages = [(i, f"http://h{i}", front + '<html lang="bb"><body><p>ab</p></body></html>') for i, front in
+             enumerate(["<!--" + "x" * 5_000 + "-->", " " * 5_000, "<!DOCTYPE html>" + "\n" * 100_000])]
+    got = N.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()
+    assert [r.declared for r in got] == ["bb"] * 3
