@@ -218,13 +218,20 @@ def _end(out: list[str], line: list[str]) -> None:
 
 
 def _marked(best: Node, body: Node) -> Node | None:
-    """The article or main element around the best one, or else the outermost inside it that has most of its text."""
+    """The article or main element around the best one, or else one inside it that has most of its text and is, with the
+    elements around it, the only one with text: then the sum of the best one is nothing but its density."""
     node = best
     while node is not body and node.tag not in MAIN:
         node = node.parent
     if node.tag in MAIN:
         return node
-    return next((n for n in _walk(best) if n.tag in MAIN and 2 * n.chars > best.chars), None)
+    node = best
+    while node.tag not in MAIN:
+        inner = [child for child in node.children if child.chars]
+        if len(inner) != 1 or 2 * inner[0].chars <= best.chars:
+            return None
+        node = inner[0]
+    return node
 
 
 def main_text(source: str | None) -> str:
@@ -232,7 +239,7 @@ def main_text(source: str | None) -> str:
 
     White space inside a block is one space, a line break as well. Text of the element with the largest density sum
     (or the article or main element around it) is taken whole; elsewhere the largest-sum part of every element that
-    reaches the threshold.
+    reaches the threshold, marked article or not.
     """
     if not source:
         return ""
@@ -255,13 +262,15 @@ def main_text(source: str | None) -> str:
         path.append(node.density)
     threshold = min(path)
     main = _marked(best, body)
-    wanted = {main or best}
-    if main is None:
-        # Without a marked article, other parts that are as dense count, too.
-        top: dict[Node, Node] = {}
-        for n in reversed(nodes):
-            top[n] = max([n, *(top[c] for c in n.children)], key=lambda x: x.total)
-        wanted |= {top[n] for n in nodes if n.density >= threshold and n.chars}
+    # Around a marked article, the elements that hold it are not taken whole; all other parts that are as dense count.
+    around, node = set(), main
+    while node is not None and node is not body:
+        node = node.parent
+        around.add(node)
+    top: dict[Node, Node] = {}
+    for n in reversed(nodes):
+        top[n] = max([n, *(top[c] for c in n.children)], key=lambda x: x.total)
+    wanted = {main or best} | {top[n] for n in nodes if n not in around and n.density >= threshold and n.chars}
     out: list[str] = []
     line: list[str] = []
     _blocks(body, wanted, out, line)

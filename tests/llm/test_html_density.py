@@ -60,3 +60,11 @@ def test_every_row(spark):
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert {r[3] for r in got if r[0] == 4} == {2}
     assert H.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("body, want", [
+    ("<div><article>" + "<p>{0} a</p>" * 6 + "</article><article>" + "<p>{0} b</p>" * 4 + "</article></div>", ["{0} a"] * 6 + ["{0} b"] * 4),
+    ("<div><h1>{0} head</h1>" + "<p>{0} lead</p>" * 2 + "<article>" + "<p>{0} a</p>" * 4 + "</article></div>", ["{0} head"] + ["{0} lead"] * 2 + ["{0} a"] * 4),
+    ("<article>" + "<p>{0} a</p>" * 4 + "</article><nav><p>{0} no</p></nav><div class=ad><p>{0} no</p></div>", ["{0} a"] * 4)])
+def test_dense_parts_beside_the_article(body, want):
+    assert H.main_text(HEAD + f"<body>{body.format(LONG)}</body></html>") == "\n".join(want).format(LONG)
