@@ -5,23 +5,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.common import Tables, day, query, ts_sql
+from driver_queries.common import Tables, day, query, stored, ts_sql
 from driver_queries.lake import USER_GEO_SQL, flat_events, placed
+from martworks.functions.sums import exact_sums
 from martworks.operators import load
+from martworks.operators.groups import collect_parts
 from martworks.operators.reference import nearest
 from martworks.operators.windows import carry_forward, ranked, running_sum, runs, shifted
 from martworks.plans import geo
 from martworks.session import scratch
 
-DAY = 24 * 3600
-
-
 def running_nulls(t: Tables):
     """Sum so far of values of which every third is missing, in the order of a text."""
     rows = t.events.select(
         "event_id", "user_id", F.when(F.col("event_id") % 3 != 0, F.col("event_id") % 101).alias("v"),
         F.concat_ws("-", "event_type", F.lpad(F.col("event_id").cast("string"), 9, "0")).alias("place"))
-    return running_sum(rows, ["user_id"], ["place"], "v", "so_far", span=6)
+    return running_sum(rows, ["user_id"], ["place"], "v", "so_far", part_rows=400)
 
 
 RUNNING_NULLS_SQL = """
@@ -49,7 +48,7 @@ WITH r AS (SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN 0 ELSE user_id END
 def hot_neighbours(t: Tables):
     """Types of the events before and after, for one user with most rows."""
     found = shifted(_hot(t), ["who"], ["moment", "event_id"], {"before": ("event_type", -1), "third": ("event_type", -3),
-                                                           "after": ("event_type", 2)}, span=3 * DAY)
+                                                           "after": ("event_type", 2)}, part_rows=300)
     return found.select("event_id", "before", "third", "after")
 
 
@@ -60,7 +59,7 @@ FROM r WINDOW w AS (PARTITION BY who ORDER BY moment NULLS FIRST, event_id)"""
 
 def hot_last_known(t: Tables):
     """The last value seen so far, for one user with most rows."""
-    return carry_forward(_hot(t), ["who"], ["moment", "event_id"], {"known": "seen"}, span=3 * DAY).select("event_id", "known")
+    return carry_forward(_hot(t), ["who"], ["moment", "event_id"], {"known": "seen"}, part_rows=300).select("event_id", "known")
 
 
 HOT_LAST_SQL = HOT_SQL + """
@@ -71,17 +70,139 @@ SELECT event_id, last_value(seen IGNORE NULLS) OVER (
 def hot_numbers(t: Tables):
     """Row numbers, latest first, for one user with most rows."""
     rows = _hot(t).withColumn("back", -F.col("event_id"))
-    return ranked(rows, ["who"], ["moment", "event_id"], "n", descending=True, unique=True, span=3 * DAY).select("event_id", "n")
+    return ranked(rows, ["who"], ["moment", "event_id"], "n", descending=True, unique=True, part_rows=300).select("event_id", "n")
 
 
 HOT_NUMBERS_SQL = HOT_SQL + """
 SELECT event_id, row_number() OVER (PARTITION BY who ORDER BY moment DESC NULLS LAST, event_id) AS n FROM r"""
 
 
+HASHED_SQL = "CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
+def _odd_orders(t: Tables):
+    """Orders that fixed ranges cannot cut: shares of one, texts with one beginning, 64-bit hashes, and a column of which
+    two thirds are NaN or missing. Four fifths of the events belong to user 0."""
+    eid = F.col("event_id")
+    return t.events.select(
+        "event_id", F.when(eid % 5 != 0, 0).otherwise(F.col("user_id")).cast("bigint").alias("who"),
+        ((eid * 7919 % 1000003) / F.lit(1000003.0)).alias("share"), F.format_string("https://a.example/%09d", eid * 7919 % 1000003).alias("text"),
+        F.conv(F.substring(F.md5(eid.cast("string").cast("binary")), 1, 15), 16, 10).cast("bigint").alias("hashed"),
+        F.when(eid % 3 == 1, F.lit(float("nan"))).when(eid % 3 == 2, F.col("value")).alias("odd"),
+        F.when(eid % 7 == 0, F.col("value")).alias("seen"))
+
+
+ODD_SQL = f"""
+WITH r AS (SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN 0 ELSE user_id END AS who,
+                  (event_id * 7919 % 1000003) / CAST(1000003 AS DOUBLE) AS share, printf('https://a.example/%09d', event_id * 7919 % 1000003) AS text,
+                  {HASHED_SQL} AS hashed, CASE event_id % 3 WHEN 1 THEN CAST('NaN' AS DOUBLE) WHEN 2 THEN value END AS odd,
+                  CASE WHEN event_id % 7 = 0 THEN value END AS seen FROM events)
+"""
+
+
+def shares_neighbours(t: Tables):
+    """Neighbours in the order of a number between nought and one."""
+    found = shifted(_odd_orders(t), ["who"], ["share"], {"before": ("event_id", -2), "after": ("event_id", 1)}, part_rows=250)
+    return found.select("event_id", "before", "after")
+
+
+SHARES_SQL = ODD_SQL + """
+SELECT event_id, lag(event_id, 2) OVER w AS before, lead(event_id) OVER w AS after FROM r WINDOW w AS (PARTITION BY who ORDER BY share)"""
+
+
+def texts_numbers(t: Tables):
+    """Row numbers in the order of texts with one beginning, and the rank of their last digit, highest first."""
+    numbers = ranked(_odd_orders(t), ["who"], ["text"], "n", unique=True, part_rows=250)
+    digits = stored(numbers, "texts_numbers").withColumn("digit", F.substring("text", -1, 1))
+    return ranked(digits, ["who"], ["digit"], "place", descending=True, part_rows=4).select("event_id", "n", "place")
+
+
+TEXTS_SQL = ODD_SQL + """
+SELECT event_id, row_number() OVER (PARTITION BY who ORDER BY text) AS n,
+       rank() OVER (PARTITION BY who ORDER BY right(text, 1) DESC) AS place FROM r"""
+
+
+def hashes_last_known(t: Tables):
+    """The last value seen so far in the order of a 64-bit hash."""
+    return carry_forward(_odd_orders(t), ["who"], ["hashed"], {"known": "seen"}, part_rows=250).select("event_id", "known")
+
+
+HASHES_SQL = ODD_SQL + """
+SELECT event_id, last_value(seen IGNORE NULLS) OVER (PARTITION BY who ORDER BY hashed ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS known
+FROM r"""
+
+
+def odd_running(t: Tables):
+    """Sum so far in an order of which most values are NaN or missing: missing ones first, NaN last."""
+    rows = _odd_orders(t)
+    found = running_sum(rows, ["who"], ["odd", "event_id"], "event_id", "so_far", part_rows=250)
+    ties = running_sum(found, ["who"], ["odd"], "event_id", "with_ties", part_rows=250)
+    return ties.select("event_id", "so_far", "with_ties")
+
+
+ODD_RUNNING_SQL = ODD_SQL + """
+SELECT event_id, CAST(sum(event_id) OVER (PARTITION BY who ORDER BY odd NULLS FIRST, event_id) AS BIGINT) AS so_far,
+       CAST(sum(event_id) OVER (PARTITION BY who ORDER BY odd NULLS FIRST) AS BIGINT) AS with_ties FROM r"""
+
+
+def _wide(t: Tables):
+    """Values from 1e-10 to 1e30 of both signs, missing ones, and for some users NaN or an infinity; user 0 has most."""
+    eid, uid = F.col("event_id"), F.col("user_id")
+    usual = F.when(eid % 8 == 0, F.lit(1e30)).when(eid % 8 == 4, F.lit(-1e30)).when(eid % 4 == 3, None).otherwise(F.lit(1e-10))
+    late = (eid % 5 == 0) & (eid % 3 == 0)
+    value = F.when(late & (uid % 4 == 1), F.lit(float("nan"))).when(late & (uid % 4 == 2), F.lit(float("inf"))).when(
+        late & (uid % 4 == 3), F.when(eid % 2 == 0, F.lit(float("inf"))).otherwise(F.lit(float("-inf")))).otherwise(usual)
+    return t.events.select("event_id", F.when(eid % 5 != 0, 0).otherwise(uid).cast("bigint").alias("who"), value.alias("v"))
+
+
+WIDE_SQL = """
+WITH w AS (SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN 0 ELSE user_id END AS who,
+                  event_id % 5 = 0 AND event_id % 3 = 0 AS late, user_id % 4 AS kind FROM events),
+f AS (SELECT event_id, who, late AND kind = 1 AS nan, late AND (kind = 2 OR (kind = 3 AND event_id % 2 = 0)) AS up,
+             late AND kind = 3 AND event_id % 2 = 1 AS down, NOT late OR kind = 0 AS usual FROM w),
+{counted}
+SELECT {columns},
+       CASE WHEN nans > 0 OR (ups > 0 AND downs > 0) THEN CAST('NaN' AS DOUBLE) WHEN ups > 0 THEN CAST('Infinity' AS DOUBLE)
+            WHEN downs > 0 THEN CAST('-Infinity' AS DOUBLE) WHEN large <> 0 THEN large * CAST(1e30 AS DOUBLE)
+            WHEN values > 0 THEN small * CAST(1e-10 AS DOUBLE) END AS total
+FROM c"""
+_COUNTS = """count_if(nan){w} AS nans, count_if(up){w} AS ups, count_if(down){w} AS downs,
+  CAST(sum(CASE WHEN usual AND event_id % 8 = 0 THEN 1 WHEN usual AND event_id % 8 = 4 THEN -1 ELSE 0 END){w} AS BIGINT) AS large,
+  count_if(usual AND event_id % 4 IN (1, 2)){w} AS small, count_if(NOT usual OR event_id % 4 <> 3){w} AS values"""
+
+
+def exact_running(t: Tables):
+    """Sum so far of values whose plain sum depends on the order it is formed in."""
+    return running_sum(_wide(t), ["who"], ["event_id"], "v", "total", part_rows=250).select("event_id", "total")
+
+
+EXACT_RUNNING_SQL = WIDE_SQL.format(
+    counted=f"c AS (SELECT event_id, {_COUNTS.format(w=' OVER (PARTITION BY who ORDER BY event_id)')} FROM f)", columns="event_id")
+
+
+def exact_totals(t: Tables):
+    """Sum per user of the same values."""
+    return exact_sums(_wide(t), ["who"], "v", "total")
+
+
+EXACT_TOTALS_SQL = WIDE_SQL.format(counted=f"c AS (SELECT who, {_COUNTS.format(w='')} FROM f GROUP BY who)", columns="who")
+
+
+def hashed_lists(t: Tables):
+    """Lists of fifty events at most, in the order of a 64-bit hash that is the rows' id."""
+    lists = collect_parts(_odd_orders(t), ["who"], F.struct("hashed", "event_id"), "found", "hashed", 50, part_rows=250)
+    return lists.select("who", "part", F.transform("found", lambda x: x["event_id"]).alias("events"))
+
+
+HASHED_LISTS_SQL = ODD_SQL + """,
+n AS (SELECT who, event_id, hashed, CAST((row_number() OVER (PARTITION BY who ORDER BY hashed) - 1) // 50 AS INTEGER) AS part FROM r)
+SELECT who, part, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY hashed) AS events FROM n GROUP BY 1, 2"""
+
+
 def runs_without_ids(t: Tables):
     """Unbroken stretches of one event type, with no id to break ties."""
     rows = t.events.select("user_id", "event_type", "ts", F.lit(None).cast("bigint").alias("none"))
-    return runs(rows, "user_id", "event_type", "ts", "none", span=5 * DAY).select(
+    return runs(rows, "user_id", "event_type", "ts", "none", part_rows=300).select(
         "user_id", F.col("run_no").cast("bigint").alias("run_no"), "event_type", "events", "days")
 
 
@@ -215,6 +336,13 @@ QUERIES = {
     "hot_neighbours": (hot_neighbours, HOT_NEIGHBOURS_SQL),
     "hot_last_known": (hot_last_known, HOT_LAST_SQL),
     "hot_numbers": (hot_numbers, HOT_NUMBERS_SQL),
+    "shares_neighbours": (shares_neighbours, SHARES_SQL),
+    "texts_numbers": (texts_numbers, TEXTS_SQL),
+    "hashes_last_known": (hashes_last_known, HASHES_SQL),
+    "odd_running": (odd_running, ODD_RUNNING_SQL),
+    "exact_running": (exact_running, EXACT_RUNNING_SQL),
+    "exact_totals": (exact_totals, EXACT_TOTALS_SQL),
+    "hashed_lists": (hashed_lists, HASHED_LISTS_SQL),
     "runs_without_ids": (runs_without_ids, RUNS_SQL),
     "user_geo_without_ids": (user_geo_without_ids, USER_GEO_SQL),
     "nearest_of_many": (nearest_of_many, NEAREST_MANY_SQL),

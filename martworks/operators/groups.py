@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martworks.operators.skew import free
+from martworks.operators.windows import ranked
 
-#: Row ids of one part of a list.
-PART_IDS = 1_000_000
+
+#: Items of one part of a list.
+LIST_ROWS = 100_000
 
 
 def collect_parts(df: DataFrame, keys: list[str], item: Column, name: str, row_id: str | Column,
-                  part_ids: int = PART_IDS) -> DataFrame:
+                  list_rows: int = LIST_ROWS, part_rows: int | None = None) -> DataFrame:
     """Sorted list of items per key and part, with the ``part`` column.
 
-    A part is a range of ``part_ids`` values of the unique number ``row_id``, so a list holds at most so many items
-    whatever the key, and the shape is the same for every size: a key whose ids lie in several ranges has several
-    rows, in the order of the ids. A null id counts as 0.
+    The rows of a key are numbered in the order of ``row_id``, any sortable column that tells them apart, and every
+    ``list_rows`` of them are a part: all lists but a key's last have that length, whatever the ids are. Null ids come
+    first.
     """
-    number = F.col(row_id) if isinstance(row_id, str) else row_id
-    part = F.floor(F.coalesce(number.cast("long"), F.lit(0)) / part_ids).cast("int")
-    return df.groupBy(*keys, part.alias("part")).agg(F.array_sort(F.collect_list(item)).alias(name))
+    at, id_ = free(df, "at", "id")
+    rows = df.withColumn(id_, F.col(row_id) if isinstance(row_id, str) else row_id)
+    numbers = ranked(rows, keys, [id_], at, unique=True, part_rows=part_rows)
+    part = F.floor((F.col(at) - 1) / list_rows).cast("int")
+    return numbers.groupBy(*keys, part.alias("part")).agg(F.array_sort(F.collect_list(item)).alias(name))
 
 
 def key_counts(df: DataFrame, keys: list[str], name: str = "cnt") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martworks.functions.geo import EARTH_KM, haversine
 from martworks.operators.dedup import unique_pairs
+from martworks.operators.skew import free
 from martworks.operators.windows import carry_forward
 
 
@@ -54,22 +55,21 @@ def without_pairs(pairs: DataFrame, known: DataFrame, a: str, b: str, known_a: s
 
 
 def as_of(left: DataFrame, right: DataFrame, key: str, ts: str, values: list[str], prefix: str = "last_",
-          tiebreak: str | None = None, span: int | None = None) -> DataFrame:
+          tiebreak: str | None = None, part_rows: int | None = None) -> DataFrame:
     """Each left row with the right side's last known values at that moment (right rows of the same
-    moment count). One union and one pass in time order; no pairing of rows."""
+    moment count). One union and one pass in time order; no pairing of rows. Both sides are read more than once."""
+    side, tie, seen, known = free(left, "side", "tie", "seen", "known")
+    # A whole right row is carried, so that values of different rows never mix.
     right_rows = right.select(
-        key, ts, *[F.col(v).alias(f"_v_{v}") for v in values], F.lit(0).alias("_side"),
-        (F.col(tiebreak) if tiebreak else F.lit(0)).cast("long").alias("_tie"),
-    )
-    left_rows = left.select(
-        "*", F.lit(1).alias("_side"), F.lit(0).cast("long").alias("_tie"),
+        key, ts, F.struct(*[F.col(v).alias(f"v{i}") for i, v in enumerate(values)]).alias(seen), F.lit(0).alias(side),
+        (F.col(tiebreak) if tiebreak else F.lit(0)).cast("long").alias(tie),
     )
+    # Left rows of one moment may come in any order; a hash lets a moment with many of them be cut.
+    left_rows = left.select("*", F.lit(1).alias(side), F.xxhash64(*left.columns).alias(tie))
     both = left_rows.unionByName(right_rows, allowMissingColumns=True)
-    # A whole right row is carried, so that values of different rows never mix.
-    both = both.withColumn("_seen", F.when(F.col("_side") == 0, F.struct(*[f"_v_{v}" for v in values])))
-    carried = carry_forward(both, [key], [ts, "_side", "_tie"], {"_known": "_seen"}, span)
-    return carried.where("_side = 1").select(
-        *left.columns, *[F.col(f"_known._v_{v}").alias(f"{prefix}{v}") for v in values]
+    carried = carry_forward(both, [key], [ts, side, tie], {known: seen}, part_rows)
+    return carried.where(F.col(side) == 1).select(
+        *left.columns, *[F.col(f"{known}.v{i}").alias(f"{prefix}{v}") for i, v in enumerate(values)]
     )
 
 

@@ -36,7 +36,7 @@ def user_geo(located: DataFrame, min_days: int = 27, travel: str = "days") -> Da
 
     Home is the city of the latest unbroken stay of at least ``min_days`` days, null without one.
     ``travel='days'`` counts distinct (day, city) visits. ``'moves'`` counts changes of city, of which a user may have
-    any number: their list comes in parts (a row for each ``part``, a range of their numbers).
+    any number: their list comes in parts (a row for each ``part`` of the list).
     """
     last = F.struct("ts", "event_id")
     visit = F.struct(F.to_date("ts").alias("dt"), F.col("id"), F.col("city"))

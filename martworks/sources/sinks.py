@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
-from martworks.operators.groups import PART_IDS, collect_parts
+from martworks.operators.groups import LIST_ROWS, collect_parts
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], sort: list[str] | None = None,
@@ -40,9 +40,9 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
 
 
 def nested_documents(df: DataFrame, keys: list[str], item: Column, name: str, row_id: str,
-                     part_ids: int = PART_IDS) -> DataFrame:
-    """One document per key and range of ``part_ids`` row ids, with its rows as a list."""
-    return collect_parts(df, keys, item, name, row_id, part_ids)
+                     list_rows: int = LIST_ROWS) -> DataFrame:
+    """One document per key and ``list_rows`` of its rows, with these as a list."""
+    return collect_parts(df, keys, item, name, row_id, list_rows)
 
 
 def write_documents(df: DataFrame, path: str, fmt: str = "json", mode: str = "append") -> None:

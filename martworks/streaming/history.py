@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from martworks.operators.groups import PART_IDS, collect_parts
+from martworks.operators.groups import LIST_ROWS, collect_parts
 from martworks.streaming import core
 from martworks.streaming.windows import parse_value
 
@@ -18,10 +18,10 @@ def purchases(topic: DataFrame) -> DataFrame:
     return parse_value(topic, RETAIL, "offset").withColumn("Quantity", F.col("Quantity").try_cast("int"))
 
 
-def histories(rows: DataFrame, part_ids: int = PART_IDS) -> DataFrame:
-    """List of purchases per customer, country and part; a part is a range of message offsets."""
+def histories(rows: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
+    """List of purchases per customer, country and part, in the order of the message offsets."""
     item = F.struct("Description", "Quantity", "InvoiceDate")
-    return collect_parts(rows, ["CustomerID", "Country"], item, "PurchaseDescription", "offset", part_ids)
+    return collect_parts(rows, ["CustomerID", "Country"], item, "PurchaseDescription", "offset", list_rows)
 
 
 def run_purchases(topic: DataFrame, out: str, checkpoint: str, every: str | None = None):

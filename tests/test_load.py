@@ -121,12 +121,22 @@ def test_pairs(spark, rows):
     assert rows(joins.without_pairs(dedup.unique_pairs(df, "a", "b"), known, "a", "b", "f", "t")) == [(1, 2)]
 
 
+@pytest.mark.parametrize("part_rows", [None, 10])
+def test_lists_of_equal_length_whatever_the_ids(spark, part_rows):
+    df = spark.range(500).select(F.when(F.col("id") % 5 > 0, 1).alias("k"), F.xxhash64("id").alias("h"), "id")
+    got = groups.collect_parts(df, ["k"], F.struct("h", "id"), "items", "h", 30, part_rows).orderBy("k", "part").collect()
+    assert [(r.k, r.part, len(r["items"])) for r in got] == [(None, i, 30) for i in range(3)] + [(None, 3, 10)] + \
+        [(1, i, 30) for i in range(13)] + [(1, 13, 10)]
+    hashes = [x.h for r in got if r.k == 1 for x in r["items"]]
+    assert hashes == sorted(hashes)
+
+
 @pytest.mark.parametrize("ids", [9, 1000])
 def test_collect_parts_keeps_everything(spark, ids):
     df = spark.createDataFrame([(1 if i % 3 else 2, i) for i in range(60)], "k int, v int")
     got = groups.collect_parts(df, ["k"], F.col("v"), "vs", "v", ids).collect()
     assert sorted(v for r in got for v in r.vs) == list(range(60))
-    assert len(got) == (2 if ids == 1000 else 14)
+    assert len(got) == (2 if ids == 1000 else 8)
     assert all(r.vs == sorted(r.vs) and len(r.vs) <= ids for r in got)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W, functions as F
 
 from martworks.operators import windows
 from martworks.operators.joins import as_of
-from martworks.operators.skew import in_parts, numbered
+from martworks.operators.skew import cut, numbered
 
 
 @pytest.fixture(scope="module")
@@ -26,14 +26,22 @@ def log(spark):
     return spark.createDataFrame(data, "user int, ts timestamp, id int, city string, v int").cache()
 
 
-SPANS = [3600, None]  # seconds: some fifty parts, and one
+SPANS = [25, None]  # rows of a part: some thirty parts, and one
 
 
-@pytest.mark.parametrize("order, span", [("ts", 3600), ("id", 50), ("city", 1), ("half", 40), ("day", 86400)])
-def test_parts_follow_the_order(log, order, span):
-    rows = in_parts(log.withColumns({"half": F.col("id") / 2, "day": F.to_date("ts")}), ["user"], order, span)
-    spans = rows.groupBy("_part").agg(F.min(order).alias("a"), F.max(order).alias("b")).orderBy("_part").collect()
-    assert len(spans) > 2 and all(x.b < y.a for x, y in zip(spans, spans[1:]))
+@pytest.mark.parametrize("order", [["ts", "id"], ["id"], ["city", "v", "id"], ["share"], ["text"], ["hashed"], ["day", "id"], ["odd", "id"]])
+@pytest.mark.parametrize("down", [False, True])
+def test_parts_are_even_and_follow_the_order(log, order, down):
+    """Whatever the values are: shares of one, texts of one beginning, 64-bit hashes, NaN and null."""
+    rows = log.withColumns({
+        "share": F.col("id") / 1e6, "text": F.format_string("https://a.example/%05d", "id"), "hashed": F.xxhash64("id"),
+        "day": F.to_date("ts"), "odd": F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 3 > 1, float("nan")).otherwise(1.0))})
+    made = cut(rows, ["user"], order, (order[0],) if down else (), 50)
+    sort = [F.desc(order[0]) if down else F.asc(order[0]), *[F.asc(c) for c in order[1:]]]
+    parts = [r[0] for r in made.rows.orderBy("user", *sort).select(made.part).collect()]
+    assert parts == sorted(parts)
+    sizes = [parts.count(p) for p in set(parts)]
+    assert len(sizes) > 12 and max(sizes) < 3 * 50
 
 
 def test_numbered(spark, rows):
@@ -72,7 +80,7 @@ def test_carry_forward(log, rows, span):
 def test_ranked(log, rows, span, down):
     w = W.partitionBy("user").orderBy(F.desc("ts") if down else F.asc("ts"))
     want = log.withColumn("r", F.rank().over(w))
-    assert rows(windows.ranked(log, ["user"], ["ts"], "r", down, span=span), "id", "r") == rows(want, "id", "r")
+    assert rows(windows.ranked(log, ["user"], ["ts"], "r", down, part_rows=span), "id", "r") == rows(want, "id", "r")
 
 
 def test_ranked_whole_frame(log, rows):
@@ -87,20 +95,20 @@ def test_null_order_values(spark, rows):
     assert rows(windows.shifted(df, ["k"], ["o", "id"], {"p": ("id", -1)}, 4), "id", "p") == rows(want, "id", "p")
 
 
-@pytest.mark.parametrize("span", [86400, None])
+@pytest.mark.parametrize("span", [1, None])
 @pytest.mark.parametrize("tie", ["id", "none"])
 def test_runs(spark, rows, span, tie):
     cities = ["A", "A", "B", "A"]
     df = spark.createDataFrame([(7, c, dt.datetime(2024, 1, 1 + i), i) for i, c in enumerate(cities)],
                                "user int, city string, ts timestamp, id int").withColumn("none", F.lit(None).cast("int"))
-    got = windows.runs(df, "user", "city", "ts", tie, span=span)
+    got = windows.runs(df, "user", "city", "ts", tie, part_rows=span)
     assert rows(got, "run_no", "city", "events", "days") == [(1, "A", 2, 1), (2, "B", 1, 0), (3, "A", 1, 0)]
     assert windows.runs(df, "user", "city", "ts", "id", min_days=1).count() == 1
 
 
 def test_runs_agree_between_spans(log, rows):
     cols = ["user", "run_no", "city", "run_start", "run_end", "events", "days"]
-    assert rows(windows.runs(log, "user", "city", "ts", "id", span=7200), *cols) == \
+    assert rows(windows.runs(log, "user", "city", "ts", "id", part_rows=40), *cols) == \
         rows(windows.runs(log, "user", "city", "ts", "id"), *cols)
 
 
@@ -137,7 +145,7 @@ def test_with_stats_null_key(spark, rows):
 def test_as_of(spark, log, span):
     left = log.where("city = 'A'").select("user", "ts", "id")
     right = log.where("city = 'B'")
-    got = {r.id: r.last_v for r in as_of(left, right, "user", "ts", ["v"], tiebreak="id", span=span).collect()}
+    got = {r.id: r.last_v for r in as_of(left, right, "user", "ts", ["v"], tiebreak="id", part_rows=span).collect()}
     known = [(r.user, r.ts, r.id, r.v) for r in right.collect()]
     for r in left.collect():
         before = [k for k in known if k[0] == r.user and k[1] <= r.ts]
