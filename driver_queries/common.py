@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from martworks.session import scratch
+from martworks.session import stored  # noqa: F401
 
 
 class Tables:
@@ -41,13 +41,6 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame that several later steps use, and read it back: it is computed once."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def per_order(lines: DataFrame, item, name: str) -> DataFrame:
     """The lines of each order as a sorted list; an order has at most seven."""
     return lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias(name))

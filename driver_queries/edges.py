@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driver_queries.common import Tables, day, query, stored, ts_sql
 from driver_queries.lake import USER_GEO_SQL, flat_events, placed
 from martworks.functions.sums import exact_sums
-from martworks.operators import load
+from martworks.operators import joins, load
 from martworks.operators.groups import collect_parts
 from martworks.operators.reference import nearest
 from martworks.operators.windows import carry_forward, ranked, running_sum, runs, shifted
@@ -243,6 +243,51 @@ f AS (SELECT lat, lon, min((2 * 6371 * asin(sqrt(least(1.0, pow(sin((la - radian
 SELECT event_id, lat, lon, best[2] AS id, round(best[1], 3) AS distance FROM e JOIN f USING (lat, lon)"""
 
 
+def many_versions(t: Tables):
+    """Events with the version of their user that was valid: seven minutes of every ten in which the user was seen; four
+    fifths of the versions belong to user 0."""
+    rows = t.events.select("event_id", F.when(F.col("event_id") % 5 != 0, 0).otherwise(F.col("user_id")).cast("bigint").alias("who"),
+                           F.unix_seconds(F.col("ts").cast("timestamp")).alias("at"))
+    slots = rows.select("who", F.floor(F.col("at") / 600).alias("slot")).distinct()
+    versions = slots.select("who", "slot", (F.col("slot") * 600).alias("active_from"), (F.col("slot") * 600 + 420).alias("active_to"))
+    return joins.valid_at(rows, versions, "who", "at", part_rows=400).select("event_id", "slot")
+
+
+MANY_VERSIONS_SQL = """
+SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) // 600 AS slot FROM events WHERE CAST(floor(epoch(ts)) AS BIGINT) % 600 < 420"""
+
+
+def crowded_channel(t: Tables):
+    """Pairs of customers within twenty metres: four fifths of them share a channel and a cell."""
+    key = F.col("c_custkey")
+    people = t.customer.select(
+        key.alias("id"), F.when(key % 5 != 0, 0).otherwise(key % 7).cast("int").alias("channel"),
+        (F.lit(10.0) + ((key * 7919) % 1009) / F.lit(1009000.0)).alias("lat"), (F.lit(20.0) + ((key * 104729) % 2003) / F.lit(2003000.0)).alias("lon"))
+    others = people.select(F.col("id").alias("other"), "channel", F.col("lat").alias("ref_lat"), F.col("lon").alias("ref_lon"))
+    met = joins.within_distance(people, others, 0.02, also=["channel"], block_rows=100).where("id < other")
+    return met.select("id", "other", "channel")
+
+
+CROWDED_SQL = """
+WITH p AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 5 <> 0 THEN 0 ELSE c_custkey % 7 END AS channel,
+                  radians(10 + ((c_custkey * 7919) % 1009) / CAST(1009000 AS DOUBLE)) AS la,
+                  radians(20 + ((c_custkey * 104729) % 2003) / CAST(2003000 AS DOUBLE)) AS lo FROM customer)
+SELECT a.id, b.id AS other, CAST(a.channel AS INTEGER) AS channel FROM p a JOIN p b ON a.channel = b.channel AND a.id < b.id
+WHERE 2 * 6371 * asin(sqrt(least(1.0, pow(sin((b.la - a.la) / 2), 2) + cos(a.la) * cos(b.la) * pow(sin((b.lo - a.lo) / 2), 2)))) <= 0.02"""
+
+
+def update_repeated(t: Tables):
+    """An update whose source holds a key several times: the newest counts, and no row is doubled."""
+    target = t.customer.select("c_custkey", "c_acctbal", "c_name")
+    src = t.orders.select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"), "o_orderdate", "o_orderkey")
+    return load.update_matched(target, src, ["c_custkey"], ["c_acctbal"], newest=["o_orderdate", "o_orderkey"])
+
+
+UPDATE_REPEATED_SQL = """
+SELECT c_custkey, c_name, coalesce(o, c_acctbal) AS c_acctbal FROM customer LEFT JOIN (
+  SELECT o_custkey, max_by(o_totalprice, (o_orderdate, o_orderkey)) AS o FROM orders GROUP BY 1) ON o_custkey = c_custkey"""
+
+
 def insert_new_pairs(t: Tables):
     """Pairs of customer and clerk key that the orders before 1996 lack: the customer alone is not the key."""
     pairs = t.orders.select(F.col("o_custkey").alias("a"), (F.col("o_orderkey") % 5).alias("b"), "o_orderdate", "o_orderkey")
@@ -346,6 +391,9 @@ QUERIES = {
     "runs_without_ids": (runs_without_ids, RUNS_SQL),
     "user_geo_without_ids": (user_geo_without_ids, USER_GEO_SQL),
     "nearest_of_many": (nearest_of_many, NEAREST_MANY_SQL),
+    "many_versions": (many_versions, MANY_VERSIONS_SQL),
+    "crowded_channel": (crowded_channel, CROWDED_SQL),
+    "update_repeated": (update_repeated, UPDATE_REPEATED_SQL),
     "insert_new_pairs": (insert_new_pairs, INSERT_PAIRS_SQL),
     "merge_missing": (merge_missing, MERGE_MISSING_SQL),
     "upsert_null_keys": (upsert_null_keys, UPSERT_NULL_SQL),

@@ -22,23 +22,25 @@ def _scaled(value: Column, band: Column) -> Column:
     return value * half * half
 
 
-def _names(name: str) -> tuple[str, list[str], str]:
-    return f"{name}_band", [f"{name}_digit{i}" for i in range(DIGITS)], f"{name}_rest"
+def _names(name: str) -> tuple[str, str, str]:
+    return f"{name}_band", f"{name}_digits", f"{name}_rest"
 
 
 def with_digits(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Add ``<name>_band``, the highest band of the value (null unless it is finite and not zero), and its digits."""
+    """Add ``<name>_band``, the highest band of the value (null unless it is finite and not zero), and ``<name>_digits``,
+    the list of its digits from there down."""
     band, digits, rest = _names(name)
     x = F.col(f"`{value}`").cast("double")
     size = F.abs(x)
     usual = (size > 0) & (size < float("inf"))
     rows = df.withColumn(band, F.when(usual, F.floor(F.log2(size) / BITS).cast("int"))).withColumn(rest, F.when(usual, x))
     # Steps of their own, so that none is evaluated more than once per row.
-    for i, digit in enumerate(digits):
+    single = [f"{name}_digit{i}" for i in range(DIGITS)]
+    for i, digit in enumerate(single):
         part = _scaled(F.col(rest), i - F.col(band))
         rows = rows.withColumn(digit, F.when(part < 0, F.ceil(part)).otherwise(F.floor(part)))
         rows = rows.withColumn(rest, F.col(rest) - _scaled(F.col(digit).cast("double"), F.col(band) - i))
-    return rows.drop(rest)
+    return rows.withColumn(digits, F.array(*single)).drop(rest, *single)
 
 
 def bands(df: DataFrame, name: str) -> list[int]:
@@ -52,12 +54,8 @@ def addends(value: str, name: str, places: list[int]) -> dict[str, Column]:
     """The columns to add up (with :func:`with_digits` before): one per band, and counts of values, NaN and infinities."""
     band, digits, _ = _names(name)
     x = F.col(f"`{value}`").cast("double")
-    out = {}
-    for b in places:
-        digit = F.lit(0).cast("long")
-        for i, d in enumerate(digits):
-            digit = F.when(F.col(band) - i == b, F.col(d)).otherwise(digit)
-        out[_of(name, b)] = digit
+    zero = F.lit(0).cast("long")
+    out = {_of(name, b): F.coalesce(F.get(digits, F.col(band) - b), zero) for b in places}
     flag = lambda c: F.coalesce(c.cast("long"), F.lit(0).cast("long"))
     return {**out, f"{name}_n": flag(x.isNotNull()), f"{name}_nan": flag(F.isnan(x)), f"{name}_up": flag(x == float("inf")),
             f"{name}_down": flag(x == float("-inf"))}
@@ -71,29 +69,29 @@ def total(df: DataFrame, name: str, places: list[int], result: str) -> DataFrame
     """Add ``result``, the double of the summed addends; null without any value. The addends are dropped."""
     columns = [_of(name, b) for b in places]
     extra = [f"{name}_{x}" for x in ("n", "nan", "up", "down")]
-    carry, sign, sum_ = f"{name}_carry", f"{name}_sign", f"{name}_sum"
-    rows = df.withColumn(sign, F.lit(1).cast("long"))
-    if columns:
-        # The sign of the sum is that of what is carried beyond the highest band; then the same with the sum's amount.
-        for again in (False, True):
-            rows = rows.withColumn(carry, F.lit(0).cast("long"))
-            for c in columns:
-                whole = F.col(carry) + (F.col(sign) * F.col(c) if again else F.col(c))
-                if again:
-                    rows = rows.withColumn(c, whole).withColumn(carry, F.shiftright(c, BITS)).withColumn(c, F.col(c).bitwiseAND(_MASK))
-                else:
-                    rows = rows.withColumn(carry, F.shiftright(whole, BITS))
-            if not again:
-                rows = rows.withColumn(sign, F.when(F.col(carry) < 0, -1).otherwise(1).cast("long"))
-    # From the lowest band up; every term is a double of its own.
-    amount = F.lit(0.0)
-    for c, b in zip([*columns, carry], [*places, places[-1] + 1] if columns else []):
-        half = 2.0 ** (b * (BITS // 2))
-        amount = amount + F.col(c).cast("double") * half * half
-    finite = F.col(sign) * amount
+    sign, found = f"{name}_sign", f"{name}_sum"
+    zero = F.lit(0).cast("long")
+    if not columns:
+        rows, finite = df, F.lit(0.0)
+    else:
+        # The sign of the sum is that of what is carried beyond the highest band; then the same with the sum's amount,
+        # every digit a double of its own, from the lowest band up.
+        top = F.aggregate(F.array(*columns), zero, lambda carry, x: F.shiftright(carry + x, BITS))
+        rows = df.withColumn(sign, F.when(top < 0, -1).otherwise(1).cast("long"))
+        halves = [F.lit(2.0 ** (b * (BITS // 2))) for b in [*places, places[-1] + 1]]
+        terms = F.array(*[F.struct((F.col(sign) * F.col(c)).alias("x"), h.alias("half")) for c, h in zip(columns, halves)])
+
+        def add(acc: Column, term: Column) -> Column:
+            whole = acc["carry"] + term["x"]
+            digit = whole.bitwiseAND(_MASK).cast("double")
+            return F.struct(F.shiftright(whole, BITS).alias("carry"), (acc["amount"] + digit * term["half"] * term["half"]).alias("amount"))
+
+        finite = F.col(sign) * F.aggregate(
+            terms, F.struct(zero.alias("carry"), F.lit(0.0).alias("amount")), add,
+            lambda acc: acc["amount"] + acc["carry"].cast("double") * halves[-1] * halves[-1])
     n, nan, up, down = (F.col(c) > 0 for c in extra)
     value = (F.when(nan | (up & down), float("nan")).when(up, float("inf")).when(down, float("-inf")).when(n, finite))
-    return rows.withColumn(sum_, value).drop(*columns, *extra, carry, sign).withColumnRenamed(sum_, result)
+    return rows.withColumn(found, value).drop(*columns, *extra, sign).withColumnRenamed(found, result)
 
 
 def exact_sums(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martworks.functions.geo import EARTH_KM, haversine
 from martworks.operators.dedup import unique_pairs
-from martworks.operators.skew import free
-from martworks.operators.windows import carry_forward
+from martworks.operators.skew import PLAIN_BYTES, free, plan_bytes
+from martworks.operators.windows import carry_forward, shifted
+from martworks.session import stored
 
 
 def spine(keys_frame: DataFrame, on: list[str], *aggregates: DataFrame) -> DataFrame:
@@ -18,9 +19,19 @@ def spine(keys_frame: DataFrame, on: list[str], *aggregates: DataFrame) -> DataF
     return reduce(lambda left, right: left.join(right, on, "left"), aggregates, keys_frame.select(*on).distinct())
 
 
-def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Join to a dimension. Whether it is broadcast is decided by its measured bytes, by adaptive execution."""
-    return facts.join(dim, on, how)
+#: Dimensions are broadcast up to so many bytes, and cut into versions by scanning where a key has more of them.
+BROADCAST_BYTES = 16 << 20
+JOINED_VERSIONS = 32
+#: Rows of one block of a crowded cell.
+BLOCK_ROWS = 4096
+
+
+def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join to a dimension, with a broadcast hint if the optimizer's size of the dimension's plan is at most ``max_bytes``.
+
+    Above, no hint is given: the join sorts, unless adaptive execution measures a side below its own threshold.
+    """
+    return facts.join(F.broadcast(dim) if plan_bytes(dim) <= max_bytes else dim, on, how)
 
 
 def absent(df: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
@@ -74,10 +85,30 @@ def as_of(left: DataFrame, right: DataFrame, key: str, ts: str, values: list[str
 
 
 def valid_at(facts: DataFrame, dim: DataFrame, on: str, ts: str, start: str = "active_from",
-             end: str = "active_to") -> DataFrame:
-    """Facts joined to the dimension version that was valid at the fact's moment (end exclusive)."""
-    joined = facts.join(dim, on)
-    return joined.where((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end)))
+             end: str = "active_to", joined_versions: int = JOINED_VERSIONS, part_rows: int | None = None) -> DataFrame:
+    """Facts joined to the dimension version that was valid at the fact's moment (end exclusive).
+
+    Keys, moments or bounds that are null match nothing. Where no key has more than ``joined_versions`` versions, facts
+    meet all versions of their key. Else, if the versions of a key do not overlap, they are the sorted starts of an
+    as-of scan, so a fact meets one version whatever their number; overlapping versions are joined by key.
+    """
+    real = dim.where((F.col(start) < F.col(end)) & F.col(on).isNotNull())
+    joined = facts.join(real, on).where((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end)))
+    most = real.groupBy(on).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= joined_versions:
+        return joined
+    spans = real.select(on, F.col(start).alias("s"), F.col(end).alias("e"))
+    met = shifted(spans, [on], ["s", "e"], {"before": ("e", -1)}, part_rows).where("before > s")
+    if not met.isEmpty():
+        return joined
+    moment, = free(facts, "moment")
+    same = facts.schema[ts].dataType == dim.schema[start].dataType
+    as_moment = lambda c: F.col(c) if same else F.col(c).cast("timestamp")
+    left = facts.where(F.col(on).isNotNull() & F.col(ts).isNotNull()).withColumn(moment, as_moment(ts))
+    values = [c for c in dim.columns if c != on]
+    found = as_of(left, real.withColumn(moment, as_moment(start)), on, moment, values, "", part_rows=part_rows)
+    others = [c for c in facts.columns if c != on]
+    return found.where(F.col(ts) < F.col(end)).select(on, *others, *values)
 
 
 def valid_now(dim: DataFrame, now, end: str = "active_to") -> DataFrame:
@@ -163,12 +194,39 @@ def near_cells(df: DataFrame, lat: str, lon: str, km: float) -> DataFrame:
 
 
 def within_distance(left: DataFrame, right: DataFrame, km: float, left_at=("lat", "lon"),
-                    right_at=("ref_lat", "ref_lon"), also: list[str] | None = None) -> DataFrame:
+                    right_at=("ref_lat", "ref_lon"), also: list[str] | None = None, block_rows: int | None = None) -> DataFrame:
     """Left and right rows at most ``km`` apart (and equal on the ``also`` columns), with ``distance``.
 
     An equi-join on grid cells: the right rows sit in their own cell, each left row visits the cells
-    around it. Only rows that meet in a cell are ever compared.
+    around it. Only rows that meet in a cell are ever compared. Rows of crowded cells are dealt into blocks of about
+    ``block_rows``, and each pair of blocks is a join key of its own, so a cell with many rows on both sides spreads
+    over many tasks. Cells are counted for that, unless the plans of both sides are small; costly sides should be
+    stored before.
     """
     on = ["_band", "_cell", *(also or [])]
-    met = near_cells(left, *left_at, km).join(in_cells(right, *right_at, km), on).drop("_band", "_cell")
+    visiting, sitting = near_cells(left, *left_at, km), in_cells(right, *right_at, km)
+    crowded = None
+    if block_rows is not None or max(plan_bytes(left), plan_bytes(right)) > PLAIN_BYTES:
+        crowded = _crowded(visiting, sitting, on, block_rows or BLOCK_ROWS)
+    if crowded is not None:
+        visiting = _dealt(visiting, crowded, on, "_lefts", "_rights", left.columns)
+        sitting = _dealt(sitting, crowded, on, "_rights", "_lefts", right.columns)
+        on = [*on, "_lefts", "_rights"]
+    met = visiting.join(sitting, on).drop("_band", "_cell", "_lefts", "_rights")
     return met.withColumn("distance", haversine(*left_at, *right_at)).where(F.col("distance") <= km)
+
+
+def _crowded(visiting: DataFrame, sitting: DataFrame, on: list[str], block_rows: int) -> DataFrame | None:
+    """Stored: the cells where more than four times a block's pairs would meet, with the blocks of either side."""
+    counts = [rows.groupBy(*on).agg(F.count(F.lit(1)).alias(n)) for rows, n in ((visiting, "_l"), (sitting, "_r"))]
+    blocks = [F.ceil(F.col(n) / block_rows).cast("int").alias(name) for n, name in (("_l", "_lefts"), ("_r", "_rights"))]
+    many = F.col("_l").cast("double") * F.col("_r") > 4.0 * block_rows * block_rows
+    found = stored(counts[0].join(counts[1], on).where(many).select(*on, *blocks), "crowded")
+    return None if found.isEmpty() else found
+
+
+def _dealt(rows: DataFrame, crowded: DataFrame, on: list[str], own: str, other: str, columns: list[str]) -> DataFrame:
+    """Each row in its block of its side, once for every block of the other side; cells that are not crowded are one."""
+    placed = rows.join(crowded, on, "left")
+    mine = F.pmod(F.xxhash64(*columns), F.coalesce(own, F.lit(1))).cast("int")
+    return placed.withColumn(own, mine).withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))

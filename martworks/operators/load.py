@@ -73,8 +73,14 @@ def upsert(target: DataFrame, src: DataFrame, keys: list[str], update_cols: list
     return both.select(*[value(c).alias(c) for c in target.columns])
 
 
-def update_matched(target: DataFrame, src: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Target with ``cols`` replaced where the source has the key; nothing is inserted."""
+def update_matched(target: DataFrame, src: DataFrame, keys: list[str], cols: list[str],
+                   newest: list[str] | None = None) -> DataFrame:
+    """Target with ``cols`` replaced where the source has the key; nothing is inserted, and no row is doubled.
+
+    Several source rows of a key are first reduced to the newest, or without ``newest`` to the one of the largest
+    values.
+    """
+    src = keep_latest(src.select(*dict.fromkeys([*keys, *cols, *(newest or [])])), keys, newest or cols)
     new = src.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.lit(True).alias("_hit"),
                      *[F.col(c).alias(f"_n_{c}") for c in cols])
     on = null_safe(target, keys, new, [f"_k_{k}" for k in keys])

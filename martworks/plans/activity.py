@@ -8,6 +8,7 @@ from martworks.functions import times
 from martworks.functions.geo import cosine_distance
 from martworks.operators.joins import as_of
 from martworks.operators.windows import top_n, with_stats
+from martworks.session import stored
 
 
 def activity_windows(events: DataFrame, user: str = "user_id", ts: str = "ts", event_id: str = "event_id") -> DataFrame:
@@ -46,6 +47,8 @@ def nearby_contacts(messages: DataFrame, max_km: float = 1.0, last: int = 5, pos
     if positions == "both":
         seen = seen.unionByName(messages.select("message_to", "ts", "event_id", "lat", "lon"))
     seen = seen.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    # Both sides are read several times.
+    recent, seen = stored(recent, "recent"), stored(seen, "seen")
     placed = as_of(recent, seen, "message_to", "ts", ["lat", "lon"], tiebreak="event_id")
     distance = cosine_distance("lat", "lon", "last_lat", "last_lon", units=units)
     close = placed.withColumn("distance", distance).where(F.col("distance") <= max_km)

@@ -59,6 +59,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return _copies[-1]
 
 
+def stored(df, name: str):
+    """Write a frame that several later steps read below the shared folder, and read it back: it is computed once, and a
+    lost executor costs nothing."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove the copies this process has made below the shared folder, once no frame reads them any more."""
     while _copies:

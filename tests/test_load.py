@@ -202,3 +202,29 @@ def test_checkpoint_lives_in_the_shared_folder(spark):
 def test_jdbc_partition_options(spark):
     with pytest.raises(Exception, match="(?i)driver|suitable"):
         jdbc.read_jdbc(spark, "jdbc:none://x", "t", {}, ("id", 0, 10, 2))
+
+
+def test_update_matched_with_repeated_keys(spark, rows):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    src = spark.createDataFrame([(1, "x", 2), (1, "y", 1), (3, "z", 1)], "k int, v string, n int")
+    assert rows(load.update_matched(target, src, ["k"], ["v"], newest=["n"])) == [(1, "x"), (2, "b")]
+    assert rows(load.update_matched(target, src, ["k"], ["v"])) == [(1, "y"), (2, "b")]
+
+
+def test_lookup_hints_by_size(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "dim"))
+    dim, facts = spark.read.parquet(str(tmp_path / "dim")), spark.range(10)
+    plans = {n: joins.lookup(facts, dim, ["id"], max_bytes=n)._jdf.queryExecution().optimizedPlan().toString() for n in (0, 1 << 20)}
+    assert "broadcast" not in plans[0] and "strategy=broadcast" in plans[1 << 20]
+
+
+@pytest.mark.parametrize("overlapping", [False, True])
+@pytest.mark.parametrize("joined", [0, 100])
+def test_valid_at(spark, rows, overlapping, joined):
+    spans = [(1, i * 10, i * 10 + (13 if overlapping else 7), f"v{i}") for i in range(40)] + [(2, 5, 5, "empty"), (2, 9, 3, "turned"), (None, 0, 99, "n")]
+    dim = spark.createDataFrame(spans, "k int, active_from int, active_to int, name string")
+    facts = [(1, t, t) for t in range(0, 420, 3)] + [(2, 5, -1), (None, 5, -2), (1, None, -3), (3, 5, -4)]
+    got = joins.valid_at(spark.createDataFrame(facts, "k int, t int, id int"), dim, "k", "t", joined_versions=joined, part_rows=11)
+    want = [(f[2], s[3]) for f in facts for s in spans if None not in (f[0], f[1], s[0]) and f[0] == s[0] and s[1] <= f[1] < s[2]]
+    assert rows(got, "id", "name") == sorted(want, key=repr)
+    assert got.columns == ["k", "t", "id", "active_from", "active_to", "name"]
