@@ -10,7 +10,7 @@ from martworks.functions.text import words
 from martworks.plans import counters, vault
 from martworks.session import scratch
 from martworks.sources import kafka
-from martworks.streaming import core, geoads, history, ingest, orders, promo, windows
+from martworks.streaming import core, geoads, history, ingest, keyed, orders, promo, windows
 
 NOW = 1706745600  # 2024-02-01
 
@@ -165,12 +165,13 @@ SELECT CAST(event_id AS VARCHAR) AS object_id,
 FROM e WHERE event_type IN ('purchase', 'click', 'view')"""
 
 
-def _topic_stream(t: Tables, name: str, *deliveries):
-    """Topic frames landed one after the other as a file each, and read as a stream of one file per batch."""
+def _deliver(t: Tables, name: str, start, *deliveries) -> None:
+    """Deliveries of a topic, one after the other: each is written in parallel, and the stream, started by ``start`` and
+    going on from its checkpoint, has read it before the next one comes."""
     path = scratch(t.spark, name)
     for rows in deliveries:
-        rows.coalesce(1).write.mode("append").parquet(path)
-    return t.spark.readStream.schema(deliveries[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.write.mode("append").parquet(path)
+        core.run_for(start(t.spark.readStream.schema(rows.schema).parquet(path)))
 
 
 def stream_enrich(t: Tables):
@@ -181,10 +182,9 @@ def stream_enrich(t: Tables):
     text = F.col("value").cast("string")
     again = first.where(F.get_json_object(text, "$.object_id").cast("bigint") % 4 == 0).select(F.regexp_replace(
         F.regexp_replace(text, '"final_status":"[A-Z]"', '"final_status":"Z"'), '"sent_dttm":"[^"]*"', '"sent_dttm":"2031-01-01T00:00:00"').cast("binary").alias("value"))
-    raw = _topic_stream(t, "raw_topic", first, again)
-    core.run_for(orders.run_enrich(raw, vaults.user_lookup(t), vaults.shop_lookup(t), out, checkpoint))
+    _deliver(t, "raw_topic", lambda raw: orders.run_enrich(raw, vaults.user_lookup(t), vaults.shop_lookup(t), out, checkpoint), first, again)
     messages = windows.parse_value(core.batches(t.spark, f"{out}/messages"), vault.ORDER_MESSAGE)
-    kept = core.upserted(t.spark, f"{out}/order_events").select(
+    kept = core.batches(t.spark, f"{out}/order_events").select(
         "object_id", F.col("object_type").alias("raw_type"), F.get_json_object("payload", "$.final_status").alias("raw_status"))
     p = F.col("payload")
     return messages.join(kept, "object_id").select(
@@ -211,8 +211,8 @@ def _vault_run(t: Tables):
     # Three batches: odd orders, the others, and some of both once more.
     rows = stored(_enriched_topic(t), "enriched_orders")
     key = F.get_json_object(F.col("value").cast("string"), "$.object_id").cast("bigint")
-    topic = _topic_stream(t, "enriched_topic", rows.where(key % 2 == 1), rows.where(key % 2 == 0), rows.where(key % 5 == 0))
-    core.run_for(orders.run_vault(t.spark, topic, out, checkpoint, vaults.LOADED))
+    _deliver(t, "enriched_topic", lambda topic: orders.run_vault(t.spark, topic, out, checkpoint, vaults.LOADED),
+             rows.where(key % 2 == 1), rows.where(key % 2 == 0), rows.where(key % 5 == 0))
     return {table: core.batches(t.spark, f"{out}/{table}") for table in vault.TABLES}
 
 
@@ -241,7 +241,7 @@ def stream_counters(t: Tables):
     out, checkpoint = _paths(t, "counters")
     compact = stored(vault.compact_messages(vaults.enriched(t)).select(
         F.to_json(F.struct("id", "user", "products")).cast("binary").alias("value")), "compact_orders")
-    core.run_for(orders.run_counters(_topic_stream(t, "compact_topic", compact, compact), counters.PRODUCT, out, checkpoint))
+    _deliver(t, "compact_topic", lambda topic: orders.run_counters(topic, counters.PRODUCT, out, checkpoint), compact, compact)
     return orders.current_counters(t.spark, out, counters.PRODUCT)
 
 
@@ -314,9 +314,9 @@ def stream_missing_words(t: Tables):
     """Words of the documents that no benchmark item has."""
     out, checkpoint = _paths(t, "missing")
     known = t.benchmark.select(F.explode(words("text")).alias("words"))
-    found = _topic_stream(t, "texts", *[t.documents.where(F.col("doc_id") % 2 == k).select("text") for k in (0, 1)])
-    sink = core.first_seen(out, ["word"], lambda batch: windows.missing_words(batch, "text", known, "words"))
-    core.run_for(core.start(found, sink, checkpoint))
+    sink = keyed.first_seen(out, ["word"], lambda batch: windows.missing_words(batch, "text", known, "words"), split_rows=5_000)
+    _deliver(t, "texts", lambda found: core.start(found, sink, checkpoint),
+             *[t.documents.where(F.col("doc_id") % 2 == k).select("text") for k in (0, 1)])
     return core.batches(t.spark, out)
 
 
@@ -332,8 +332,9 @@ def stream_late(t: Tables):
     rows = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
     early = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
     late = (F.col("ts") < F.lit("2024-01-14").cast("timestamp")) & (F.col("event_id") % 10 == 0)
-    topic = _topic_stream(t, "late_events", rows.where(early & ~late), rows.where(~early), rows.where(late))
-    core.run_for(core.start_files(windows.window_counts(topic, "ts", ["event_type"], "1 day", delay="1 hour"), out, checkpoint))
+    _deliver(t, "late_events", lambda topic: core.start_files(
+        windows.window_counts(topic, "ts", ["event_type"], "1 day", delay="1 hour"), out, checkpoint),
+        rows.where(early & ~late), rows.where(~early), rows.where(late))
     return t.spark.read.parquet(out).select(F.to_date("window_start").alias("day"), "event_type", "cnt")
 
 

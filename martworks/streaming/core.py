@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martworks.functions.nested import to_message
-from martworks.operators.dedup import keep_latest
-from martworks.operators.load import replace_partition, without_keys
-from martworks.session import scratch
+from martworks.streaming import keyed
 
 Sink = Callable[[DataFrame, int], None]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -78,85 +75,22 @@ def fan_out(*sinks: Sink) -> Sink:
     return write
 
 
-#: Folders that keyed outputs are cut into by hash of the key, so that a batch reads only those its own keys lie in. Set
-#: it before a table's first batch, higher where batches are small against the table.
-BUCKETS = 16
-
-
-def bucket_of(keys: list[str]):
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-
-
-def batch_folder(path: str, shape: Callable[[DataFrame], DataFrame] | None = None, keys: list[str] | None = None) -> Sink:
-    """Each batch in its own folder, replaced when the batch is run again: repeated batches add nothing.
-
-    With ``keys`` a batch's folder is cut into buckets of them, for :func:`first_seen` and :func:`earlier_batches`.
-    """
+def batch_folder(path: str, shape: Callable[[DataFrame], DataFrame] | None = None) -> Sink:
+    """Each batch in its own folder, replaced when the batch is run again: repeated batches add nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = shape(batch) if shape else batch
-        out = rows.withColumn("_bucket", bucket_of(keys)).write.partitionBy("_bucket") if keys else rows.write
-        out.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch_id={batch_id}")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch_id={batch_id}")
     return write
 
 
-def first_seen(path: str, keys: list[str], shape: Callable[[DataFrame], DataFrame]) -> Sink:
-    """Rows whose key no other batch has written, each key once (null equals null): what a deduplication over the whole
-    stream gives, with the keys in files instead of state that grows without bound. A batch reads only the buckets
-    its own keys lie in."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = shape(batch).dropDuplicates(keys).persist()
-        try:
-            touched = touched_buckets({"rows": (rows, keys)})["rows"]
-            before = earlier_batches(batch.sparkSession, path, batch_id, rows.schema, touched)
-            batch_folder(path, keys=keys)(without_keys(rows, before, keys), batch_id)
-        finally:
-            rows.unpersist()
-    return write
-
-
-def touched_buckets(frames: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, list[int]]:
-    """The buckets that the keys of each frame lie in: at most BUCKETS numbers per frame, found in one job."""
-    found = [rows.select(F.lit(name).alias("name"), bucket_of(keys).alias("bucket")).distinct()
-             for name, (rows, keys) in frames.items()]
-    out: dict[str, list[int]] = {name: [] for name in frames}
-    for r in reduce(DataFrame.unionByName, found).collect():
-        out[r["name"]].append(r["bucket"])
-    return out
-
-
-def upsert_folder(path: str, keys: list[str], newest: list[str], shape: Callable[[DataFrame], DataFrame] | None = None) -> Sink:
-    """A table with one row per key, the newest over all batches. Only the buckets of the batch's keys are read and
-    written again; a batch that is repeated changes nothing."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = (shape(batch) if shape else batch).withColumn("_bucket", bucket_of(keys)).persist()
-        try:
-            touched = touched_buckets({"rows": (rows, keys)})["rows"]
-            if not touched:
-                return
-            known = spark.read.schema(rows.schema).parquet(path) if _exists(spark, path) else rows.limit(0)
-            merged = keep_latest(known.where(F.col("_bucket").isin(touched)).unionByName(rows), keys, newest)
-            staged = scratch(spark, "upsert")
-            merged.write.partitionBy("_bucket").parquet(staged)
-            replace_partition(spark.read.schema(rows.schema).parquet(staged), path, ["_bucket"])
-        finally:
-            rows.unpersist()
-    return write
-
-
-def upserted(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of an ``upsert_folder`` sink."""
-    return spark.read.parquet(path).drop("_bucket")
-
-
 def snapshot(path: str) -> Sink:
     """For complete mode: the whole result so far. Each batch is a version of its own; :func:`latest` reads the last
     one that is complete, and versions before the last two are removed."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch_folder(path)(batch, batch_id)
         for version in _versions(batch.sparkSession, path)[:-2]:
-            folder = _path(batch.sparkSession, f"{path}/batch_id={version}")
-            folder[1].delete(folder[0], True)
+            folder, fs = keyed.fs_path(batch.sparkSession, f"{path}/batch_id={version}")
+            fs.delete(folder, True)
     return write
 
 
@@ -165,21 +99,11 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/batch_id={_versions(spark, path)[-1]}")
 
 
-def _path(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder, fs = _path(spark, path)
-    return fs.exists(folder)
-
-
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Complete batch folders, oldest first."""
-    folder, fs = _path(spark, path)
+    folder, fs = keyed.fs_path(spark, path)
     found = [str(f.getPath().getName()) for f in fs.listStatus(folder)]
-    return sorted(int(n[9:]) for n in found if n.startswith("batch_id=") and _exists(spark, f"{path}/{n}/_SUCCESS"))
+    return sorted(int(n[9:]) for n in found if n.startswith("batch_id=") and keyed.exists(spark, f"{path}/{n}/_SUCCESS"))
 
 
 def as_messages(batch: DataFrame) -> DataFrame:
@@ -188,24 +112,10 @@ def as_messages(batch: DataFrame) -> DataFrame:
 
 
 def batches(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of a ``batch_folder`` sink."""
-    return spark.read.option("basePath", path).parquet(path).drop("batch_id", "_bucket")
-
-
-def earlier_batches(spark: SparkSession, path: str, batch_id: int, schema, buckets: list[int] | None = None) -> DataFrame:
-    """Rows written by other batches of a ``batch_folder`` sink, those of some buckets only if given; an empty frame
-    before the first."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    extra = ", batch_id bigint" + ", _bucket int" * (buckets is not None)
-    rows = spark.read.option("basePath", path).schema(_ddl(schema) + extra).parquet(path).where(F.col("batch_id") != batch_id)
-    if buckets is not None:
-        rows = rows.where(F.col("_bucket").isin(buckets)) if buckets else rows.limit(0)
-    return rows.drop("batch_id", "_bucket")
-
-
-def _ddl(schema) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    """All rows of a ``batch_folder`` sink, or of a keyed one."""
+    if keyed.is_keyed(spark, path):
+        return keyed.read(spark, path)
+    return spark.read.option("basePath", path).parquet(path).drop("batch_id")
 
 
 def newest_per_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martworks.operators.dedup import keep_latest
-from martworks.operators.joins import absent, array_lookup, array_lookup_lines
+from martworks.operators.joins import array_lookup, array_lookup_lines
 from martworks.plans import counters, vault
-from martworks.streaming import core
+from martworks.streaming import core, keyed
 from martworks.streaming.windows import parse_value
 
 RAW = (
@@ -71,9 +71,9 @@ def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> Dat
 
 def run_enrich(topic: DataFrame, users: DataFrame, restaurants: DataFrame, out: str, checkpoint: str,
                every: str | None = None):
-    """Raw rows, the newest of each order over all batches (``core.upserted``), and enriched messages of every batch."""
+    """Raw rows, the newest of each order over all batches, and enriched messages of every batch."""
     sink = core.fan_out(
-        core.upsert_folder(f"{out}/order_events", ["object_id"], ["sent_dttm", "payload"], raw_events),
+        keyed.upsert_folder(f"{out}/order_events", ["object_id"], ["sent_dttm", "payload"], raw_events),
         core.batch_folder(f"{out}/messages",
                           lambda b: core.as_messages(enriched(parse_value(b, RAW), users, restaurants))),
     )
@@ -88,11 +88,7 @@ def vault_sink(spark: SparkSession, out: str, load_dt):
         messages = parse_value(batch, vault.ORDER_MESSAGE).persist()
         rows = {t: r.persist() for t, r in vault.vault_rows(messages, load_dt).items()}
         try:
-            touched = core.touched_buckets({t: (r, [vault.TABLES[t]]) for t, r in rows.items()})
-            for table, found in rows.items():
-                key = [vault.TABLES[table]]
-                before = core.earlier_batches(spark, f"{out}/{table}", batch_id, found.schema, touched[table])
-                core.batch_folder(f"{out}/{table}", keys=key)(absent(found, before, key), batch_id)
+            keyed.add_unseen({t: (r, f"{out}/{t}", [vault.TABLES[t]]) for t, r in rows.items()}, batch_id)
             core.batch_folder(f"{out}/messages", core.as_messages)(vault.compact_messages(messages), batch_id)
         finally:
             for held in (messages, *rows.values()):
@@ -106,11 +102,11 @@ def run_vault(spark: SparkSession, topic: DataFrame, out: str, checkpoint: str,
 
 def counter_sink(by: list[str], out: str) -> core.Sink:
     """Sink for running numbers of distinct orders per key. An order counts in the batch that brings it first: the pairs
-    seen are kept in files by bucket, and each batch adds the counts of its new ones."""
+    seen are kept by bucket, and each batch adds the counts of its new ones."""
     def lines(batch: DataFrame) -> DataFrame:
         return counters.order_lines(parse_value(batch, counters.COMPACT)).select("id", *by)
 
-    pairs = core.first_seen(f"{out}/pairs", ["id", *by], lines)
+    pairs = keyed.first_seen(f"{out}/pairs", ["id", *by], lines)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         pairs(batch, batch_id)

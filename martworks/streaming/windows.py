@@ -23,7 +23,7 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
 
 
 def missing_words(df: DataFrame, text: str, table: DataFrame, word: str) -> DataFrame:
-    """Words of a text stream that a static table lacks; ``core.first_seen`` keeps each of them once."""
+    """Words of a text stream that a static table lacks; ``keyed.first_seen`` keeps each of them once."""
     known = table.select(F.col(word).alias("word")).distinct().withColumn("_known", F.lit(True))
     found = df.select(F.explode(words(text)).alias("word"))
     return found.join(known, "word", "left").where(F.col("_known").isNull()).select("word")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martworks.plans import counters, vault
 from martworks.session import scratch
 from martworks.sources import files
-from martworks.streaming import core, ingest, orders, promo, windows
+from martworks.streaming import core, ingest, keyed, orders, promo, windows
 
 
 def _campaign(shop, campaign, start, end, field="restaurant_id"):
@@ -62,22 +62,46 @@ def test_repeated_batch_adds_nothing(spark):
 
 def test_upsert_folder_keeps_the_newest(spark, rows):
     out = scratch(spark, "out")
-    sink = core.upsert_folder(out, ["k"], ["v"])
+    sink = keyed.upsert_folder(out, ["k"], ["v"], split_rows=2, many_folders=1)
     for batch_id, data in enumerate([[(1, 5), (2, 5), (None, 1)], [(1, 4), (2, 9), (3, 1), (3, 2), (None, 3)], []]):
         for _ in range(2):
             sink(spark.createDataFrame(data, "k int, v int"), batch_id)
-    assert rows(core.upserted(spark, out)) == [(1, 5), (2, 9), (3, 2), (None, 3)]
+    assert rows(core.batches(spark, out)) == [(1, 5), (2, 9), (3, 2), (None, 3)]
 
 
 def test_first_seen_over_batches(spark, rows):
     out = scratch(spark, "out")
-    sink = core.first_seen(out, ["w"], lambda b: b)
+    sink = keyed.first_seen(out, ["w"], lambda b: b)
     for batch_id, data in enumerate([["a", "b", "a", None], [], ["b", "c", None]]):
         for _ in range(2):
             sink(spark.createDataFrame([(w,) for w in data], "w string"), batch_id)
     assert rows(core.batches(spark, out)) == [("a",), ("b",), ("c",), (None,)]
 
 
+def test_history_is_cut_as_it_grows(spark):
+    """Buckets stay small, repeated batches change nothing, and few keys read a falling share of the files."""
+    out, shares = scratch(spark, "out"), []
+    schema = "k long, v long"
+    for batch_id in range(6):
+        rows = spark.range(batch_id * 300, batch_id * 600 + 300).selectExpr("id as k", f"{batch_id} as v")
+        for _ in range(2 if batch_id in (2, 4) else 1):
+            keyed.first_seen(out, ["k"], lambda b: b, split_rows=100, many_folders=3)(rows, batch_id)
+        folder = keyed.KeyedFolder(spark, out, ["k"], rows.schema)
+        leaves = folder.leaves()
+        assert max(x["rows"] for x in leaves.values()) <= 100
+        few = spark.createDataFrame([(i, 0) for i in range(3)], schema)
+        near = keyed.touched({"few": (few, folder, leaves)})["few"]
+        shares.append(len(folder.rows(leaves, near).inputFiles()) / len(folder.rows(leaves).inputFiles()))
+    found = core.batches(spark, out).collect()
+    assert sorted(r.k for r in found) == list(range(3300))
+    first = {}
+    for batch_id in range(6):
+        for k in range(batch_id * 300, batch_id * 600 + 300):
+            first.setdefault(k, batch_id)
+    assert {r.k: r.v for r in found} == first
+    assert shares[-1] < shares[0] / 3
+
+
 def test_snapshot_versions(spark, rows):
     out = scratch(spark, "out")
     for batch_id in range(5):
