@@ -227,7 +227,38 @@ def nearest_of_many(t: Tables):
         (F.col("c_custkey") * 10 + F.col("k")).alias("id"))
     places = places.select("id", (F.lit(-60) + ((F.col("id") * 7919) % 119993) / F.lit(1000.0)).alias("lat_city"),
                            (F.lit(-180) + ((F.col("id") * 104729) % 359987) / F.lit(1000.0)).alias("lng_city"))
-    return nearest(points, places, cell_km=200).select("event_id", "lat", "lon", "id", F.round("distance", 3).alias("distance"))
+    return nearest(points, places).select("event_id", "lat", "lon", "id", F.round("distance", 3).alias("distance"))
+
+
+def nearest_in_town(t: Tables):
+    """The nearest of thousands of shops, nine tenths of them in a town of a hundred kilometres, some at one address; the
+    events lie in and around the town and far away."""
+    eid = F.col("event_id")
+    near = eid % 3 != 0
+    points = t.events.select(
+        "event_id", F.when(near, F.lit(47.0) + ((37 * eid) % 1300) / F.lit(1000.0)).otherwise(F.lit(-43) + ((37 * eid) % 930) / F.lit(10.0)).alias("lat"),
+        F.when(near, F.lit(8.0) + ((53 * eid) % 1400) / F.lit(1000.0)).otherwise(F.lit(-100) + ((53 * eid) % 2400) / F.lit(10.0)).alias("lon"))
+    key = F.col("c_custkey")
+    town = key % 10 != 0
+    shops = t.customer.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3)))).select(
+        (key * 4 + F.col("k")).alias("id"), "c_name",
+        F.when(town, F.lit(47.0) + ((key * 7919) % 997) / F.lit(997.0)).otherwise(F.lit(-60.0) + ((key * 7919) % 1193) / F.lit(10.0)).alias("lat_city"),
+        F.when(town, F.lit(8.0) + ((key * 10007) % 991) / F.lit(991.0)).otherwise(F.lit(-180.0) + ((key * 10007) % 3571) / F.lit(10.0)).alias("lng_city"))
+    return nearest(points, shops).select("event_id", "id", "c_name", F.round("distance", 3).alias("distance"))
+
+
+NEAREST_TOWN_SQL = """
+WITH p AS (SELECT c_custkey * 4 + k AS id, c_name, c_custkey % 10 <> 0 AS town, c_custkey FROM customer, range(4) r(k)),
+c AS (SELECT id, c_name,
+             radians(CASE WHEN town THEN 47 + ((c_custkey * 7919) % 997) / CAST(997 AS DOUBLE) ELSE -60 + ((c_custkey * 7919) % 1193) / CAST(10 AS DOUBLE) END) AS la,
+             radians(CASE WHEN town THEN 8 + ((c_custkey * 10007) % 991) / CAST(991 AS DOUBLE) ELSE -180 + ((c_custkey * 10007) % 3571) / CAST(10 AS DOUBLE) END) AS lo FROM p),
+d AS (SELECT min(id) AS id, any_value(c_name) AS c_name, la, lo FROM c GROUP BY la, lo),
+e AS (SELECT event_id,
+             CASE WHEN event_id % 3 <> 0 THEN 47 + ((37 * event_id) % 1300) / CAST(1000 AS DOUBLE) ELSE -43 + ((37 * event_id) % 930) / CAST(10 AS DOUBLE) END AS lat,
+             CASE WHEN event_id % 3 <> 0 THEN 8 + ((53 * event_id) % 1400) / CAST(1000 AS DOUBLE) ELSE -100 + ((53 * event_id) % 2400) / CAST(10 AS DOUBLE) END AS lon FROM events),
+f AS (SELECT event_id, min((2 * 6371 * asin(sqrt(least(1.0, pow(sin((la - radians(lat)) / 2), 2)
+        + cos(la) * cos(radians(lat)) * pow(sin((lo - radians(lon)) / 2), 2)))), id, c_name)) AS best FROM e, d GROUP BY event_id)
+SELECT event_id, best[2] AS id, best[3] AS c_name, round(best[1], 3) AS distance FROM f"""
 
 
 NEAREST_MANY_SQL = """
@@ -390,6 +421,7 @@ QUERIES = {
     "hashed_lists": (hashed_lists, HASHED_LISTS_SQL),
     "runs_without_ids": (runs_without_ids, RUNS_SQL),
     "user_geo_without_ids": (user_geo_without_ids, USER_GEO_SQL),
+    "nearest_in_town": (nearest_in_town, NEAREST_TOWN_SQL),
     "nearest_of_many": (nearest_of_many, NEAREST_MANY_SQL),
     "many_versions": (many_versions, MANY_VERSIONS_SQL),
     "crowded_channel": (crowded_channel, CROWDED_SQL),

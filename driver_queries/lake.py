@@ -324,7 +324,7 @@ SELECT c_custkey AS conv_id, cnt FROM customer LEFT JOIN (
 def nearest_chunked(t: Tables):
     """The same nearest cities with small cubes, so that most hold no city."""
     points = flat_events(t).select("event_id", "lat", "lon")
-    found = nearest(points, cities(t), cell_km=10)
+    found = nearest(points, cities(t))
     return found.select("event_id", "id", "city", F.round("distance", 3).alias("distance"))
 
 

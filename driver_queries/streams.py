@@ -375,6 +375,26 @@ j AS (SELECT c.user_id, c.event_id AS click, p.event_id AS purchase, c.ts
 SELECT user_id, click, purchase FROM j, w WHERE purchase IS NOT NULL OR ts + INTERVAL 1 HOUR < mark"""
 
 
+def stream_hot_join(t: Tables):
+    """The outer join with four fifths of the events on one user and a narrower span."""
+    out, checkpoint = _paths(t, "hot_join")
+    who = F.when(F.col("event_id") % 5 != 0, 0).otherwise(F.col("user_id")).cast("bigint").alias("who")
+    clicks = events(t).where("event_type = 'click'").select(who, F.col("event_id").alias("click"), F.col("ts").alias("click_ts"))
+    bought = events(t).where("event_type = 'purchase'").select(who, F.col("event_id").alias("purchase"), F.col("ts").alias("purchase_ts"))
+    met = windows.interval_join(clicks, bought, "who", "click_ts", "purchase_ts", "10 minutes", how="left_outer")
+    core.run_for(core.start_files(met, out, checkpoint))
+    return t.spark.read.parquet(out).select("who", "click", "purchase")
+
+
+HOT_JOIN_SQL = """
+WITH h AS (SELECT *, CASE WHEN event_id % 5 <> 0 THEN 0 ELSE user_id END AS who FROM events),
+c AS (SELECT * FROM h WHERE event_type = 'click'), p AS (SELECT * FROM h WHERE event_type = 'purchase'),
+w AS (SELECT least((SELECT max(ts) FROM c), (SELECT max(ts) FROM p)) - INTERVAL 1 HOUR AS mark),
+j AS (SELECT c.who, c.event_id AS click, p.event_id AS purchase, c.ts
+      FROM c LEFT JOIN p ON c.who = p.who AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 10 MINUTE)
+SELECT who, click, purchase FROM j, w WHERE purchase IS NOT NULL OR ts + INTERVAL 10 MINUTE < mark"""
+
+
 def stream_progress(t: Tables):
     """Rows read according to the progress reports of a stream that is shown on the console."""
     out, checkpoint = _paths(t, "console")
@@ -408,6 +428,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS "CustomerID", c_mktsegment AS "Address", c_
     "stream_missing_words": (stream_missing_words, MISSING_SQL),
     "stream_late": (stream_late, LATE_SQL),
     "stream_outer_join": (stream_outer_join, OUTER_JOIN_SQL),
+    "stream_hot_join": (stream_hot_join, HOT_JOIN_SQL),
     "stream_progress": (stream_progress, "SELECT count(*) AS rows_read FROM events"),
     "stream_join": (stream_join, STREAM_JOIN_SQL),
 }

@@ -200,13 +200,14 @@ def within_distance(left: DataFrame, right: DataFrame, km: float, left_at=("lat"
     An equi-join on grid cells: the right rows sit in their own cell, each left row visits the cells
     around it. Only rows that meet in a cell are ever compared. Rows of crowded cells are dealt into blocks of about
     ``block_rows``, and each pair of blocks is a join key of its own, so a cell with many rows on both sides spreads
-    over many tasks. Cells are counted for that, unless the plans of both sides are small; costly sides should be
-    stored before.
+    over many tasks. Cells are counted for that, unless the plans of both sides are small or one is a
+    stream; costly sides should be stored before.
     """
     on = ["_band", "_cell", *(also or [])]
     visiting, sitting = near_cells(left, *left_at, km), in_cells(right, *right_at, km)
     crowded = None
-    if block_rows is not None or max(plan_bytes(left), plan_bytes(right)) > PLAIN_BYTES:
+    if not (left.isStreaming or right.isStreaming) and (
+            block_rows is not None or max(plan_bytes(left), plan_bytes(right)) > PLAIN_BYTES):
         crowded = _crowded(visiting, sitting, on, block_rows or BLOCK_ROWS)
     if crowded is not None:
         visiting = _dealt(visiting, crowded, on, "_lefts", "_rights", left.columns)

@@ -1,97 +1,117 @@
 """The nearest row of a reference set (cities, shops) for every row, without pairing rows and references.
 
-Points lie on the unit sphere and are sorted into cubes. For every cube that holds rows, the references that can be
-nearest to any point of it are found once: those not farther from the cube's middle than the nearest one plus the
-cube's diagonal. Rows then meet the short list of their cube in one equi-join. Exact for reference sets of any size.
+Points lie on the unit sphere, inside one cube that is halved along each axis again and again. A cube with rows meets
+the cubes of its size with references that can be nearest to any point in it; while these hold many references,
+the cubes on both sides are halved and what is left is narrowed down. So cubes are large where references are rare and
+small where they are dense, and every cube ends with a short list, which its rows meet in one join. Exact for
+reference sets of any size and density.
 """
 
 from __future__ import annotations
 
-import math
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
+from martworks.functions.geo import haversine, unit_vector
+from martworks.operators.joins import BROADCAST_BYTES
+from martworks.operators.skew import free, plan_bytes
+from martworks.session import stored
 
-from martworks.functions.geo import EARTH_KM, haversine, unit_vector
-
-#: Edge of a cube in km: small against the distances between references, large against those between rows.
-CELL_KM = 50.0
+#: References of a cube's list; how often cubes are halved at first, in each round, and at most: an edge is then about
+#: 6 m long.
+LIST = 64
+FIRST_LEVEL, STEP, MAX_LEVEL = 4, 2, 22
 _AXES = ("x", "y", "z")
-
-
-def _cube(values: list[Column], side: Column | float) -> list[Column]:
-    return [F.floor(v / side).cast("long").alias(f"_c{a}") for a, v in zip(_AXES, values)]
-
-
-def _around(names: list[str]) -> Column:
-    """The 27 cubes around a cube and itself."""
-    steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    return F.flatten(F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.transform(steps, lambda k: F.struct(
-        *[(F.col(n) + d).alias(f"_c{a}") for n, d, a in zip(names, (i, j, k), _AXES)]))))))
-
-
-def _candidates(cells: DataFrame, ref: DataFrame, ref_id: str, side: float) -> DataFrame:
-    """For each cube ``_cx, _cy, _cz`` the references that can be nearest to a point in it, as the array ``_ref``.
-
-    Cubes of twice the edge form the next level, up to one that holds everything. The lowest level at which a cube's
-    surroundings hold a reference bounds the distance to the nearest one; three levels higher the surroundings hold
-    every reference within that distance and the diagonal.
-    """
-    top = math.ceil(math.log2(2 / side)) + 1
-    keys = [f"_c{a}" for a in _AXES]
-    middle = {f"_m{a}": (F.col(f"_c{a}") + 0.5) * side for a in _AXES}
-    own = cells.select(*[F.col(k).alias(f"_own{k}") for k in keys], *[m.alias(n) for n, m in middle.items()])
-    mine = [f"_own{k}" for k in keys]
-
-    def levels(df: DataFrame, axes: list[str], low: Column, high: Column) -> DataFrame:
-        placed = df.withColumn("_level", F.explode(F.sequence(low, high)))
-        return placed.select("*", *_cube([F.col(a) for a in axes], side * F.pow(F.lit(2.0), F.col("_level"))))
-
-    def surroundings(df: DataFrame, low: Column, high: Column) -> DataFrame:
-        at = levels(df, [f"_m{a}" for a in _AXES], low, high)
-        return at.withColumn("_near", F.explode(_around(keys))).drop(*keys).select("*", "_near.*").drop("_near")
-
-    zero, last = F.lit(0), F.lit(top)
-    placed = levels(ref, [f"_r{a}" for a in _AXES], zero, last)
-    lowest = (surroundings(own, zero, last).join(placed.select("_level", *keys).distinct(), ["_level", *keys])
-              .groupBy(*mine).agg(F.min("_level").alias("_low")))
-    wide = F.least(F.col("_low") + 3, last)
-    gap = sum(((F.col(f"_m{a}") - F.col(f"_r{a}")) ** 2 for a in _AXES), F.lit(0.0))
-    met = (surroundings(own.join(lowest, mine), wide, wide).join(placed, ["_level", *keys])
-           .withColumn("_gap", F.sqrt(gap)).select(*mine, "_gap", *ref.columns))
-    best = met.groupBy(*mine).agg(F.min("_gap").alias("_best"))
-    diagonal = side * math.sqrt(3)
-    kept = met.join(best, mine).where(F.col("_gap") <= F.col("_best") + diagonal + 1e-9)
-    item = F.struct(ref_id, *[c for c in ref.columns if c != ref_id])
-    return kept.groupBy(*mine).agg(F.array_sort(F.collect_list(item)).alias("_ref")).select(
-        *[F.col(m).alias(k) for m, k in zip(mine, keys)], "_ref")
+_CELL, _BLOCK = [f"c{a}" for a in _AXES], [f"b{a}" for a in _AXES]
+
+
+def _cubes(vector: dict[str, Column], names: list[str]) -> list[Column]:
+    """The numbers of the smallest cube along the axes; a cube of a lower level has them shifted to the right."""
+    return [F.floor((v + 2) * 2.0 ** (MAX_LEVEL - 2)).cast("int").alias(n) for v, n in zip(vector.values(), names)]
+
+
+def _at(level: int, names: list[str], as_names: list[str] | None = None) -> list[Column]:
+    return [F.shiftright(F.col(n), MAX_LEVEL - level).alias(m) for n, m in zip(names, as_names or names)]
+
+
+def _narrowed(pairs: DataFrame, points: DataFrame, refs: DataFrame, level: int, step: int) -> DataFrame:
+    """Pairs of cubes (rows, references) of a level out of those ``step`` levels above: of a cube with rows only the
+    reference cubes that can hold the nearest one, with the number of references in each and in all of them."""
+    parent = lambda names: [F.shiftright(F.col(n), step).alias(f"p{n}") for n in names]
+    cells = points.select(*_at(level, _CELL)).distinct().select("*", *parent(_CELL))
+    blocks = refs.select(*_at(level, _BLOCK)).groupBy(*_BLOCK).agg(F.count(F.lit(1)).alias("n")).select("*", *parent(_BLOCK))
+    above = pairs.select(*[F.col(n).alias(f"p{n}") for n in (*_CELL, *_BLOCK)])
+    met = above.join(cells, [f"p{n}" for n in _CELL]).join(blocks, [f"p{n}" for n in _BLOCK])
+    gaps = [F.abs(F.col(c) - F.col(b)) for c, b in zip(_CELL, _BLOCK)]
+    edge = 2.0 ** (2 - level)
+    least = F.sqrt(sum((F.greatest(g - 1, F.lit(0)).cast("double") ** 2 for g in gaps), F.lit(0.0))) * edge
+    most = F.sqrt(sum(((g + 1).cast("double") ** 2 for g in gaps), F.lit(0.0))) * edge
+    of_cell = W.partitionBy(*_CELL)
+    best = met.select(*_CELL, *_BLOCK, "n", least.alias("least"), most.alias("most")).withColumn("best", F.min("most").over(of_cell))
+    kept = best.where(F.col("least") <= F.col("best") + 1e-9).select(*_CELL, *_BLOCK, "n", F.sum("n").over(of_cell).alias("total"))
+    return stored(kept, f"nearest-{level}")
+
+
+def _lists(rows: DataFrame, vector: dict[str, Column], refs: DataFrame, item: Column) -> dict[int, DataFrame]:
+    """By level the cubes that end there, with the array ``refs`` of their references."""
+    count = refs.count()
+    if not count:
+        return {}
+    if count <= LIST:
+        return {0: refs.agg(F.array_sort(F.collect_list(item)).alias("refs")).select(*[F.lit(0).alias(c) for c in _CELL], "refs")}
+    points = stored(rows.select(*_cubes(vector, _CELL)).dropna().distinct(), "nearest-points")
+    pairs = points.limit(1).select(*[F.lit(0).alias(n) for n in (*_CELL, *_BLOCK)])
+    out: dict[int, DataFrame] = {}
+    for level in range(FIRST_LEVEL, MAX_LEVEL + 1, STEP):
+        found = _narrowed(pairs, points, refs, level, STEP if out or level > FIRST_LEVEL else FIRST_LEVEL)
+        short = F.col("total") <= (LIST if level < MAX_LEVEL else 1 << 60)
+        sizes = found.agg(F.count_if(short).alias("done"), F.count_if(~short).alias("left")).first()
+        if sizes["done"]:
+            near = refs.select("*", *_at(level, _BLOCK, [f"l{b}" for b in _BLOCK])).drop(*_BLOCK).withColumnsRenamed({f"l{b}": b for b in _BLOCK})
+            lists = found.where(short).select(*_CELL, *_BLOCK).join(near, _BLOCK).groupBy(*_CELL)
+            out[level] = stored(lists.agg(F.array_sort(F.collect_list(item)).alias("refs")), f"nearest-lists-{level}")
+        if not sizes["left"]:
+            break
+        pairs = found.where(~short)
+    return out
 
 
 def nearest(df: DataFrame, ref: DataFrame, lat: str = "lat", lon: str = "lon", ref_id: str = "id",
-            ref_lat: str = "lat_city", ref_lon: str = "lng_city", units: str = "degrees",
-            cell_km: float = CELL_KM) -> DataFrame:
+            ref_lat: str = "lat_city", ref_lon: str = "lng_city", units: str = "degrees") -> DataFrame:
     """The closest reference row and its distance in km; the lower id wins a tie.
 
-    Every input row comes out once, whatever its other columns hold; rows without coordinates get no reference. The
-    rows are read twice, first for the cubes they lie in. ``cell_km`` is a matter of speed alone: a cube's list is
-    short while it is small against the distances between references.
+    Every input row comes out once, whatever its other columns hold; rows without coordinates get no reference, and
+    references without coordinates are left out. With more than a short list of references the rows are read twice,
+    first for the cubes they lie in.
     """
-    side = 2 * math.sin(cell_km / (2 * EARTH_KM))
     attrs = [c for c in ref.columns if c not in (ref_id, ref_lat, ref_lon)]
-    placed = ref.where(F.col(ref_lat).isNotNull() & F.col(ref_lon).isNotNull())
-    placed = placed.withColumns(dict(zip(("_rx", "_ry", "_rz"), unit_vector(ref_lat, ref_lon, units))))
-    rows = df.withColumns(dict(zip(("_ex", "_ey", "_ez"), unit_vector(lat, lon, units))))
-    rows = rows.select("*", *_cube([F.col(f"_e{a}") for a in _AXES], side))
-    keys = [f"_c{a}" for a in _AXES]
-    cells = rows.select(*keys).where(" and ".join(f"{k} is not null" for k in keys)).distinct()
-    rows = rows.join(_candidates(cells, placed, ref_id, side), keys, "left")
+    # One reference per place, under names of our own.
+    fields = {c: f"f{i}" for i, c in enumerate((ref_id, ref_lat, ref_lon, *attrs))}
+    places = ref.where(F.col(ref_lat).isNotNull() & F.col(ref_lon).isNotNull()).select(*[F.col(f"`{c}`").alias(n) for c, n in fields.items()])
+    places = places.groupBy("f1", "f2").agg(F.min_by(F.struct(*[n for n in fields.values() if n not in ("f1", "f2")]), "f0").alias("r")).select("f1", "f2", "r.*")
+    around = dict(zip(("rx", "ry", "rz"), unit_vector("f1", "f2", units)))
+    refs = stored(places.withColumns(around).select("*", *_cubes({n: F.col(n) for n in around}, _BLOCK)), "references")
+    own = free(df, *[f"e{a}" for a in _AXES])
+    rows = df.withColumns(dict(zip(own, unit_vector(lat, lon, units))))
+    vector = {n: F.col(n) for n in own}
+    found, lists = rows, []
+    for level, frame in _lists(rows, vector, refs, F.struct(*fields.values(), *around)).items():
+        *cube, name = free(found, *[f"c{level}{a}" for a in _AXES], f"refs{level}")
+        named = frame.withColumnsRenamed({**dict(zip(_CELL, cube)), "refs": name})
+        place = [F.floor((v + 2) * 2.0 ** (level - 2)).cast("int") == F.col(c) for v, c in zip(vector.values(), cube)]
+        small = level == 0 or plan_bytes(frame) <= BROADCAST_BYTES
+        found = found.join(F.broadcast(named) if small else named, place, "left").drop(*cube)
+        lists.append(name)
+    best, = free(found, "best")
     # The closest point is the one whose unit vector has the largest product with the row's own: three
     # multiplications per candidate; the distance itself is worked out for the winner only.
-    closest = F.array_min(F.transform("_ref", lambda c: F.struct(
-        (-(F.col("_ex") * c["_rx"] + F.col("_ey") * c["_ry"] + F.col("_ez") * c["_rz"])).alias("_far"),
-        c[ref_id].alias(ref_id), c.alias("_c"),
-    )))
-    found = rows.select(*df.columns, closest.alias("_best"))
-    distance = haversine(F.col(lat), F.col(lon), F.col(f"_best._c.{ref_lat}"), F.col(f"_best._c.{ref_lon}"), units=units)
-    return found.select(
-        *df.columns, *[F.col(f"_best._c.{c}").alias(c) for c in (ref_id, *attrs)], distance.alias("distance")
-    )
+    ex, ey, ez = vector.values()
+    item = F.coalesce(*lists) if lists else F.lit(None).cast("array<struct<f0: long, rx: double, ry: double, rz: double>>")
+    closest = F.array_min(F.transform(item, lambda c: F.struct((-(ex * c["rx"] + ey * c["ry"] + ez * c["rz"])).alias("far"), c["f0"].alias("id"), c.alias("c"))))
+    usable = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    chosen = found.select(*df.columns, F.when(usable, closest).alias(best))
+    if not lists:
+        return chosen.select(*df.columns, *[F.lit(None).cast(ref.schema[c].dataType).alias(c) for c in (ref_id, *attrs)],
+                             F.lit(None).cast("double").alias("distance"))
+    distance = haversine(F.col(lat), F.col(lon), F.col(f"{best}.c.f1"), F.col(f"{best}.c.f2"), units=units)
+    return chosen.select(
+        *df.columns, *[F.col(f"{best}.c.{fields[c]}").alias(c) for c in (ref_id, *attrs)], distance.alias("distance"))

@@ -33,29 +33,25 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
                   delay: str = "1 hour", how: str = "inner") -> DataFrame:
     """Left rows with the right rows of the same key in the following ``within``, on two streams.
 
-    Watermarks on both sides and the time condition let Spark drop state that can match no more. In an
-    inner join the rows meet, besides the key, on a time slot of that length (each left row visits its own
-    slot and the next), so a busy key is spread over its slots, in state and in tasks. Outer and semi joins
-    need every row once and meet on the key alone.
+    Watermarks on both sides and the time condition let Spark drop state that can match no more. The rows meet, besides
+    the key, on a time slot of that length, so a busy key is spread over its slots, in state and in tasks. One side is
+    in its own slot, once, and the other visits the two slots it can match in; the side whose unmatched rows are kept
+    is the one that is there once, so it is decided as in a join on the key. Full outer joins meet on the key alone.
     """
-    if how != "inner":
-        plain_left, plain_right = left.withWatermark(left_ts, delay), right.withWatermark(right_ts, delay)
-        other = plain_right.withColumnRenamed(key, "_rkey")
-        within_time = (F.col(right_ts) >= F.col(left_ts)) & (
-            F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {within}"))
-        return plain_left.join(other, (F.col(key) == F.col("_rkey")) & within_time, how).drop("_rkey")
-    slot = F.window(F.col(right_ts), within).getField("start")
-    near = left.withWatermark(left_ts, delay).withColumn("_slot", F.explode(F.array(
-        F.window(F.col(left_ts), within).getField("start"),
-        F.window(F.col(left_ts), within).getField("end"),
-    )))
-    far = right.withWatermark(right_ts, delay).withColumn("_slot", slot).withColumnRenamed(key, "_rkey") \
-        .withColumnRenamed("_slot", "_rslot")
-    condition = (
-        (F.col(key) == F.col("_rkey")) & (F.col("_slot") == F.col("_rslot"))
-        & (F.col(right_ts) >= F.col(left_ts))
-        & (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {within}"))
-    )
+    after = F.col(right_ts) >= F.col(left_ts)
+    until = F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {within}")
+    near, far = left.withWatermark(left_ts, delay), right.withWatermark(right_ts, delay).withColumnRenamed(key, "_rkey")
+    condition = (F.col(key) == F.col("_rkey")) & after & until
+    kind = how.replace("_", "").lower()
+    if kind not in ("full", "fullouter", "outer"):
+        left_slot, right_slot = F.window(left_ts, within), F.window(right_ts, within)
+        if kind in ("right", "rightouter"):
+            near = near.withColumn("_slot", F.explode(F.array(left_slot["start"], left_slot["end"])))
+            far = far.withColumn("_rslot", right_slot["start"])
+        else:
+            near = near.withColumn("_slot", left_slot["start"])
+            far = far.withColumn("_rslot", F.explode(F.array(right_slot["start"], right_slot["start"] - F.expr(f"INTERVAL {within}"))))
+        condition = condition & (F.col("_slot") == F.col("_rslot"))
     return near.join(far, condition, how).drop("_slot", "_rslot", "_rkey")
 
 

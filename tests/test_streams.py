@@ -184,6 +184,19 @@ def test_interval_join_keeps_unmatched_rows(spark, rows):
     assert rows(got, "l", "r") == [("a", "x"), ("b", None)]
 
 
+@pytest.mark.parametrize("how", ["inner", "left_outer", "left_semi", "right_outer", "full_outer"])
+def test_interval_join_kinds(spark, rows, how):
+    moments = [0, 1, 1799, 3599, 3600, 3601, 5400, 7199, 7200, 10800, 14401]
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("s"))
+    left = spark.createDataFrame([(k, s) for k in (1, 2) for s in moments], "k int, s int").select("k", F.col("s").alias("l"), at.alias("lt"))
+    right = spark.createDataFrame([(1, s) for s in (3599, 3600, 7200, 18000)] + [(3, 0)], "k int, s int").select("k", F.col("s").alias("r"), at.alias("rt"))
+    got = windows.interval_join(left, right, "k", "lt", "rt", "1 hour", how=how)
+    other = right.withColumnRenamed("k", "j")
+    want = left.join(other, (left.k == other.j) & (other.rt >= left.lt) & (other.rt <= left.lt + F.expr("INTERVAL 1 HOUR")), how)
+    cols = ["k", "l"] if how == "left_semi" else ["l", "r"]
+    assert rows(got, *cols) == rows(want, *cols)
+
+
 def test_text_stream_words(spark, rows):
     """Text files one per batch, counted in complete mode; the run is bounded and reports its progress."""
     path, out = scratch(spark, "text"), scratch(spark, "counts")
