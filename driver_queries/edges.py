@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driver_queries.common import Tables, day, query, stored, ts_sql
 from driver_queries.lake import USER_GEO_SQL, flat_events, placed
 from martworks.functions.sums import exact_sums
-from martworks.operators import joins, load
+from martworks.operators import joins, keyed, load
 from martworks.operators.groups import collect_parts
 from martworks.operators.reference import nearest
 from martworks.operators.windows import carry_forward, ranked, running_sum, runs, shifted
@@ -319,6 +319,22 @@ SELECT c_custkey, c_name, coalesce(o, c_acctbal) AS c_acctbal FROM customer LEFT
   SELECT o_custkey, max_by(o_totalprice, (o_orderdate, o_orderkey)) AS o FROM orders GROUP BY 1) ON o_custkey = c_custkey"""
 
 
+def merge_few(t: Tables):
+    """A table by key after a first load, an upsert of some keys that repeat in the source, and an update without inserts."""
+    path = scratch(t.spark, "merge_few")
+    key, rows = F.col("o_orderkey"), t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    keyed.merge(rows.where(key % 3 != 0), path, ["o_orderkey"], split_rows=2_000)
+    twice = rows.where(key % 100 < 2).withColumn("o_totalprice", F.explode(F.array(F.col("o_totalprice"), -F.col("o_totalprice"))))
+    keyed.merge(twice.withColumn("o_orderstatus", F.lit("U")), path, ["o_orderkey"], ["o_totalprice"], split_rows=2_000)
+    keyed.merge(rows.where(key % 50 == 3).withColumn("o_orderstatus", F.lit("M")), path, ["o_orderkey"], insert=False, split_rows=2_000)
+    return keyed.read(t.spark, path)
+
+
+MERGE_FEW_SQL = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 3 THEN 'M' WHEN o_orderkey % 100 < 2 THEN 'U' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 100 < 2"""
+
+
 def insert_new_pairs(t: Tables):
     """Pairs of customer and clerk key that the orders before 1996 lack: the customer alone is not the key."""
     pairs = t.orders.select(F.col("o_custkey").alias("a"), (F.col("o_orderkey") % 5).alias("b"), "o_orderdate", "o_orderkey")
@@ -426,6 +442,7 @@ QUERIES = {
     "many_versions": (many_versions, MANY_VERSIONS_SQL),
     "crowded_channel": (crowded_channel, CROWDED_SQL),
     "update_repeated": (update_repeated, UPDATE_REPEATED_SQL),
+    "merge_few": (merge_few, MERGE_FEW_SQL),
     "insert_new_pairs": (insert_new_pairs, INSERT_PAIRS_SQL),
     "merge_missing": (merge_missing, MERGE_MISSING_SQL),
     "upsert_null_keys": (upsert_null_keys, UPSERT_NULL_SQL),

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from driver_queries import vaults
 from driver_queries.common import Tables, day_sql, query, stored, ts_sql, uuid5_sql
 from martworks.functions.text import words
+from martworks.operators import keyed
 from martworks.plans import counters, vault
 from martworks.session import scratch
 from martworks.sources import kafka
-from martworks.streaming import core, geoads, history, ingest, keyed, orders, promo, windows
+from martworks.streaming import core, geoads, history, ingest, orders, promo, windows
 
 NOW = 1706745600  # 2024-02-01
 

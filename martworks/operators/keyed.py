@@ -1,4 +1,4 @@
-"""Keyed history of a stream in files, of which a batch reads only what can hold its keys.
+"""Tables by key in files, of which a batch or merge reads only what can hold its keys.
 
 The rows lie in buckets by the leading bits of their key's hash. A bucket whose rows pass a bound is cut in two (and
 these again), as in extendible hashing; one with many small folders is written as one. So buckets stay about equally
@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from martworks.operators.dedup import keep_latest
+from martworks.operators.skew import null_safe
+from martworks.session import stored
 
 #: Rows of a bucket above which it is cut, folders above which they are written as one, bits of a bucket's number.
 SPLIT_ROWS = 1_000_000
@@ -56,7 +58,7 @@ def bucket_of(keys: list[str], leaves: dict[int, dict]) -> Column:
 
 
 class KeyedFolder:
-    """A folder of rows by key, written by one stream. With ``newest`` there may be several rows of a key, of which the
+    """A folder of rows by key, written by one stream or one load at a time. With ``newest`` there may be several rows of a key, of which the
     newest counts; else a key has one row."""
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], schema: StructType, newest: list[str] | None = None,
@@ -175,6 +177,13 @@ def _counted(frames: dict[str, DataFrame | None]) -> dict[str, dict[int, int]]:
     return out
 
 
+def with_keys(df: DataFrame, known: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Rows whose key occurs in ``known`` (``left_semi``) or does not (``left_anti``), null equal to null."""
+    names = [f"_known{i}" for i in range(len(keys))]
+    other = known.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    return df.join(other, null_safe(df, keys, other, names), how)
+
+
 def touched(frames: dict[str, tuple[DataFrame, KeyedFolder, dict[int, dict]]]) -> dict[str, list[int]]:
     """The buckets that the keys of each frame lie in, found in one job; fewer than rows and than buckets."""
     found = [rows.select(F.lit(name).alias("name"), folder.bucket(leaves).alias("bucket")).distinct()
@@ -188,8 +197,6 @@ def touched(frames: dict[str, tuple[DataFrame, KeyedFolder, dict[int, dict]]]) -
 def add_unseen(frames: dict[str, tuple[DataFrame, str, list[str]]], batch_id: int, **bounds: int) -> None:
     """Of each frame (rows, path, keys) write those whose key the table does not hold yet. The rows have unique keys, and
     are read several times."""
-    from martworks.operators.load import without_keys
-
     folders = {}
     for name, (rows, path, keys) in frames.items():
         folder = KeyedFolder(rows.sparkSession, path, keys, rows.schema, **bounds)
@@ -198,7 +205,7 @@ def add_unseen(frames: dict[str, tuple[DataFrame, str, list[str]]], batch_id: in
     near = touched({name: (frames[name][0], *folders[name]) for name in frames})
     for name, (rows, _, keys) in frames.items():
         folder, leaves = folders[name]
-        folder.write(without_keys(rows, folder.rows(leaves, near[name]), keys), batch_id, leaves)
+        folder.write(with_keys(rows, folder.rows(leaves, near[name]), keys, "left_anti"), batch_id, leaves)
     settle(folders, batch_id)
 
 
@@ -228,6 +235,32 @@ def upsert_folder(path: str, keys: list[str], newest: list[str], shape: Callable
     return write
 
 
+#: In tables of merges: the merge that a row came with.
+MERGE = "_merge"
+
+
+def merge(src: DataFrame, path: str, keys: list[str], newest: list[str] | None = None, insert: bool = True, **bounds: int) -> None:
+    """Upsert into a table by key on disk, or with ``insert`` false only update the keys it holds; the source wins.
+
+    Several source rows of a key are first reduced to the newest, or without ``newest`` to the one of the largest
+    values. Only the merged rows are written, besides buckets that are cut or joined; an update reads the buckets its
+    keys lie in. A null key equals a null key. A merge that is cut short leaves the table as it was.
+    """
+    spark = src.sparkSession
+    rows = keep_latest(src, keys, newest or [c for c in src.columns if c not in keys])
+    known = KeyedFolder(spark, path, keys, rows.schema)._versions()
+    number = known[-1] + 1 if known else 0
+    rows = stored(rows.withColumn(MERGE, F.lit(number)), "merge")
+    folder = KeyedFolder(spark, path, keys, rows.schema, [MERGE], **bounds)
+    folder.tidy(number)
+    leaves = folder.leaves()
+    if not insert:
+        near = touched({"rows": (rows, folder, leaves)})["rows"]
+        rows = with_keys(rows, folder.rows(leaves, near), keys, "left_semi")
+    folder.write(rows, number, leaves)
+    settle({"rows": (folder, leaves)}, number)
+
+
 def is_keyed(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_buckets")
 
@@ -236,4 +269,4 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """All rows of a keyed folder, one per key."""
     folder = KeyedFolder(spark, path, [], StructType())
     known = folder._load(folder._versions()[-1])
-    return KeyedFolder(spark, path, known["keys"], StructType.fromJson(known["schema"]), known["newest"]).current()
+    return KeyedFolder(spark, path, known["keys"], StructType.fromJson(known["schema"]), known["newest"]).current().drop(MERGE)

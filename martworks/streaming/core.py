@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martworks.functions.nested import to_message
-from martworks.streaming import keyed
+from martworks.operators import keyed
 
 Sink = Callable[[DataFrame, int], None]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from martworks.operators import keyed
 from martworks.operators.dedup import keep_latest
 from martworks.operators.joins import array_lookup, array_lookup_lines
 from martworks.plans import counters, vault
-from martworks.streaming import core, keyed
+from martworks.streaming import core
 from martworks.streaming.windows import parse_value
 
 RAW = (

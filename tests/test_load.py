@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from martworks.operators import dedup, groups, joins, load, quality
+from martworks.operators import dedup, groups, joins, keyed, load, quality
 from martworks.session import cut_lineage, scratch, shared_dir
 from martworks.sources import files, jdbc, sinks
 
@@ -228,3 +228,20 @@ def test_valid_at(spark, rows, overlapping, joined):
     want = [(f[2], s[3]) for f in facts for s in spans if None not in (f[0], f[1], s[0]) and f[0] == s[0] and s[1] <= f[1] < s[2]]
     assert rows(got, "id", "name") == sorted(want, key=repr)
     assert got.columns == ["k", "t", "id", "active_from", "active_to", "name"]
+
+
+def test_keyed_merges_read_few_files(spark, rows):
+    path = scratch(spark, "keyed")
+    table = {(None if k % 50 == 7 else k): k for k in range(1000)}
+    keyed.merge(spark.createDataFrame([(k, v) for k, v in table.items()], "k int, v int"), path, ["k"], split_rows=60)
+    for step, insert in enumerate([True, False, True, False, True]):
+        src = [(k, -step * 100 - i) for i, k in enumerate([3, 500, None, 999, 2000 + step])] + [(3, -9000 - step)]
+        keyed.merge(spark.createDataFrame(src, "k int, v int"), path, ["k"], ["v"], insert, split_rows=60, many_folders=3)
+        for k, v in src[:0:-1][::-1] + [src[0]]:
+            if insert or k in table:
+                table[k] = v
+        assert rows(keyed.read(spark, path)) == sorted(table.items(), key=repr)
+    folder = keyed.KeyedFolder(spark, path, ["k"], spark.createDataFrame([], "k int, v int, _merge int").schema)
+    leaves = folder.leaves()
+    near = keyed.touched({"few": (spark.createDataFrame([(3, 0, 0)], "k int, v int, _merge int"), folder, leaves)})["few"]
+    assert len(folder.rows(leaves, near).inputFiles()) * 5 < len(folder.rows(leaves).inputFiles())

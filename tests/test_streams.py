@@ -7,10 +7,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from martworks.operators import keyed
 from martworks.plans import counters, vault
 from martworks.session import scratch
 from martworks.sources import files
-from martworks.streaming import core, ingest, keyed, orders, promo, windows
+from martworks.streaming import core, ingest, orders, promo, windows
 
 
 def _campaign(shop, campaign, start, end, field="restaurant_id"):
