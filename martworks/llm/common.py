@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martworks.session import scratch
@@ -75,6 +77,19 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(sum(parts, F.lit(16 * len(df.columns))).cast("long"))).first()[0] or 0
 
 
+def shielded(docs: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The rows with every column but the needed ones under a name that no operator uses, and a function that gives the
+    input's columns back: whatever they are called, they neither meet nor replace what is computed on the way."""
+    names = {c: c if c in needed else f"column {i} of the input" for i, c in enumerate(docs.columns)}
+    hidden = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return hidden, lambda rows: rows.select(*[F.col(f"`{n}`").alias(c) for c, n in names.items()])
+
+
+def text_digest(text: Column) -> Column:
+    """A digest that different texts do not share."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
 def text_key(text: Column) -> Column:
     """Sixty bits of the text's digest: equal texts have equal keys. Among 10^10 different texts some tens of pairs
     are expected to share one."""

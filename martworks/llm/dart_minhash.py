@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stored, text_key, text_of
+from .common import shielded, stored, text_key, text_of
 from .components import connected, contracted, labels
 from .shingle_arrays import mix64, occurrences, pieces, shingle_hashes, weighted
 
@@ -240,5 +240,6 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """One row of each class, with its own columns: that of the least id. Texts are shuffled once, by id and key."""
     stay = (classes(docs, **options).select("class_id", "class_node").distinct()
             .select(F.coalesce("class_id", F.lit(_NO_ID)).alias("_near_id"), F.col("class_node").alias("_near_node")))
-    keyed = docs.withColumns({"_near_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "_near_node": text_key(text_of())})
-    return keyed.join(stay, ["_near_id", "_near_node"], "left_semi").dropDuplicates(["_near_id", "_near_node"]).select(*docs.columns)
+    hidden, back = shielded(docs, "doc_id", "text")
+    keyed = hidden.withColumns({"_near_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "_near_node": text_key(text_of())})
+    return back(keyed.join(stay, ["_near_id", "_near_node"], "left_semi").dropDuplicates(["_near_id", "_near_node"]))

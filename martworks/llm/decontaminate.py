@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import bounded, computed, measured_bytes, shingle_hashes, stored, text_key, text_of, words_of
+from .common import bounded, computed, measured_bytes, shielded, shingle_hashes, stored, text_digest, text_of, words_of
 
 THRESHOLD = 0.8
 COORDINATES = 16
@@ -72,7 +72,7 @@ def _anchors(items: DataFrame, partitions: list[int]) -> DataFrame:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per matching row and item ``doc_id``, ``text_key``, ``item_id``, ``containment``; repeated.
+    """Per matching row and item ``doc_id``, ``digest`` (of the text), ``item_id``, ``containment``; repeated.
 
     No text is shuffled: candidates are verified where the document was read. A null text has no words; a text or
     item of one to four words has one shingle, of them all. No item or no document gives no rows.
@@ -80,9 +80,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHO
     items = items_of(benchmark)
     partitions = sorted(r["least"] for r in items.select("least").distinct().collect())  # at most four
     if not partitions:
-        return docs.sparkSession.createDataFrame([], "doc_id long, text_key long, item_id long, containment double")
+        return docs.sparkSession.createDataFrame([], "doc_id long, digest binary, item_id long, containment double")
     given = _shingled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "_h")
-    given = given.withColumn("text_key", text_key(text_of())).drop("text")
+    given = given.withColumn("digest", text_digest(text_of())).drop("text")
     given = given.filter(F.size("_h") > 0)
     given = given.withColumn("minimum", F.explode(F.concat(*[_run_minima("_h", p) for p in partitions])))
     blocks = max(1, -(-measured_bytes(items) * (COORDINATES + 1) // block_bytes))
@@ -94,7 +94,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHO
         found = found.join(bounded(mine, 2 * block_bytes).select("item_key", "item_id", "shingles"), "item_key")
         share = F.size(F.array_intersect("shingles", "_h")) / F.size("shingles")
         found = (found.withColumn("containment", share).filter(F.col("containment") >= threshold)
-                 .select("doc_id", "text_key", F.col("item_id").cast("long").alias("item_id"), "containment"))
+                 .select("doc_id", "digest", F.col("item_id").cast("long").alias("item_id"), "containment"))
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -106,6 +106,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows whose text holds no item, with their own columns."""
-    hit = stored(matches(docs, benchmark, **options).select(F.col("text_key").alias("_leak_key")).distinct(), "bench-hits")
-    keyed = docs.withColumn("_leak_key", text_key(text_of()))
-    return keyed.join(bounded(hit), "_leak_key", "left_anti").select(*docs.columns)
+    hit = stored(matches(docs, benchmark, **options).select("digest").distinct(), "bench-hits")
+    hidden, back = shielded(docs, "text")
+    keyed = hidden.withColumn("digest", text_digest(text_of()))
+    return back(keyed.join(bounded(hit), "digest", "left_anti"))

@@ -13,10 +13,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import BLANK, bounded, prefix_sums, stored, text_of, words_of
+from .common import BLANK, bounded, prefix_sums, shielded, stored, text_of, words_of
 
 MAX_COPIES = 3
 BUCKETS = 1 << 12
+#: The documents' preferences while they are mixed; no column of the input may have this name.
+PREFERENCE = "preference of the mix"
 
 
 def source_targets(sizes: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
@@ -117,8 +119,9 @@ def mixed(docs: DataFrame, *, max_copies: int = MAX_COPIES, seed: str = "mix", p
     sources = sources.join(last, "place").select(
         "source", F.col("place").alias("_mix_place"), F.col("_whole").alias("_mix_whole"), F.col("_part").alias("_mix_part"),
         F.col("_last._rank").alias("_mix_rank"), F.col("_last._twin").alias("_mix_twin"))
-    rank = pareto_rank(_random(seed, "doc_id", text_of()), inclusion(F.col("_mix_part"), prefer))
-    judged = _of_source(docs, stored(sources, "mix-last")).filter(text_of().rlike(f"[^{BLANK[1:-2]}]"))
+    rank = pareto_rank(_random(seed, "doc_id", text_of()), inclusion(F.col("_mix_part"), F.col(PREFERENCE)))
+    hidden, back = shielded(docs.withColumn(PREFERENCE, prefer), "doc_id", "text", "source", PREFERENCE)
+    judged = _of_source(hidden, stored(sources, "mix-last")).filter(text_of().rlike(f"[^{BLANK[1:-2]}]"))
     judged = judged.withColumn("_mix_mine", rank)
     border = F.coalesce(F.col("_mix_mine") == F.col("_mix_rank"), F.lit(False))
     twins = Window.partitionBy("_mix_place").orderBy("_mix_mine")
@@ -126,4 +129,4 @@ def mixed(docs: DataFrame, *, max_copies: int = MAX_COPIES, seed: str = "mix", p
     tied = judged.filter(border).withColumn("_mix_more", F.row_number().over(twins) <= F.col("_mix_twin"))
     copies = F.col("_mix_whole").cast("int") + F.coalesce(F.col("_mix_more"), F.lit(False)).cast("int")
     out = plain.unionByName(tied)
-    return out.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    return back(out.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), copies)))).drop(PREFERENCE)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import prefix_sums, stored, text_of
+from .common import prefix_sums, shielded, stored, text_of
 
 CELLS = 4096
 SHARDS = 16
@@ -136,9 +136,10 @@ def sharded(docs: DataFrame, *, shards: int | None = SHARDS, capacity: int | Non
     named ``shard`` is replaced."""
     thin = stored(docs.select(*[c.alias(n) for n, c in _identity().items()]), "pack-sizes")
     large, units = _units(thin, cells)
-    placed = _with_unit(docs.withColumns(_identity()), large, cells).drop("shard")
-    own = [c for c in docs.columns if c != "shard"]
-    return placed.join(_assign(docs.sparkSession, units, shards, capacity), "_unit").select(*own, "shard")
+    own = [c for c in docs.columns if c.lower() != "shard"]
+    hidden, back = shielded(docs.select(*own).withColumn("shard", F.lit(0)), "text", "shard")
+    placed = _with_unit(hidden.drop("shard").withColumns(_identity()), large, cells)
+    return back(placed.join(_assign(docs.sparkSession, units, shards, capacity), "_unit"))
 
 
 def slots(docs: DataFrame, *, shards: int = SHARDS, cells: int = CELLS) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import BLANK, BLANKS, SHINGLE, computed, shingle_hashes, stored, text_of, words_of
+from .common import BLANK, BLANKS, SHINGLE, computed, shielded, shingle_hashes, stored, text_of, words_of
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
@@ -221,5 +221,6 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     prefix = "_quality_"
     rules = learn_rules(labelled_statistics(
         stored(with_statistics(docs.select("doc_id", "text")).drop("text"), "quality-counts"), labels))
-    judged = with_statistics(docs, prefix=prefix)
-    return judged.filter(~base_failed(prefix) & verdict(rules, prefix)).select(*docs.columns)
+    hidden, back = shielded(docs, "text")
+    judged = with_statistics(hidden, prefix=prefix)
+    return back(judged.filter(~base_failed(prefix) & verdict(rules, prefix)))
