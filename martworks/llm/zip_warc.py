@@ -31,8 +31,8 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 MIN_REVISIT = 100
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Records of one archive are read in pieces of about so many bytes of it.
-RANGE_BYTES = 32 << 20
+#: Records of one archive are read in pieces of about so many bytes of it, a task for each piece.
+RANGE_BYTES = 4 << 20
 
 
 def _file_system(address: str):
@@ -98,7 +98,7 @@ def with_references(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write an archive per non-empty partition; the stored manifest: ``path``, ``records``."""
+    """Write an archive per non-empty partition; the stored manifest: ``path``, ``records``, ``bytes``."""
     folder = folder or scratch(pages.sparkSession, "warc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,9 +116,10 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
         name = f"{uuid.uuid4().hex}.wacz"
         with system.open_output_stream(f"{path}/{name}") as stream:
             n = write_archive(stream, _chain(head, rows))
-        yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "records": [n]})
+            size = stream.tell()
+        yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "records": [n], "bytes": [size]})
 
-    return stored(with_references(pages).mapInArrow(run, "path string, records long"), "warc-manifest")
+    return stored(with_references(pages).mapInArrow(run, "path string, records long, bytes long"), "warc-manifest")
 
 
 def _chain(head, rest):
@@ -222,8 +223,9 @@ def record_places(manifest: DataFrame) -> DataFrame:
     return manifest.select("path").mapInArrow(run, "path string, place long, length long")
 
 
-def read_records(places: DataFrame, payloads: bool = False) -> DataFrame:
-    """The records at these places; with their payloads if wanted (null for revisits)."""
+def read_records(places: DataFrame, payloads: bool = False, tasks: int | None = None) -> DataFrame:
+    """The records at these places; with their payloads if wanted (null for revisits). ``tasks``: how many read them, since
+    places are too small to tell."""
     schema = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
               + ", payload binary" * payloads)
     names = [f.split()[0] for f in schema.split(", ")]
@@ -247,7 +249,9 @@ def read_records(places: DataFrame, payloads: bool = False) -> DataFrame:
                     rows, held = [], 0
             yield pa.RecordBatch.from_pylist(rows, target)
 
-    pieces = places.repartition("path", F.floor(F.col("place") / RANGE_BYTES)).sortWithinPartitions("path", "place")
+    piece = ("path", F.floor(F.col("place") / RANGE_BYTES))
+    pieces = places.repartition(tasks, *piece) if tasks else places.repartition(*piece)
+    pieces = pieces.sortWithinPartitions("path", "place")
     return pieces.mapInArrow(run, schema)
 
 
@@ -257,6 +261,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
     A null html is an empty payload; null ids and addresses come back as null; repeated rows are records of their
     own. An empty table writes no archive and gives no rows.
     """
-    return read_records(record_places(write_archives(pages)))
+    manifest = write_archives(pages)
+    held = manifest.agg(F.sum("bytes")).first()[0] or 0
+    return read_records(record_places(manifest), tasks=max(1, min(-(-held // RANGE_BYTES), 1 << 15)))
 
 
