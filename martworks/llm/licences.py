@@ -15,9 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import computed, text_of
 
-#: Only in the SQL, which looks at no other texts and sentences; some known sentences have none of these.
-HINT = "licen[cs]e|licensing|copyright|warrant|redistribut|permission|public domain|spdx|liab|creativecommons|all rights reserved|unlicense|any later version|endorse"
-
 # Known licence sentences, in plain form; the first pattern that fits names the sentence.
 SENTENCES: list[tuple[str, str]] = [
     ("spdx-mit", r"spdx-license-identifier: *mit\b"),
@@ -34,6 +31,13 @@ SENTENCES: list[tuple[str, str]] = [
     ("mit-notice", r"the above copyright notice and this permission notice shall be included in all copies"),
     ("mit-warranty", r"the software is provided as is, without warranty of any kind, express or implied"),
     ("mit-liability", r"in no event shall the authors or copyright holders be liable for any claim"),
+    ("boost-permission", r"permission is hereby granted, free of charge, to any person or organization obtaining a copy"),
+    ("boost-notice", r"the copyright notices in the software and this entire statement"),
+    ("zlib-warranty", r"this software is provided as-is, without any express or implied warranty"),
+    ("zlib-permission", r"permission is granted to anyone to use this software for any purpose, including commercial applications"),
+    ("zlib-origin", r"the origin of this software must not be misrepresented"),
+    ("zlib-altered", r"altered source versions must be plainly marked as such"),
+    ("zlib-notice", r"this notice may not be removed or altered from any source distribution"),
     ("isc-permission", r"permission to use, copy, modify, and/or distribute this software for any purpose with or without fee"),
     ("isc-warranty", r"the software is provided as is and the author disclaims all warranties"),
     ("bsd-redistribution", r"redistribution and use in source and binary forms, with or without modification, are permitted"),
@@ -61,14 +65,11 @@ SENTENCES: list[tuple[str, str]] = [
     ("version-3-later", r"either version 3 of the license, or \(at your option\) any later version"),
     ("version-2-later", r"either version 2 of the license, or \(at your option\) any later version"),
     ("mpl-2", r"mozilla public license,? ?(version|v\.?) ?2|\bmpl-?2\.0"),
-    ("epl-2", r"eclipse public license,? ?(-|version|v\.?) ?v? ?2"),
+    ("epl-1", r"eclipse public license,? ?(-|version|v\.?) ?v? ?1|\bepl-1\.0"),
+    ("epl-2", r"eclipse public license,? ?(-|version|v\.?) ?v? ?2|\bepl-2\.0"),
+    ("boost", r"boost software license,? ?(-|version|v\.?) ?(version|v\.?)? ?1|\bbsl-1\.0"),
+    ("zlib", r"\bzlib(/libpng)? licen[cs]e|licensed under (the )?zlib\b"),
     ("cc0", r"cc0 1\.0|creative commons zero|creativecommons\.org/publicdomain/zero"),
-    ("cc-by-nc-nd-4", r"cc by-nc-nd 4\.0|creativecommons\.org/licenses/by-nc-nd/4\.0|attribution-noncommercial-noderiv[a-z]* 4\.0"),
-    ("cc-by-nc-sa-4", r"cc by-nc-sa 4\.0|creativecommons\.org/licenses/by-nc-sa/4\.0|attribution-noncommercial-sharealike 4\.0"),
-    ("cc-by-nc-4", r"cc by-nc 4\.0|creativecommons\.org/licenses/by-nc/4\.0|attribution-noncommercial 4\.0"),
-    ("cc-by-nd-4", r"cc by-nd 4\.0|creativecommons\.org/licenses/by-nd/4\.0|attribution-noderiv[a-z]* 4\.0"),
-    ("cc-by-sa-4", r"cc by-sa 4\.0|creativecommons\.org/licenses/by-sa/4\.0|attribution-sharealike 4\.0"),
-    ("cc-by-4", r"cc by 4\.0|creativecommons\.org/licenses/by/4\.0|creative commons attribution 4\.0"),
     ("unlicense", r"this is free and unencumbered software released into the public domain"),
     ("public-domain", r"(placed|released|is) (in|into|in to) the public domain"),
     ("bsd-3", r"\bbsd[ -]3[ -]clause|(3|three)[ -]clause bsd|\bnew bsd license"),
@@ -78,11 +79,34 @@ SENTENCES: list[tuple[str, str]] = [
     ("reserved", r"all rights reserved"),
 ]
 
+# The kinds of Creative Commons licences as their addresses and titles have them, and their versions.
+CC_KINDS = [
+    ("by-nc-nd", "attribution-noncommercial-noderiv[a-z]*"), ("by-nc-sa", "attribution-noncommercial-sharealike"),
+    ("by-nc", "attribution-noncommercial"), ("by-nd", "attribution-noderiv[a-z]*"), ("by-sa", "attribution-sharealike"),
+    ("by", "creative commons attribution"),
+]
+CC_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
+
+
+def _cc(kind: str, version: str) -> str:
+    """The identifier: ``cc-by-4`` for CC BY 4.0."""
+    return f"cc-{kind}-{version.removesuffix('.0')}"
+
+
+for _kind, _title in CC_KINDS:
+    for _version in CC_VERSIONS:
+        _v = _version.replace(".", r"\.")
+        SENTENCES.append((_cc(_kind, _version), rf"cc[ -]{_kind}[ -]{_v}|creativecommons\.org/licenses/{_kind}/{_v}|{_title} {_v}"))
+
 # Sequences of sentences and the licence they make, in the order in which they are tried.
 RULES: list[tuple[str, list[str]]] = [
     ("MIT", ["mit-permission", "mit-notice", "mit-warranty", "mit-liability"]),
     ("MIT", ["mit-permission", "mit-notice", "mit-warranty"]),
     ("MIT", ["mit-permission", "mit-notice"]),
+    ("BSL-1.0", ["boost-permission", "boost-notice", "mit-warranty"]),
+    ("BSL-1.0", ["boost-permission", "boost-notice"]),
+    ("Zlib", ["zlib-warranty", "zlib-permission", "zlib-origin", "zlib-altered", "zlib-notice"]),
+    ("Zlib", ["zlib-permission", "zlib-origin", "zlib-altered"]),
     ("ISC", ["isc-permission", "isc-warranty"]),
     ("BSD-4-Clause", ["bsd-redistribution", "bsd-source", "bsd-binary", "bsd-advertise", "bsd-endorse", "bsd-warranty"]),
     ("BSD-3-Clause", ["bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty"]),
@@ -103,12 +127,17 @@ RULES: list[tuple[str, list[str]]] = [
     ("Apache-2.0", ["apache-2"]), ("AGPL-3.0-or-later", ["agpl-3-later"]), ("AGPL-3.0-only", ["agpl-3"]),
     ("LGPL-2.1-or-later", ["lgpl-later"]), ("LGPL-3.0-only", ["lgpl-3"]), ("LGPL-2.1-only", ["lgpl-2.1"]), ("LGPL", ["lgpl"]),
     ("GPL-3.0-or-later", ["gpl-3-later"]), ("GPL-2.0-or-later", ["gpl-2-later"]), ("GPL-3.0-only", ["gpl-3"]),
-    ("GPL-2.0-only", ["gpl-2"]), ("GPL", ["gpl"]), ("MPL-2.0", ["mpl-2"]), ("EPL-2.0", ["epl-2"]), ("CC0-1.0", ["cc0"]),
-    ("CC-BY-NC-ND-4.0", ["cc-by-nc-nd-4"]), ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4"]), ("CC-BY-NC-4.0", ["cc-by-nc-4"]),
-    ("CC-BY-ND-4.0", ["cc-by-nd-4"]), ("CC-BY-SA-4.0", ["cc-by-sa-4"]), ("CC-BY-4.0", ["cc-by-4"]),
+    ("GPL-2.0-only", ["gpl-2"]), ("GPL", ["gpl"]), ("MPL-2.0", ["mpl-2"]), ("EPL-1.0", ["epl-1"]), ("EPL-2.0", ["epl-2"]), ("CC0-1.0", ["cc0"]),
+    ("BSL-1.0", ["boost"]), ("Zlib", ["zlib"]),
     ("Unlicense", ["unlicense"]), ("Public-Domain", ["public-domain"]), ("BSD-3-Clause", ["bsd-3"]),
-    ("BSD-2-Clause", ["bsd-2"]), ("ISC", ["isc"]), ("MIT", ["mit"]), ("Proprietary", ["reserved"]),
+    ("BSD-2-Clause", ["bsd-2"]), ("ISC", ["isc"]), ("MIT", ["mit"]),
 ]
+RULES += [(f"CC-{kind.upper()}-{version}", [_cc(kind, version)]) for kind, _ in CC_KINDS for version in CC_VERSIONS]
+#: What a text is whose known sentences are all this one; beside others it says nothing.
+RESERVED, ALONE = "reserved", "Proprietary"
+#: A statement that something is not under a licence, up to the next comma; without quotes, as in "isnt".
+NEGATED = (r"\b(not|never|nor|no longer|isnt|arent|wasnt|werent)( (be|been|currently|yet|itself|hereby))* (licen[cs]ed|released|distributed"
+           r"|available|published|covered|provided|offered|governed|made available) ([a-z]+ )?(under|by)\b[^\n,;]*")
 
 MARKS = r"(?m)^[ \t]*(//+|#+|/\*+|\*+/?|--+|;+|>+|<!--)[ \t]*"
 #: White space that ends a sentence without a stop: after a colon at the end of a line, blank lines, before list marks and SPDX tags.
@@ -123,6 +152,11 @@ def _sequence(ids: list[str]) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
+def _in_order(ids: list[str]) -> str:
+    """The identifiers one after the other, others between them."""
+    return "((?:<[^>]*>)*?)".join(f"<{re.escape(i)}>" for i in ids)
+
+
 # Names of licences: the gap in a known sentence does not run over the name of another one.
 NAMES = {"gpl": r"gnu general public license|gnu gpl\b|\bgpl-?v?\d", "lgpl": r"gnu (?:lesser|library) general public license|\blgpl\b",
          "agpl": r"gnu affero general public license|\bagpl\b",
@@ -151,7 +185,7 @@ def _positional(name: str, pattern: str) -> str:
 KNOWN = [(name, _positional(name, pattern)) for name, pattern in SENTENCES]
 #: Every pattern has one of these words in each alternative, so a text without any, quotes off, holds no known sentence.
 WORDS = ("licen copyright permission warrant redistribut endorse advertising apache gpl mpl cc0 creative 4.0 public bsd "
-         "reserved later").split()
+         "reserved later attribution eclipse boost bsl- epl- zlib as-is misrepresented altered").split() + ["cc by", "cc-by"]
 
 
 def _by_letter(patterns: list[str]) -> str:
@@ -192,7 +226,7 @@ def plain(text: Column) -> Column:
     out = F.lower(F.translate(F.regexp_replace(text, MARKS, ""), QUOTES, ""))
     out = F.regexp_replace(out, ENDS, "\u0000")
     out = F.regexp_replace(F.regexp_replace(out, r"[\x20\x09-\x0D]+", " "), r"([.!?]) ", "$1\n")
-    return F.translate(out, "\u0000", "\n")
+    return F.regexp_replace(F.translate(out, "\u0000", "\n"), NEGATED, " ")
 
 
 def identified(match: Column) -> Column:
@@ -205,7 +239,8 @@ def identified(match: Column) -> Column:
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per row ``doc_id``, ``sentences`` (the identifiers in order), ``licences`` (each once, in the order of the rules)
-    and ``unmatched`` (identifiers that no rule takes).
+    and ``unmatched`` (identifiers that no rule takes). Identifiers of other licences may stand between those of a rule.
+    That all rights are reserved makes a text proprietary only if it has no other known sentence.
 
     A text without a known sentence, an empty and a null one have empty lists. Repeated rows give a result each.
     """
@@ -216,39 +251,46 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = computed(rows.select("doc_id", F.when(may, F.col("_given")).alias("_given")), _text=plain(F.col("_given")))
     rows = computed(rows, _known=F.when(F.col("_text").isNotNull(), F.regexp_extract_all("_text", F.lit(ANY_KNOWN), F.lit(0))).otherwise(empty))
     rows = computed(rows, sentences=F.transform("_known", identified))
-    rules = F.array(*[F.struct(F.lit(_sequence(ids)).alias("ids"), F.lit(name).alias("name")) for name, ids in RULES])
-    start = F.struct(F.concat(F.lit(""), F.array_join(F.transform("sentences", lambda x: F.concat(F.lit("<"), x, F.lit(">"))), "")).alias("rest"),
+    others = F.filter("sentences", lambda x: x != RESERVED)
+    rules = F.array(*[F.struct(F.lit(f"<{ids[0]}>").alias("first"), F.lit(_in_order(ids)).alias("ids"),
+                               F.lit("".join(f"${i}" for i in range(1, len(ids)))).alias("left"), F.lit(name).alias("name")) for name, ids in RULES])
+    start = F.struct(F.concat(F.lit(""), F.array_join(F.transform(others, lambda x: F.concat(F.lit("<"), x, F.lit(">"))), "")).alias("rest"),
                      empty.alias("found"))
     matched = F.aggregate(rules, start, lambda state, rule: F.when(
-        F.contains(state["rest"], rule["ids"]),
-        F.struct(F.replace(state["rest"], rule["ids"], F.lit("")).alias("rest"),
+        F.contains(state["rest"], rule["first"]) & F.rlike(state["rest"], rule["ids"]),
+        F.struct(F.regexp_replace(state["rest"], rule["ids"], rule["left"]).alias("rest"),
                  F.concat(state["found"], F.array(rule["name"])).alias("found"))).otherwise(state))
     nothing = F.struct(F.lit("").alias("rest"), empty.alias("found"))
-    rows = computed(rows, _state=F.when(F.size("sentences") > 0, matched).otherwise(nothing))
+    alone = F.struct(F.lit("").alias("rest"), F.array(F.lit(ALONE)).alias("found"))
+    rows = computed(rows, _state=F.when(F.size("sentences") == 0, nothing).when(F.size(others) == 0, alone).otherwise(matched))
     return rows.select("doc_id", "sentences", F.array_distinct("_state.found").alias("licences"),
                        F.length(F.regexp_replace("_state.rest", "[^<]", "")).alias("unmatched"))
 
 
 def scan_sql(source: str = "documents") -> str:
-    """The earlier scan as SQL, with lists as text joined by commas: one identifier a sentence, which ends only at stops,
-    and none without HINT. It agrees with ``scan`` where a text has its licences in separate sentences with a hint."""
+    """The scan as SQL, with lists as text joined by commas. This SQL cannot look around in a pattern: a sentence ends at
+    stops only and has one identifier, the first that fits. It agrees with ``scan`` where a text has its licences in
+    separate sentences."""
     def quoted(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
     plain = f"lower(translate(regexp_replace(coalesce(text, ''), {quoted(MARKS)}, '', 'g'), {quoted(QUOTES)}, ''))"
     plain = f"regexp_replace({plain}, '[\\x20\\x09-\\x0D]+', ' ', 'g')"
-    plain = f"string_split(regexp_replace({plain}, '([.!?]) ', '\\1' || chr(10), 'g'), chr(10))"
+    plain = f"regexp_replace(regexp_replace({plain}, '([.!?]) ', '\\1' || chr(10), 'g'), {quoted(NEGATED)}, ' ', 'g')"
     cases = " ".join(f"WHEN regexp_matches(x, {quoted(p)}) THEN {quoted(n)}" for n, p in SENTENCES)
-    steps = ", ".join(f"replace(s{i}, {quoted(_sequence(ids))}, '') AS s{i + 1}" for i, (_, ids) in enumerate(RULES))
-    hits = ", ".join(f"CASE WHEN contains(s{i}, {quoted(_sequence(ids))}) THEN {quoted(name)} END" for i, (name, ids) in enumerate(RULES))
+    left = ["".join(f"\\{i}" for i in range(1, len(ids))) for _, ids in RULES]
+    steps = ", ".join(f"regexp_replace(s{i}, {quoted(_in_order(ids))}, {quoted(left[i])}, 'g') AS s{i + 1}" for i, (_, ids) in enumerate(RULES))
+    hits = ", ".join(f"CASE WHEN regexp_matches(s{i}, {quoted(_in_order(ids))}) THEN {quoted(name)} END" for i, (name, ids) in enumerate(RULES))
     # Each licence once, where it is first found.
     return f"""
-WITH a AS (SELECT doc_id, list_filter({plain}, lambda x: regexp_matches(x, {quoted(HINT)})) AS known FROM {source}),
+WITH a AS (SELECT doc_id, string_split({plain}, chr(10)) AS known FROM {source}),
   b AS (SELECT doc_id, list_filter(list_transform(known, lambda x: CASE {cases} END), lambda x: x IS NOT NULL) AS ids FROM a),
-  c AS (SELECT doc_id, ids, array_to_string(list_transform(ids, lambda x: '<' || x || '>'), '') AS s0, {steps} FROM b),
-  d AS (SELECT doc_id, ids, s{len(RULES)} AS rest, list_filter([{hits}], lambda x: x IS NOT NULL) AS found FROM c)
+  c AS (SELECT doc_id, ids, list_filter(ids, lambda x: x <> '{RESERVED}') AS others FROM b),
+  d AS (SELECT doc_id, ids, others, array_to_string(list_transform(others, lambda x: '<' || x || '>'), '') AS s0, {steps} FROM c),
+  e AS (SELECT doc_id, ids, s{len(RULES)} AS rest, CASE WHEN len(ids) > 0 AND len(others) = 0 THEN ['{ALONE}']
+          ELSE list_filter([{hits}], lambda x: x IS NOT NULL) END AS found FROM d)
 SELECT doc_id, array_to_string(ids, ',') AS sentences,
   array_to_string(list_filter(found, lambda x, i: list_position(found, x) = i), ',') AS licences,
   length(regexp_replace(rest, '[^<]', '', 'g')) AS unmatched
-FROM d
+FROM e
 """
