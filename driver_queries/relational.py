@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.common import Tables, day, day_sql, dec, query, ts_sql
+from driver_queries.common import Tables, day, day_sql, dec, query, stored, ts_sql
 from martworks.functions import nested, text, times
 from martworks.functions.keys import text_key, uuid5
 from martworks.operators import joins
@@ -328,11 +328,13 @@ CUSTOMER_NATION_SQL = "SELECT c_custkey, n_name FROM customer JOIN nation ON c_n
 
 
 def cached_reuse(t: Tables):
-    """One persisted frame used by two aggregates."""
+    """One persisted frame used by two aggregates, and released when the result is written."""
     kept = t.events.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n")).persist()
-    users = kept.groupBy("user_id").agg(F.sum("n").alias("total"))
-    out = kept.join(users, "user_id").select("user_id", "event_type", "n", "total")
-    return out
+    try:
+        users = kept.groupBy("user_id").agg(F.sum("n").alias("total"))
+        return stored(kept.join(users, "user_id").select("user_id", "event_type", "n", "total"), "cached_reuse")
+    finally:
+        kept.unpersist()
 
 
 CACHED_SQL = """
