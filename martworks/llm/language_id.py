@@ -27,13 +27,15 @@ TEXT_WEIGHT = 60.0
 SMOOTHING = 4.0
 MAX_LANGUAGES = 1000
 
-_HTML = re.compile(r"<html\b[^>]*", re.I)
+#: A comment, to the end of the page if it is not closed, or an html tag.
+_HTML = re.compile(r"<!--.*?(?:-->|\Z)|<html\b[^>]*", re.I | re.S)
 _LANG = re.compile(r"\s(?:xml:)?lang\s*+=\s*+[\"']?\s*+([A-Za-z]+)", re.I)
 
 
 def declared_language(source: str) -> str | None:
-    """The first language that an html tag anywhere in the page declares; linear in the page."""
-    return next((m[1].lower() for tag in _HTML.finditer(source) if (m := _LANG.search(tag[0]))), None)
+    """The first language that an html tag anywhere in the page, but not in a comment, declares; linear in the page."""
+    tags = (tag[0] for tag in _HTML.finditer(source) if not tag[0].startswith("<!--"))
+    return next((m[1].lower() for tag in tags if (m := _LANG.search(tag))), None)
 
 
 def _cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 import corpus
@@ -58,3 +60,50 @@ def test_declared_language_far_into_the_page(spark):
              enumerate(["<!--" + "x" * 5_000 + "-->", " " * 5_000, "<!DOCTYPE html>" + "\n" * 100_000])]
     got = N.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()
     assert [r.declared for r in got] == ["bb"] * 3
+
+
+def test_declared_language_in_a_comment_is_none():
+    assert N.declared_language('<!--[if IE]><html lang="xx"><![endif]--><html lang="de">') == "de"
+    assert N.declared_language('<!-- a\n --><!--><html lang="xx">--><HTML xml:lang=fr>') == "fr"
+    assert N.declared_language('<!-- never closed <html lang="xx">') is None
+    assert N.declared_language("<!--" * 200_000) is None
+
+
+def test_equals_fusion_in_plain_python(spark):
+    """Grouped shares, smoothing from all pages over domain to host, and the signs' ratios, page by page."""
+    docs, pages, _ = world(spark)
+    pages = pages[:120] + [(900, None, None), (901, "http://10.0.0.1/x", "<p>abc"), (902, "http://alone.example", "<html lang=zz>mnop"), (902, "http://alone.example", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    names, model = N.text_model(docs)
+    rows = [r.asDict() for r in N.page_evidence(df, names, model).collect()]
+    n = len(names)
+    for r in rows:
+        powers = [math.exp(x - max(r["text_scores"])) for x in r["text_scores"]]
+        r["share"] = [p / sum(powers) for p in powers]
+
+    def others(key, r):
+        """Sums of the shares of the other pages of the group, and their number."""
+        if key and r[key] is None:
+            return [0.0] * n, 0
+        same = [x for x in rows if x is not r and (not key or x[key] == r[key])]
+        return [sum(x["share"][i] for x in same) for i in range(n)], len(same)
+
+    def smoothed(key, wide, r):
+        sums, count = others(key, r)
+        return [(x + w * N.SMOOTHING) / (count + N.SMOOTHING) for x, w in zip(sums, wide)]
+
+    want = []
+    for r in rows:
+        sums, count = others(None, r)
+        whole = [(x + 1) / (count + n) for x in sums]
+        host = smoothed("host", smoothed("domain", whole, r), r)
+        scores = [t + math.log(p) for t, p in zip(r["text_scores"], host)]
+        for key in ("declared", "suffix"):
+            scores = [s + math.log(p) - math.log(q) for s, p, q in zip(scores, smoothed(key, whole, r), whole)]
+        powers = [math.exp(s - max(scores)) for s in scores]
+        best = max(powers)
+        want.append((r["page_id"], r["url"], names[powers.index(best)], round(best / sum(powers), 3), r["declared"]))
+    got = [(r.page_id, r.url, r.lang, round(r.probability, 3), r.declared) for r in N.identify(df, docs).collect()]
+    key = lambda x: repr((x[0], x[1], x[2], x[4]))
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert a[:3] + a[4:] == b[:3] + b[4:] and abs(a[3] - b[3]) <= 0.002
