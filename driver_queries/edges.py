@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.common import Tables, day, query, stored, ts_sql
+from driver_queries.common import Tables, day, query, stored
 from driver_queries.lake import USER_GEO_SQL, flat_events, placed
 from martworks.functions.sums import exact_sums
 from martworks.operators import joins, keyed, load

@@ -156,7 +156,7 @@ def settle(written: dict[str, tuple[KeyedFolder, dict[int, dict]]], batch_id: in
             after = {b: x for b, x in leaves.items() if b not in changed}
             for b in changed:
                 dead += [f"batch_id={i}/_bucket={b}" for i in leaves[b]["folders"]]
-                more = max(0, (-(-leaves[b]["rows"] // folder.split_rows) - 1).bit_length())
+                more = (max(1, -(-leaves[b]["rows"] // folder.split_rows)) - 1).bit_length()
                 more = min(more, MOST_BITS + 1 - b.bit_length())
                 after.update({(b << more) + i: {"rows": 0, "folders": []} for i in range(1 << more)})
             # Folders of earlier batches have numbers from 0; the one that joins them has its own below.
