@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import duckdb
-import pytest
 from pyspark.sql import functions as F
 
 import corpus
