@@ -5,8 +5,11 @@ are links, relative to the whole body. The sum of its children's densities is hi
 together; the element of the largest sum is the centre of the article. The least density on the way from the body
 down to it is the threshold: other parts of the page count as text, too, if they reach it.
 
-Elements that cannot be article text (navigation, forms, scripts and others, by tag, role, class or id) are left out
-before densities are computed.
+Elements that cannot be article text are left out before densities are computed: navigation, forms, scripts and others
+by tag or role; lists of reader comments by their repeated structure; and elements that a class or id names as noise. A
+name of several words is that of its last one that tells anything (``fb-comments`` are comments, ``related-work`` is
+work). Names that also occur in articles (``notice``, ``share``) count outside of the chosen element; inside it
+they only take out link lists and whole containers, not paragraphs.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,27 +41,47 @@ NO_TEXT = frozenset(
     "head script style title noscript template iframe object embed svg canvas nav aside footer form button select "
     "textarea input dialog menu noframes noembed xmp audio video".split())
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
-NO_TEXT_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar "
-    "navigation breadcrumb breadcrumbs footer comment comments reply replies disqus cookie cookies consent gdpr notice "
-    "notices newsletter subscribe subscription signup login popup modal overlay share sharing social related "
-    "recommended recommendations widget toolbar pagination pager copyright disclaimer alert masthead skip".split())
+# Names of page parts that are never article text, and of those that may also stand for something in an article.
+SURE_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored sidebar nav navbar navigation "
+    "breadcrumb breadcrumbs comment comments replies disqus cookie cookies gdpr newsletter subscribe signup login popup "
+    "modal toolbar pagination pager masthead".split())
+VAGUE_NAMES = frozenset(
+    "promo promotion banner menu footer reply consent notice notices subscription overlay share sharing social related "
+    "recommended recommendations widget copyright disclaimer alert skip feedback responses reactions".split())
+# Words of a name that tell nothing about what is in the element.
+NEUTRAL = frozenset(
+    "area article articles bar block body bottom box button buttons container content entry holder inner item items left "
+    "links list main message news outer page panel post posts right row section site slot stories story text title top "
+    "unit user wrap wrapper".split())
+#: A name that begins so tells a state of the page, not what the element is.
+STATES = frozenset("has with without no not is".split())
+#: Names of lists of records that may be written by readers.
+TALK = frozenset("discussion discussions conversation conversations thread threads opinions readers guestbook".split())
+# Headings of an article; smaller ones may hold the name of a writer.
+HEADINGS = frozenset(["h1", "h2", "h3"])
+CONTAINERS = frozenset("div section article ul ol dl li table tbody tr td figure details fieldset center main".split())
 MAIN = frozenset(["article", "main"])
+#: A line that says who wrote a comment has so many characters at most.
+BYLINE = 60
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
 _NAME = re.compile(r"</?([^\s/>]+)")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _MAY_ROLE = re.compile(r"\s(?:class|id|role|hidden|style|aria-hidden)\b", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "parts", "role", "chars", "tags", "link_chars", "link_tags", "density", "total", "own")
+    __slots__ = ("tag", "parent", "children", "parts", "role", "chars", "tags", "link_chars", "link_tags", "density", "total", "own", "names", "whole",
+                 "headed", "dated", "first")
 
-    def __init__(self, tag: str, parent: Node | None, role: str = ""):
-        self.tag, self.parent, self.role = tag, parent, role
+    def __init__(self, tag: str, parent: Node | None, role: str = "", names: tuple[str, ...] = ()):
+        self.tag, self.parent, self.role, self.names = tag, parent, role, names
         self.children: list[Node] = []
         self.parts: list = []  # texts and elements in order
+        self.whole: list = []  # the same with elements of vague names that stay inside the chosen element
         self.own = 0  # characters of its texts, white space apart
 
 
@@ -65,6 +89,17 @@ def parse(source: str) -> Node:
     """The element tree of a page; open ends, missing end tags and stray ones are allowed."""
     root = Node("html", None)
     here, at, stop = root, 0, len(source)
+    opened: Counter = Counter()  # elements around this place, by tag: what is not there need not be searched
+
+    def leave(node: Node) -> Node:
+        """Close all elements up to this one; its parent."""
+        last = here
+        while last is not node:
+            opened[last.tag] -= 1
+            last = last.parent
+        opened[node.tag] -= 1
+        return node.parent
+
     while at < stop:
         m = _TOKEN.search(source, at)
         text = source[at:m.start() if m else stop]
@@ -80,11 +115,11 @@ def parse(source: str) -> Node:
             continue
         tag = _NAME.match(token)[1].lower()
         if token[1] == "/":
-            node = here
-            while node is not None and node.tag != tag:
-                node = node.parent
-            if node is not None and node is not root:
-                here = node.parent
+            if opened[tag]:
+                node = here
+                while node.tag != tag:
+                    node = node.parent
+                here = leave(node)
             elif tag == "br":
                 here.parts.append(" ")
             continue
@@ -93,22 +128,22 @@ def parse(source: str) -> Node:
         if tag == "br":
             here.parts.append(" ")
             continue
-        if tag in ENDS_P:
+        if tag in ENDS_P and opened["p"]:
             node = here
             while node is not root and node.tag not in ("p", "button", "table", "td", "th", "caption", "object"):
                 node = node.parent
             if node.tag == "p":
-                here = node.parent
+                here = leave(node)
         if tag in SIBLINGS:
             same, border = SIBLINGS[tag]
-            node = here
+            node = here if any(opened[t] for t in same) else root
             while node is not root and node.tag not in same and node.tag not in border:
                 node = node.parent
             if node.tag in same:
-                here = node.parent
+                here = leave(node)
         if here.tag == "head" and tag in BLOCK:
-            here = here.parent
-        node = Node(tag, here, _role(token) if _MAY_ROLE.search(token) else "")
+            here = leave(here)
+        node = Node(tag, here, *(_role(token) if _MAY_ROLE.search(token) else ()))
         here.children.append(node)
         here.parts.append(node)
         if tag in RAW:
@@ -119,40 +154,99 @@ def parse(source: str) -> Node:
                 at = close + 1 if close >= 0 else stop
         elif tag not in VOID and not (token.endswith("/>") and tag in ("svg", "path")):
             here = node
+            opened[tag] += 1
     return root
 
 
-def _role(token: str) -> str:
-    """``never`` for hidden elements and roles without article text, ``doubtful`` for such names, else empty."""
+def _role(token: str) -> tuple[str, tuple[str, ...]]:
+    """``never`` for hidden elements and roles without article text, else what the names say; and the names."""
     names: list[str] = []
     for key, *values in _ATTRIBUTE.findall(token):
-        key, value = key.lower(), html.unescape(next((v for v in values if v), "")).lower()
+        key, value = key.lower(), html.unescape(next((v for v in values if v), ""))
+        if key in ("class", "id"):
+            names += _HUMP.sub("-", value).lower().split()
+            continue
+        value = value.lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return "never"
+            return "never", ()
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return "never"
+            return "never", ()
         if key == "role" and value.strip() in NO_TEXT_ROLES:
-            return "never"
-        if key in ("class", "id"):
-            names += re.split(r"[\s_-]+", value)
-    return "doubtful" if NO_TEXT_NAMES.intersection(names) else ""
+            return "never", ()
+    found = {_meaning(name) for name in names}
+    return next((m for m in ("sure", "vague", "partly") if m in found), ""), tuple(names)
+
+
+def _meaning(name: str) -> str:
+    """What one name says: ``sure`` noise, ``vague`` if all its words are noise or tell nothing, ``partly`` if a
+    vague word ends a name of others, else empty."""
+    words = [w for w in re.split(r"[_-]+", name) if w]
+    if not words or words[0] in STATES:
+        return ""
+    telling = [w for w in words if w not in NEUTRAL and not w[0].isdigit()]
+    if not telling or telling[-1] not in SURE_NAMES | VAGUE_NAMES:
+        return ""
+    noise = all(w in SURE_NAMES or w in VAGUE_NAMES for w in telling)
+    if telling[-1] in SURE_NAMES or noise and SURE_NAMES.intersection(telling):
+        return "sure"
+    return "vague" if noise else "partly"
+
+
+def _reader_comments(node: Node) -> bool:
+    """Whether most text of a container is records of one make, each a short line of its writer without a heading and
+    then a longer text, that carry a time or an answer button, or whose container is named after talk."""
+    if node.tag not in CONTAINERS or not node.chars:
+        return False
+    makes: dict[tuple, list[Node]] = {}
+    for child in node.children:
+        if child.tag in CONTAINERS and child.chars:
+            makes.setdefault((child.tag, child.names), []).append(child)
+    if not makes:
+        return False
+    records = max(makes.values(), key=lambda group: sum(r.chars for r in group))
+    if len(records) < 2 or 5 * sum(r.chars for r in records) < 4 * node.chars:
+        return False
+    talk = any(TALK.intersection(re.split(r"[_-]+", name)) for n in (node, records[0]) for name in n.names)
+    return all((r.dated or talk) and _signed(r) for r in records)
+
+
+def _signed(record: Node) -> bool:
+    line = record.first
+    return (not record.headed and line is not None and line.tag not in ("p", "li", "td") and line.chars <= BYLINE
+            and 2 * line.chars < record.chars)
+
+
+def _survey(nodes: list[Node]) -> None:
+    """What the elements inside each one show: a heading, a time or button, and the first one with a text of its own."""
+    for node in reversed(nodes):
+        node.headed = any(c.headed or c.tag in HEADINGS and c.chars > 0 for c in node.children)
+        node.dated = any(c.dated or c.tag == "time" or c.tag == "button" and c.own for c in node.children)
+        node.first = next((c if c.own else c.first for c in node.children if c.own or c.first is not None), None)
 
 
 def _prune(root: Node, whole: int) -> None:
-    """Take out what holds no article text. A doubtful name does not count on an element with over half of the text."""
+    """Take out what holds no article text. Neither names nor structure count on an element with over half of it."""
     todo = [(root, False)]
     while todo:
         node, inside_main = todo.pop()
-        keep = []
+        keep: list = []
+        node.whole = []
         for part in node.parts:
             if isinstance(part, Node):
                 main = inside_main or part.tag in MAIN
                 if part.tag in NO_TEXT or part.role == "never" or part.tag == "header" and not main:
                     continue
-                if part.role == "doubtful" and 2 * part.chars <= whole and part.tag not in ("body", "main"):
-                    continue
+                if 2 * part.chars <= whole and part.tag not in ("body", "main"):
+                    if part.role == "sure" or _reader_comments(part):
+                        continue
+                    if part.role:
+                        if 2 * part.link_chars <= part.chars and (part.role == "partly" or part.tag not in CONTAINERS):
+                            node.whole.append(part)
+                            todo.append((part, main))
+                        continue
                 todo.append((part, main))
             keep.append(part)
+            node.whole.append(part)
         node.parts = keep
         node.children = [p for p in keep if isinstance(p, Node)]
 
@@ -191,8 +285,8 @@ def _density(node: Node, body: Node) -> float:
     return c / t * math.log(max(1.0, ratio)) / max(1.0, math.log(base))
 
 
-def _blocks(node: Node, wanted, out: list[str], line: list[str]) -> None:
-    """The text of the wanted elements, block by block."""
+def _blocks(node: Node, wanted, whole: bool, out: list[str], line: list[str]) -> None:
+    """The text of the wanted elements, block by block; ``whole``: with their elements of vague names."""
     stack = [(node, iter(node.parts), node in wanted)]
     while stack:
         here, parts, use = stack[-1]
@@ -207,7 +301,8 @@ def _blocks(node: Node, wanted, out: list[str], line: list[str]) -> None:
         else:
             if part.tag in BLOCK:
                 _end(out, line)
-            stack.append((part, iter(part.parts), use or part in wanted))
+            inside = use or part in wanted
+            stack.append((part, iter(part.whole if inside and whole else part.parts), inside))
 
 
 def _end(out: list[str], line: list[str]) -> None:
@@ -246,7 +341,9 @@ def main_text(source: str | None) -> str:
     root = parse(source)
     bodies = [n for n in _walk(root) if n.tag == "body"]
     body = bodies[0] if bodies else root
-    _measure(_walk(body))
+    nodes = _walk(body)
+    _measure(nodes)
+    _survey(nodes)
     _prune(body, body.chars)
     nodes = _walk(body)
     _measure(nodes)
@@ -273,7 +370,8 @@ def main_text(source: str | None) -> str:
     wanted = {main or best} | {top[n] for n in nodes if n not in around and n.density >= threshold and n.chars}
     out: list[str] = []
     line: list[str] = []
-    _blocks(body, wanted, out, line)
+    # With the body chosen, an element of a vague name may lie anywhere on the page.
+    _blocks(body, wanted, (main or best) is not body, out, line)
     _end(out, line)
     return "\n".join(out)
 

@@ -68,3 +68,37 @@ def test_every_row(spark):
     ("<article>" + "<p>{0} a</p>" * 4 + "</article><nav><p>{0} no</p></nav><div class=ad><p>{0} no</p></div>", ["{0} a"] * 4)])
 def test_dense_parts_beside_the_article(body, want):
     assert H.main_text(HEAD + f"<body>{body.format(LONG)}</body></html>") == "\n".join(want).format(LONG)
+
+
+RECORD = "<div class=r><{0}>Ann</{0}> <time>1 May</time><p>{1} c</p></div>"
+
+
+@pytest.mark.parametrize("part, want", [
+    # Names that articles have, too.
+    ("<section id='related-work'><h2>Related</h2><p>{0} r</p></section>", ["Related", "{0} r"]), ("<p class='notice'>{0} n</p>", ["{0} n"]),
+    ("<div class='share-price'>{0} p</div>", ["{0} p"]), ("<div id=safetyNotice>{0} s</div>", ["{0} s"]), ("<div class='no-ads'>{0} a</div>", ["{0} a"]),
+    # Noise by name.
+    ("<div class=feedback><p>{0} f</p></div>", []), ("<div class='fb-comments'><p>{0} c</p></div>", []), ("<div class='ad-box-2'>{0} a</div>", []),
+    ("<div class='cookie-notice'>{0} c</div>", []), ("<div id=commentList>{0} c</div>", []), ("<p class=share><a href=x>{0} link</a></p>", []),
+    # Readers' records by their make; sections with headings, dialogues and lists are text.
+    ("<div class=below>" + RECORD.format("b", "{0}") * 3 + "</div>", []), ("<div>" + RECORD.format("h5", "{0}") * 2 + "</div>", []),
+    ("<section id=discussion><div><b>Ann</b><p>{0} c</p></div><div><b>Bob</b><p>{0} d</p></div></section>", []),
+    ("<section id=discussion><h2>Discussion</h2><p>{0} a</p><p>{0} b</p></section>", ["Discussion", "{0} a", "{0} b"]),
+    ("<div><div><b>Ann</b><p>{0} c</p></div><div><b>Bob</b><p>{0} d</p></div></div>", ["Ann", "{0} c", "Bob", "{0} d"]),
+    ("<div><section><h2>One</h2><time>1 May</time><p>{0} c</p></section><section><h2>Two</h2><time>2 May</time><p>{0} d</p></section></div>",
+     ["One", "1 May", "{0} c", "Two", "2 May", "{0} d"])])
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>"])
+def test_parts_inside_the_chosen_element(part, want, wrap):
+    body = wrap.format("<h1>Head</h1>" + "<p>{0}</p>" * 8 + part + "<p>End {0}</p>")
+    got = H.main_text(HEAD + f"<body><nav>n</nav>{body.replace('{0}', LONG)}<footer>f</footer></body></html>")
+    assert got == "\n".join(["Head", *[LONG] * 8, *[w.replace("{0}", LONG) for w in want], f"End {LONG}"]).replace("<time>", "")
+
+
+def test_vague_names_outside_of_the_chosen_element_are_noise():
+    page = HEAD + "<body><p class=notice>{0} n</p><div id=x>" + "<p>{0}</p>" * 5 + "</div><p class='legal-notice'>{0} n</p></body>"
+    assert H.main_text(page.replace("{0}", LONG)) == "\n".join([LONG] * 5)
+
+
+def test_nested_records_take_linear_time():
+    page = "<p>" + LONG * 3000 + "</p>" + "<div class=r><div class=r><b>Ann</b><time>1</time>x</div>" * 20_000
+    assert LONG in H.main_text(page)
