@@ -5,8 +5,9 @@ document as certain copies. For the rest, documents are ranked by the odds of a
 inclusion, and taken in that order until the words left to the source are used up. The random number is a hash of
 the document's id and text, so reruns agree.
 
-The order inside a source needs no window over the source: ranks fall into buckets, sums of buckets give the words
-before each, and running sums are formed inside buckets only.
+The order inside a source needs no window over the source: ranks fall into runs of buckets, sums of runs and of the
+buckets in a run give the words before each, and running sums are formed inside buckets only. There are as many
+buckets in a run as the rows ask for, so that a bucket holds about a thousand rows of its source at most.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import BLANK, bounded, prefix_sums, shielded, stored, text_of, words_of
 
 MAX_COPIES = 3
-BUCKETS = 1 << 12
+RUNS = 1 << 12
+ROWS_PER_BUCKET = 1000
 #: The documents' preferences while they are mixed; no column of the input may have this name.
 PREFERENCE = "preference of the mix"
 
@@ -65,9 +67,13 @@ def _plan(docs: DataFrame, max_copies: int, seed: str, preference: Column) -> tu
     rows = rows.withColumn("_rank", pareto_rank(F.col("_u"), inclusion(F.col("_part"), F.col("_prefer"))))
     # Within a source this is in the order of the ranks, and even between 0 and 1 for equal preferences.
     odds = F.col("_u") / (1 - F.col("_u")) / F.col("_prefer")
-    rows = rows.withColumn("_bucket", F.floor(odds / (1 + odds) * BUCKETS).cast("int"))
-    parts = prefix_sums(rows.groupBy("place", "_bucket").agg(F.sum("size").alias("_words")), ["place"], "_bucket",
-                        _before="_words").drop("_words")
+    in_run = max(1, -(-sizes.count() // (RUNS * ROWS_PER_BUCKET)))
+    rows = rows.withColumn("_bucket", F.floor(odds / (1 + odds) * float(RUNS * in_run)))
+    parts = rows.groupBy("place", "_bucket").agg(F.sum("size").alias("_words"))
+    parts = stored(parts.withColumn("_run", F.floor(F.col("_bucket") / in_run)), "mix-buckets")
+    runs = prefix_sums(parts.groupBy("place", "_run").agg(F.sum("_words").alias("_all")), ["place"], "_run", _runs="_all")
+    parts = prefix_sums(parts, ["place", "_run"], "_bucket", _inside="_words").join(runs, ["place", "_run"])
+    parts = parts.select("place", "_bucket", (F.col("_runs") + F.col("_inside")).alias("_before"))
     order = Window.partitionBy("place", "_bucket").orderBy("_rank")
     rows = rows.join(parts, ["place", "_bucket"])
     inside = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

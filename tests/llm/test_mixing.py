@@ -86,3 +86,11 @@ def test_awkward_rows(spark):
     copies = {r.source: r["count"] for r in M.mixed(twins).groupBy("source").count().collect()}
     assert copies == {s: n for s, n in taken.items() if n}
     assert M.mix(docs.limit(0)).count() == 0 and M.mixed(docs.limit(0)).count() == 0
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    docs = corpus.documents(spark, many())
+    want = sorted(map(repr, M.mix(docs).collect()))
+    monkeypatch.setattr(M, "RUNS", 8)
+    monkeypatch.setattr(M, "ROWS_PER_BUCKET", 10)
+    assert sorted(map(repr, M.mix(docs).collect())) == want
