@@ -4,10 +4,14 @@ Groups of equal texts stay together. Groups above a fixed part of a shard are pa
 joined by hash into cells, each an indivisible unit of many groups. The number of units is bounded by the two
 parameters, whatever the number of rows, so the packing itself is small: units sorted by size enter the bin with the
 least room that still holds them, found in a balanced tree.
+
+With a fixed capacity every group is packed by itself: groups are dealt by hash into regions of a bounded number, each
+packed in a task. In a region one bin at most is half empty; these bins, one a region, are packed once more.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import prefix_sums, shielded, stored, text_of
@@ -15,6 +19,7 @@ from .common import prefix_sums, shielded, stored, text_of
 CELLS = 4096
 SHARDS = 16
 ROWS_PER_SLICE = 200_000
+GROUPS_PER_REGION = 50_000
 
 
 class RoomTree:
@@ -121,25 +126,71 @@ def _with_unit(rows: DataFrame, large: DataFrame, cells: int) -> DataFrame:
     return joined.withColumn("_unit", F.coalesce("_large", cell)).drop("_large")
 
 
-def _assign(spark: SparkSession, units: DataFrame, shards: int | None, capacity: int | None) -> DataFrame:
+def _assign(spark: SparkSession, units: DataFrame, shards: int) -> DataFrame:
     found = sorted(units.collect(), key=lambda u: (-u["bytes"], u["_unit"]))  # at most twice ``cells`` rows
-    sizes = [u["bytes"] for u in found]
-    bins = best_fit(sizes, capacity) if capacity is not None else balanced(sizes, shards)
-    pairs = [(u["_unit"], b) for u, b in zip(found, bins)]
+    pairs = [(u["_unit"], b) for u, b in zip(found, balanced([u["bytes"] for u in found], shards))]
     return F.broadcast(spark.createDataFrame(pairs, "_unit string, shard int"))
 
 
-def sharded(docs: DataFrame, *, shards: int | None = SHARDS, capacity: int | None = None, cells: int = CELLS) -> DataFrame:
-    """The rows with their own columns and ``shard``: into ``shards`` of sizes as equal as the groups allow, or, with
-    ``capacity`` in bytes, into as few shards of that capacity as best fit finds (for shards of many cells each; else
-    raise ``cells``). A group above the capacity gets a shard of its own. No text is shuffled. A column of the input
-    named ``shard`` is replaced."""
+def _packed_regions(groups: DataFrame, capacity: int, per_region: int) -> DataFrame:
+    """Stored groups (``_digest``, ``bytes``) with ``region``, ``bin`` and ``filled``, the bytes of that bin."""
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["bytes", "_digest"], ascending=[False, True], ignore_index=True)
+        part["bin"] = best_fit(part["bytes"].tolist(), capacity)
+        part["filled"] = part.groupby("bin")["bytes"].transform("sum")
+        return part
+
+    regions = max(1, -(-groups.count() // per_region))
+    dealt = groups.withColumn("region", F.pmod(F.xxhash64("_digest"), F.lit(regions)).cast("int"))
+    packed = dealt.groupBy("region").applyInPandas(pack, "_digest string, bytes long, region int, bin int, filled long")
+    return stored(packed, "pack-regions")
+
+
+def by_capacity(thin: DataFrame, capacity: int, per_region: int = GROUPS_PER_REGION) -> DataFrame:
+    """Stored ``_digest`` and ``shard`` of every group of rows (``_digest``, ``_bytes``), in shards of the capacity; only
+    a group above it has more, in a shard alone."""
+    groups = stored(thin.groupBy("_digest").agg(F.sum("_bytes").alias("bytes")), "pack-groups")
+    packed = _packed_regions(groups, capacity, per_region)
+    bins = packed.select("region", "bin", "filled").distinct()
+    full = bins.filter(F.col("filled") * 2 > capacity)
+    counts = stored(full.groupBy("region").agg(F.count("*").alias("_n")).withColumn("_all", F.lit(0)), "pack-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    # One row a region goes through the first window, the bins of one region through the second.
+    starts = prefix_sums(counts, ["_all"], "region", _before="_n").select("region", "_before")
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("region").orderBy("bin")) - 1
+    numbers = full.join(starts, "region").select("region", "bin", place.cast("int").alias("shard"))
+    # One bin a region at most is half empty.
+    rest = sorted(bins.filter(F.col("filled") * 2 <= capacity).collect(), key=lambda b: (-b["filled"], b["region"], b["bin"]))
+    again = [(b["region"], b["bin"], total + s) for b, s in zip(rest, best_fit([b["filled"] for b in rest], capacity))]
+    numbers = numbers.unionByName(thin.sparkSession.createDataFrame(again, "region int, bin int, shard int"))
+    return stored(packed.join(numbers, ["region", "bin"]).select("_digest", "shard"), "pack-places")
+
+
+def _frequent(thin: DataFrame, cells: int) -> DataFrame:
+    """Digests of the groups with more than one of ``cells`` parts of all rows, fewer than ``cells``."""
+    rows = thin.count()
+    return thin.groupBy("_digest").agg(F.count("*").alias("_n")).filter(F.col("_n") * cells > rows).select("_digest")
+
+
+def sharded(docs: DataFrame, *, shards: int | None = SHARDS, capacity: int | None = None, cells: int = CELLS,
+            per_region: int = GROUPS_PER_REGION) -> DataFrame:
+    """The rows with their own columns and ``shard``: into ``shards`` of sizes as equal as the groups allow, without a
+    shuffle of texts; or, with ``capacity`` in bytes, into few shards of that capacity, whatever it is, with one
+    shuffle of the texts by group. A group above the capacity gets a shard of its own, and no other shard exceeds it. A
+    column of the input named ``shard`` is replaced."""
     thin = stored(docs.select(*[c.alias(n) for n, c in _identity().items()]), "pack-sizes")
-    large, units = _units(thin, cells)
     own = [c for c in docs.columns if c.lower() != "shard"]
     hidden, back = shielded(docs.select(*own).withColumn("shard", F.lit(0)), "text", "shard")
-    placed = _with_unit(hidden.drop("shard").withColumns(_identity()), large, cells)
-    return back(placed.join(_assign(docs.sparkSession, units, shards, capacity), "_unit"))
+    given = hidden.drop("shard").withColumns(_identity())
+    if capacity is None:
+        large, units = _units(thin, cells)
+        return back(_with_unit(given, large, cells).join(_assign(docs.sparkSession, units, shards), "_unit"))
+    places = by_capacity(thin, capacity, per_region)
+    # Groups of very many rows are not shuffled by their digest.
+    frequent = stored(places.join(_frequent(thin, cells), "_digest"), "pack-frequent")
+    dealt = given.join(F.broadcast(frequent.withColumnRenamed("shard", "_known")), "_digest", "left")
+    others = dealt.filter("_known is null").drop("_known").join(places, "_digest")
+    return back(dealt.filter("_known is not null").withColumnRenamed("_known", "shard").unionByName(others))
 
 
 def slots(docs: DataFrame, *, shards: int = SHARDS, cells: int = CELLS) -> DataFrame:
@@ -154,7 +205,7 @@ def slots(docs: DataFrame, *, shards: int = SHARDS, cells: int = CELLS) -> DataF
     large, units = _units(thin.select("_digest", "_bytes"), cells)
     rows = units.agg(F.sum("rows")).first()[0] or 0
     slices = max(1, -(-rows // (shards * ROWS_PER_SLICE)))
-    placed = _with_unit(thin, large, cells).join(_assign(docs.sparkSession, units, shards, None), "_unit")
+    placed = _with_unit(thin, large, cells).join(_assign(docs.sparkSession, units, shards), "_unit")
     # The id alone may be null for many rows, the digest equal for many; both together spread either.
     placed = placed.withColumn("_slice", F.pmod(F.xxhash64(F.lit("slot"), "doc_id", "_digest"), F.lit(slices * 8)).cast("int"))
     before = prefix_sums(placed.groupBy("shard", "_slice").agg(F.count("*").alias("_n")), ["shard"], "_slice",

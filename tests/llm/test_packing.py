@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -69,9 +70,30 @@ def test_a_group_with_most_rows_stays_together(spark):
 
 def test_fixed_capacity_and_own_columns(spark):
     docs = corpus.documents(spark).withColumns({"shard": F.lit("old"), "unit": F.lit(1), "slot": F.lit(2)})
-    out = P.sharded(docs, shards=None, capacity=20_000, cells=64)
+    out = P.sharded(docs, capacity=20_000, cells=64)
     assert out.columns == [c for c in docs.columns if c != "shard"] + ["shard"]
     assert out.count() == docs.count()
     sizes = {r.shard: r.b for r in out.groupBy("shard").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("b")).collect()}
     assert sum(b > 20_000 for b in sizes.values()) <= 1  # the text that is longer itself
     assert P.sharded(docs.limit(0)).count() == 0 and P.slots(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("capacity, per_region", [(300, 50_000), (300, 100), (5000, 200), (10, 50)])
+def test_no_shard_exceeds_the_capacity(spark, capacity, per_region):
+    rng = corpus.random.Random(3)
+    rows = [(i, f"{i} " + "x" * rng.randint(0, 60), "en", "s", 1) for i in range(1500)]
+    rows += [(5000 + i, rng.choice(["", None, "same"]), "en", "s", 1) for i in range(700)] + [(9000, "y" * 7000, "en", "s", 1)]
+    docs = corpus.documents(spark, rows)
+    got = P.sharded(docs, capacity=capacity, cells=64, per_region=per_region).collect()
+    assert sorted((r.doc_id, r.text or "") for r in got) == sorted((r[0], r[1] or "") for r in rows)
+    sizes, groups, of = defaultdict(int), defaultdict(set), defaultdict(set)
+    for r in got:
+        sizes[r.shard] += len(r.text or "") + 1
+        groups[r.shard].add(r.text or "")
+        of[r.text or ""].add(r.shard)
+    assert all(len(s) == 1 for s in of.values()) and set(sizes) == set(range(len(sizes)))
+    assert all(len(groups[s]) == 1 for s, size in sizes.items() if size > capacity)
+    # Two bins are more than half full in each region, but for one; all regions' rests together as well.
+    assert sum(2 * size <= capacity for size in sizes.values()) <= 1
+    fit = sum(s for s in sizes.values() if s <= capacity)
+    assert capacity < 300 or sum(s <= capacity for s in sizes.values()) <= 1.3 * fit / capacity + 3
