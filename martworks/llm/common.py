@@ -90,7 +90,7 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def text_key(text: Column) -> Column:
-    """Sixty bits of the text's digest: equal texts have equal keys. Among 10^10 different texts some tens of pairs
-    are expected to share one."""
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+def text_key(text: Column, part: int = 0) -> Column:
+    """Sixty bits of the text's digest, the first or (``part`` 1) the next ones: equal texts have equal keys. Among 10^10
+    different texts some tens of pairs are expected to share one part, and none to share both."""
+    return F.conv(F.substring(F.sha2(text.cast("binary"), 256), 1 + 15 * part, 15), 16, 10).cast("long")

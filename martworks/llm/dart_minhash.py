@@ -22,9 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import shielded, stored, text_key, text_of
+from .common import bounded, shielded, stored, text_key, text_of
 from .components import connected, contracted, labels
 from .shingle_arrays import mix64, occurrences, pieces, shingle_hashes, weighted
 
@@ -95,7 +95,8 @@ def band_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def with_bands(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id``, ``node`` (the text's key) and the band hashes of each row; none for a text without words."""
+    """``doc_id``, ``node`` and ``rest`` (the text's key and the bits that tell apart texts of one key) and the band hashes
+    of each row; none for a text without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
@@ -105,10 +106,31 @@ def with_bands(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
                 values = band_hashes(sig, bands, rows)[filled].astype(np.int64).ravel()
                 ends = np.append(0, np.cumsum(filled * bands)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), piece.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-                    ["doc_id", "node", "bands"])
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text_of()).alias("node"), text_of().alias("text"))
-    return given.mapInArrow(run, "doc_id long, node long, bands array<long>")
+                    [*(piece.column(c) for c in ("doc_id", "node", "rest")),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
+                    ["doc_id", "node", "rest", "bands"])
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text_of()).alias("node"),
+                        text_key(text_of(), 1).alias("rest"), text_of().alias("text"))
+    return given.mapInArrow(run, "doc_id long, node long, rest long, bands array<long>")
+
+
+def _clashes(sig: DataFrame) -> DataFrame | None:
+    """The texts whose key another text has, too, but for one of each key: ``node``, ``rest`` and a key of their own,
+    ``own``, below zero. They are numbered in one window: by chance there are tens of them among 10^10 texts."""
+    several = sig.groupBy("node").agg(F.min("rest").alias("_lo"), F.max("rest").alias("_hi")).filter("_lo < _hi")
+    texts = sig.select("node", "rest").join(several, "node").filter("rest > _lo").select("node", "rest").distinct()
+    texts = stored(texts, "near-clashes")
+    if texts.isEmpty():
+        return None
+    return stored(texts.withColumn("own", -F.row_number().over(Window.orderBy("node", "rest")).cast("long")), "near-own")
+
+
+def _told_apart(rows: DataFrame, clashes: DataFrame | None) -> DataFrame:
+    """The rows with one ``node`` per text, without ``rest``."""
+    if clashes is None:
+        return rows.drop("rest")
+    found = rows.join(bounded(clashes), ["node", "rest"], "left")
+    return found.withColumn("node", F.coalesce("own", "node")).drop("own", "rest")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -124,11 +146,16 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node long, shingles array<long>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, clashes: DataFrame | None) -> DataFrame:
+    """The rows with ``first_id`` (the id, the largest long for none) and ``node``."""
+    keys = {"first_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "node": text_key(text_of())}
+    return _told_apart(docs.withColumns(keys | ({"rest": text_key(text_of(), 1)} if clashes else {})), clashes)
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, clashes: DataFrame | None) -> DataFrame:
     """Stored shingle sets of the wanted nodes (``node``, ``first_id``). One copy of each text is taken; the ids keep
     a text with very many copies from meeting in one task."""
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("first_id"),
-                        text_key(text_of()).alias("node"), text_of().alias("text"))
+    keyed = _keyed(docs.select("doc_id", text_of().alias("text")), clashes)
     texts = keyed.join(wanted, ["first_id", "node"]).groupBy("node").agg(F.first("text").alias("text"))
     return stored(shingle_sets(texts), "near-shingles")
 
@@ -199,13 +226,20 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS
     text of one to four words has one shingle. Rows without an id belong to classes like others; a class without any
     id has a null ``class_id``. An empty table gives no rows.
     """
+    return _classes(docs, threshold, bands, rows)[0]
+
+
+def _classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of :func:`classes`, and the texts whose key is that of another."""
     sig = stored(with_bands(docs, bands, rows), "near-bands")
+    clashes = _clashes(sig)
+    sig = _told_apart(sig, clashes)
     nodes = stored(sig.groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(_NO_ID))).alias("first_id"),
                                            F.count("*").alias("_copies")), "near-nodes")
     # Only texts that share a band go on.
     cells = {1: _shared(sig.select("node", F.explode("bands").alias("cell")))}
     linked = stored(cells[1].select("node").distinct(), "near-linked")
-    sets = _sets(docs, linked.join(nodes, "node").select("node", "first_id"))
+    sets = _sets(docs, linked.join(nodes, "node").select("node", "first_id"), clashes)
     cells[NARROW] = _cells(sig.join(linked, "node"), bands, NARROW)
     # Each text against the most central leader of its bands.
     central = _with_leaders(cells[1]).filter("node <> leader").groupBy("node").agg(F.max(F.struct("weight", "leader")).alias("_best"))
@@ -233,13 +267,15 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS
     known = stored(known.join(by_root, "root"), "near-classes")
     stands = known.filter("first_id = class_id").groupBy("root").agg(F.min("node").alias("class_node"))
     known = known.join(stands, "root").select("node", F.nullif("class_id", F.lit(_NO_ID)).alias("class_id"), "class_node", "class_size")
-    return sig.select("doc_id", "node").join(known, "node").select("doc_id", "node", "class_id", "class_node", "class_size")
+    out = sig.select("doc_id", "node").join(known, "node").select("doc_id", "node", "class_id", "class_node", "class_size")
+    return out, clashes
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """One row of each class, with its own columns: that of the least id. Texts are shuffled once, by id and key."""
-    stay = (classes(docs, **options).select("class_id", "class_node").distinct()
-            .select(F.coalesce("class_id", F.lit(_NO_ID)).alias("_near_id"), F.col("class_node").alias("_near_node")))
+    found, clashes = _classes(docs, **options)
+    stay = found.select("class_id", "class_node").distinct().select(
+        F.coalesce("class_id", F.lit(_NO_ID)).alias("first_id"), F.col("class_node").alias("node"))
     hidden, back = shielded(docs, "doc_id", "text")
-    keyed = hidden.withColumns({"_near_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "_near_node": text_key(text_of())})
-    return back(keyed.join(stay, ["_near_id", "_near_node"], "left_semi").dropDuplicates(["_near_id", "_near_node"]))
+    keyed = _keyed(hidden, clashes)
+    return back(keyed.join(stay, ["first_id", "node"], "left_semi").dropDuplicates(["first_id", "node"]))

@@ -129,3 +129,14 @@ def test_components(spark):
     got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_of_one_key_are_told_apart(spark, monkeypatch):
+    key = D.text_key
+    monkeypatch.setattr(D, "text_key", lambda text, part=0: key(text, part) if part else F.pmod(key(text), F.lit(16)))
+    rows = copies() + corpus.awkward()
+    docs = corpus.documents(spark, rows)
+    assert Counter((r.doc_id, r.class_id) for r in D.classes(docs).collect()) == brute_classes(rows)
+    stay = [r.text or "" for r in D.one_of_each(docs).collect()]
+    monkeypatch.undo()
+    assert sorted(stay) == sorted(r.text or "" for r in D.one_of_each(docs).collect())
