@@ -25,6 +25,8 @@ from martworks.session import stored
 SPLIT_ROWS = 1_000_000
 MANY_FOLDERS = 16
 MOST_BITS = 30
+#: Tasks that a folder is at least written by.
+WRITERS = 64
 
 ROOT = 1
 
@@ -51,9 +53,10 @@ def bucket_of(keys: list[str], leaves: dict[int, dict]) -> Column:
     for leaf in leaves:
         by_bits.setdefault(leaf.bit_length() - 1, []).append(leaf)
     found = []
-    for bits, some in sorted(by_bits.items()):
+    # The leaves hold every hash, so the level with most of them is what is left over and needs no list.
+    for place, (bits, some) in enumerate(levels := sorted(by_bits.items(), key=lambda x: len(x[1])), 1):
         number = (F.lit(1 << bits) + F.shiftrightunsigned(hashed, 64 - bits)).cast("int") if bits else F.lit(ROOT)
-        found.append(F.when(number.isin(some), number))
+        found.append(F.when(number.isin(some), number) if place < len(levels) else number)
     return F.coalesce(*found)
 
 
@@ -120,8 +123,15 @@ class KeyedFolder:
         return self.spark.read.schema(self.schema).parquet(*places)
 
     def write(self, rows: DataFrame, folder: int, leaves: dict[int, dict]) -> None:
-        """Rows in a folder of a batch, by bucket; replaces what an earlier attempt wrote."""
-        (rows.select(*[f.name for f in self.schema]).withColumn("_bucket", self.bucket(leaves)).write.partitionBy("_bucket").mode("overwrite")
+        """Rows in a folder of a batch, by bucket; replaces what an earlier attempt wrote.
+
+        Rows of several buckets are brought together first, those of few buckets in shares by their hash: there are
+        about as many files as buckets, not one per bucket and task."""
+        placed = rows.select(*[f.name for f in self.schema]).withColumn("_bucket", self.bucket(leaves))
+        if len(leaves) > 1:
+            shares = -(-WRITERS // len(leaves))
+            placed = placed.repartition("_bucket", *([F.pmod(F.xxhash64(*self.keys), F.lit(shares))] if shares > 1 else []))
+        (placed.write.partitionBy("_bucket").mode("overwrite")
          .option("partitionOverwriteMode", "static").parquet(f"{self.path}/batch_id={folder}"))
 
     def current(self) -> DataFrame:
@@ -132,11 +142,13 @@ class KeyedFolder:
     def _written(self, folder: int) -> DataFrame | None:
         """Rows per bucket of a folder, counted from the files' footers."""
         place = f"{self.path}/batch_id={folder}"
-        found = sorted(int(n[8:]) for n in _listed(self.spark, place) if n.startswith("_bucket="))
-        if not found:
-            return None
-        rows = self.spark.read.schema(StructType([*self.schema.fields, StructField("_bucket", IntegerType())])).option("basePath", place)
-        return rows.parquet(*[f"{place}/_bucket={b}" for b in found]).groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
+        folder, fs = fs_path(self.spark, place)
+        found = fs.listStatusIterator(folder) if fs.exists(folder) else None
+        while found and found.hasNext():
+            if str(found.next().getPath().getName()).startswith("_bucket="):
+                rows = self.spark.read.schema(StructType([*self.schema.fields, StructField("_bucket", IntegerType())]))
+                return rows.parquet(place).groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
+        return None
 
 
 def settle(written: dict[str, tuple[KeyedFolder, dict[int, dict]]], batch_id: int) -> None:
@@ -152,7 +164,9 @@ def settle(written: dict[str, tuple[KeyedFolder, dict[int, dict]]], batch_id: in
         dead: list[str] = []
         if changed:
             rows = folder.rows(leaves, changed)
-            rows = keep_latest(rows, folder.keys, folder.newest) if folder.newest else rows
+            # A folder holds a key once.
+            several = any(len(leaves[b]["folders"]) > 1 for b in changed)
+            rows = keep_latest(rows, folder.keys, folder.newest) if folder.newest and several else rows
             after = {b: x for b, x in leaves.items() if b not in changed}
             for b in changed:
                 dead += [f"batch_id={i}/_bucket={b}" for i in leaves[b]["folders"]]
@@ -195,17 +209,26 @@ def touched(frames: dict[str, tuple[DataFrame, KeyedFolder, dict[int, dict]]]) -
 
 
 def add_unseen(frames: dict[str, tuple[DataFrame, str, list[str]]], batch_id: int, **bounds: int) -> None:
-    """Of each frame (rows, path, keys) write those whose key the table does not hold yet. The rows have unique keys, and
-    are read several times."""
+    """Of each frame (rows, path, keys) write those whose key the table does not hold yet. The rows have unique keys.
+
+    The frames are written one after the other. A frame that is to meet stored rows is read twice, so it is kept until
+    it is written; one that goes into an empty table is read once, and one into a table of a single bucket meets that.
+    """
     folders = {}
     for name, (rows, path, keys) in frames.items():
         folder = KeyedFolder(rows.sparkSession, path, keys, rows.schema, **bounds)
         folder.tidy(batch_id)
-        folders[name] = (folder, folder.leaves(before=batch_id))
-    near = touched({name: (frames[name][0], *folders[name]) for name in frames})
-    for name, (rows, _, keys) in frames.items():
-        folder, leaves = folders[name]
-        folder.write(with_keys(rows, folder.rows(leaves, near[name]), keys, "left_anti"), batch_id, leaves)
+        folders[name] = (folder, leaves := folder.leaves(before=batch_id))
+        if not any(x["folders"] for x in leaves.values()):
+            folder.write(rows, batch_id, leaves)
+            continue
+        kept = rows.persist() if len(leaves) > 1 else rows
+        try:
+            near = touched({name: (kept, folder, leaves)})[name] if len(leaves) > 1 else list(leaves)
+            folder.write(with_keys(kept, folder.rows(leaves, near), keys, "left_anti"), batch_id, leaves)
+        finally:
+            if len(leaves) > 1:
+                kept.unpersist()
     settle(folders, batch_id)
 
 
@@ -213,11 +236,7 @@ def first_seen(path: str, keys: list[str], shape: Callable[[DataFrame], DataFram
     """Sink for rows whose key no other batch has written, each key once (null equals null): what a deduplication over the
     whole stream gives, with the keys in files instead of state that grows without bound."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = shape(batch).dropDuplicates(keys).persist()
-        try:
-            add_unseen({"rows": (rows, path, keys)}, batch_id, **bounds)
-        finally:
-            rows.unpersist()
+        add_unseen({"rows": (shape(batch).dropDuplicates(keys), path, keys)}, batch_id, **bounds)
     return write
 
 
