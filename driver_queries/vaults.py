@@ -16,20 +16,17 @@ from martworks.streaming.windows import parse_value
 LOADED = "2024-01-01 00:00:00"
 
 
-def shop_of_order(t: Tables):
-    """Restaurant of an order: the supplier with the smallest key among its lines."""
-    return t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_suppkey").alias("shop"))
-
-
 def raw_topic(t: Tables):
-    """Orders with their lines as raw messages of a topic."""
+    """Orders with their lines as raw messages of a topic. The restaurant of an order is the supplier with the smallest
+    key among its lines."""
     item = F.struct(
         F.col("l_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
         dec("l_extendedprice").alias("price"), F.col("l_quantity").cast("int").alias("quantity"))
-    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    items = per_order(lines, item, "order_items")
+    # Lines of unknown parts are not in the list, but count for the restaurant: both out of one grouping.
+    lines = t.lineitem.where(F.col("l_orderkey").isNotNull()).join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    items = per_order(lines, F.when(F.col("p_partkey").isNotNull(), item), "order_items", F.min("l_suppkey").alias("shop"))
     rows = (
-        t.orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")).join(shop_of_order(t), "o_orderkey")
+        t.orders.join(items.where(F.size("order_items") > 0), F.col("o_orderkey") == F.col("l_orderkey"))
         .select(
             F.col("o_orderkey").alias("object_id"), F.lit("order").alias("object_type"),
             F.col("o_orderdate").alias("sent_dttm"),
@@ -52,8 +49,10 @@ def user_lookup(t: Tables):
 
 def shop_lookup(t: Tables):
     """Restaurants with the menu of all parts in orders of theirs."""
-    sold = t.lineitem.join(shop_of_order(t), F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "shop", F.col("l_partkey").alias("p_partkey")).distinct().join(t.part, "p_partkey")
+    by_order = t.lineitem.where(F.col("l_orderkey").isNotNull()).groupBy("l_orderkey").agg(
+        F.min("l_suppkey").alias("shop"), F.collect_set("l_partkey").alias("parts"))
+    sold = stored(by_order.select("shop", F.explode("parts").alias("p_partkey")).distinct()
+                  .join(t.part.select("p_partkey", "p_name", "p_type"), "p_partkey"), "sold")
     item = F.struct(F.col("p_partkey").cast("string").alias("_id"), F.col("p_name").alias("name"),
                     F.col("p_type").alias("category"))
     menus = collect_parts(sold, ["shop"], item, "menu", "p_partkey")
@@ -63,7 +62,8 @@ def shop_lookup(t: Tables):
 
 def enriched(t: Tables):
     """Enriched order messages, typed."""
-    raw = parse_value(raw_topic(t), order_streams.RAW)
+    # Read twice: for the orders and for their lines.
+    raw = parse_value(stored(raw_topic(t).select("value"), "raw_orders"), order_streams.RAW)
     return order_streams.enriched(raw, user_lookup(t), shop_lookup(t))
 
 
@@ -180,11 +180,11 @@ def _lines(t: Tables):
 
 
 def order_counters(t: Tables):
-    return counters.order_counters(_lines(t), counters.PRODUCT)
+    return vault.keyed(counters.order_counters(_lines(t), counters.PRODUCT))
 
 
 def category_counters(t: Tables):
-    return counters.order_counters(_lines(t), counters.CATEGORY)
+    return vault.keyed(counters.order_counters(_lines(t), counters.CATEGORY))
 
 
 PRODUCT_COUNTERS_SQL = VAULT_CTE + """

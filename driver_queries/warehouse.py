@@ -569,7 +569,8 @@ def snowflake_fact(t: Tables):
                           "c_custkey", stamp, "name", "login")
     menu_item = F.struct(F.col("p_partkey").cast("string").alias("_id"), F.col("p_name").alias("name"),
                          dec("p_retailprice").alias("price"))
-    menus = collect_parts(t.part.join(by_part, "p_partkey"), ["rest"], menu_item, "menu", "p_partkey")
+    owned = stored(t.part.join(by_part, "p_partkey").select("rest", "p_partkey", "p_name", "p_retailprice"), "owned_parts")
+    menus = collect_parts(owned, ["rest"], menu_item, "menu", "p_partkey")
     rest_doc = _envelope(
         menus.join(t.supplier, F.col("rest") == F.col("s_suppkey")).withColumn("name", F.col("s_name")),
         "s_suppkey", stamp, "name", "menu")

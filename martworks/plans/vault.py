@@ -95,11 +95,17 @@ def vault_rows(messages: DataFrame, load_dt, source: str = "stg-service-orders",
     return result
 
 
-def keyed_lines(lines: DataFrame) -> DataFrame:
-    """Lines of the compact messages from plain ones (``_order``, ``_user``, product id, name and category)."""
+def natural_lines(lines: DataFrame) -> DataFrame:
+    """Lines shaped as those of the compact messages from plain ones (``_order``, ``_user``, product id, name and
+    category), with natural keys where :func:`keyed` puts UUIDs."""
     return lines.select(
-        F.col("_order").alias("id"), uuid5("_user").alias("user"), uuid5("id").alias("product_uuid"),
-        F.col("name").alias("product_name"), uuid5("category").alias("category_uuid"), F.col("category").alias("category_name"))
+        F.col("_order").alias("id"), F.col("_user").alias("user"), F.col("id").alias("product_uuid"),
+        F.col("name").alias("product_name"), F.col("category").alias("category_uuid"), F.col("category").alias("category_name"))
+
+
+def keyed(rows: DataFrame) -> DataFrame:
+    """UUIDs for the natural keys of user, product and category: equal for equal ones, null for null."""
+    return rows.withColumns({c: uuid5(c) for c in ("user", "product_uuid", "category_uuid") if c in rows.columns})
 
 
 def compact_messages(messages: DataFrame) -> DataFrame:

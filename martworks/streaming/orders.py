@@ -39,11 +39,12 @@ def _flat(orders: DataFrame) -> DataFrame:
 
 
 def enriched_lines(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """Product lines of the orders as the counters take them (``id``, keyed ``user`` and product), straight from the
-    opened lists: no list is closed to be opened again."""
+    """Product lines of the orders as the counters take them (``id``, ``user`` and product), straight from the opened
+    lists: no list is closed to be opened again. The keys are the short natural ones; :func:`vault.keyed` turns what is
+    counted into UUIDs."""
     flat = _flat(orders).withColumn("_user", F.col("user.id")).withColumnRenamed("object_id", "_order")
     lines = array_lookup_lines(flat, ["_order", "_user"], F.col("restaurant.id"), "order_items", restaurants, "id", "menu")
-    return vault.keyed_lines(lines)
+    return vault.natural_lines(lines)
 
 
 def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> DataFrame:
