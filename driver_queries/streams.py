@@ -168,9 +168,10 @@ FROM e WHERE event_type IN ('purchase', 'click', 'view')"""
 
 def _deliver(t: Tables, name: str, start, *deliveries) -> None:
     """Deliveries of a topic, one after the other: each is written in parallel, and the stream, started by ``start`` and
-    going on from its checkpoint, has read it before the next one comes."""
+    going on from its checkpoint, has read it before the next one comes. A delivery may be a function of those before."""
     path = scratch(t.spark, name)
     for rows in deliveries:
+        rows = rows(t.spark.read.parquet(path)) if callable(rows) else rows
         rows.write.mode("append").parquet(path)
         core.run_for(start(t.spark.readStream.schema(rows.schema).parquet(path)))
 
@@ -179,11 +180,12 @@ def stream_enrich(t: Tables):
     """Raw orders to enriched messages; raw rows stored beside them. Every fourth order is sent again a batch later,
     with another status."""
     out, checkpoint = _paths(t, "enrich")
-    first = stored(vaults.raw_topic(t), "raw_orders").select("value")
+    first, shops = vaults.raw_topic(t).select("value"), stored(vaults.shop_lookup(t), "shops")
     text = F.col("value").cast("string")
-    again = first.where(F.get_json_object(text, "$.object_id").cast("bigint") % 4 == 0).select(F.regexp_replace(
+    again = lambda sent: sent.where(
+        F.get_json_object(text, "$.object_id").cast("bigint") % 4 == 0).select(F.regexp_replace(
         F.regexp_replace(text, '"final_status":"[A-Z]"', '"final_status":"Z"'), '"sent_dttm":"[^"]*"', '"sent_dttm":"2031-01-01T00:00:00"').cast("binary").alias("value"))
-    _deliver(t, "raw_topic", lambda raw: orders.run_enrich(raw, vaults.user_lookup(t), vaults.shop_lookup(t), out, checkpoint), first, again)
+    _deliver(t, "raw_topic", lambda raw: orders.run_enrich(raw, vaults.user_lookup(t), shops, out, checkpoint), first, again)
     messages = windows.parse_value(core.batches(t.spark, f"{out}/messages"), vault.ORDER_MESSAGE)
     kept = core.batches(t.spark, f"{out}/order_events").select(
         "object_id", F.col("object_type").alias("raw_type"), F.get_json_object("payload", "$.final_status").alias("raw_status"))
@@ -240,9 +242,9 @@ UNION ALL SELECT DISTINCT 'h_order', o FROM k"""
 def stream_counters(t: Tables):
     """Running order counters per user and product of the compact messages, each message sent in both batches."""
     out, checkpoint = _paths(t, "counters")
-    compact = stored(vault.compact_messages(vaults.enriched(t)).select(
-        F.to_json(F.struct("id", "user", "products")).cast("binary").alias("value")), "compact_orders")
-    _deliver(t, "compact_topic", lambda topic: orders.run_counters(topic, counters.PRODUCT, out, checkpoint), compact, compact)
+    compact = vault.compact_messages(vaults.enriched(t)).select(
+        F.to_json(F.struct("id", "user", "products")).cast("binary").alias("value"))
+    _deliver(t, "compact_topic", lambda topic: orders.run_counters(topic, counters.PRODUCT, out, checkpoint), compact, lambda sent: sent)
     return orders.current_counters(t.spark, out, counters.PRODUCT)
 
 

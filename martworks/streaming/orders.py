@@ -88,13 +88,12 @@ def vault_sink(spark: SparkSession, out: str, load_dt):
     def write(batch: DataFrame, batch_id: int) -> None:
         # Parsed once for all fifteen outputs.
         messages = parse_value(batch, vault.ORDER_MESSAGE).persist()
-        rows = {t: r.persist() for t, r in vault.vault_rows(messages, load_dt).items()}
+        rows = vault.vault_rows(messages, load_dt)
         try:
             keyed.add_unseen({t: (r, f"{out}/{t}", [vault.TABLES[t]]) for t, r in rows.items()}, batch_id)
             core.batch_folder(f"{out}/messages", core.as_messages)(vault.compact_messages(messages), batch_id)
         finally:
-            for held in (messages, *rows.values()):
-                held.unpersist()
+            messages.unpersist()
     return write
 
 
