@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from martworks.session import scratch
 
-#: Rows of a part; at most so many parts, which beyond that grow; rows sampled per part; bytes of a plan below which
-#: its rows are one part without being counted.
+#: Rows of a part; at most so many parts, which beyond that grow; rows sampled per part, and parts per range of the
+#: sorted sample; bytes of a plan below which its rows are one part without being counted.
 PART_ROWS = 1_000_000
 MAX_PARTS = 1 << 14
 SAMPLED = 64
+RANGE_PARTS = 64
 PLAIN_BYTES = 16 << 20
 
 
@@ -102,10 +103,14 @@ def cut(df: DataFrame, keys: list[str], order: list[str], descending: tuple[str,
     down = [c in descending for c in columns]
     sort = [F.desc(n) if d else F.asc(n) for n, d in zip(names, down)]
     sample = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)]).sample(min(1.0, SAMPLED * parts / rows), seed=17)
-    sample = sample.repartitionByRange(parts, *sort).sortWithinPartitions(*sort).withColumn("at", F.monotonically_increasing_id())
-    # The first row of each range but the first: fewer than ``parts`` rows, stored as one file, so that every later
-    # reading sees the same bounds.
-    firsts = sample.where((F.col("at") > 0) & (F.col("at").bitwiseAND((1 << 33) - 1) == 0)).repartition(1)
+    each = max(1, round(min(SAMPLED, rows / parts)))
+    # Ranges of many parts, few of them: a range is a task, and the driver gets a sample of every range. The first sampled
+    # row of each part but the very first is a bound; they are stored as one file, so that every later reading sees the
+    # same bounds.
+    ranges = -(-parts // RANGE_PARTS)
+    sample = sample.repartitionByRange(ranges, *sort).sortWithinPartitions(*sort).withColumn("at", F.monotonically_increasing_id())
+    inside = F.col("at").bitwiseAND((1 << 33) - 1)
+    firsts = sample.where((F.col("at") > 0) & (inside % each == 0)).repartition(1)
     path = scratch(df.sparkSession, "bounds")
     firsts.write.parquet(path)
     firsts = df.sparkSession.read.schema(firsts.schema).parquet(path)

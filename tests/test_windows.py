@@ -44,6 +44,19 @@ def test_parts_are_even_and_follow_the_order(log, order, down):
     assert len(sizes) > 12 and max(sizes) < 3 * 50
 
 
+def test_many_parts_need_few_tasks(spark, log):
+    """The sample's ranges are tasks, and the driver gets rows of each of them: there are far fewer than parts."""
+    context = spark.sparkContext
+    context.setJobGroup("many parts", "")
+    made = cut(log, ["user"], ["ts", "id"], part_rows=3)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("many parts") for s in tracker.getJobInfo(j).stageIds]
+    assert max(i.numTasks for i in map(tracker.getStageInfo, stages) if i) < 50
+    sizes = [r["count"] for r in made.rows.groupBy(made.part).count().collect()]
+    assert len(sizes) > 200 and max(sizes) <= 6 and sum(sizes) == 900
+
+
 def test_numbered(spark, rows):
     df = spark.createDataFrame([(f"k{i * 7 % 100:03d}", i) for i in range(100)] + [(None, 100)], "k string, v int").repartition(5)
     got = {r.k: r.n for r in numbered(df, ["k", "v"], "n").collect()}
