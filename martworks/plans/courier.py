@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from martworks.operators.joins import valid_now
 from martworks.operators.load import upsert
@@ -49,8 +49,12 @@ def courier_ledger(deliveries: DataFrame, couriers: DataFrame, now, floor: str =
         facts = with_stats(facts, keys, _rating=rate_avg)
         facts = facts.withColumn("_pay", tier_pay(F.col("_rating"), F.col("order_sum")))
         by_order = [F.sum("_pay").cast("decimal(26,4)").alias("courier_order_sum")]
-    totals = facts.groupBy(*keys).agg(
-        F.countDistinct("order_id").alias("orders_count"),
+    # An order's deliveries by one courier lie side by side after a sort, which may spill; a distinct count would hold
+    # every order of a task in a hash table, first where the deliveries are read, in tasks as large as a file's split.
+    order = [*keys, "order_id"]
+    lines = facts.repartition(*order).withColumn("_line", F.row_number().over(W.partitionBy(*order).orderBy(F.lit(0))))
+    totals = lines.groupBy(*keys).agg(
+        F.count_if((F.col("_line") == 1) & F.col("order_id").isNotNull()).alias("orders_count"),
         F.sum("order_sum").alias("orders_total_sum"),
         rate_avg.alias("rate_avg"),
         F.sum("tip_sum").alias("courier_tips_sum"),
