@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from martworks.operators.load import add_column
 
@@ -26,19 +26,27 @@ def retention_weekly(order_log: DataFrame, refunded: str = "refunded", default:
     rows = add_column(order_log, "status", default)
     kept = F.col("status") != refunded
     day = F.col("order_date")
-    # Grouped by order first, so that orders are then counted without distinct counts.
-    by_order = rows.groupBy(
+    # A customer's rows of an item and week are brought together once and sorted, so neither orders nor customers, which
+    # grow with the rows, are held in a task's memory. Orders are counted at their first row of either kind.
+    customer = ["period_id", "item_id", "customer_id"]
+    lines = rows.select(
         (F.extract(F.lit("YEAROFWEEK"), day) * 100 + F.weekofyear(day)).cast("int").alias("period_id"),
-        "item_id", "customer_id", "order_id",
-    ).agg(
-        F.max(kept.cast("int")).alias("_kept"), F.max((~kept).cast("int")).alias("_refunded"),
-        F.sum(F.when(kept, F.col("payment_amount"))).alias("_paid"),
-    )
-    by_customer = by_order.groupBy("period_id", "item_id", "customer_id").agg(
-        F.sum("_kept").alias("_orders"), F.sum("_paid").alias("_revenue"), F.sum("_refunded").alias("_refunds"),
+        "item_id", "customer_id", "order_id", kept.alias("_kept"), "payment_amount",
+    ).repartition(*customer)
+    of_order = W.partitionBy(*customer, "order_id", "_kept").orderBy(F.lit(0))
+    of_customer = W.partitionBy(*customer)
+    sorted_ = lines.sortWithinPartitions(*customer, "order_id", "_kept")
+    first = sorted_.withColumn("_first", F.row_number().over(of_order) == 1)
+    paid = F.when(F.col("_kept"), F.col("payment_amount"))
+    counted = first.select(
+        "period_id", "item_id", F.row_number().over(of_customer.orderBy("order_id", "_kept")).alias("_row"),
+        F.sum((F.col("_first") & F.col("_kept")).cast("int")).over(of_customer).alias("_orders"),
+        F.sum((F.col("_first") & ~F.col("_kept")).cast("int")).over(of_customer).alias("_refunds"),
+        F.sum(paid).over(of_customer).alias("_revenue"),
     )
+    by_customer = counted.where("_row = 1")
     new, returning = F.col("_orders") == 1, F.col("_orders") > 1
-    zero = F.lit(0).cast("decimal(20,2)")
+    zero = F.lit(0).cast("decimal(38,2)")
     return by_customer.groupBy("period_id", "item_id").agg(
         F.count_if(new).alias("new_customers_count"),
         F.count_if(returning).alias("returning_customers_count"),
