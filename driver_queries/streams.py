@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from driver_queries import vaults
 from driver_queries.common import Tables, day_sql, query, stored, ts_sql, uuid5_sql
+from martworks.functions.nested import open_json
 from martworks.functions.text import words
 from martworks.operators import keyed
 from martworks.plans import counters, vault
@@ -109,9 +110,8 @@ def stream_promo(t: Tables):
         F.concat(F.lit("r"), F.col("c_nationkey").cast("string")).alias("restaurant_id"))
     core.run_for(promo.run(t.spark, _campaign_topic(t), subscribers, out, checkpoint, now=NOW))
     feedback = core.batches(t.spark, f"{out}/feedback")
-    pushed = core.batches(t.spark, f"{out}/push").select(
-        F.get_json_object("value", "$.adv_campaign_id").alias("adv_campaign_id"),
-        F.get_json_object("value", "$.client_id").alias("client_id"), F.lit(1).alias("pushed"))
+    opened = open_json(core.batches(t.spark, f"{out}/push"), "value", "adv_campaign_id string, client_id string")
+    pushed = opened.select("adv_campaign_id", "client_id", F.lit(1).alias("pushed"))
     return feedback.join(pushed, ["adv_campaign_id", "client_id"], "left").select(
         "restaurant_id", "adv_campaign_id", "client_id", "adv_campaign_datetime_end", "trigger_datetime_created",
         "feedback", "pushed")

@@ -52,6 +52,19 @@ def test_promo_restart(spark):
     assert core.batches(spark, f"{out}/feedback").count() == 4
 
 
+def test_promo_of_many_clients_is_cut_and_restaurants_without_any_are_not_kept(spark, rows, monkeypatch):
+    monkeypatch.setattr(promo, "SLICE", 2)
+    path, out, checkpoint = (scratch(spark, n) for n in ("topic", "out", "checkpoint"))
+    wanted = [(f"x{i}", "s0") for i in range(9)] + [(None, "s0"), ("x0", "s0"), ("y", "s1"), ("z", None)]
+    subscribers = spark.createDataFrame(wanted, "client_id string, restaurant_id string")
+    others = [_campaign(r, "c1", 1668211200, 1672444800) for r in ("nobody", None)]
+    progress = core.run_for(promo.run(spark, _land(spark, MESSAGES + others, path), subscribers, out, checkpoint, now=1670803200))
+    assert max(o["numRowsTotal"] for p in progress for o in p["stateOperators"]) == 3
+    got = rows(core.batches(spark, f"{out}/feedback"), "adv_campaign_id", "adv_campaign_datetime_start", "client_id")
+    assert len(got) == 10 + 2 and len(set(got)) == 12
+    assert promo.sliced(subscribers)[0].groupBy("restaurant_id", "_slice").count().agg(F.max("count")).first()[0] < 10
+
+
 def test_repeated_batch_adds_nothing(spark):
     out = scratch(spark, "out")
     sink = core.batch_folder(out)
