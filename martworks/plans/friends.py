@@ -7,6 +7,20 @@ from pyspark.sql import DataFrame, functions as F
 from martworks.functions import times
 from martworks.operators.joins import within_distance, without_pairs
 from martworks.operators.windows import top1
+from martworks.session import stored
+
+
+#: Most channels of a user that are compared as a list.
+MOST_CHANNELS = 1000
+
+
+def _paired_by_place(members: DataFrame) -> bool:
+    """Whether fewer rows meet when people are paired by zone than by zone and channel, and all lists of channels are short."""
+    squares = lambda df, *by: df.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("n")).agg(
+        F.sum(F.col("n") * F.col("n")).alias("pairs"), F.max("n").alias("most")).first()
+    channels, places = squares(members, "zone_id", "channel"), squares(members.select("user_id", "zone_id").distinct(), "zone_id")
+    return bool(channels.pairs) and channels.pairs > places.pairs and squares(members, "user_id").most <= MOST_CHANNELS
+
 
 def friend_recommendations(located: DataFrame, now=None, max_km: float = 1.0) -> DataFrame:
     """Recommended pairs with the moment, their zone and its local time.
@@ -14,17 +28,29 @@ def friend_recommendations(located: DataFrame, now=None, max_km: float = 1.0) ->
     Both users are subscribed to a common channel, are last seen in the same zone and at most ``max_km``
     apart, and never exchanged a message in either direction. ``located`` has event_type, user_id,
     message_to, channel, ts, event_id, lat, lon, id (zone) and tz. Zone and grid cell are part of the
-    join key, so only people near each other are paired.
+    join key, so only people near each other are paired; so is the channel, unless that would pair the same people
+    again and again.
     """
     spots = top1(located.select("user_id", "ts", "event_id", "id", "tz", "lat", "lon"), ["user_id"],
                  ["ts", "event_id"]).select("user_id", F.col("id").alias("zone_id"), "tz", "lat", "lon")
-    subscribed = located.where(F.col("event_type") == "subscription").select("user_id", "channel").distinct()
-    members = subscribed.join(spots, "user_id")
-    left = members.select("channel", "zone_id", F.col("user_id").alias("user_left"), F.col("lat").alias("_lat"),
-                          F.col("lon").alias("_lon"))
-    right = members.select("channel", "zone_id", F.col("user_id").alias("user_right"), "lat", "lon")
-    met = within_distance(left, right, max_km, ("_lat", "_lon"), ("lat", "lon"), also=["channel", "zone_id"])
-    pairs = met.where(F.col("user_left") < F.col("user_right")).select("user_left", "user_right").distinct()
+    subscribed = located.where(F.col("event_type") == "subscription").select("user_id", "channel").where(
+        F.col("channel").isNotNull()).distinct()
+    members = stored(subscribed.join(spots, "user_id"), "members")
+    at = (("_lat", "_lon"), ("lat", "lon"))
+    if _paired_by_place(members):
+        # Most neighbours share channels, many of them: each pair meets once, and their channels are compared.
+        people = members.groupBy("user_id").agg(F.collect_list("channel").alias("_channels")).join(spots, "user_id")
+        left = people.select("zone_id", F.col("user_id").alias("user_left"), F.col("lat").alias("_lat"),
+                             F.col("lon").alias("_lon"), F.col("_channels").alias("_others"))
+        right = people.select("zone_id", F.col("user_id").alias("user_right"), "lat", "lon", "_channels")
+        met = within_distance(left, right, max_km, *at, also=["zone_id"]).where(F.col("user_left") < F.col("user_right"))
+        pairs = met.where(F.arrays_overlap("_channels", "_others")).select("user_left", "user_right")
+    else:
+        left = members.select("channel", "zone_id", F.col("user_id").alias("user_left"), F.col("lat").alias("_lat"),
+                              F.col("lon").alias("_lon"))
+        right = members.select("channel", "zone_id", F.col("user_id").alias("user_right"), "lat", "lon")
+        met = within_distance(left, right, max_km, *at, also=["channel", "zone_id"])
+        pairs = met.where(F.col("user_left") < F.col("user_right")).select("user_left", "user_right").distinct()
     messages = located.where(F.col("event_type") == "message").where(F.col("message_to").isNotNull())
     strangers = without_pairs(pairs, messages, "user_left", "user_right", "user_id", "message_to")
     place = spots.select(F.col("user_id").alias("user_left"), "zone_id", "tz")

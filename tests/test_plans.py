@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martworks.operators.quality import GateError
+from martworks.operators.joins import within_distance
 from martworks.plans import activity, courier, deliveries, friends, geo, group_vault, metrics, paths, sales, settlement, tags, vault
 from martworks.functions.keys import text_key
 
@@ -113,6 +114,25 @@ def test_friends(spark, rows):
     assert rows(got, "user_left", "user_right", "zone_id") == [(1, 2, 65), (2, 3, 65)]
 
 
+@pytest.mark.parametrize("most", [1000, 0])
+def test_friends_with_many_channels_meet_once(spark, rows, monkeypatch, most):
+    """Forty people of one place share up to nine channels: they are paired by place, or by channel if lists are too long."""
+    monkeypatch.setattr(friends, "MOST_CHANNELS", most)
+    joined = []
+    monkeypatch.setattr(friends, "within_distance", lambda *a, also, **k: joined.append(also) or within_distance(*a, also=also, **k))
+    found = [("subscription", u, None, c if c % 4 else None) for u in range(40) for c in range(9) if (u * 7 + c * c) % 5 < 3]
+    said = [("message", u, (u * 3) % 40, None) for u in range(0, 40, 2)]
+    log = spark.createDataFrame([(k, u, to, c, i, i, -37.8, 144.9, 1 + u % 2, "Australia/Perth") for i, (k, u, to, c) in enumerate(found + said)],
+                                "event_type string, user_id int, message_to int, channel int, ts int, event_id int, lat double, lon double, id int, tz string")
+    got = friends.friend_recommendations(log, "2022-06-01 00:00:00", 1.0)
+    channels = {u: {c for _, v, _, c in found if v == u and c} for u in range(40)}
+    known = {frozenset((u, to)) for _, u, to, _ in said}
+    want = [(a, b) for a in range(40) for b in range(a + 1, 40)
+            if a % 2 == b % 2 and channels[a] & channels[b] and frozenset((a, b)) not in known]
+    assert rows(got, "user_left", "user_right") == sorted(want, key=repr)
+    assert joined == [["zone_id"] if most else ["channel", "zone_id"]]
+
+
 def test_activity_and_contacts(spark):
     first = activity.activity_windows(_located(spark)).where("event_id = 0").first()
     assert (first.week_message, first.week_user, first.month_message, first.month_user) == (1, 1, 5, 4)
