@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from martworks.functions import times
 from martworks.operators.joins import within_distance, without_pairs
 from martworks.operators.windows import top1
 from martworks.session import stored
 
-
-#: Most channels of a user that are compared as a list.
+#: Most channels of a user that are compared as a list, and most channels that are numbered.
 MOST_CHANNELS = 1000
+MOST_BITS = 512
 
 
 def _paired_by_place(members: DataFrame) -> bool:
@@ -22,6 +25,22 @@ def _paired_by_place(members: DataFrame) -> bool:
     return bool(channels.pairs) and channels.pairs > places.pairs and squares(members, "user_id").most <= MOST_CHANNELS
 
 
+def _channel_sets(members: DataFrame) -> tuple[DataFrame, Column]:
+    """Each user's channels, and whether they meet those of another user, whose columns begin with ``_left``.
+
+    Few channels are numbered and are bits of long values, which are compared much faster than lists.
+    """
+    channels = members.select("channel").distinct()
+    count = channels.count()
+    if count > MOST_BITS:
+        return members.groupBy("user_id").agg(F.collect_list("channel").alias("_channels")), F.arrays_overlap("_channels", "_left_channels")
+    numbers = channels.withColumn("_no", F.row_number().over(W.orderBy("channel")) - 1)  # a row per channel, few of them
+    bit = F.expr("shiftleft(1L, _no % 64)")
+    bits = [F.bit_or(F.when(F.floor(F.col("_no") / 64) == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"_bits{i}") for i in range(-(-count // 64))]
+    sets = members.join(F.broadcast(numbers), "channel").groupBy("user_id").agg(*bits)
+    return sets, reduce(or_, [F.col(c).bitwiseAND(F.col(f"_left{c}")) != 0 for c in sets.columns[1:]])
+
+
 def friend_recommendations(located: DataFrame, now=None, max_km: float = 1.0) -> DataFrame:
     """Recommended pairs with the moment, their zone and its local time.
 
@@ -39,12 +58,13 @@ def friend_recommendations(located: DataFrame, now=None, max_km: float = 1.0) ->
     at = (("_lat", "_lon"), ("lat", "lon"))
     if _paired_by_place(members):
         # Most neighbours share channels, many of them: each pair meets once, and their channels are compared.
-        people = members.groupBy("user_id").agg(F.collect_list("channel").alias("_channels")).join(spots, "user_id")
-        left = people.select("zone_id", F.col("user_id").alias("user_left"), F.col("lat").alias("_lat"),
-                             F.col("lon").alias("_lon"), F.col("_channels").alias("_others"))
-        right = people.select("zone_id", F.col("user_id").alias("user_right"), "lat", "lon", "_channels")
+        sets, common = _channel_sets(members)
+        people = sets.join(spots, "user_id")
+        left = people.select("zone_id", F.col("user_id").alias("user_left"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"),
+                             *[F.col(c).alias(f"_left{c}") for c in sets.columns[1:]])
+        right = people.select("zone_id", F.col("user_id").alias("user_right"), "lat", "lon", *sets.columns[1:])
         met = within_distance(left, right, max_km, *at, also=["zone_id"]).where(F.col("user_left") < F.col("user_right"))
-        pairs = met.where(F.arrays_overlap("_channels", "_others")).select("user_left", "user_right")
+        pairs = met.where(common).select("user_left", "user_right")
     else:
         left = members.select("channel", "zone_id", F.col("user_id").alias("user_left"), F.col("lat").alias("_lat"),
                               F.col("lon").alias("_lon"))

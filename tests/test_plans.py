@@ -114,13 +114,14 @@ def test_friends(spark, rows):
     assert rows(got, "user_left", "user_right", "zone_id") == [(1, 2, 65), (2, 3, 65)]
 
 
-@pytest.mark.parametrize("most", [1000, 0])
-def test_friends_with_many_channels_meet_once(spark, rows, monkeypatch, most):
-    """Forty people of one place share up to nine channels: they are paired by place, or by channel if lists are too long."""
+@pytest.mark.parametrize("most,bits", [(1000, 512), (1000, 3), (0, 512)])
+def test_friends_with_many_channels_meet_once(spark, rows, monkeypatch, most, bits):
+    """Forty people of one place share some of ninety channels: they are paired by place, or by channel if lists are too long."""
+    monkeypatch.setattr(friends, "MOST_BITS", bits)
     monkeypatch.setattr(friends, "MOST_CHANNELS", most)
     joined = []
     monkeypatch.setattr(friends, "within_distance", lambda *a, also, **k: joined.append(also) or within_distance(*a, also=also, **k))
-    found = [("subscription", u, None, c if c % 4 else None) for u in range(40) for c in range(9) if (u * 7 + c * c) % 5 < 3]
+    found = [("subscription", u, None, c if c % 4 else None) for u in range(40) for c in range(90) if (u * 7 + c * c) % 5 < 1]
     said = [("message", u, (u * 3) % 40, None) for u in range(0, 40, 2)]
     log = spark.createDataFrame([(k, u, to, c, i, i, -37.8, 144.9, 1 + u % 2, "Australia/Perth") for i, (k, u, to, c) in enumerate(found + said)],
                                 "event_type string, user_id int, message_to int, channel int, ts int, event_id int, lat double, lon double, id int, tz string")
