@@ -9,7 +9,7 @@ high bytes of ids; after a high byte the low byte follows.
 
 Blocks are worked on side by side, one id of each at a time, in numpy.
 
-File: MAGIC; blocks; the index; its place and length, checksum and MAGIC again. A block is the coder's words of 32
+File: MAGIC; blocks; the index; its place and length, checksum and MAGIC again. A block is the coder's words of 24
 bits. The index holds per block its place, length, number of ids and the checksum of the ids, and per document its id
 and number of ids.
 """
@@ -32,200 +32,220 @@ from pyspark.sql import DataFrame, Window, functions as F
 from martworks.session import scratch
 
 from .common import stored, text_of
-from .shingle_arrays import _BASE, _BYTE, mix64, pieces, text_bytes
+from .shingle_arrays import _BASE, _BYTE, PIECE_BYTES, mix64, pieces, text_bytes
 
-MAGIC = b"MWTOKEN1"
+MAGIC = b"MWTOKEN2"
 END_ID = 2
 BLOCK = 2048
-LANES = 2048
+LANES = 4096
 CELLS = 512
-#: High bytes share 2^12 parts; their frequencies are counted anew after so many ids.
-SHARES, RENEW = 12, 256
-_U16, _U32 = np.uint64(16), np.uint64(32)
-_SMALL, _FULL = np.uint64(1 << 32), np.uint64((1 << 64) - 1)
+#: High bytes share 2^12 parts; their frequencies are counted anew after so many ids. How right the orders are is looked at
+#: every LATE ids.
+SHARES, RENEW, LATE = 12, (64, 192, 512, 1024), 64
+#: The coder's interval has 24 to 48 bits, so quotients of floats are exact; it moves on by words of 24.
+_WORD, _MASK = 24, (1 << 24) - 1
 #: How far a prediction that was right so often is trusted, of 2^16, and what becomes of the count when it is right
 #: or wrong (at 0 another id takes its place).
-_TRUST = np.array([0, *[65536 * (k + 1) // (k + 3) for k in range(1, 16)]], np.int32)
-_NEXT = np.array([*[k >> 1 for k in range(16)], *[min(k + 1, 15) for k in range(16)]], np.int32)
-_NEXT[16] = 0
+_TRUST = np.array([0, *[65536 * (k + 1) // (k + 2) for k in range(1, 16)]], np.int32)
+_CHANGE = np.array([*[(k >> 1) - k for k in range(16)], *[min(k + 1, 15) - k for k in range(16)]], np.int32)
+_TAKEN = -16
+_CHANGE[:2] = _TAKEN
+#: What both predictions take of the interval at most.
+_MOST = 65536 - 4096 - 1
 
 
 class _Model:
-    """The state of all blocks side by side; the coder and the decoder take the same steps."""
+    """The state of all blocks side by side; the coder and the decoder take the same steps. Arrays of two rows are for
+    order 1 and order 2."""
 
     def __init__(self, lanes: int):
-        self.lanes = lanes
-        lane = np.arange(lanes, dtype=np.int32)
-        self.base, self.byte = lane * CELLS, lane * 256
+        self.lanes, self.step, self.counted = lanes, 0, 0
+        lane = np.arange(lanes)
+        self.byte = lane * 256
         # Per context the id that followed and, in the lowest four bits, how often it was right.
-        self.memory = [np.zeros(lanes * CELLS, np.int32) for _ in range(2)]
+        # Sixteen cells lie together where memory is fetched at once, 8 of each order: the last id says which sixteen.
+        self.base = np.stack([lane * 2 * CELLS, lane * 2 * CELLS + 8])
+        self.memory = np.zeros(lanes * 2 * CELLS + 16, np.int32)
+        self.memory = self.memory[-self.memory.ctypes.data % 64 // 4:]
         # The share of right predictions of each order of late, of 2^15.
-        self.weight = [np.full(lanes, 1 << 14, np.int32) for _ in range(2)]
-        self.counts = np.zeros(lanes * 256, np.int32)
-        self.last = [np.zeros(lanes, np.int32) for _ in range(2)]
-        self.step = 0
-        self._renew()
-
-    def _renew(self) -> None:
-        counts = self.counts.reshape(self.lanes, 256)
+        self.weight, self.right = np.full((2, lanes), 1 << 14, np.int32), np.zeros((2, lanes), np.uint8)
+        self.row = np.stack([lane * 32, lane * 32 + 16])
+        self._weigh()
+        self.counts = np.zeros((lanes, 256), np.int32)
+        self._share()
+        self.last = self.hash = np.zeros(lanes, np.uint16)
+
+    def _weigh(self) -> None:
+        """The trust in a prediction: in its own record, weighed by how right the order has been."""
+        self.trust = np.clip(_TRUST * (self.weight.T[:, :, None] >> 3) >> 12, 1, _MOST).astype(np.uint16).ravel()
+
+    def _share(self) -> None:
+        """Share the interval's rest out to the high bytes by their frequencies so far."""
         free = (1 << SHARES) - 256
-        parts = counts * free // max(1, self.step) + (1 if self.step else 1 + free // 256)
+        parts = self.counts * np.int32(free) // np.int32(max(1, self.counted)) + np.int32(1 if self.counted else 1 + free // 256)
         parts[:, 255] += (1 << SHARES) - parts.sum(axis=1, dtype=np.int32)
-        ends = np.cumsum(parts, axis=1, dtype=np.int32)
-        self.ends, self.starts, self.parts = ends.ravel(), (ends - parts).ravel(), parts.ravel()
+        self.parts = parts.ravel()
+        # Start and size of a high byte's part.
+        self.places = ((np.cumsum(parts, axis=1, dtype=np.int32) - parts) << 16 | parts).ravel()
 
     def symbols(self) -> np.ndarray:
         """For each of the shares, lane by lane, the high byte that owns it."""
         return np.repeat(np.tile(np.arange(256, dtype=np.uint8), self.lanes), self.parts)
 
     def predict(self) -> None:
-        one, two = self.last
-        self.at = [self.base + (((one * 40503) >> 5) & (CELLS - 1)),
-                   self.base + (((one * 25173 + two * 13849) >> 7) & (CELLS - 1))]
-        self.seen = [m.take(a) for m, a in zip(self.memory, self.at)]
-        self.known = [e & 15 for e in self.seen]
-        self.p1, self.p2 = (e >> 4 for e in self.seen)
-        # The interval's parts: trust in the context's own record, weighed by how right the order has been.
-        w1, w2 = self.weight
-        self.m2 = (_TRUST.take(self.known[1]) * (w2 >> 3)) >> 12
-        m1 = (_TRUST.take(self.known[0]) * (w1 >> 3)) >> 12
-        self.m1 = (((61440 - self.m2) >> 2) * (m1 >> 2) >> 12) * (self.p1 != self.p2)
-        self.both = self.m2 + self.m1
-        self.rest = 65536 - self.both
-
-    def update(self, ids: np.ndarray) -> None:
-        fresh = ids << 4 | 1
-        for k, p in enumerate((self.p1, self.p2)):
-            hit = p == ids
-            self.weight[k] += ((hit * np.int32(32767)) - self.weight[k]) >> 5
-            known = self.known[k]
-            after = _NEXT.take(known + (hit << 4).astype(np.int32))
-            self.memory[k][self.at[k]] = np.where(after == 0, fresh, self.seen[k] - known + after)
-        self.counts[self.byte + (ids >> 8)] += 1
-        self.last = [ids, self.last[0]]
+        before, self.hash = self.hash, self.last * np.uint16(40503)
+        cells = np.empty((2, self.lanes), np.uint16)
+        cells[:] = self.hash >> np.uint16(6)
+        cells[0] &= np.uint16(2 * CELLS - 9)
+        cells[1] &= np.uint16(2 * CELLS - 16)
+        cells[1] |= (before * np.uint16(13849) + self.hash) >> np.uint16(13)
+        self.at = self.base + cells
+        self.seen = self.memory[self.at]
+        self.known = (self.seen & 15).astype(np.intp)
+        self.ids = self.seen >> 4
+        m1, self.m2 = self.trust[self.row + self.known].astype(np.int64)
+        m1 *= _MOST - self.m2
+        m1 >>= 16
+        m1 += 1
+        m1 *= self.ids[0] != self.ids[1]
+        self.m1, self.rest = m1, 65536 - self.m2 - m1
+
+    def update(self, ids: np.ndarray, hit: np.ndarray, done: np.ndarray) -> bool:
+        """Take in the ids that came (``hit``: whether each order had said so; ``done``: all ids, a row per step);
+        whether frequencies were renewed."""
+        self.right += hit.view(np.uint8)
+        change = _CHANGE[self.known + hit * np.intp(16)]
+        fresh = change == _TAKEN
+        change += self.seen
+        self.memory[self.at] = np.where(fresh, ids << 4 | 1, change)
+        self.last = done[self.step]
         self.step += 1
-        if self.step % RENEW == 0:
-            self._renew()
-
-    def high(self, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of a high byte in the part that neither prediction takes."""
-        at = self.byte + byte
-        left = (self.rest * self.starts.take(at)) >> SHARES
-        return self.both + left, ((self.rest * self.ends.take(at)) >> SHARES) - left
+        if self.step % LATE == 0:
+            self.weight += (self.right * np.int32(32768 // LATE) - self.weight) >> 1
+            self.right[:] = 0
+            self._weigh()
+        if self.step in RENEW:
+            for k in range(0, self.lanes, 64):
+                high = done[self.counted:self.step, k:k + 64] >> 8
+                counts = self.counts[k:k + 64]
+                counts += np.bincount((high + self.byte[:high.shape[1]]).ravel(), minlength=counts.size).reshape(counts.shape).astype(np.int32)
+            self.counted = self.step
+            self._share()
+            return True
+        return False
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
     """The blocks of an array of shape (blocks, BLOCK) of ids below 2^16, each coded on its own.
 
-    The coder holds the low end of its interval in 64 bits and gives out 32 whenever the interval is shorter than
-    2^32; a carry is added to the word before, and carried on through the words at the end.
+    The coder holds the low end of its interval and gives out 24 bits whenever the interval is shorter than 2^24; a
+    carry stays with the end until the next word is given out, and is handed on through the words when all are there.
     """
     lanes = len(ids)
     model = _Model(lanes)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, _FULL, np.uint64)
-    words, at = np.zeros((lanes, BLOCK + 8), np.uint64), np.ones(lanes, np.int64)  # the first word takes a carry
-
-    def out(low, span, lane):
-        """Give out a word where the interval is short; the changed ends."""
-        short = np.flatnonzero(span < _SMALL)
-        if len(short):
-            who = short if lane is None else lane[short]
-            words[who, at[who]] = low[short] >> _U32
-            at[who] += 1
-            low[short] <<= _U32
-            span[short] <<= _U32
-        return low, span
-
-    def carried(low, add, lane):
-        over = np.flatnonzero(low < add)
-        if len(over):
-            who = over if lane is None else lane[over]
-            words[who, at[who] - 1] += np.uint64(1)
-
-    for column in np.ascontiguousarray(ids.T.astype(np.int32)):
+    low, span = np.zeros(lanes, np.int64), np.full(lanes, 1 << 2 * _WORD)
+    # A word an id at most and two for the end, and whether there was one.
+    words, given = np.empty((BLOCK + 2, lanes), np.int32), np.ones((BLOCK + 2, lanes), bool)
+    columns = _turned(ids.astype(np.uint16, copy=False))
+    for step, column in enumerate(columns):
         model.predict()
-        second = (column == model.p2) & (model.m2 > 0)
-        first = (column == model.p1) & (model.m1 > 0) & ~second
-        start, size = model.high(column >> 8)
-        miss = ~(second | first)
-        start = np.where(miss, start, model.m2 * first)
-        size = np.where(miss, size, np.where(second, model.m2, model.m1))
-        span >>= _U16
-        add = start.astype(np.uint64) * span
-        low += add
-        span *= size.astype(np.uint64)
-        carried(low, add, None)
-        low, span = out(low, span, None)
-        new = np.flatnonzero(miss)
-        if len(new):
-            part = span[new] >> np.uint64(8)
-            add = (column[new] & 255).astype(np.uint64) * part
-            end = low[new] + add
-            carried(end, add, new)
-            low[new], span[new] = out(end, part, new)
-        model.update(column)
-    for _ in range(2):
-        words[np.arange(lanes), at] = low >> _U32
-        low <<= _U32
-        at += 1
-    for k in range(words.shape[1] - 1, 0, -1):
-        words[:, k - 1] += words[:, k] >> _U32
-    words &= np.uint64(0xFFFFFFFF)
-    packed = words.astype("<u4")
-    return [packed[i, 1:at[i]].tobytes() for i in range(lanes)]
+        column = column.astype(np.int32)
+        hit = model.ids == column
+        first, second = hit
+        part = span >> 16
+        two, one = model.m2 * part, model.m1 * part
+        part *= model.rest
+        part >>= SHARES
+        place = model.places[model.byte + (column >> 8)]
+        byte = part * (place & 0xFFFF)
+        byte >>= 8
+        part *= place >> 16
+        part += byte * (column & 255)
+        part += one
+        part += two
+        low += np.where(second, 0, np.where(first, two, part))
+        span = np.where(second, two, np.where(first, one, byte))
+        words[step] = low >> _WORD
+        short = np.less_equal(span, _MASK, out=given[step])
+        shift = short * np.int64(_WORD)
+        span <<= shift
+        low &= _MASK | (short - np.int64(1))
+        low <<= shift
+        model.update(column, hit, columns)
+    words[BLOCK], words[BLOCK + 1] = low >> _WORD, low & _MASK
+    sizes = given.sum(axis=0)
+    words = _turned(words).ravel()[_turned(given).ravel()]
+    while (over := words >> _WORD).any():
+        words &= _MASK
+        words[:-1] += over[1:]
+    packed = np.ascontiguousarray(words.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+    return [x.tobytes() for x in np.split(packed, np.cumsum(sizes)[:-1])]
 
 
 def decode_blocks(blocks: list[bytes]) -> np.ndarray:
     """The ids of coded blocks, of shape (blocks, BLOCK)."""
     lanes = len(blocks)
-    longest = max(len(b) for b in blocks) // 4 + 8
-    words = np.zeros((lanes, longest), np.uint64)
+    longest = max(2, max(len(b) for b in blocks) // 3) + 1
+    packed = np.zeros((lanes, longest, 4), np.uint8)
     for i, b in enumerate(blocks):
-        words[i, :len(b) // 4] = np.frombuffer(b, "<u4", len(b) // 4)
+        packed[i, :len(b) // 3, :3] = np.frombuffer(b, np.uint8, len(b) // 3 * 3).reshape(-1, 3)
+    words = packed.view("<u4").ravel()
     model = _Model(lanes)
-    # The place of the coded number in the interval.
-    place, span, at = words[:, 0] << _U32 | words[:, 1], np.full(lanes, _FULL, np.uint64), np.full(lanes, 2, np.int64)
-    out = np.zeros((BLOCK, lanes), np.int32)
-
-    def more(place, span, lane):
-        short = np.flatnonzero(span < _SMALL)
-        if len(short):
-            who = short if lane is None else lane[short]
-            # A damaged block may ask for words it does not have; its checksum will tell.
-            place[short] = place[short] << _U32 | words[who, np.minimum(at[who], longest - 1)]
-            at[who] += 1
-            span[short] <<= _U32
-        return place, span
-
-    owner = np.arange(lanes, dtype=np.int32) << SHARES
+    # The next word, and the place of the coded number in the interval.
+    at = np.arange(lanes) * longest + 2
+    ends = at + longest - 3
+    place, span = words[at - 2].astype(np.int64) << _WORD | words[at - 1], np.full(lanes, 1 << 2 * _WORD)
+    out = np.zeros((BLOCK, lanes), np.uint16)
+    owner = np.arange(lanes) << SHARES
     symbols = model.symbols()
     for step in range(BLOCK):
         model.predict()
-        span >>= _U16
-        np.maximum(span, np.uint64(1), out=span)
-        value = np.minimum(place // span, np.uint64(65535)).astype(np.int32)
-        second = value < model.m2
-        miss = value >= model.both
-        share = ((np.maximum(value - model.both, 0) + 1 << SHARES) - 1) // model.rest
-        byte = symbols.take(owner + np.minimum(share, (1 << SHARES) - 1)).astype(np.int32)
-        start, size = model.high(byte)
-        start = np.where(miss, start, np.where(second, 0, model.m2))
-        size = np.where(miss, size, np.where(second, model.m2, model.m1))
-        place -= start.astype(np.uint64) * span
-        span *= size.astype(np.uint64)
-        place, span = more(place, span, None)
-        ids = np.where(miss, byte << 8, np.where(second, model.p2, model.p1))
-        new = np.flatnonzero(miss)
-        if len(new):
-            part = np.maximum(span[new] >> np.uint64(8), np.uint64(1))
-            value = np.minimum(place[new] // part, np.uint64(255))
-            place[new], span[new] = more(place[new] - value * part, part, new)
-            ids[new] |= value.astype(np.int32)
+        part = span >> 16
+        two, one = model.m2 * part, model.m1 * part
+        both = two + one
+        part *= model.rest
+        part >>= SHARES
+        second, miss = place < two, place >= both
+        # Where a prediction holds, the byte found here does not count.
+        both = place - both
+        byte = symbols[owner + _number(both, part, (1 << SHARES) - 1)].astype(np.int64)
+        found = model.places[model.byte + byte]
+        size = part * (found & 0xFFFF)
+        size >>= 8
+        part *= found >> 16
+        both -= part
+        lower = _number(both, size, 255)
+        both -= lower * size
+        byte <<= 8
+        byte |= lower
+        ids = np.where(miss, byte.astype(np.int32), np.where(second, model.ids[1], model.ids[0]))
+        place = np.where(miss, both, np.where(second, place, place - two))
+        span = np.where(miss, size, np.where(second, two, one))
+        short = span <= _MASK
+        shift = short * np.int64(_WORD)
+        span <<= shift
+        # A damaged block may ask for words it does not have; its checksum will tell.
+        place <<= shift
+        place |= words[np.minimum(at, ends)] * short
+        at += short
         out[step] = ids
-        model.update(ids)
-        if model.step % RENEW == 0:
+        if model.update(ids, model.ids == ids, out):
             symbols = model.symbols()
-    return out.T
+    return _turned(out)
+
+
+def _turned(array: np.ndarray) -> np.ndarray:
+    """The array with rows for columns, turned in tiles that stay in the cache."""
+    out = np.empty(array.shape[::-1], array.dtype)
+    for k in range(0, array.shape[0], 64):
+        for j in range(0, array.shape[1], 64):
+            out[j:j + 64, k:k + 64] = array[k:k + 64, j:j + 64].T
+    return out
+
+
+def _number(place: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+    """Which of the parts of a size a place lies in; the last one for a place before them."""
+    return np.minimum((place / size).astype(np.int64).view(np.uint64), np.uint64(most)).view(np.int64)
 
 
 class Writer:
@@ -323,14 +343,45 @@ def read_documents(file, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, li
             held, at, done = held[cuts[-1]:], int(ends[upto - 1]), upto
 
 
+def _signs() -> np.ndarray:
+    """The character that stands for each byte in the tokens of byte-level tokenizers."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    out = np.arange(256, dtype="<u2")
+    out[hidden] = 0x100 + np.arange(len(hidden))
+    return out
+
+
+_SIGN = _signs()
+#: Letters, digits and other signs of ASCII; 0 for all other bytes.
+_KIND = bytes(0 if not 0x20 < b < 0x7F else 1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 4 for b in range(256))
+
+
+def _put(array: np.ndarray, used: int, values: np.ndarray) -> np.ndarray:
+    """The array with values behind the used part, longer if need be."""
+    n = used + values.shape[-1]
+    if n > array.shape[-1]:
+        array = np.concatenate([array, np.zeros((*array.shape[:-1], n), array.dtype)], axis=-1)
+    array[..., used:n] = values
+    return array
+
+
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs that start somewhere, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 class Units:
     """Token ids of texts, with those of each run of a space and the letters after it looked up once.
 
-    A text is cut before single spaces between characters that are surely not white space; there the tokenizer's own
-    pattern cuts, too, so the pieces' ids together are those of the text.
+    A text is cut where the tokenizer's own pattern surely cuts, too, so the pieces' ids together are those of the text:
+    before single spaces between characters that are not white space, around single line ends, and between letters,
+    digits and other signs (but not after an apostrophe). A piece of one kind of these is one of the pattern's own and
+    goes to the tokenizer's model without the pattern; the others go the whole way.
     """
 
-    LIMIT = 600_000
+    LIMIT = 1_200_000
 
     @classmethod
     def of(cls, path: str) -> Units:
@@ -348,87 +399,134 @@ class Units:
             path = public_tokenizers.path(path)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = Tokenizer(self.tokenizer.model)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids have to be below 2^16")
         # Every sign of a token stands for a byte.
         self.widths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.widths[i] = len(token)
+        self.powers = self.inverse = np.zeros(0, np.uint64)
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.store = np.zeros(1 << 16, np.uint16)
-        self.starts, self.lengths, self.used = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
-
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, units: list[bytes]) -> None:
-        # Most units follow each other as they would in a text: they are encoded in chains, and told apart by the
-        # lengths of the ids' bytes.
-        chained = [u for u in units if u[0] == 32 and 0x20 < u[-1] < 0x7F]
-        single = [u for u in units if not (u[0] == 32 and 0x20 < u[-1] < 0x7F)]
-        chains = [chained[i:i + 1000] for i in range(0, len(chained), 1000)]
-        parts, lengths = [], []
-        for chain, ids in zip(chains, self._encoded([b"".join(c).decode() for c in chains])):
-            ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(u) for u in chain])) + 1
-            lengths.append(np.diff(ends, prepend=0))
-            parts.append(ids)
-        for ids in self._encoded([u.decode() for u in single]):
-            lengths.append(np.array([len(ids)]))
-            parts.append(ids)
-        units, lengths = chained + single, np.concatenate(lengths)
-        flat = np.concatenate(parts).astype(np.uint16)
-        n = len(self.known)
-        while len(self.store) < self.used + len(flat):
-            self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-        while len(self.starts) < n + len(units):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        self.store[self.used:self.used + len(flat)] = flat
-        self.starts[n:n + len(units)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[n:n + len(units)] = lengths
-        self.used += len(flat)
-        for i, u in enumerate(units):
-            self.known[u] = n + i
+        # Of the pieces known: hashes, places and lengths in the bytes, and in the ids; how many of each there are.
+        self.hashes, self.places = np.zeros(1 << 14, np.uint64), np.zeros((4, 1 << 14), np.int64)
+        self.bytes, self.store = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.uint16)
+        self.known = self.used_bytes = self.used = 0
+        # Look-up tables of the hashes from some number on, each less than half as long as the one before.
+        self.tables: list = []
+
+    def _powers(self, n: int) -> np.ndarray:
+        """Powers of the hashes' base, n of them at least; their inverses are set, too."""
+        if len(self.powers) < n:
+            n = max(n, 2 * PIECE_BYTES)
+            self.powers = np.cumprod(np.full(n, _BASE))
+            self.inverse = np.cumprod(np.full(n, np.uint64(pow(int(_BASE), -1, 1 << 64))))
+        return self.powers
+
+    def _find(self, hashes: np.ndarray, data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Which of the known pieces each piece is, -1 for none; those found are compared byte by byte."""
+        at = np.full(len(hashes), -1)
+        for start, table in self.tables:
+            left = np.flatnonzero(at < 0)
+            found = table.get_indexer(hashes[left])
+            at[left] = np.where(found < 0, -1, found + start)
+        found = np.flatnonzero(at >= 0)
+        starts, lengths = self.places[:2, at[found]]
+        same = np.array_equal(lengths, sizes[found]) and np.array_equal(
+            data[_spread(begin[found], lengths)], self.bytes[_spread(starts, lengths)])
+        if not same:  # two pieces of one hash
+            self._clear()
+            at[:] = -1
+        return at
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, begin: np.ndarray, sizes: np.ndarray, whole: np.ndarray) -> None:
+        """Look up new pieces, first those of one kind (``whole`` so many), in chains that are told apart by the lengths
+        of the ids' bytes, then the others."""
+        import pandas as pd
+
+        flat = data[_spread(begin, sizes)]
+        ends = np.cumsum(sizes)
+        split = int(ends[whole - 1]) if whole else 0
+        signs, cuts = _SIGN[flat[:split]].tobytes().decode("utf-16-le"), [0, *ends.tolist()]
+        plain = [signs[a:b] for a, b in zip(cuts[:whole], cuts[1:])]
+        chains = [plain[i:i + 1000] for i in range(0, whole, 1000)]
+        ids = [np.zeros(0, np.uint16)]
+        ids += [np.array(e.ids, np.uint16) for e in self.model.encode_batch_fast(chains, is_pretokenized=True, add_special_tokens=False)]
+        widths = np.cumsum(self.widths[np.concatenate(ids)])
+        lengths = np.diff(np.searchsorted(widths, ends[:whole]) + 1, prepend=0)
+        raw = flat[split:].tobytes()
+        others = [raw[a - split:b - split].decode() for a, b in zip(cuts[whole:], cuts[whole + 1:])]
+        others = [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        lengths = np.append(lengths, [len(x) for x in others]).astype(np.int64)
+        places = [self.used_bytes + ends - sizes, sizes, self.used + np.cumsum(lengths) - lengths, lengths]
+        ids = np.concatenate(ids + others)
+        self.places, self.hashes = _put(self.places, self.known, np.stack(places)), _put(self.hashes, self.known, hashes)
+        self.bytes, self.store = _put(self.bytes, self.used_bytes, flat), _put(self.store, self.used, ids)
+        start, self.known = self.known, self.known + len(hashes)
+        self.used_bytes, self.used = self.used_bytes + len(flat), self.used + len(ids)
+        while self.tables and 2 * (self.known - start) >= len(self.tables[-1][1]):
+            start = self.tables.pop()[0]
+        self.tables.append((start, pd.Index(self.hashes[start:self.known].copy())))
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, END_ID after each, and their numbers."""
         import pandas as pd
 
         data, offsets = text_bytes(texts)
+        kind = np.frombuffer(bytearray(data.tobytes().translate(_KIND)), np.uint8)
         cut = np.zeros(len(data) + 1, bool)
+        odd = np.zeros(len(data), bool)
         if len(data) > 2:
+            # Latin letters of two bytes: U+00C0 to U+024F without the signs of times and division.
+            wide = (data >= 0xC3) & (data <= 0xC9)
+            wide[:-1] &= (data[:-1] != 0xC3) | ((data[1:] != 0x97) & (data[1:] != 0xB7))
+            kind |= wide.view(np.uint8)
+            kind[1:] |= wide[:-1].view(np.uint8)
             solid = (data > 0x20) & (data < 0x7F)
             lead = (data >= 0xC3) & (data <= 0xDF)
             before, after = solid.copy(), solid | lead
             before[1:] |= lead[:-1]
             cut[1:-2] = (data[1:-1] == 0x20) & before[:-2] & after[2:]
+            some, change = kind > 0, kind[1:] != kind[:-1]
+            mark = data[:-1] == 0x27
+            cut[1:-1] |= change & some[1:] & some[:-1] & ~mark
+            line = (data[1:-1] == 0x0A) & some[:-2]
+            cut[1:-2] |= line
+            cut[2:-1] |= line & some[2:]
+            odd = ~some
+            odd[1:] |= change & mark
         cut[offsets] = True
         edges = np.flatnonzero(cut)
         starts, sizes = edges[:-1], np.diff(edges)
         if len(starts):
-            place = np.arange(len(data)) - np.repeat(starts, sizes)
-            powers = np.cumprod(np.full(int(sizes.max()), _BASE, np.uint64))
-            codes, _ = pd.factorize(mix64(np.add.reduceat(_BYTE[data] * powers[place], starts) + sizes.astype(np.uint64)))
-            first = np.zeros(codes.max() + 1, np.int64)
+            hashes = _BYTE[data]
+            hashes *= self._powers(len(data))[:len(data)]
+            hashes = np.add.reduceat(hashes, starts) * self.inverse[starts]
+            codes, hashes = pd.factorize(mix64(hashes + sizes.astype(np.uint64)))
+            first = np.zeros(len(hashes), np.int64)
             first[codes[::-1]] = np.arange(len(codes))[::-1]
-            raw = data.tobytes()
-            units = [raw[a:b] for a, b in zip(starts[first].tolist(), (starts + sizes)[first].tolist())]
-            if len(self.known) + len(units) > self.LIMIT or self.used > 16 * self.LIMIT:
+            begin, sizes = starts[first], sizes[first]
+            if self.known + len(hashes) > self.LIMIT or self.used > 16 * self.LIMIT:
                 self._clear()
-            new = [u for u in units if u not in self.known]
-            if new:
-                self._learn(new)
-            at = np.fromiter((self.known[u] for u in units), np.int64, len(units))[codes]
-            lengths, begins = self.lengths[at], self.starts[at]
+            at = self._find(hashes, data, begin, sizes)
+            new = np.flatnonzero(at < 0)
+            if len(new):
+                odd[starts] &= data[starts] != 0x20
+                lengths = sizes[new]
+                whole = ~np.logical_or.reduceat(odd[_spread(begin[new], lengths)], np.cumsum(lengths) - lengths)
+                new = np.append(new[whole], new[~whole])
+                at[new] = self.known + np.arange(len(new))
+                self._learn(hashes[new], data, begin[new], sizes[new], int(whole.sum()))
+            at = at[codes]
+            begins, lengths = self.places[2, at], self.places[3, at]
         else:
             lengths = begins = np.zeros(0, np.int64)
         # Ids of units in order, with a place left for the end of each text.
         sums = np.append(0, np.cumsum(lengths))
         counts = np.diff(sums[np.searchsorted(starts, offsets)]) + 1
-        inner = np.arange(int(sums[-1])) - np.repeat(sums[:-1], lengths)
-        values = self.store[np.repeat(begins, lengths) + inner]
+        values = self.store[_spread(begins, lengths)]
         out = np.full(int(counts.sum()), END_ID, np.uint16)
         keep = np.ones(len(out), bool)
         keep[np.cumsum(counts) - 1] = False

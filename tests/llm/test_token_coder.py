@@ -80,6 +80,38 @@ def test_ids_are_those_of_the_tokenizer():
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
 
 
+def test_pieces_of_one_kind_are_looked_up_once():
+    units = T.Units("byte_bpe_50k.json")
+    units.ids(pa.array(["one, two. one\ntwo one"]))
+    assert units.known == len(["one", ",", " two", ".", " one", "\n", "two"])
+    ids, _ = units.ids(pa.array([" two; one."]))
+    assert units.known == 8
+    assert ids.tolist() == units.tokenizer.encode(" two; one.", add_special_tokens=False).ids + [T.END_ID]
+
+
+def test_kinds_are_cut_as_the_tokenizer_does():
+    units = T.Units("byte_bpe_50k.json")
+    rng = corpus.random.Random(5)
+    signs = [*"abZ09.,-'\u2019 \n\t\r\x85\u00a0é×÷ÀɏɐĀ日\u0301ßº²½#", " the", "'s", "'ll", "\n\n", " \n", "\n "]
+    for _ in range(20):
+        texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(100)]
+        ids, counts = units.ids(pa.array(texts))
+        want = [units.tokenizer.encode(t, add_special_tokens=False).ids + [T.END_ID] for t in texts]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(T, "mix64", lambda x: x * np.uint64(0))
+    units = T.Units("byte_bpe_50k.json")
+    for text in ("one", "two", "seven", "one"):
+        assert units.ids(pa.array([text]))[0].tolist() == units.tokenizer.encode(text, add_special_tokens=False).ids + [T.END_ID]
+
+
+def test_frequencies_count_early():
+    ids = padded(np.random.default_rng(3).integers(0, 1024, 2048))
+    assert len(T.encode_blocks(ids)[0]) < 2048 * 1.33
+
+
 def test_documents_round_trip(spark):
     rows = corpus.awkward() + [(500 + i, t, "en", "s", 1) for i, t in enumerate(TEXTS)]
     docs = corpus.documents(spark, rows).withColumns({"tie": F.lit("x"), "start": F.lit(1)}).repartition(4)
