@@ -44,12 +44,8 @@ CELLS = 512
 SHARES, RENEW, LATE = 12, (64, 192, 512, 1024), 64
 #: The coder's interval has 24 to 48 bits, so quotients of floats are exact; it moves on by words of 24.
 _WORD, _MASK = 24, (1 << 24) - 1
-#: How far a prediction that was right so often is trusted, of 2^16, and what becomes of the count when it is right
-#: or wrong (at 0 another id takes its place).
+#: How far a prediction that was right so often is trusted, of 2^16.
 _TRUST = np.array([0, *[65536 * (k + 1) // (k + 2) for k in range(1, 16)]], np.int32)
-_CHANGE = np.array([*[(k >> 1) - k for k in range(16)], *[min(k + 1, 15) - k for k in range(16)]], np.int32)
-_TAKEN = -16
-_CHANGE[:2] = _TAKEN
 #: What both predictions take of the interval at most.
 _MOST = 65536 - 4096 - 1
 
@@ -90,6 +86,8 @@ class _Model:
 
     def symbols(self) -> np.ndarray:
         """For each of the shares, lane by lane, the high byte that owns it."""
+        if not self.counted:
+            return np.tile(np.repeat(np.arange(256, dtype=np.uint8), self.parts[:256]), self.lanes)
         return np.repeat(np.tile(np.arange(256, dtype=np.uint8), self.lanes), self.parts)
 
     def predict(self) -> None:
@@ -101,7 +99,7 @@ class _Model:
         cells[1] |= (before * np.uint16(13849) + self.hash) >> np.uint16(13)
         self.at = self.base + cells
         self.seen = self.memory[self.at]
-        self.known = (self.seen & 15).astype(np.intp)
+        self.known = self.seen.astype(np.uint8) & np.uint8(15)
         self.ids = self.seen >> 4
         m1, self.m2 = self.trust[self.row + self.known].astype(np.int64)
         m1 *= _MOST - self.m2
@@ -114,10 +112,11 @@ class _Model:
         """Take in the ids that came (``hit``: whether each order had said so; ``done``: all ids, a row per step);
         whether frequencies were renewed."""
         self.right += hit.view(np.uint8)
-        change = _CHANGE[self.known + hit * np.intp(16)]
-        fresh = change == _TAKEN
-        change += self.seen
-        self.memory[self.at] = np.where(fresh, ids << 4 | 1, change)
+        # A count goes up by one to 15, or down by half; where none would be left the new id takes its place.
+        known, right = self.known, hit.view(np.uint8)
+        change = (right & (known < 15)) - ((known + np.uint8(1)) >> np.uint8(1)) * (right ^ np.uint8(1))
+        fresh = known + (right << np.uint8(1)) < 2
+        self.memory[self.at] = np.where(fresh, ids << 4 | 1, self.seen + change.view(np.int8))
         self.last = done[self.step]
         self.step += 1
         if self.step % LATE == 0:
