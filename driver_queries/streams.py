@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driver_queries import vaults
-from driver_queries.common import Tables, day_sql, query, stored, ts_sql, uuid5_sql
+from driver_queries.common import Tables, day_sql, query, ts_sql, uuid5_sql
 from martworks.functions.nested import open_json
 from martworks.functions.text import words
 from martworks.operators import keyed
 from martworks.plans import counters, vault
-from martworks.session import scratch
+from martworks.session import Copies, scratch, tidy_shuffles
 from martworks.sources import kafka
 from martworks.streaming import core, geoads, history, ingest, orders, promo, windows
 
@@ -172,7 +172,8 @@ def _deliver(t: Tables, name: str, start, *deliveries) -> None:
     path = scratch(t.spark, name)
     for rows in deliveries:
         rows = rows(t.spark.read.parquet(path)) if callable(rows) else rows
-        rows.write.mode("append").parquet(path)
+        with tidy_shuffles(t.spark):
+            rows.write.mode("append").option("compression", "zstd").parquet(path)
         core.run_for(start(t.spark.readStream.schema(rows.schema).parquet(path)))
 
 
@@ -180,7 +181,7 @@ def stream_enrich(t: Tables):
     """Raw orders to enriched messages; raw rows stored beside them. Every fourth order is sent again a batch later,
     with another status."""
     out, checkpoint = _paths(t, "enrich")
-    first, shops = vaults.raw_topic(t).select("value"), stored(vaults.shop_lookup(t), "shops")
+    first, shops = vaults.raw_topic(t).select("value"), vaults.shop_lookup(t)
     text = F.col("value").cast("string")
     again = lambda sent: sent.where(
         F.get_json_object(text, "$.object_id").cast("bigint") % 4 == 0).select(F.regexp_replace(
@@ -204,18 +205,24 @@ FROM orders JOIN s ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = shop
 JOIN (VALUES (0), (1)) v(sent) ON sent = 0 OR o_orderkey % 4 = 0"""
 
 
-def _enriched_topic(t: Tables):
-    rows = vaults.enriched(t)
+def _enriched_topic(t: Tables, copies: Copies):
+    rows = vaults.enriched(t, copies)
     return rows.select(F.to_json(F.struct("object_id", "object_type", "payload")).cast("binary").alias("value"))
 
 
 def _vault_run(t: Tables):
     out, checkpoint = _paths(t, "vault")
     # Three batches: odd orders, the others, and some of both once more.
-    rows = stored(_enriched_topic(t), "enriched_orders")
+    early, topic = Copies(t.spark), Copies(t.spark)
+    rows = topic.add(_enriched_topic(t, early), "enriched_orders")
+    early.drop()
     key = F.get_json_object(F.col("value").cast("string"), "$.object_id").cast("bigint")
+
+    def again(sent):
+        topic.drop()
+        return sent.where(key % 5 == 0)
     _deliver(t, "enriched_topic", lambda topic: orders.run_vault(t.spark, topic, out, checkpoint, vaults.LOADED),
-             rows.where(key % 2 == 1), rows.where(key % 2 == 0), rows.where(key % 5 == 0))
+             rows.where(key % 2 == 1), rows.where(key % 2 == 0), again)
     return {table: core.batches(t.spark, f"{out}/{table}") for table in vault.TABLES}
 
 
@@ -242,9 +249,14 @@ UNION ALL SELECT DISTINCT 'h_order', o FROM k"""
 def stream_counters(t: Tables):
     """Running order counters per user and product of the compact messages, each message sent in both batches."""
     out, checkpoint = _paths(t, "counters")
-    compact = vault.compact_messages(vaults.enriched(t)).select(
+    early = Copies(t.spark)
+    compact = vault.compact_messages(vaults.enriched(t, early)).select(
         F.to_json(F.struct("id", "user", "products")).cast("binary").alias("value"))
-    _deliver(t, "compact_topic", lambda topic: orders.run_counters(topic, counters.PRODUCT, out, checkpoint), compact, lambda sent: sent)
+
+    def start(topic):
+        early.drop()
+        return orders.run_counters(topic, counters.PRODUCT, out, checkpoint)
+    _deliver(t, "compact_topic", start, compact, lambda sent: sent)
     return orders.current_counters(t.spark, out, counters.PRODUCT)
 
 

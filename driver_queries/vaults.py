@@ -6,14 +6,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from driver_queries.common import Tables, dec, per_order, query, stored, ts_sql, uuid5_sql
+from driver_queries.common import Tables, dec, per_order, query, ts_sql, uuid5_sql
 from martworks.operators.groups import collect_parts
 from martworks.plans import counters, vault
+from martworks.session import Copies
 from martworks.sources import kafka
 from martworks.streaming import orders as order_streams
 from martworks.streaming.windows import parse_value
 
 LOADED = "2024-01-01 00:00:00"
+#: Row groups of stored menus: a task holds the lists of one of them.
+MENU_BYTES = 1 << 20
 
 
 def raw_topic(t: Tables):
@@ -21,10 +24,12 @@ def raw_topic(t: Tables):
     key among its lines."""
     item = F.struct(
         F.col("l_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
-        dec("l_extendedprice").alias("price"), F.col("l_quantity").cast("int").alias("quantity"))
+        "price", "quantity")
     # Lines of unknown parts are not in the list, but count for the restaurant: both out of one grouping.
-    lines = t.lineitem.where(F.col("l_orderkey").isNotNull()).join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    items = per_order(lines, F.when(F.col("p_partkey").isNotNull(), item), "order_items", F.min("l_suppkey").alias("shop"))
+    sold = t.lineitem.where(F.col("l_orderkey").isNotNull()).select(
+        "l_orderkey", "l_partkey", "l_suppkey", dec("l_extendedprice").alias("price"), F.col("l_quantity").cast("int").alias("quantity"))
+    lines = sold.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    items = per_order(lines.repartition("l_orderkey"), F.when(F.col("p_partkey").isNotNull(), item), "order_items", F.min("l_suppkey").alias("shop"))
     rows = (
         t.orders.join(items.where(F.size("order_items") > 0), F.col("o_orderkey") == F.col("l_orderkey"))
         .select(
@@ -47,24 +52,29 @@ def user_lookup(t: Tables):
                              F.lower("c_mktsegment").alias("login"))
 
 
-def shop_lookup(t: Tables):
-    """Restaurants with the menu of all parts in orders of theirs."""
+def shop_lookup(t: Tables, copies: Copies | None = None):
+    """Restaurants with the menu of all parts in orders of theirs, stored."""
+    early, copies = Copies(t.spark), copies or Copies(t.spark)
     by_order = t.lineitem.where(F.col("l_orderkey").isNotNull()).groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("shop"), F.collect_set("l_partkey").alias("parts"))
-    sold = stored(by_order.select("shop", F.explode("parts").alias("p_partkey")).distinct()
+    sold = early.add(by_order.select("shop", F.explode("parts").alias("p_partkey")).distinct()
                   .join(t.part.select("p_partkey", "p_name", "p_type"), "p_partkey"), "sold")
     item = F.struct(F.col("p_partkey").cast("string").alias("_id"), F.col("p_name").alias("name"),
                     F.col("p_type").alias("category"))
     menus = collect_parts(sold, ["shop"], item, "menu", "p_partkey")
-    return menus.join(t.supplier, F.col("shop") == F.col("s_suppkey")).select(
+    named = menus.join(t.supplier, F.col("shop") == F.col("s_suppkey")).select(
         F.col("shop").cast("string").alias("id"), F.col("s_name").alias("name"), "menu")
+    shops = copies.add(named, "shops", row_group=MENU_BYTES)
+    early.drop()
+    return shops
 
 
-def enriched(t: Tables):
-    """Enriched order messages, typed."""
+def enriched(t: Tables, copies: Copies | None = None):
+    """Enriched order messages, typed; they read the ``copies``."""
+    copies = copies or Copies(t.spark)
     # Read twice: for the orders and for their lines.
-    raw = parse_value(stored(raw_topic(t).select("value"), "raw_orders"), order_streams.RAW)
-    return order_streams.enriched(raw, user_lookup(t), shop_lookup(t))
+    raw = parse_value(copies.add(raw_topic(t).select("value"), "raw_orders"), order_streams.RAW)
+    return order_streams.enriched(raw, user_lookup(t), shop_lookup(t, copies))
 
 
 def enriched_orders(t: Tables):
@@ -95,8 +105,10 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _vault(t: Tables):
-    messages = stored(enriched(t), "enriched")
-    lines = stored(vault.product_level(vault.order_level(messages)), "enriched_lines")
+    early, copies = Copies(t.spark), Copies(t.spark)
+    messages = copies.add(enriched(t, early), "enriched")
+    early.drop()
+    lines = copies.add(vault.product_level(vault.order_level(messages)), "enriched_lines")
     return vault.vault_rows(messages, LOADED, lines=lines)
 
 

@@ -123,29 +123,34 @@ def array_lookup_lines(df: DataFrame, key: str | list[str], owner: Column, items
     owner's menu entry of the same id. Elements without a menu entry are dropped."""
     keys = [key] if isinstance(key, str) else key
     element_fields = [f.name for f in df.schema[items].dataType.elementType.fields]
-    opened = df.select(*keys, owner.alias("_owner"), F.posexplode(items).alias("_pos", "_e"))
+    others = [f for f in element_fields if f != item_id]
+    opened = df.select(*keys, owner.alias("_owner"), F.posexplode(items).alias("_pos", "_e")).select(
+        *keys, "_owner", "_pos", F.col(f"_e.{item_id}").alias("_id"), *[F.col(f"_e.{f}").alias(f"_e_{f}") for f in others])
     # One entry per (owner, id): the first of the menu, so a repeated entry never doubles an order line.
     entries = (
         menus.select(F.col(menu_owner).alias("_owner"), F.posexplode(menu).alias("_at", "_m"))
-        .groupBy("_owner", F.col(f"_m.{menu_id}").alias("_id")).agg(F.min_by("_m", "_at").alias("_m"))
+        .groupBy("_owner", F.col(f"_m.{menu_id}").alias("_id")).agg(F.min_by(F.struct(*[f"_m.{t}" for t in take]), "_at").alias("_m"))
     )
-    met = opened.withColumn("_id", F.col(f"_e.{item_id}")).join(entries, ["_owner", "_id"])
-    return met.select(*keys, "_pos", *[F.col(f"_e.{f}").alias(f) for f in element_fields],
+    met = opened.join(entries, ["_owner", "_id"])
+    return met.select(*keys, "_pos", *[F.col("_id" if f == item_id else f"_e_{f}").alias(f) for f in element_fields],
                       *[F.col(f"_m.{t}").alias(t) for t in take])
 
 
 def array_lookup(df: DataFrame, key: str, owner: Column, items: str, menus: DataFrame, menu_owner: str,
                  menu: str, item_id: str = "id", menu_id: str = "_id", take: tuple[str, ...] = ("name", "category"),
-                 name: str = "products") -> DataFrame:
+                 name: str = "products", onto: DataFrame | None = None) -> DataFrame:
     """Each element of ``items`` completed with fields of its owner's menu entry of the same id.
 
     Both arrays are opened, joined on (owner, id) and closed again per ``key``; the list keeps its order.
-    Elements without a menu entry are dropped. For work on single elements take :func:`array_lookup_lines`.
+    Elements without a menu entry are dropped. For work on single elements take :func:`array_lookup_lines`. The lists go
+    to the rows of ``df``, or of ``onto`` with the same keys: columns that are looked up by other keys are better looked
+    up before, or the lists would be sent along.
     """
     lines = array_lookup_lines(df, key, owner, items, menus, menu_owner, menu, item_id, menu_id, take)
     fields = [c for c in lines.columns if c not in (key, "_pos")]
-    closed = lines.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", *fields))).alias("_list"))
-    return df.join(closed, key, "left").withColumn(
+    # After the join the elements of a list lie apart, so partial lists would hold one each.
+    closed = lines.repartition(key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", *fields))).alias("_list"))
+    return (df if onto is None else onto).join(closed, key, "left").withColumn(
         name, F.transform("_list", lambda e: F.struct(*[e[f].alias(f) for f in fields]))
     ).drop("_list")
 

@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from martworks.operators.dedup import keep_latest
-from martworks.operators.skew import null_safe
-from martworks.session import stored
+from martworks.operators.skew import free, null_safe
+from martworks.session import AS_THEY_LIE, Copies, stored, tidy_shuffles
 
 #: Rows of a bucket above which it is cut, folders above which they are written as one, bits of a bucket's number.
 SPLIT_ROWS = 1_000_000
@@ -27,6 +27,9 @@ MANY_FOLDERS = 16
 MOST_BITS = 30
 #: Tasks that a folder is at least written by.
 WRITERS = 64
+#: Rows, new and known, above which copied rows are written in several passes over the buckets; passes at most.
+PASS_ROWS = 4_000_000
+MOST_PASSES = 8
 
 ROOT = 1
 
@@ -122,17 +125,47 @@ class KeyedFolder:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*places)
 
-    def write(self, rows: DataFrame, folder: int, leaves: dict[int, dict]) -> None:
-        """Rows in a folder of a batch, by bucket; replaces what an earlier attempt wrote.
-
-        Rows of several buckets are brought together first, those of few buckets in shares by their hash: there are
-        about as many files as buckets, not one per bucket and task."""
-        placed = rows.select(*[f.name for f in self.schema]).withColumn("_bucket", self.bucket(leaves))
+    def ready(self, rows: int) -> dict[int, dict]:
+        """The buckets of an empty table that is to get so many rows. A table of several starts half full, so that it
+        need not be cut, which writes all of it again, as soon as it grows."""
+        more = min((-(-2 * rows // self.split_rows) - 1).bit_length(), MOST_BITS) if rows > self.split_rows else 0
+        return {(ROOT << more) + i: {"rows": 0, "folders": []} for i in range(1 << more)}
+
+    def write(self, rows: DataFrame, folder: int, leaves: dict[int, dict], near: list[int] | None = None, unique: bool = True,
+              passes: int = 1) -> None:
+        """Rows in a folder of a batch, by bucket; replaces what an earlier attempt wrote. With ``near`` only those whose
+        key these buckets lack, without ``unique`` one of a key. In several passes, each over a part of the buckets, the
+        rows are read as often, but only as large a part of them is shuffled at a time."""
+        for i in range(passes):
+            known = self.rows(leaves, some) if (some := [b for b in near or [] if b % passes == i]) else None
+            with tidy_shuffles(self.spark, **AS_THEY_LIE):
+                (self.placed(rows, leaves, known, unique, (i, passes)).write.partitionBy("_bucket").mode("append" if i else "overwrite")
+                 .options(partitionOverwriteMode="static", compression="zstd").parquet(f"{self.path}/batch_id={folder}"))
+
+    def placed(self, rows: DataFrame, leaves: dict[int, dict], known: DataFrame | None = None, unique: bool = True,
+               part: tuple[int, int] = (0, 1)) -> DataFrame:
+        """The rows that a pass (its number, of so many) writes, with their bucket.
+
+        Rows of several buckets are brought together first: there are about as many files as buckets, not one per bucket
+        and task. They meet known keys and each other where they are then, so nothing is shuffled for that."""
+        placed = rows.select(*[f.name for f in self.schema])
         if len(leaves) > 1:
-            shares = -(-WRITERS // len(leaves))
-            placed = placed.repartition("_bucket", *([F.pmod(F.xxhash64(*self.keys), F.lit(shares))] if shares > 1 else []))
-        (placed.write.partitionBy("_bucket").mode("overwrite")
-         .option("partitionOverwriteMode", "static").parquet(f"{self.path}/batch_id={folder}"))
+            share, = free(rows, "_share")
+            here, (number, passes) = ["_bucket", share], part
+            # Few buckets are dealt in shares by their hash.
+            shares = F.pmod(F.xxhash64(*self.keys), F.lit(-(-WRITERS * passes // len(leaves)))).cast("int")
+
+            def together(some: DataFrame) -> DataFrame:
+                some = some.withColumns({"_bucket": self.bucket(leaves), share: shares})
+                return (some.where(F.pmod("_bucket", F.lit(passes)) == number) if passes > 1 else some).repartition(*here)
+            placed, known = together(placed), known and together(known.select(*self.keys))
+        else:
+            here = []
+        if not unique:
+            placed = placed.dropDuplicates([*here, *self.keys])
+        if known is not None:
+            placed = with_keys(placed, known, [*here, *self.keys], "left_anti", plain=here)
+        return placed.drop(share) if here else placed.withColumn("_bucket", self.bucket(leaves))
 
     def current(self) -> DataFrame:
         """All rows, one per key."""
@@ -191,11 +224,14 @@ def _counted(frames: dict[str, DataFrame | None]) -> dict[str, dict[int, int]]:
     return out
 
 
-def with_keys(df: DataFrame, known: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Rows whose key occurs in ``known`` (``left_semi``) or does not (``left_anti``), null equal to null."""
-    names = [f"_known{i}" for i in range(len(keys))]
-    other = known.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    return df.join(other, null_safe(df, keys, other, names), how)
+def with_keys(df: DataFrame, known: DataFrame, keys: list[str], how: str, plain: list[str] | None = None) -> DataFrame:
+    """Rows whose key occurs in ``known`` (``left_semi``) or does not (``left_anti``), null equal to null. Of the keys
+    the ``plain`` ones are never null: frames that lie by them are joined as they lie."""
+    names = {k: f"_known{i}" for i, k in enumerate(keys)}
+    other = known.select(*[F.col(k).alias(n) for k, n in names.items()])
+    never = plain or []
+    same = null_safe(df, some := [k for k in keys if k not in never], other, [names[k] for k in some])
+    return df.join(other, reduce(lambda a, k: a & (df[k] == other[names[k]]), never, same), how)
 
 
 def touched(frames: dict[str, tuple[DataFrame, KeyedFolder, dict[int, dict]]]) -> dict[str, list[int]]:
@@ -208,35 +244,45 @@ def touched(frames: dict[str, tuple[DataFrame, KeyedFolder, dict[int, dict]]]) -
     return out
 
 
-def add_unseen(frames: dict[str, tuple[DataFrame, str, list[str]]], batch_id: int, **bounds: int) -> None:
-    """Of each frame (rows, path, keys) write those whose key the table does not hold yet. The rows have unique keys.
+def add_unseen(frames: dict[str, tuple[DataFrame, str, list[str]]], batch_id: int, most: dict[str, int] | None = None,
+               unique: bool = True, **bounds: int) -> None:
+    """Of each frame (rows, path, keys) write those whose key the table does not hold yet. The rows have unique keys, or
+    without ``unique`` become so where they are written.
 
-    The frames are written one after the other. A frame that is to meet stored rows is read twice, so it is kept until
-    it is written; one that goes into an empty table is read once, and one into a table of a single bucket meets that.
+    The frames are written one after the other. A frame that is to meet the stored rows of several buckets is read
+    twice, so a copy is kept on disk until it is written; one into a table of a single bucket meets that. One that goes
+    into an empty table is copied only if it may have more rows than a bucket (``most``, or without ``unique`` always),
+    to be counted: the table begins with as many buckets as it needs. Copies of many rows are written in passes.
     """
     folders = {}
     for name, (rows, path, keys) in frames.items():
         folder = KeyedFolder(rows.sparkSession, path, keys, rows.schema, **bounds)
         folder.tidy(batch_id)
-        folders[name] = (folder, leaves := folder.leaves(before=batch_id))
-        if not any(x["folders"] for x in leaves.values()):
-            folder.write(rows, batch_id, leaves)
-            continue
-        kept = rows.persist() if len(leaves) > 1 else rows
+        leaves = folder.leaves(before=batch_id)
+        empty = not any(x["folders"] for x in leaves.values())
+        copies, passes = Copies(rows.sparkSession), 1
         try:
-            near = touched({name: (kept, folder, leaves)})[name] if len(leaves) > 1 else list(leaves)
-            folder.write(with_keys(kept, folder.rows(leaves, near), keys, "left_anti"), batch_id, leaves)
+            if not unique or (len(leaves) > 1 if not empty else (most or {}).get(name, 0) > folder.split_rows):
+                rows = copies.add(rows, "batch")
+                n = rows.count()
+                leaves = folder.ready(n) if empty else leaves
+                passes = min(MOST_PASSES, len(leaves), max(1, -(-(n + sum(x["rows"] for x in leaves.values())) // PASS_ROWS)))
+            near = [] if empty else touched({name: (rows, folder, leaves)})[name] if len(leaves) > 1 else list(leaves)
+            folder.write(rows, batch_id, leaves, near, unique, passes)
         finally:
-            if len(leaves) > 1:
-                kept.unpersist()
+            copies.drop()
+        folders[name] = (folder, leaves)
     settle(folders, batch_id)
 
 
-def first_seen(path: str, keys: list[str], shape: Callable[[DataFrame], DataFrame], **bounds: int) -> Callable[[DataFrame, int], None]:
+def first_seen(path: str, keys: list[str], shape: Callable[[DataFrame], DataFrame], few_repeats: bool = False,
+               **bounds: int) -> Callable[[DataFrame, int], None]:
     """Sink for rows whose key no other batch has written, each key once (null equals null): what a deduplication over the
-    whole stream gives, with the keys in files instead of state that grows without bound."""
+    whole stream gives, with the keys in files instead of state that grows without bound. Rows that repeat within a batch
+    are left out before they are sent anywhere, or with ``few_repeats`` only after that: one shuffle less."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        add_unseen({"rows": (shape(batch).dropDuplicates(keys), path, keys)}, batch_id, **bounds)
+        rows = shape(batch) if few_repeats else shape(batch).dropDuplicates(keys)
+        add_unseen({"rows": (rows, path, keys)}, batch_id, unique=not few_repeats, **bounds)
     return write
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martworks.functions.nested import to_message
 from martworks.operators import keyed
+from martworks.session import Copies, tidy_shuffles
 
 Sink = Callable[[DataFrame, int], None]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -63,15 +64,17 @@ def run_for(query: StreamingQuery, seconds: int | None = None) -> list[dict]:
     return list(query.recentProgress)
 
 
-def fan_out(*sinks: Sink) -> Sink:
-    """One micro-batch for several sinks: computed once, released afterwards."""
+def fan_out(*sinks: Sink, on_disk: bool = False) -> Sink:
+    """One micro-batch for several sinks: computed once, released afterwards. With ``on_disk`` it is kept in the shared
+    folder and not in the executors' memory."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        copies = Copies(batch.sparkSession)
+        kept = copies.add(batch, "batch") if on_disk else batch.persist()
         try:
             for sink in sinks:
                 sink(kept, batch_id)
         finally:
-            kept.unpersist()
+            copies.drop() if on_disk else kept.unpersist()
     return write
 
 
@@ -79,7 +82,9 @@ def batch_folder(path: str, shape: Callable[[DataFrame], DataFrame] | None = Non
     """Each batch in its own folder, replaced when the batch is run again: repeated batches add nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = shape(batch) if shape else batch
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch_id={batch_id}")
+        with tidy_shuffles(batch.sparkSession):
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+             .parquet(f"{path}/batch_id={batch_id}"))
     return write
 
 

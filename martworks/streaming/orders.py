@@ -8,6 +8,7 @@ from martworks.operators import keyed
 from martworks.operators.dedup import keep_latest
 from martworks.operators.joins import array_lookup, array_lookup_lines
 from martworks.plans import counters, vault
+from martworks.session import Copies
 from martworks.streaming import core
 from martworks.streaming.windows import parse_value
 
@@ -54,14 +55,14 @@ def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> Dat
     Orders of unknown users or restaurants keep null names.
     """
     flat = _flat(orders)
-    looked = array_lookup(flat, "object_id", F.col("restaurant.id"), "order_items", restaurants, "id", "menu")
     named = (
-        looked.withColumns({"_uid": F.col("user.id"), "_rid": F.col("restaurant.id")})
+        flat.drop("order_items").withColumns({"_uid": F.col("user.id"), "_rid": F.col("restaurant.id")})
         .join(users.select(F.col("id").alias("_uid"), F.col("name").alias("_uname"), F.col("login").alias("_login")),
               "_uid", "left")
         .join(restaurants.select(F.col("id").alias("_rid"), F.col("name").alias("_rname")).distinct(), "_rid", "left")
     )
-    return named.select("object_id", F.lit("order").alias("object_type"), F.struct(
+    looked = array_lookup(flat, "object_id", F.col("restaurant.id"), "order_items", restaurants, "id", "menu", onto=named)
+    return looked.select("object_id", F.lit("order").alias("object_type"), F.struct(
         F.col("object_id").alias("id"), "date",
         F.col("cost").cast("decimal(19,5)").alias("cost"), F.col("payment").cast("decimal(19,5)").alias("payment"),
         F.col("final_status").alias("status"),
@@ -78,6 +79,7 @@ def run_enrich(topic: DataFrame, users: DataFrame, restaurants: DataFrame, out:
         keyed.upsert_folder(f"{out}/order_events", ["object_id"], ["sent_dttm", "payload"], raw_events),
         core.batch_folder(f"{out}/messages",
                           lambda b: core.as_messages(enriched(parse_value(b, RAW), users, restaurants))),
+        on_disk=True,
     )
     return core.start(topic.select("value"), sink, checkpoint, every=every)
 
@@ -86,14 +88,17 @@ def vault_sink(spark: SparkSession, out: str, load_dt):
     """Sink that adds a batch's new keys to the 14 tables and writes the compact messages. Of what is stored only the
     buckets that the batch's keys lie in are read."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Parsed once for all fifteen outputs.
-        messages = parse_value(batch, vault.ORDER_MESSAGE).persist()
-        rows = vault.vault_rows(messages, load_dt)
+        # Parsed once for all fifteen outputs, and kept in columns on disk.
+        copies = Copies(batch.sparkSession)
         try:
-            keyed.add_unseen({t: (r, f"{out}/{t}", [vault.TABLES[t]]) for t, r in rows.items()}, batch_id)
+            messages = copies.add(parse_value(batch, vault.ORDER_MESSAGE), "vault_batch")
+            lines = copies.add(vault.product_level(vault.order_level(messages)), "vault_lines")
+            rows = vault.vault_rows(messages, load_dt, lines=lines)
+            most = max(messages.count(), lines.count())
+            keyed.add_unseen({t: (r, f"{out}/{t}", [vault.TABLES[t]]) for t, r in rows.items()}, batch_id, dict.fromkeys(rows, most))
             core.batch_folder(f"{out}/messages", core.as_messages)(vault.compact_messages(messages), batch_id)
         finally:
-            messages.unpersist()
+            copies.drop()
     return write
 
 
@@ -107,7 +112,7 @@ def counter_sink(by: list[str], out: str) -> core.Sink:
     def lines(batch: DataFrame) -> DataFrame:
         return counters.order_lines(parse_value(batch, counters.COMPACT)).select("id", *by)
 
-    pairs = keyed.first_seen(f"{out}/pairs", ["id", *by], lines)
+    pairs = keyed.first_seen(f"{out}/pairs", ["id", *by], lines, few_repeats=True)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         pairs(batch, batch_id)
