@@ -187,8 +187,12 @@ SELECT sat, {uuid5_sql('hub_pk')} AS pk, hub_pk, attributes FROM (
 
 
 def _lines(t: Tables):
-    raw = parse_value(raw_topic(t), order_streams.RAW)
-    return order_streams.enriched_lines(raw, shop_lookup(t))
+    """Lines as the counters take them, stored."""
+    early = Copies(t.spark)
+    raw = parse_value(early.add(raw_topic(t).select("value"), "raw_orders"), order_streams.RAW)
+    lines = Copies(t.spark).add(order_streams.enriched_lines(raw, shop_lookup(t, early)), "counted_lines")
+    early.drop()
+    return lines
 
 
 def order_counters(t: Tables):

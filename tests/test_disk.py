@@ -146,3 +146,8 @@ def test_repeated_menu_entries_keep_the_first(spark):
     menus = spark.createDataFrame([("o", [("1", "first"), ("1", "again")])], "id string, menu array<struct<_id: string, name: string>>")
     got = joins.array_lookup(df, "k", F.col("o"), "items", menus, "id", "menu", take=("name",)).first()
     assert [(p.id, p.n, p.name) for p in got.products] == [("1", 5, "first")]
+
+
+def test_counters_count_stored_lines(spark, tmp_path):
+    plan = vaults._lines(_tables(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "FileScan parquet [l_" not in plan
