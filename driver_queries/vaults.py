@@ -74,7 +74,7 @@ def enriched(t: Tables, copies: Copies | None = None):
     copies = copies or Copies(t.spark)
     # Read twice: for the orders and for their lines.
     raw = parse_value(copies.add(raw_topic(t).select("value"), "raw_orders"), order_streams.RAW)
-    return order_streams.enriched(raw, user_lookup(t), shop_lookup(t, copies))
+    return order_streams.enriched(raw, user_lookup(t), shop_lookup(t, copies), copies)
 
 
 def enriched_orders(t: Tables):

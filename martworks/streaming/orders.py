@@ -48,11 +48,11 @@ def enriched_lines(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
     return vault.natural_lines(lines)
 
 
-def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> DataFrame:
+def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame, copies: Copies | None = None) -> DataFrame:
     """Order messages completed with user and restaurant names and menu data.
 
     ``users``: id, name, login; ``restaurants``: id, name, menu, a long menu possibly in several rows.
-    Orders of unknown users or restaurants keep null names.
+    Orders of unknown users or restaurants keep null names. With ``copies`` the lines are stored there on the way.
     """
     flat = _flat(orders)
     named = (
@@ -61,7 +61,8 @@ def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> Dat
               "_uid", "left")
         .join(restaurants.select(F.col("id").alias("_rid"), F.col("name").alias("_rname")).distinct(), "_rid", "left")
     )
-    looked = array_lookup(flat, "object_id", F.col("restaurant.id"), "order_items", restaurants, "id", "menu", onto=named)
+    looked = array_lookup(flat, "object_id", F.col("restaurant.id"), "order_items", restaurants, "id", "menu", onto=named,
+                          copies=copies)
     return looked.select("object_id", F.lit("order").alias("object_type"), F.struct(
         F.col("object_id").alias("id"), "date",
         F.col("cost").cast("decimal(19,5)").alias("cost"), F.col("payment").cast("decimal(19,5)").alias("payment"),
@@ -75,11 +76,17 @@ def enriched(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -> Dat
 def run_enrich(topic: DataFrame, users: DataFrame, restaurants: DataFrame, out: str, checkpoint: str,
                every: str | None = None):
     """Raw rows, the newest of each order over all batches, and enriched messages of every batch."""
+    def messages(batch: DataFrame, batch_id: int) -> None:
+        copies = Copies(batch.sparkSession)
+        try:
+            rows = enriched(parse_value(batch, RAW), users, restaurants, copies)
+            core.batch_folder(f"{out}/messages", core.as_messages)(rows, batch_id)
+        finally:
+            copies.drop()
+
     sink = core.fan_out(
         keyed.upsert_folder(f"{out}/order_events", ["object_id"], ["sent_dttm", "payload"], raw_events),
-        core.batch_folder(f"{out}/messages",
-                          lambda b: core.as_messages(enriched(parse_value(b, RAW), users, restaurants))),
-        on_disk=True,
+        messages, on_disk=True,
     )
     return core.start(topic.select("value"), sink, checkpoint, every=every)
 

@@ -151,3 +151,13 @@ def test_repeated_menu_entries_keep_the_first(spark):
 def test_counters_count_stored_lines(spark, tmp_path):
     plan = vaults._lines(_tables(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "FileScan parquet [l_" not in plan
+
+
+def test_lines_are_stored_between_their_lookup_and_their_lists(spark):
+    df = spark.createDataFrame([(1, "o", [("1", 5), ("2", 6)]), (2, "p", None)], "k int, o string, items array<struct<id: string, n: int>>")
+    menus = spark.createDataFrame([("o", [("1", "a"), ("2", "b")])], "id string, menu array<struct<_id: string, name: string>>")
+    copies = Copies(spark)
+    found = joins.array_lookup(df, "k", F.col("o"), "items", menus, "id", "menu", take=("name",), copies=copies)
+    assert len(copies.paths) == 1 and "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.k: r.products and [tuple(p) for p in r.products] for r in found.collect()} == {1: [("1", 5, "a"), ("2", 6, "b")], 2: None}
+    copies.drop()
