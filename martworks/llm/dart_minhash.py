@@ -116,13 +116,13 @@ def with_bands(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
 
 def _clashes(sig: DataFrame) -> DataFrame | None:
     """The texts whose key another text has, too, but for one of each key: ``node``, ``rest`` and a key of their own,
-    ``own``, below zero. They are numbered in one window: by chance there are tens of them among 10^10 texts."""
+    ``_near_node``, below zero. They are numbered in one window: by chance there are tens of them among 10^10 texts."""
     several = sig.groupBy("node").agg(F.min("rest").alias("_lo"), F.max("rest").alias("_hi")).filter("_lo < _hi")
     texts = sig.select("node", "rest").join(several, "node").filter("rest > _lo").select("node", "rest").distinct()
     texts = stored(texts, "near-clashes")
     if texts.isEmpty():
         return None
-    return stored(texts.withColumn("own", -F.row_number().over(Window.orderBy("node", "rest")).cast("long")), "near-own")
+    return stored(texts.withColumn("_near_node", -F.row_number().over(Window.orderBy("node", "rest")).cast("long")), "near-own")
 
 
 def _told_apart(rows: DataFrame, clashes: DataFrame | None) -> DataFrame:
@@ -130,7 +130,7 @@ def _told_apart(rows: DataFrame, clashes: DataFrame | None) -> DataFrame:
     if clashes is None:
         return rows.drop("rest")
     found = rows.join(bounded(clashes), ["node", "rest"], "left")
-    return found.withColumn("node", F.coalesce("own", "node")).drop("own", "rest")
+    return found.withColumn("node", F.coalesce("_near_node", "node")).drop("_near_node", "rest")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
